@@ -73,5 +73,6 @@ def _load_all() -> None:
     from tabkiln.plans import (  # noqa: F401
         q_clean,
         q_ensemble,
+        q_features,
         q_ordered,
     )
