@@ -74,5 +74,6 @@ def _load_all() -> None:
         q_clean,
         q_ensemble,
         q_features,
+        q_metrics,
         q_ordered,
     )
