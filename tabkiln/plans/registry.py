@@ -74,6 +74,7 @@ def _load_all() -> None:
         q_clean,
         q_ensemble,
         q_features,
+        q_hier,
         q_metrics,
         q_ordered,
     )
