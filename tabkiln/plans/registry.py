@@ -75,6 +75,7 @@ def _load_all() -> None:
         q_ensemble,
         q_features,
         q_hier,
+        q_text,
         q_metrics,
         q_ordered,
     )
