@@ -118,24 +118,28 @@ def fill_forward_backward(
         summary_aggs.append(F.max(F.when(present, F.struct(*korder, F.col(c).alias("_v")))).alias(f"_last_{c}"))
         summary_aggs.append(F.min(F.when(present, F.struct(*korder, F.col(c).alias("_v")))).alias(f"_first_{c}"))
     summary = ranged.groupBy(_B).agg(*summary_aggs)
+    # Running frames only (unbounded preceding .. current/previous row): Spark
+    # evaluates them in one pass, whereas a frame reaching "unbounded following"
+    # is re-evaluated for every row.  The backward direction therefore runs as
+    # a forward frame over the reversed order.
     before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    after = Window.orderBy(_B).rowsBetween(1, Window.unboundedFollowing)
+    after = Window.orderBy(F.col(_B).desc()).rowsBetween(Window.unboundedPreceding, -1)
     carry_cols = [F.col(_B)]
     for c in cols:
         carry_cols.append(F.last(F.col(f"_last_{c}._v"), ignorenulls=True).over(before).alias(f"_in_{c}"))
-        carry_cols.append(F.first(F.col(f"_first_{c}._v"), ignorenulls=True).over(after).alias(f"_out_{c}"))
+        carry_cols.append(F.last(F.col(f"_first_{c}._v"), ignorenulls=True).over(after).alias(f"_out_{c}"))
     carries = summary.select(*carry_cols)
+    # At most max_buckets rows: a proven bound for the broadcast.
     joined = ranged.join(F.broadcast(carries), _B)
-    w = Window.partitionBy(_B).orderBy(*korder)
-    upto = w.rowsBetween(Window.unboundedPreceding, 0)
-    from_here = w.rowsBetween(0, Window.unboundedFollowing)
+    upto = Window.partitionBy(_B).orderBy(*korder).rowsBetween(Window.unboundedPreceding, 0)
+    upto_rev = Window.partitionBy(_B).orderBy(*[k.desc() for k in korder]).rowsBetween(Window.unboundedPreceding, 0)
     filled = {}
     for c in cols:
         v = F.col(c)
         if forward:
             v = F.coalesce(v, F.last(F.col(c), ignorenulls=True).over(upto), F.col(f"_in_{c}"))
         if backward:
-            v = F.coalesce(v, F.first(F.col(c), ignorenulls=True).over(from_here), F.col(f"_out_{c}"))
+            v = F.coalesce(v, F.last(F.col(c), ignorenulls=True).over(upto_rev), F.col(f"_out_{c}"))
         filled[c] = v
     out = joined.withColumns(filled)
     return out.drop(_B, *[f"_in_{c}" for c in cols], *[f"_out_{c}" for c in cols])
