@@ -77,5 +77,6 @@ def _load_all() -> None:
         q_hier,
         q_text,
         q_metrics,
+        q_models,
         q_ordered,
     )
