@@ -1,0 +1,9 @@
+"""Streaming.
+
+The reference has no streaming sources, watermarks, windows over event time
+or stateful operators, so there is nothing to rebuild here.  The batch
+operators in ``tabkiln.operators`` are plain DataFrame transformations; the
+projection and per-key aggregation ones (collation, segment aggregation,
+metrics) can be applied inside ``foreachBatch`` by a caller that needs them
+on a stream.
+"""
