@@ -246,3 +246,31 @@ def union_train_test(spark: SparkSession, sf_dir: str) -> DataFrame:
     train = d.join(lab, "doc_id", "inner")
     test = d.join(lab, "doc_id", "left_anti")
     return split.union_tagged({"train": train, "test": test}).select("doc_id", "lang", "n_chars", "quality", "type")
+
+
+_HEAD_SQL = "SELECT o_orderkey, o_custkey, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 20"
+
+
+@register("head_sample", _HEAD_SQL, doubles=["o_totalprice"])
+def head_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first rows in key order for display (a top-k: the limit is the feature)."""
+    o = fx.t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return o.orderBy("o_orderkey").limit(20)
+
+
+_CLEAN_RT_SQL = f"""WITH {fx.NULLABLE_SQL}
+SELECT doc_id, lang, source, n_chars, coalesce(quality, -1) AS quality, coalesce(toxic, -1) AS toxic FROM nullable"""
+
+
+@register("cleaned_parquet_roundtrip", _CLEAN_RT_SQL)
+def cleaned_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3: a cleaned table written as parquet to the shared folder and read back."""
+    import uuid
+
+    from tabkiln.session import checkpoint_dir
+    from tabkiln.sources import write_parquet
+
+    cleaned = project.fill_nulls(fx.nullable(spark, sf_dir), ["quality", "toxic"], -1)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/cleaned-{uuid.uuid4().hex}"
+    write_parquet(cleaned, path)
+    return spark.read.parquet(path)

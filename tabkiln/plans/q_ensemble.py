@@ -151,3 +151,9 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     write_csv(collated, path)
     back = read_csv(spark, path, schema=collated.schema)
     return back.select(*[F.col(c) for c in collated.columns])
+
+
+@register("ensemble_two_model", _COLLATE_SQL, doubles=_COLLATE_DOUBLES)
+def ensemble_two_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6: the legacy two-model entry point, served by the general collation."""
+    return ensemble.collate_two(fx.pred_a(spark, sf_dir), fx.pred_b(spark, sf_dir), fx.truth(spark, sf_dir), 3.0)

@@ -218,3 +218,17 @@ def pca_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = fx.reg(spark, sf_dir).select("id", "y", "x1", "x2", "x3")
     out, _ = reduce.pca_features(r, ["x1", "x2", "x3"], 2, keep=["id", "y"])
     return out
+
+
+_INDEX_SQL = """SELECT doc_id, lang, source,
+  CAST(dense_rank() OVER (ORDER BY lang) - 1 AS DOUBLE) AS lang_idx,
+  CAST(dense_rank() OVER (ORDER BY source) - 1 AS DOUBLE) AS source_idx
+FROM documents"""
+
+
+@register("string_index", _INDEX_SQL)
+def string_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """category codes in alphabetical order (unseen values get an extra code)."""
+    d = fx.t(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    _, out = encode.index_categories(d, ["lang", "source"])
+    return out

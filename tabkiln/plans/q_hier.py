@@ -234,3 +234,32 @@ WHERE label <> i AND vec_id % 10 = i AND vec_id % 3 = j"""
 def sublabel_consistency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sub labels set under a main label that is 0."""
     return hierarchy.sublabel_violations(_nested(spark, sf_dir), "id", "main_label", "main_label_sub_label")
+
+
+_SUMMARY_SQL = f"""WITH q AS ({_eval_sql(["at_0.5", "optimized"])})
+SELECT level, kind, f1_micro FROM q WHERE threshold_mode = 'at_0.5'"""
+
+
+@register("micro_f1_summary", _SUMMARY_SQL, doubles=["f1_micro"])
+def micro_f1_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The non-optimised micro-F1 per level and kind, filtered from the evaluation table."""
+    ev = hierarchy.evaluate(fx.hier_long(spark, sf_dir))
+    return ev.filter(F.col("threshold_mode") == "at_0.5").select("level", "kind", "f1_micro")
+
+
+_REPORT_RT_SQL = _eval_sql(["at_0.5", "optimized"])
+
+
+@register("report_sink_roundtrip", _REPORT_RT_SQL, doubles=_EVAL_DOUBLES)
+def report_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The evaluation report written once, partitioned by level and kind, and read back."""
+    import uuid
+
+    from tabkiln.session import checkpoint_dir
+    from tabkiln.sources import write_reports
+
+    ev = hierarchy.evaluate(fx.hier_long(spark, sf_dir))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/reports-{uuid.uuid4().hex}"
+    write_reports(ev, path, keys=("level", "kind"))
+    back = spark.read.parquet(path)
+    return back.select(*ev.columns).withColumn("level", F.col("level").cast("int"))

@@ -138,3 +138,19 @@ def fit_predict_collate(spark: SparkSession, sf_dir: str) -> DataFrame:
     train, test = _split(spark, sf_dir)
     collated, _ = models.fit_and_predict(train, test, "id", "y", {"gbt": _GBT, "rf": _RF}, 2, 3.0, _FEATS)
     return collated
+
+
+@register("cv_importance")
+def cv_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature importance averaged over the folds of a k-fold fit."""
+    train, test = _split(spark, sf_dir)
+    res = models.cv_regression(train, test.limit(0), "id", "y", _FEATS, "rf", 2, _RF, name="rf")
+    return res.importance
+
+
+@register("important_features")
+def important_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C4: feature names by importance with skipped columns removed."""
+    r = fx.reg(spark, sf_dir).select("y", "x1", "x3", "c1", "k")
+    names = models.important_features(r, "y", skip=["k"], learner="rf")
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "rank int, feature string")

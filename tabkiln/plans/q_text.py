@@ -283,3 +283,23 @@ SELECT node, CAST(sum(o) AS BIGINT) AS out_degree, CAST(sum(i) AS BIGINT) AS in_
 def graph_degrees(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5: directed graph of the triples as vertex degrees."""
     return triples.graph_degrees(_triples(spark, sf_dir))
+
+
+_VERT_SQL = f"""WITH {_TRIPLES_CTE}
+SELECT head AS node FROM triples UNION SELECT tail FROM triples"""
+
+
+@register("graph_vertices", _VERT_SQL)
+def graph_vertices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: distinct vertices of the triple graph."""
+    return triples.graph_vertices(_triples(spark, sf_dir))
+
+
+_EDGE_SQL = f"""WITH {_TRIPLES_CTE}
+SELECT head AS src, tail AS dst, relation FROM triples"""
+
+
+@register("graph_edges", _EDGE_SQL)
+def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5: directed edges of the triple graph."""
+    return triples.graph_edges(_triples(spark, sf_dir))
