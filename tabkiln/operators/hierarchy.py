@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkiln.functions import bce_with_logits, binarize, sigmoid
+from tabkiln.operators.joins import attach_small
 from tabkiln.operators.metrics import LABEL_GRID, _ratio, confusion_aggs, f1_expr, tune_thresholds
 
 GROUP = ["level", "kind"]
@@ -39,8 +40,8 @@ def label_thresholds(long: DataFrame, grid: Sequence[float] = LABEL_GRID) -> Dat
 def _scored(long: DataFrame, thresholds: DataFrame | None, fixed: float = 0.5) -> DataFrame:
     s = with_probs(long).withColumn("pred_fixed", binarize("prob", fixed, inclusive=True))
     if thresholds is not None:
-        s = s.join(thresholds.select(*LABEL, F.col("threshold").alias("_thr")), LABEL, "left")
-        s = s.withColumn("pred_opt", binarize("prob", F.coalesce(F.col("_thr"), F.lit(fixed)), inclusive=True)).drop("_thr")
+        s = attach_small(s, thresholds.select(*LABEL, F.col("threshold").alias("_thr")), LABEL, "left")
+        s = s.withColumn("pred_opt", binarize("prob", F.coalesce(F.col("_thr"), F.lit(fixed)), inclusive=True))
     return s
 
 
@@ -116,14 +117,15 @@ def per_class_report(long: DataFrame, grid: Sequence[float] = LABEL_GRID) -> Dat
         *confusion_aggs("pred_opt", "y"),
         F.max("y").alias("_ymax"),
         F.min("y").alias("_ymin"),
+        F.max("_thr").alias("optimal_threshold"),
     )
     single = F.col("_ymax") == F.col("_ymin")
     zero = F.lit(0).cast("long")
     c = c.withColumns({k: F.when(single, zero).otherwise(F.col(k)) for k in ("tp", "fp", "tn", "fn")})
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
-    return c.join(thr, LABEL).select(
+    return c.select(
         *LABEL,
-        F.col("threshold").alias("optimal_threshold"),
+        "optimal_threshold",
         _ratio(tp, tp + fp).alias("precision"),
         _ratio(tp, tp + fn).alias("recall"),
         f1_expr(tp, fp, fn).alias("f1_score"),

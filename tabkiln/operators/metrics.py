@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkiln.functions import binarize
+from tabkiln.operators.joins import attach_small
 
 
 def _c(c: str | Column) -> Column:
@@ -213,15 +214,23 @@ def tune_thresholds(
 
 
 def apply_thresholds(
-    df: DataFrame, thresholds: DataFrame, prob: str, by: Sequence[str], inclusive: bool = False, out: str = "pred"
+    df: DataFrame,
+    thresholds: DataFrame,
+    prob: str,
+    by: Sequence[str],
+    inclusive: bool = False,
+    out: str = "pred",
+    keep_threshold: bool = False,
 ) -> DataFrame:
     """Binarize each row with its group's tuned threshold.
 
-    The threshold table has one row per group; AQE broadcasts it when its
-    measured size is small and shuffles otherwise.
+    The threshold table has one row per group: it is broadcast under a
+    checked row count (no shuffle of the big side on a low-cardinality key)
+    and shuffle-joined above it.  ``keep_threshold`` keeps it as ``_thr``.
     """
-    j = df.join(thresholds.select(*by, F.col("threshold").alias("_thr")), list(by), "left")
-    return j.withColumn(out, binarize(prob, F.col("_thr"), inclusive)).drop("_thr")
+    j = attach_small(df, thresholds.select(*by, F.col("threshold").alias("_thr")), by, "left")
+    j = j.withColumn(out, binarize(prob, F.col("_thr"), inclusive))
+    return j if keep_threshold else j.drop("_thr")
 
 
 def category_report(
@@ -233,13 +242,16 @@ def category_report(
 ) -> DataFrame:
     """Per category: samples, tuned threshold and metrics at it."""
     thr = tune_thresholds(df, prob, label, [category], grid)
-    scored = apply_thresholds(df, thr, prob, [category])
+    scored = apply_thresholds(df, thr, prob, [category], keep_threshold=True)
     m = with_rates(
-        scored.groupBy(category).agg(*confusion_aggs("pred", label), F.count(F.lit(1)).alias("num_samples"))
+        scored.groupBy(category).agg(
+            *confusion_aggs("pred", label),
+            F.count(F.lit(1)).alias("num_samples"),
+            F.max("_thr").alias("optimal_threshold"),
+        )
     )
     return (
-        m.join(thr.select(category, F.col("threshold").alias("optimal_threshold")), category)
-        .select(
+        m.select(
             category,
             "num_samples",
             "optimal_threshold",

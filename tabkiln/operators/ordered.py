@@ -47,11 +47,12 @@ def with_ranges(
     order_by: str | Sequence[str],
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
+    n: int | None = None,
 ) -> tuple[DataFrame, int]:
     """Add ``_range_id`` (monotone in the leading key) and return the row count."""
     keys = _keys(order_by)
     kcol = _numeric_key(df, keys[0])
-    n = df.count()
+    n = df.count() if n is None else n
     n_buckets = int(min(max_buckets, max(1, math.ceil(n / max(1, rows_per_bucket)))))
     staged = df.withColumn("_range_key", kcol)
     if n_buckets == 1 or n == 0:

@@ -2,8 +2,9 @@
 
 Splits rank rows by ``md5(seed || ':' || key)``: the order is a pure function
 of the key, equal in Spark and in SQL engines, and independent of partitioning.
-Exact sizes (``ceil(n * fraction)`` as in scikit-learn) come from the
-distributed row index, without a single-task global window.
+Exact sizes (``ceil(n * fraction)`` as in scikit-learn) come from the hash
+value at the cut rank, found by ordering only the key range that holds it;
+rows are then tagged by comparison, without ranking the whole table.
 """
 
 from __future__ import annotations
@@ -11,10 +12,10 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabkiln.operators.ordered import ROWS_PER_BUCKET, _index_ranged, with_ranges
+from tabkiln.operators.ordered import _B, ROWS_PER_BUCKET, _index_ranged, with_ranges
 
 
 def union_tagged(parts: Mapping[str, DataFrame], col: str = "type") -> DataFrame:
@@ -32,22 +33,80 @@ def hash_order(key: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
+_ORDER = ["_h60", "_h"]
+
+
+def _with_hash(df: DataFrame, key: str, seed: int | str) -> DataFrame:
+    h = hash_order(key, seed)
+    return df.withColumn("_h", h).withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
+
+
 def hash_rank(df: DataFrame, key: str, seed: int | str, out: str = "_rank", rows_per_bucket: int = ROWS_PER_BUCKET):
     """1-based rank of each row in hash order, and the row count."""
-    h = hash_order(key, seed)
-    staged = df.withColumn("_h", h).withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
-    ranged, n = with_ranges(staged, ["_h60", "_h", key], rows_per_bucket)
-    ranked = _index_ranged(ranged, ["_h60", "_h", key], out, 1)
+    staged = _with_hash(df, key, seed)
+    ranged, n = with_ranges(staged, [*_ORDER, key], rows_per_bucket)
+    ranked = _index_ranged(ranged, [*_ORDER, key], out, 1)
     return ranked.drop("_h", "_h60"), n
 
 
+def rank_cuts(
+    df: DataFrame,
+    order: Sequence[str],
+    ranks: Sequence[int],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    n: int | None = None,
+) -> tuple[dict, int]:
+    """Order-key values of the rows at the given 1-based ranks, and the row count.
+
+    Only the range holding each requested rank is ordered (a task of at most
+    about ``rows_per_bucket`` rows); everything else is counted per range.
+    """
+    ranged, n = with_ranges(df.select(*order), list(order), rows_per_bucket, n=n)
+    counts = sorted((r[0], r[1]) for r in ranged.groupBy(_B).agg(F.count(F.lit(1))).collect())
+    cuts = {}
+    for rank in ranks:
+        if rank <= 0 or rank > n:
+            cuts[rank] = None
+            continue
+        before = 0
+        for b, c in counts:
+            if before + c >= rank:
+                break
+            before += c
+        local = rank - before
+        row = (
+            ranged.filter(F.col(_B) == b)
+            .withColumn("_rn", F.row_number().over(Window.orderBy(*[F.col(c) for c in order])))
+            .filter(F.col("_rn") == local)
+            .select(*order)
+            .first()
+        )
+        cuts[rank] = tuple(row)
+    return cuts, n
+
+
+def _at_or_before(order: Sequence[str], cut: tuple | None) -> Column:
+    if cut is None:
+        return F.lit(False)
+    return F.struct(*[F.col(c) for c in order]) <= F.struct(*[F.lit(v).alias(c) for c, v in zip(order, cut)])
+
+
 def holdout_split(
     df: DataFrame, key: str, test_fraction: float = 0.2, seed: int | str = 120, out: str = "split"
 ) -> DataFrame:
-    """Tag ``ceil(n * test_fraction)`` rows as ``test`` and the rest as ``train``."""
-    ranked, n = hash_rank(df, key, seed)
+    """Tag ``ceil(n * test_fraction)`` rows as ``test`` and the rest as ``train``.
+
+    The rows are ordered by hash; the hash of the last test row is found once
+    and every row is tagged by comparing with it: a projection, no shuffle of
+    the table.
+    """
+    staged = _with_hash(df, key, seed)
+    order = [*_ORDER, key]
+    n = staged.count()
     n_test = math.ceil(n * test_fraction)
-    return ranked.withColumn(out, F.when(F.col("_rank") <= n_test, "test").otherwise("train")).drop("_rank")
+    cuts, _ = rank_cuts(staged, order, [n_test], n=n)
+    tag = F.when(_at_or_before(order, cuts[n_test]), "test").otherwise("train")
+    return staged.withColumn(out, tag).drop("_h", "_h60")
 
 
 def three_way_split(
@@ -60,12 +119,18 @@ def three_way_split(
 ) -> DataFrame:
     """train / val / test as two chained holdouts (U3): ``ceil(n*0.4)`` held out,
     ``ceil(held*0.5)`` of them test, the rest val."""
-    ranked, n = hash_rank(df, key, seed)
+    staged = _with_hash(df, key, seed)
+    order = [*_ORDER, key]
+    n = staged.count()
     held = math.ceil(n * holdout_fraction)
     n_test = math.ceil(held * test_share)
-    r = F.col("_rank")
-    tag = F.when(r <= n_test, "test").when(r <= held, "val").otherwise("train")
-    return ranked.withColumn(out, tag).drop("_rank")
+    cuts, _ = rank_cuts(staged, order, [n_test, held], n=n)
+    tag = (
+        F.when(_at_or_before(order, cuts[n_test]), "test")
+        .when(_at_or_before(order, cuts[held]), "val")
+        .otherwise("train")
+    )
+    return staged.withColumn(out, tag).drop("_h", "_h60")
 
 
 def split_by_group(
@@ -73,12 +138,18 @@ def split_by_group(
 ) -> DataFrame:
     """Split whole groups (e.g. all segments of a document) to one side (U4).
 
-    The distinct group keys are ranked and ``ceil(groups * fraction)`` of them
-    go to test; rows join their group's side back with a shuffle on the key.
+    ``ceil(groups * fraction)`` distinct group keys go to test.  The cut is
+    found on the distinct keys; the rows are then tagged by comparing their
+    group's hash with it, so the big table is never joined or shuffled.
     """
-    groups = df.select(group_key).distinct()
-    tagged = holdout_split(groups, group_key, test_fraction, seed, out)
-    return df.join(tagged, group_key, "inner")
+    groups = _with_hash(df.select(group_key).distinct(), group_key, seed)
+    order = [*_ORDER, group_key]
+    n = groups.count()
+    n_test = math.ceil(n * test_fraction)
+    cuts, _ = rank_cuts(groups, order, [n_test], n=n)
+    staged = _with_hash(df, group_key, seed)
+    tag = F.when(_at_or_before(order, cuts[n_test]), "test").otherwise("train")
+    return staged.withColumn(out, tag).drop("_h", "_h60")
 
 
 def split_frames(tagged: DataFrame, col: str = "split") -> dict[str, DataFrame]:

@@ -65,3 +65,24 @@ def test_group_split_keeps_groups_whole(spark):
     tagged = split.split_by_group(df, "g", 0.25)
     sides = tagged.groupBy("g").agg(F.countDistinct("split").alias("s"))
     assert sides.filter("s > 1").count() == 0
+
+
+def test_rank_cuts_many_ranges(spark):
+    from tabkiln.operators.split import rank_cuts
+
+    df = spark.range(1000).select((F.col("id") * 7919 % 1000).alias("k"))
+    cuts, n = rank_cuts(df, ["k"], [1, 250, 999, 1000, 1001], rows_per_bucket=90)
+    assert n == 1000
+    assert cuts[1] == (0,) and cuts[250] == (249,) and cuts[1000] == (999,) and cuts[1001] is None
+
+
+def test_three_way_sizes(spark):
+    import math
+
+    o = fx.t(spark, SF, "orders").select("o_orderkey")
+    n = o.count()
+    counts = {r["split"]: r["count"] for r in split.three_way_split(o, "o_orderkey").groupBy("split").count().collect()}
+    held = math.ceil(n * 0.4)
+    assert counts["test"] == math.ceil(held * 0.5)
+    assert counts["val"] == held - counts["test"]
+    assert counts["train"] == n - held
