@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tabkiln.operators.models import spread
 from tabkiln.operators.ordered import fill_forward_backward
 from tabkiln.operators.project import non_null_counts
 from tabkiln.session import checkpoint_dir
@@ -96,14 +97,14 @@ def model_impute(
         if categorical:
             indexer = StringIndexer(inputCol=col, outputCol="_label", handleInvalid="keep")
             model_stage = _learner(learner, True, seed, "_label", num_trees, max_depth)
-            fitted = Pipeline(stages=[indexer, assembler, model_stage]).fit(train)
+            fitted = Pipeline(stages=[indexer, assembler, model_stage]).fit(spread(train))
             labels = fitted.stages[0].labelsArray[0]
             scored = fitted.transform(to_pred)
             scored = IndexToString(inputCol="prediction", outputCol="_pred_label", labels=list(labels)).transform(scored)
             preds = scored.select(key, F.col("_pred_label").alias("prediction"))
         else:
             model_stage = _learner(learner, False, seed, col, num_trees, max_depth)
-            fitted = Pipeline(stages=[assembler, model_stage]).fit(train)
+            fitted = Pipeline(stages=[assembler, model_stage]).fit(spread(train))
             preds = fitted.transform(to_pred).select(key, "prediction")
         cur = write_back(cur, preds, key, col).checkpoint(eager=True)
     return cur

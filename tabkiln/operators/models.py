@@ -13,7 +13,6 @@ from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler, VectorIndexer
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.classification import RandomForestClassifier, GBTClassifier
@@ -23,12 +22,24 @@ from pyspark.sql.types import NumericType
 
 from tabkiln.operators.ordered import assign_folds
 from tabkiln.operators.metrics import regression_metrics
+from tabkiln.session import checkpoint_dir
 
 
 def _numeric(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core for a table an iterative learner will scan many times.
+
+    A small input file is one scan split; without this every boosting
+    iteration would run as a single task.  Tables that already have enough
+    partitions (any large input) are left as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 DEFAULT_PARAMS = {
     "gbt": {"maxIter": 50, "stepSize": 0.1, "maxDepth": 5, "seed": 50},
     "rf": {"numTrees": 50, "maxDepth": 8, "seed": 50},
@@ -84,7 +95,7 @@ def feature_importance(
         )
     else:
         est = regressor(learner, params)
-    model = Pipeline(stages=[*_stages(feats, None), est]).fit(data)
+    model = Pipeline(stages=[*_stages(feats, None), est]).fit(spread(data))
     imp = model.stages[-1].featureImportances.toArray().tolist()
     spark = df.sparkSession
     out = spark.createDataFrame([(f, float(v)) for f, v in zip(feats, imp)], "feature string, importance double")
@@ -93,10 +104,15 @@ def feature_importance(
 
 
 def important_features(
-    df: DataFrame, target: str, skip: Sequence[str] = (), learner: str = "rf", limit: int | None = None
+    df: DataFrame,
+    target: str,
+    skip: Sequence[str] = (),
+    learner: str = "rf",
+    limit: int | None = None,
+    params: Mapping | None = None,
 ) -> list[str]:
     """Feature names by importance without ``skip`` (C4; the plain exclusion)."""
-    rows = feature_importance(df, target, None, learner, limit).collect()
+    rows = feature_importance(df, target, None, learner, limit, params=params).collect()
     return [r["feature"] for r in rows if r["feature"] not in set(skip)]
 
 
@@ -129,19 +145,24 @@ def cv_regression(
 ) -> CvResult:
     """Contiguous k-fold regression with out-of-fold and averaged test predictions.
 
-    Metrics: per fold train and valid RMSE; an ``overall`` row with the mean
-    train RMSE and the R^2 of the out-of-fold predictions.  GBT uses the
-    valid fold for early stopping (``validationIndicatorCol``).
+    Features are assembled once and the assembled table is persisted for all
+    folds.  Metrics: per fold train and valid RMSE (one scoring pass per fold);
+    an ``overall`` row with the mean train RMSE and the R^2 of the out-of-fold
+    predictions.  GBT uses the valid fold for early stopping
+    (``validationIndicatorCol``).
     """
     name = name or learner
     feats = list(features) if features is not None else _numeric(train, [key, target])
     spark = train.sparkSession
-    base = assign_folds(
-        train.select(key, *feats, F.col(target).cast("double").alias("_label")), key, n_folds, out="_fold"
-    ).persist(StorageLevel.MEMORY_AND_DISK)
-    test_x = test.select(key, *feats)
+    if cat_threshold:
+        prep = Pipeline(stages=_stages(feats, cat_threshold)).fit(train.select(*feats))
+    else:
+        prep = PipelineModel(stages=_stages(feats, None))
+    folded = assign_folds(train.select(key, *feats, F.col(target).cast("double").alias("_label")), key, n_folds, out="_fold")
+    base = spread(prep.transform(folded).select(key, "_features", "_label", "_fold")).persist(StorageLevel.MEMORY_AND_DISK)
+    test_x = prep.transform(test.select(key, *feats)).select(key, "_features")
     oof_parts, test_parts, rows, imps = [], [], [], []
-    model = None
+    fitted = None
     try:
         for k in range(n_folds):
             if learner == "gbt" and early_stopping:
@@ -150,21 +171,28 @@ def cv_regression(
             else:
                 data = base.filter(F.col("_fold") != k)
                 est = regressor(learner, params)
-            model = Pipeline(stages=[*_stages(feats, cat_threshold), est]).fit(data)
-            last = model.stages[-1]
-            if hasattr(last, "featureImportances"):
-                imps.append(last.featureImportances.toArray().tolist())
-            n_trees = len(last.trees) if hasattr(last, "trees") else None
-            ev = RegressionEvaluator(labelCol="_label", predictionCol="prediction", metricName="rmse")
-            train_rmse = ev.evaluate(model.transform(base.filter(F.col("_fold") != k)))
-            valid_pred = model.transform(base.filter(F.col("_fold") == k))
-            valid_rmse = ev.evaluate(valid_pred)
-            rows.append((str(k), float(train_rmse), float(valid_rmse), n_trees))
-            oof_parts.append(valid_pred.select(key, "_label", F.col("prediction").alias("_p")))
-            test_parts.append(model.transform(test_x).select(key, F.col("prediction").alias("_p")))
+            fitted = est.fit(data)
+            if hasattr(fitted, "featureImportances"):
+                imps.append(fitted.featureImportances.toArray().tolist())
+            n_trees = len(fitted.trees) if hasattr(fitted, "trees") else None
+            scored = fitted.transform(base)
+            err = regression_metrics(
+                scored.withColumn("_part", F.when(F.col("_fold") == k, "valid").otherwise("train")),
+                "prediction",
+                "_label",
+                by=["_part"],
+            )
+            rmse = {r["_part"]: r["rmse"] for r in err.collect()}
+            rows.append((str(k), float(rmse.get("train") or 0.0), float(rmse.get("valid") or 0.0), n_trees))
+            oof_parts.append(scored.filter(F.col("_fold") == k).select(key, "_label", F.col("prediction").alias("_p")))
+            test_parts.append(fitted.transform(test_x).select(key, F.col("prediction").alias("_p")))
         oof = oof_parts[0]
         for p in oof_parts[1:]:
             oof = oof.unionByName(p)
+        # materialise the out-of-fold table in the shared checkpoint folder so it
+        # no longer depends on the cached training table
+        checkpoint_dir(spark)
+        oof = oof.checkpoint(eager=True)
         r2 = regression_metrics(oof, "_p", "_label").first()["r2"]
         rows.append(("overall", float(sum(r[1] for r in rows) / n_folds), float(r2) if r2 is not None else None, None))
     finally:
@@ -179,9 +207,8 @@ def cv_regression(
         mean_imp = [0.0] * len(feats)
     importance = spark.createDataFrame(list(zip(feats, [float(x) for x in mean_imp])), "feature string, importance double")
     metrics = spark.createDataFrame(rows, "fold string, train double, valid double, n_trees int")
-    return CvResult(
-        predictions, oof.select(key, F.col("_p").alias(f"y_pred_{name}")), importance, metrics, model, feats
-    )
+    model = PipelineModel(stages=[*prep.stages, fitted])
+    return CvResult(predictions, oof.select(key, F.col("_p").alias(f"y_pred_{name}")), importance, metrics, model, feats)
 
 
 # --------------------------------------------------------------------------

@@ -22,7 +22,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
 
-ROWS_PER_BUCKET = 4_000_000
+# Ranges hold about ROWS_PER_BUCKET rows at scale; mid-size inputs are cut into
+# up to default-parallelism ranges of at least MIN_ROWS_PER_BUCKET rows.
+ROWS_PER_BUCKET = 2_000_000
+MIN_ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 20_000
 _B = "_range_id"
 
@@ -42,21 +45,21 @@ def _numeric_key(df: DataFrame, key: str) -> Column:
     raise TypeError(f"leading order key {key} must be numeric, date or timestamp, got {dt}")
 
 
-def with_ranges(
+def _ranges(
     df: DataFrame,
-    order_by: str | Sequence[str],
+    keys: list[str],
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
     n: int | None = None,
-) -> tuple[DataFrame, int]:
-    """Add ``_range_id`` (monotone in the leading key) and return the row count."""
-    keys = _keys(order_by)
+) -> tuple[DataFrame, int, int]:
     kcol = _numeric_key(df, keys[0])
     n = df.count() if n is None else n
-    n_buckets = int(min(max_buckets, max(1, math.ceil(n / max(1, rows_per_bucket)))))
-    staged = df.withColumn("_range_key", kcol)
+    by_size = math.ceil(n / max(1, rows_per_bucket))
+    by_cores = min(df.sparkSession.sparkContext.defaultParallelism, n // MIN_ROWS_PER_BUCKET)
+    n_buckets = int(min(max_buckets, max(1, by_size, by_cores)))
     if n_buckets == 1 or n == 0:
-        return staged.withColumn(_B, F.lit(0)).drop("_range_key"), n
+        return df.withColumn(_B, F.lit(0)), n, 1
+    staged = df.withColumn("_range_key", kcol)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     accuracy = max(10_000, 20 * n_buckets)
     row = staged.agg(F.percentile_approx("_range_key", probs, accuracy).alias("q")).first()
@@ -64,7 +67,19 @@ def with_ranges(
     splits = [-math.inf, *points, math.inf]
     bucketizer = Bucketizer(splits=splits, inputCol="_range_key", outputCol="_range_f", handleInvalid="keep")
     out = bucketizer.transform(staged)
-    return out.withColumn(_B, F.col("_range_f").cast("int")).drop("_range_key", "_range_f"), n
+    return out.withColumn(_B, F.col("_range_f").cast("int")).drop("_range_key", "_range_f"), n, len(splits) - 1
+
+
+def with_ranges(
+    df: DataFrame,
+    order_by: str | Sequence[str],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    max_buckets: int = MAX_BUCKETS,
+    n: int | None = None,
+) -> tuple[DataFrame, int]:
+    """Add ``_range_id`` (monotone in the leading key) and return the row count."""
+    ranged, n, _ = _ranges(df, _keys(order_by), rows_per_bucket, max_buckets, n)
+    return ranged, n
 
 
 def add_row_index(
@@ -146,15 +161,55 @@ def fill_forward_backward(
     return out.drop(_B, *[f"_in_{c}" for c in cols], *[f"_out_{c}" for c in cols])
 
 
-def fold_of_index(index0: Column, n: int, k: int) -> Column:
-    """Contiguous K-fold id of a 0-based index: the first ``n % k`` folds get one extra row."""
-    b, r = divmod(n, k)
-    big = r * (b + 1)
-    if b == 0:
-        return index0.cast("int")
-    return F.when(index0 < big, F.floor(index0 / (b + 1))).otherwise(
-        F.lit(r) + F.floor((index0 - big) / b)
-    ).cast("int")
+def rank_cuts(
+    df: DataFrame,
+    order: Sequence[str],
+    ranks: Sequence[int],
+    rows_per_bucket: int = ROWS_PER_BUCKET,
+    n: int | None = None,
+) -> tuple[dict, int]:
+    """Order-key values of the rows at the given 1-based ranks, and the row count.
+
+    Only the ranges holding a requested rank are ordered (each a task of about
+    ``rows_per_bucket`` rows, one job per range however many ranks fall in it);
+    the other ranges are only counted.  With unique order keys,
+    ``at_or_before(order, cuts[r])`` holds for exactly the first ``r`` rows.
+    """
+    order = list(order)
+    ranged, n, n_buckets = _ranges(df.select(*order), order, rows_per_bucket, n=n)
+    if n_buckets == 1:
+        counts = [(0, n)]
+    else:
+        counts = sorted((r[0], r[1]) for r in ranged.groupBy(_B).agg(F.count(F.lit(1))).collect())
+    cuts: dict = {}
+    wanted: dict[int, dict[int, int]] = {}
+    for rank in ranks:
+        if rank <= 0 or rank > n:
+            cuts[rank] = None
+            continue
+        before = 0
+        for b, c in counts:
+            if before + c >= rank:
+                break
+            before += c
+        wanted.setdefault(b, {})[rank - before] = rank
+    for b, locals_ in wanted.items():
+        rows = (
+            ranged.filter(F.col(_B) == b)
+            .withColumn("_rn", F.row_number().over(Window.orderBy(*[F.col(c) for c in order])))
+            .filter(F.col("_rn").isin(list(locals_)))
+            .select("_rn", *order)
+            .collect()
+        )
+        for r in rows:
+            cuts[locals_[r["_rn"]]] = tuple(r[c] for c in order)
+    return cuts, n
+
+
+def at_or_before(order: Sequence[str], cut: tuple | None) -> Column:
+    if cut is None:
+        return F.lit(False)
+    return F.struct(*[F.col(c) for c in order]) <= F.struct(*[F.lit(v).alias(c) for c, v in zip(order, cut)])
 
 
 def assign_folds(
@@ -164,12 +219,24 @@ def assign_folds(
     out: str = "fold",
     rows_per_bucket: int = ROWS_PER_BUCKET,
 ) -> DataFrame:
-    """Unshuffled K-fold assignment in key order (W4), same sizes as ``KFold(shuffle=False)``."""
+    """Unshuffled K-fold assignment in key order (W4), same sizes as ``KFold(shuffle=False)``.
+
+    The first ``n % k`` folds hold one extra row.  The keys at the k-1 fold
+    boundaries are found with :func:`rank_cuts`; each row's fold is the number
+    of boundaries it lies after: a projection that keeps the partitioning.
+    The order keys must be unique.
+    """
     if k < 2:
         raise ValueError("k must be at least 2")
     keys = _keys(order_by)
-    ranged, n = with_ranges(df, keys, rows_per_bucket)
+    n = df.count()
     if n < k:
         raise ValueError(f"cannot split {n} rows into {k} folds")
-    indexed = _index_ranged(ranged, keys, "_idx0", 0)
-    return indexed.withColumn(out, fold_of_index(F.col("_idx0"), n, k)).drop("_idx0")
+    b, r = divmod(n, k)
+    ends, total = [], 0
+    for i in range(k - 1):
+        total += b + 1 if i < r else b
+        ends.append(total)
+    cuts, _ = rank_cuts(df, keys, ends, rows_per_bucket, n=n)
+    fold = sum((F.when(at_or_before(keys, cuts[e]), 0).otherwise(1) for e in ends), F.lit(0))
+    return df.withColumn(out, fold.cast("int"))

@@ -12,10 +12,11 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkiln.operators.ordered import _B, ROWS_PER_BUCKET, _index_ranged, with_ranges
+from tabkiln.operators.ordered import ROWS_PER_BUCKET, _index_ranged, at_or_before, rank_cuts, with_ranges
 
 
 def union_tagged(parts: Mapping[str, DataFrame], col: str = "type") -> DataFrame:
@@ -49,48 +50,6 @@ def hash_rank(df: DataFrame, key: str, seed: int | str, out: str = "_rank", rows
     return ranked.drop("_h", "_h60"), n
 
 
-def rank_cuts(
-    df: DataFrame,
-    order: Sequence[str],
-    ranks: Sequence[int],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    n: int | None = None,
-) -> tuple[dict, int]:
-    """Order-key values of the rows at the given 1-based ranks, and the row count.
-
-    Only the range holding each requested rank is ordered (a task of at most
-    about ``rows_per_bucket`` rows); everything else is counted per range.
-    """
-    ranged, n = with_ranges(df.select(*order), list(order), rows_per_bucket, n=n)
-    counts = sorted((r[0], r[1]) for r in ranged.groupBy(_B).agg(F.count(F.lit(1))).collect())
-    cuts = {}
-    for rank in ranks:
-        if rank <= 0 or rank > n:
-            cuts[rank] = None
-            continue
-        before = 0
-        for b, c in counts:
-            if before + c >= rank:
-                break
-            before += c
-        local = rank - before
-        row = (
-            ranged.filter(F.col(_B) == b)
-            .withColumn("_rn", F.row_number().over(Window.orderBy(*[F.col(c) for c in order])))
-            .filter(F.col("_rn") == local)
-            .select(*order)
-            .first()
-        )
-        cuts[rank] = tuple(row)
-    return cuts, n
-
-
-def _at_or_before(order: Sequence[str], cut: tuple | None) -> Column:
-    if cut is None:
-        return F.lit(False)
-    return F.struct(*[F.col(c) for c in order]) <= F.struct(*[F.lit(v).alias(c) for c, v in zip(order, cut)])
-
-
 def holdout_split(
     df: DataFrame, key: str, test_fraction: float = 0.2, seed: int | str = 120, out: str = "split"
 ) -> DataFrame:
@@ -105,7 +64,7 @@ def holdout_split(
     n = staged.count()
     n_test = math.ceil(n * test_fraction)
     cuts, _ = rank_cuts(staged, order, [n_test], n=n)
-    tag = F.when(_at_or_before(order, cuts[n_test]), "test").otherwise("train")
+    tag = F.when(at_or_before(order, cuts[n_test]), "test").otherwise("train")
     return staged.withColumn(out, tag).drop("_h", "_h60")
 
 
@@ -126,8 +85,8 @@ def three_way_split(
     n_test = math.ceil(held * test_share)
     cuts, _ = rank_cuts(staged, order, [n_test, held], n=n)
     tag = (
-        F.when(_at_or_before(order, cuts[n_test]), "test")
-        .when(_at_or_before(order, cuts[held]), "val")
+        F.when(at_or_before(order, cuts[n_test]), "test")
+        .when(at_or_before(order, cuts[held]), "val")
         .otherwise("train")
     )
     return staged.withColumn(out, tag).drop("_h", "_h60")
@@ -142,13 +101,17 @@ def split_by_group(
     found on the distinct keys; the rows are then tagged by comparing their
     group's hash with it, so the big table is never joined or shuffled.
     """
-    groups = _with_hash(df.select(group_key).distinct(), group_key, seed)
-    order = [*_ORDER, group_key]
-    n = groups.count()
-    n_test = math.ceil(n * test_fraction)
-    cuts, _ = rank_cuts(groups, order, [n_test], n=n)
+    # the distinct keys are cached only while the cut is found; the result needs just the cut
+    groups = _with_hash(df.select(group_key).distinct(), group_key, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        order = [*_ORDER, group_key]
+        n = groups.count()
+        n_test = math.ceil(n * test_fraction)
+        cuts, _ = rank_cuts(groups, order, [n_test], n=n)
+    finally:
+        groups.unpersist()
     staged = _with_hash(df, group_key, seed)
-    tag = F.when(_at_or_before(order, cuts[n_test]), "test").otherwise("train")
+    tag = F.when(at_or_before(order, cuts[n_test]), "test").otherwise("train")
     return staged.withColumn(out, tag).drop("_h", "_h60")
 
 

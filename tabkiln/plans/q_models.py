@@ -152,5 +152,5 @@ def cv_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 def important_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """C4: feature names by importance with skipped columns removed."""
     r = fx.reg(spark, sf_dir).select("y", "x1", "x3", "c1", "k")
-    names = models.important_features(r, "y", skip=["k"], learner="rf")
+    names = models.important_features(r, "y", skip=["k"], learner="rf", params=_RF)
     return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "rank int, feature string")
