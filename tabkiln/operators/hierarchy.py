@@ -45,7 +45,7 @@ def _scored(long: DataFrame, thresholds: DataFrame | None, fixed: float = 0.5) -
     return s
 
 
-def _averages(per_label: DataFrame, per_sample: DataFrame, mode: str) -> DataFrame:
+def _averages(per_label: DataFrame, per_sample: DataFrame, keys: Sequence[str]) -> DataFrame:
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     support = tp + fn
     lab = per_label.withColumns(
@@ -56,7 +56,7 @@ def _averages(per_label: DataFrame, per_sample: DataFrame, mode: str) -> DataFra
             "_s": support.cast("double"),
         }
     )
-    g = lab.groupBy(*GROUP).agg(
+    g = lab.groupBy(*keys).agg(
         F.sum("tp").alias("tp"),
         F.sum("fp").alias("fp"),
         F.sum("fn").alias("fn"),
@@ -69,8 +69,7 @@ def _averages(per_label: DataFrame, per_sample: DataFrame, mode: str) -> DataFra
         F.sum("_s").alias("_ws"),
     )
     out = g.select(
-        *GROUP,
-        F.lit(mode).alias("threshold_mode"),
+        *keys,
         _ratio(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision_micro"),
         _ratio(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall_micro"),
         f1_expr(F.col("tp"), F.col("fp"), F.col("fn")).alias("f1_micro"),
@@ -81,24 +80,28 @@ def _averages(per_label: DataFrame, per_sample: DataFrame, mode: str) -> DataFra
         _ratio(F.col("_wr"), F.col("_ws")).alias("recall_weighted"),
         _ratio(F.col("_wf"), F.col("_ws")).alias("f1_weighted"),
     )
-    acc = per_sample.groupBy(*GROUP).agg(F.avg(F.col("_match").cast("double")).alias("accuracy"))
-    return out.join(acc, GROUP)
+    acc = per_sample.groupBy(*keys).agg(F.avg(F.col("_match").cast("double")).alias("accuracy"))
+    return out.join(acc, list(keys))
 
 
 def multilabel_metrics(long: DataFrame, thresholds: DataFrame | None = None, fixed: float = 0.5) -> DataFrame:
     """Micro / macro / weighted P, R, F1 and exact-match accuracy per (level, kind).
 
-    One row per ``threshold_mode``: ``at_0.5`` and, with ``thresholds``, ``optimized``.
+    One row per ``threshold_mode``: ``at_0.5`` and, with ``thresholds``,
+    ``optimized``.  The mode is a grouping column (each scored row carries one
+    prediction per mode), so one per-label and one per-sample aggregation
+    serve every mode.
     """
     s = _scored(long, thresholds, fixed)
     modes = [("pred_fixed", f"at_{fixed}")] + ([("pred_opt", "optimized")] if thresholds is not None else [])
-    out = None
-    for col, mode in modes:
-        per_label = s.groupBy(*GROUP, "label_idx").agg(*confusion_aggs(col, "y"))
-        per_sample = s.groupBy(*GROUP, "id").agg(F.min((F.col(col) == F.col("y")).cast("int")).alias("_match"))
-        part = _averages(per_label, per_sample, mode)
-        out = part if out is None else out.unionByName(part)
-    return out
+    per_mode = F.array(*[F.struct(F.lit(m).alias("threshold_mode"), F.col(c).alias("pred")) for c, m in modes])
+    x = s.select(*GROUP, "label_idx", "id", "y", F.explode(per_mode).alias("_m")).select(
+        *GROUP, "label_idx", "id", "y", "_m.threshold_mode", "_m.pred"
+    )
+    keys = [*GROUP, "threshold_mode"]
+    per_label = x.groupBy(*keys, "label_idx").agg(*confusion_aggs("pred", "y"))
+    per_sample = x.groupBy(*keys, "id").agg(F.min((F.col("pred") == F.col("y")).cast("int")).alias("_match"))
+    return _averages(per_label, per_sample, keys)
 
 
 def evaluate(long: DataFrame, grid: Sequence[float] = LABEL_GRID) -> DataFrame:

@@ -175,9 +175,8 @@ def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --------------------------------------------------------------------------
 # hier: hierarchical multi-label scores from embeddings
-# level 1: main logits = embedding[0:10] * 10, y_i = (label = i)
-#          sub logits  = embedding[10:40] * 10 as 10 x 3, y_ij = (label = i AND vec_id % 3 = j)
-# level 2: the same from embedding[40:50] and [50:60]... (sub from 10 x 1 slice: 0:10 reused)
+# main logits = 10 embedding elements * 10, y_i = (label = i)
+# sub logits  = 30 embedding elements * 10 as 10 x 3, y_ij = (label = i AND vec_id % 3 = j)
 # --------------------------------------------------------------------------
 
 N_MAIN = 10
@@ -188,14 +187,17 @@ def hier_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Long table ``(id, level, kind, label_idx, label_name, logit, y)``.
 
     level 1 uses elements 1-40 of the embedding, level 2 elements 41-64 plus
-    1-16 (wrapping), so both levels carry real data from the table.
+    1-16 (wrapping), so both levels carry real data from the table.  All
+    (level, kind) blocks come from one scan and one explode.
     """
     e = t(spark, sf_dir, "embeddings")
-    rows = []
+    blocks = []
     for level, base in ((1, 0), (2, 40)):
         main = F.transform(
             F.sequence(F.lit(0), F.lit(N_MAIN - 1)),
             lambda i: F.struct(
+                F.lit(level).alias("level"),
+                F.lit("main").alias("kind"),
                 i.alias("label_idx"),
                 (F.element_at("embedding", ((i + base) % 64) + 1).cast("double") * 10.0).alias("logit"),
                 (F.col("label") == i).cast("int").alias("y"),
@@ -204,6 +206,8 @@ def hier_long(spark: SparkSession, sf_dir: str) -> DataFrame:
         sub = F.transform(
             F.sequence(F.lit(0), F.lit(N_MAIN * N_SUB - 1)),
             lambda i: F.struct(
+                F.lit(level).alias("level"),
+                F.lit("sub").alias("kind"),
                 i.alias("label_idx"),
                 (F.element_at("embedding", ((i + base + N_MAIN) % 64) + 1).cast("double") * 10.0).alias("logit"),
                 ((F.col("label") == F.floor(i / N_SUB)) & ((F.col("vec_id") % N_SUB) == (i % N_SUB)))
@@ -211,20 +215,10 @@ def hier_long(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .alias("y"),
             ),
         )
-        for kind, arr in (("main", main), ("sub", sub)):
-            rows.append(
-                e.select(
-                    F.col("vec_id").alias("id"),
-                    F.lit(level).alias("level"),
-                    F.lit(kind).alias("kind"),
-                    F.explode(arr).alias("s"),
-                )
-            )
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
+        blocks += [main, sub]
+    out = e.select(F.col("vec_id").alias("id"), F.explode(F.concat(*blocks)).alias("s"))
     name = F.when(
-        F.col("kind") == "main", F.concat(F.lit("Main_"), F.col("s.label_idx").cast("string"))
+        F.col("s.kind") == "main", F.concat(F.lit("Main_"), F.col("s.label_idx").cast("string"))
     ).otherwise(
         F.concat(
             F.lit("Main_"),
@@ -235,8 +229,8 @@ def hier_long(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return out.select(
         "id",
-        "level",
-        "kind",
+        F.col("s.level").alias("level"),
+        F.col("s.kind").alias("kind"),
         F.col("s.label_idx").alias("label_idx"),
         name.alias("label_name"),
         F.col("s.logit").alias("logit"),
