@@ -72,8 +72,6 @@ def write_reports(report: DataFrame, path: str, keys: Sequence[str] = ("level",
 
 def read_text_documents(spark: SparkSession, path: str) -> DataFrame:
     """Whole text files as documents ``(path, text)``."""
-    return (
-        spark.read.option("wholetext", True)
-        .text(path)
-        .select(F.input_file_name().alias("path"), F.col("value").alias("text"))
+    return spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")
     )
