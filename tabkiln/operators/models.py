@@ -263,14 +263,15 @@ def fit_only(
     key: str,
     target: str,
     model_dir: str,
-    learners: Sequence[str] = ("gbt", "rf"),
+    learners: Mapping[str, Mapping] | Sequence[str] = ("gbt", "rf"),
     n_folds: int = 2,
     features: Sequence[str] | None = None,
 ) -> dict[str, str]:
     """Train and save the last fold's model per learner (M8 train-only); returns model paths."""
+    specs = {n: {} for n in learners} if not isinstance(learners, Mapping) else dict(learners)
     paths = {}
-    for name in learners:
-        res = cv_regression(train, train.limit(0), key, target, features, name, n_folds, name=name)
+    for name, params in specs.items():
+        res = cv_regression(train, train.limit(0), key, target, features, name, n_folds, params, name=name)
         path = f"{model_dir.rstrip('/')}/{name}"
         save_model(res.model, path)
         paths[name] = path

@@ -124,11 +124,7 @@ def load_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Saved models reloaded to score a table and build ensemble columns."""
     train, test = _split(spark, sf_dir)
     model_dir = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex}"
-    paths = {}
-    for name, params in (("gbt", _GBT), ("rf", _RF)):
-        res = models.cv_regression(train, test.limit(0), "id", "y", _FEATS, name, 2, params, name=name)
-        models.save_model(res.model, f"{model_dir}/{name}")
-        paths[name] = f"{model_dir}/{name}"
+    paths = models.fit_only(train, "id", "y", model_dir, {"gbt": _GBT, "rf": _RF}, 2, _FEATS)
     return models.predict_only(test, "id", paths)
 
 
@@ -154,3 +150,12 @@ def important_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = fx.reg(spark, sf_dir).select("y", "x1", "x3", "c1", "k")
     names = models.important_features(r, "y", skip=["k"], learner="rf", params=_RF)
     return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "rank int, feature string")
+
+
+@register("feature_importance_classifier")
+def feature_importance_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classifier importances for a 0/1 target (labelled documents), sorted descending."""
+    d = fx.t(spark, sf_dir, "documents").select("doc_id", "n_chars")
+    lab = fx.t(spark, sf_dir, "labels")
+    j = d.join(lab, "doc_id").select("n_chars", "toxic", "quality", (F.col("doc_id") % 7).alias("k7"))
+    return models.feature_importance(j, "quality", ["n_chars", "toxic", "k7"], "rf", classify=True, params={"numTrees": 20})

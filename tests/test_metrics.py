@@ -47,3 +47,14 @@ def test_zero_division_gives_zero(spark):
     df = spark.createDataFrame([(0.1, 0), (0.2, 0)], "p double, y int")
     r = metrics.binary_metrics(df, "p", "y", 0.5).first()
     assert (r["precision"], r["recall"], r["f1"], r["accuracy"]) == (0.0, 0.0, 0.0, 1.0)
+
+
+def test_tuned_f1_not_below_any_grid_point(spark):
+    rnd = random.Random(11)
+    rows = [(f"c{rnd.randint(0, 2)}", rnd.random(), rnd.randint(0, 1)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "cat string, p double, y int")
+    sweep = metrics.threshold_sweep(df, "p", "y", ["cat"], metrics.CATEGORY_GRID)
+    best = {r["cat"]: r["f1"] for r in metrics.tune_thresholds(df, "p", "y", ["cat"]).collect()}
+    worst_gap = sweep.groupBy("cat").agg(F.max("f1").alias("m")).collect()
+    for r in worst_gap:
+        assert best[r["cat"]] == r["m"]
