@@ -49,10 +49,6 @@ def tolerance_flag(err: ColumnOrName, tolerance: float) -> Column:
     return F.when(_c(err) > F.lit(float(tolerance)), 0).otherwise(1)
 
 
-def _non_null_array(cols: Sequence[ColumnOrName]) -> Column:
-    return F.filter(F.array(*[_c(c).cast("double") for c in cols]), lambda x: x.isNotNull())
-
-
 def row_max(cols: Sequence[ColumnOrName]) -> Column:
     """Row-wise maximum skipping NULLs (NULL when all are NULL)."""
     if len(cols) == 1:
@@ -74,11 +70,20 @@ def row_mean(cols: Sequence[ColumnOrName]) -> Column:
 
 
 def row_median(cols: Sequence[ColumnOrName]) -> Column:
-    """Row-wise median over the non-NULL values, computed on a sorted array."""
-    arr = F.array_sort(_non_null_array(cols))
-    n = F.size(arr)
-    lo = F.try_element_at(arr, F.floor((n + 1) / 2).cast("int"))
-    hi = F.try_element_at(arr, F.floor(n / 2).cast("int") + 1)
+    """Row-wise median over the non-NULL values.
+
+    ``sort_array`` puts NULLs first, so the non-NULL values occupy the last
+    ``n`` slots and the middle ones are found by index arithmetic (no lambda,
+    so the expression stays in generated code).
+    """
+    k = len(cols)
+    if k == 1:
+        return _c(cols[0]).cast("double")
+    arr = F.sort_array(F.array(*[_c(c).cast("double") for c in cols]))
+    n = sum((_c(c).isNotNull().cast("int") for c in cols), F.lit(0))
+    first = F.lit(k) - n  # 0-based position of the first non-NULL value
+    lo = F.try_element_at(arr, (first + F.floor((n - 1) / 2) + 1).cast("int"))
+    hi = F.try_element_at(arr, (first + F.floor(n / 2) + 1).cast("int"))
     return F.when(n == 0, F.lit(None).cast("double")).otherwise((lo + hi) / 2.0)
 
 
@@ -104,7 +109,7 @@ def safe_corr(a: ColumnOrName, b: ColumnOrName) -> Column:
 
 def tokens(text: ColumnOrName) -> Column:
     """Whitespace tokens of a text, empty strings removed."""
-    return F.filter(F.split(_c(text), r"[ \t\n\r]+"), lambda t: t != "")
+    return F.array_remove(F.split(_c(text), r"[ \t\n\r]+"), "")
 
 
 def bce_with_logits(logit: ColumnOrName, label: ColumnOrName) -> Column:

@@ -126,11 +126,42 @@ def regression_metrics(
 # threshold sweep and tuning
 # --------------------------------------------------------------------------
 
+def _uniform_step(grid: Sequence[float]) -> float | None:
+    if len(grid) < 2:
+        return None
+    step = (grid[-1] - grid[0]) / (len(grid) - 1)
+    if step <= 0 or any(abs((grid[i] - grid[0]) - i * step) > 1e-9 * max(1.0, abs(step)) for i in range(len(grid))):
+        return None
+    return step
+
+
 def grid_bucket(prob: str | Column, grid: Sequence[float], inclusive: bool) -> Column:
-    """Number of grid points the probability clears: positive at grid index t iff bucket > t."""
-    g = F.array(*[F.lit(float(x)) for x in grid])
+    """Number of grid points the probability clears (``p > g``, or ``p >= g``).
+
+    Positive at grid index t iff bucket > t.  For an evenly spaced grid the
+    bucket is estimated arithmetically and then corrected against the exact
+    grid values (two steps each way), so no per-row lambda runs; other grids
+    count with a filter.  NULL / NaN probabilities clear no grid point.
+    """
     p = _c(prob)
-    return F.size(F.filter(g, lambda x: p >= x if inclusive else p > x))
+    n = len(grid)
+    g = F.array(*[F.lit(float(x)) for x in grid])
+
+    def clears(i: Column) -> Column:  # i is 1-based
+        x = F.element_at(g, i)
+        return p >= x if inclusive else p > x
+
+    step = _uniform_step(grid)
+    if step is None:
+        return F.size(F.filter(g, lambda x: p >= x if inclusive else p > x))
+    est = F.floor((p - F.lit(float(grid[0]))) / F.lit(step)).cast("int") + 1
+    c = F.least(F.greatest(est, F.lit(0)), F.lit(n))
+    for _ in range(2):
+        # c points already cleared: step down while point c is not cleared, up while point c+1 is
+        c = F.when((c > 0) & ~clears(F.greatest(c, F.lit(1))), c - 1).otherwise(c)
+        c = F.when((c < n) & clears(F.least(c + 1, F.lit(n))), c + 1).otherwise(c)
+    bad = p.isNull() | F.isnan(p)
+    return F.when(bad, F.lit(0)).otherwise(c)
 
 
 def _sweep(df: DataFrame, prob: str, label: str, by: Sequence[str], grid: Sequence[float], inclusive: bool) -> DataFrame:

@@ -78,7 +78,7 @@ def extract_with(df: DataFrame, fn: Callable, schema: str = TRIPLE_SCHEMA) -> Da
 
 def query_keywords(df: DataFrame, key: str, text: str, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
     """``(key, keyword)``: distinct lower-case tokens of a query without stopwords."""
-    toks = F.filter(F.split(F.lower(F.col(text)), "[^a-z0-9_#]+"), lambda t: t != "")
+    toks = F.array_remove(F.split(F.lower(F.col(text)), "[^a-z0-9_#]+"), "")
     return (
         df.select(key, F.explode(toks).alias("keyword"))
         .filter(~F.col("keyword").isin(list(stopwords)))

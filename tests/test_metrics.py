@@ -58,3 +58,27 @@ def test_tuned_f1_not_below_any_grid_point(spark):
     worst_gap = sweep.groupBy("cat").agg(F.max("f1").alias("m")).collect()
     for r in worst_gap:
         assert best[r["cat"]] == r["m"]
+
+
+def test_grid_bucket_equals_count(spark):
+    rnd = random.Random(5)
+    vals = [rnd.random() for _ in range(500)] + [g for g in metrics.CATEGORY_GRID] + [g for g in metrics.LABEL_GRID]
+    vals += [0.0, 1.0, -0.5, 1.5, None, float("nan")]
+    df = spark.createDataFrame([(v,) for v in vals], "p double")
+    for grid in (metrics.CATEGORY_GRID, metrics.LABEL_GRID, metrics.LABEL_GRID_FINE):
+        for inclusive in (False, True):
+            got = [r[0] for r in df.select(metrics.grid_bucket("p", grid, inclusive)).collect()]
+            for v, b in zip(vals, got):
+                if v is None or v != v:
+                    exp = 0
+                else:
+                    exp = sum(1 for g in grid if (v >= g if inclusive else v > g))
+                assert b == exp, (v, b, exp, inclusive)
+
+
+def test_row_median_with_nulls(spark):
+    from tabkiln.functions import row_median
+
+    df = spark.createDataFrame([(1.0, None, 3.0, 10.0), (None, None, None, None), (5.0, 1.0, None, None), (2.0, 9.0, 4.0, None)], "a double, b double, c double, d double")
+    got = [r[0] for r in df.select(row_median(["a", "b", "c", "d"])).collect()]
+    assert got == [3.0, None, 3.0, 4.0]
