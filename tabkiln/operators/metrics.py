@@ -139,29 +139,28 @@ def grid_bucket(prob: str | Column, grid: Sequence[float], inclusive: bool) -> C
     """Number of grid points the probability clears (``p > g``, or ``p >= g``).
 
     Positive at grid index t iff bucket > t.  For an evenly spaced grid the
-    bucket is estimated arithmetically and then corrected against the exact
-    grid values (two steps each way), so no per-row lambda runs; other grids
-    count with a filter.  NULL / NaN probabilities clear no grid point.
+    arithmetic estimate ``e`` is off by at most one, so the bucket is the
+    points surely cleared below it plus exact checks of the three points
+    around it: a flat expression without per-row lambdas.  Other grids count
+    with a filter.  NULL / NaN probabilities clear no grid point.
     """
     p = _c(prob)
     n = len(grid)
     g = F.array(*[F.lit(float(x)) for x in grid])
-
-    def clears(i: Column) -> Column:  # i is 1-based
-        x = F.element_at(g, i)
-        return p >= x if inclusive else p > x
-
     step = _uniform_step(grid)
     if step is None:
         return F.size(F.filter(g, lambda x: p >= x if inclusive else p > x))
-    est = F.floor((p - F.lit(float(grid[0]))) / F.lit(step)).cast("int") + 1
-    c = F.least(F.greatest(est, F.lit(0)), F.lit(n))
-    for _ in range(2):
-        # c points already cleared: step down while point c is not cleared, up while point c+1 is
-        c = F.when((c > 0) & ~clears(F.greatest(c, F.lit(1))), c - 1).otherwise(c)
-        c = F.when((c < n) & clears(F.least(c + 1, F.lit(n))), c + 1).otherwise(c)
+    est_d = F.floor((p - F.lit(float(grid[0]))) / F.lit(step)) + 1
+    est = F.least(F.greatest(est_d, F.lit(-2.0)), F.lit(float(n + 2))).cast("int")
+    base = F.least(F.greatest(est - 2, F.lit(0)), F.lit(n))
+    total = base
+    for off in (-1, 0, 1):
+        i = est + off  # 1-based grid position
+        x = F.element_at(g, F.least(F.greatest(i, F.lit(1)), F.lit(n)))
+        hit = (i >= 1) & (i <= n) & (p >= x if inclusive else p > x)
+        total = total + F.when(hit, 1).otherwise(0)
     bad = p.isNull() | F.isnan(p)
-    return F.when(bad, F.lit(0)).otherwise(c)
+    return F.when(bad, F.lit(0)).otherwise(total)
 
 
 def _sweep(df: DataFrame, prob: str, label: str, by: Sequence[str], grid: Sequence[float], inclusive: bool) -> DataFrame:
