@@ -5,7 +5,8 @@ map-side, so a category holding a third of all rows is reduced before the
 shuffle).  Threshold tuning does not rescan the data per grid point: every
 row falls into one bucket of the grid, a histogram per (group, bucket) is
 aggregated, and the sweep over the grid runs on arrays of ``len(grid) + 1``
-counts per group with higher-order functions.
+counts per group with higher-order functions.  All metrics are
+order-free aggregates, so no sort by id precedes them (T4).
 """
 
 from __future__ import annotations
