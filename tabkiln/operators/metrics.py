@@ -164,21 +164,36 @@ def grid_bucket(prob: str | Column, grid: Sequence[float], inclusive: bool) -> C
     return F.when(bad, F.lit(0)).otherwise(total)
 
 
-def _sweep(df: DataFrame, prob: str, label: str, by: Sequence[str], grid: Sequence[float], inclusive: bool) -> DataFrame:
-    """One row per group with ``sweep``: array of structs (t, threshold, tp, fp, fn, tn, f1)."""
+def _sweep(
+    df: DataFrame,
+    prob: str,
+    label: str,
+    by: Sequence[str],
+    grid: Sequence[float],
+    inclusive: bool,
+    extra: dict | None = None,
+) -> DataFrame:
+    """One row per group with ``sweep``: array of structs (t, threshold, tp, fp, fn, tn, f1).
+
+    ``extra`` maps names to 0/1 columns summed per group in the same pass.
+    """
     n_grid = len(grid)
+    extra = dict(extra or {})
     bucket = grid_bucket(prob, grid, inclusive)
     hist = df.groupBy(*by, bucket.alias("_b")).agg(
-        F.sum(F.col(label).cast("long")).alias("_pos"), F.count(F.lit(1)).alias("_n")
+        F.sum(F.col(label).cast("long")).alias("_pos"),
+        F.count(F.lit(1)).alias("_n"),
+        *[F.sum(c.cast("long")).alias(name) for name, c in extra.items()],
     )
     per_group = hist.groupBy(*by).agg(
         F.map_from_entries(F.collect_list(F.struct("_b", F.struct("_pos", "_n")))).alias("_h"),
         F.sum("_pos").alias("P"),
         F.sum("_n").alias("N"),
+        *[F.sum(name).alias(name) for name in extra],
     )
     dense_pos = F.transform(F.sequence(F.lit(0), F.lit(n_grid)), lambda b: F.coalesce(F.col("_h")[b]["_pos"], F.lit(0).cast("long")))
     dense_n = F.transform(F.sequence(F.lit(0), F.lit(n_grid)), lambda b: F.coalesce(F.col("_h")[b]["_n"], F.lit(0).cast("long")))
-    staged = per_group.select(*by, "P", "N", dense_pos.alias("_pos"), dense_n.alias("_cnt"))
+    staged = per_group.select(*by, "P", "N", *extra, dense_pos.alias("_pos"), dense_n.alias("_cnt"))
     grid_arr = F.array(*[F.lit(float(x)) for x in grid])
 
     def point(t: Column) -> Column:
@@ -198,7 +213,9 @@ def _sweep(df: DataFrame, prob: str, label: str, by: Sequence[str], grid: Sequen
             f1_expr(tp, fp, fn).alias("f1"),
         )
 
-    return staged.select(*by, "P", "N", F.transform(F.sequence(F.lit(0), F.lit(n_grid - 1)), point).alias("sweep"))
+    return staged.select(
+        *by, "P", "N", *extra, F.transform(F.sequence(F.lit(0), F.lit(n_grid - 1)), point).alias("sweep")
+    )
 
 
 def threshold_sweep(
@@ -209,6 +226,22 @@ def threshold_sweep(
     return s.select(*by, F.explode("sweep").alias("s")).select(*by, "s.threshold", "s.tp", "s.fp", "s.fn", "s.tn", "s.f1")
 
 
+def _best_point(cands: Column) -> Column:
+    """Grid point with the highest F1, ties to the smallest threshold (T5); NULL if none."""
+    return F.array_max(F.transform(cands, lambda x: F.struct(x["f1"].alias("f1"), (-x["t"]).alias("neg_t"), x.alias("p"))))["p"]
+
+
+def _candidates(need_both_classes: bool) -> Column:
+    cands = F.col("sweep")
+    if need_both_classes:
+        both_truth = (F.col("P") > 0) & (F.col("P") < F.col("N"))
+        cands = F.filter(
+            cands,
+            lambda x: both_truth & ((x["tp"] + x["fp"]) > 0) & ((x["tn"] + x["fn"]) > 0) & (x["f1"] > 0),
+        )
+    return cands
+
+
 def tune_thresholds(
     df: DataFrame,
     prob: str,
@@ -228,15 +261,7 @@ def tune_thresholds(
     candidate (best F1 starts below 0) so an all-zero group picks the first.
     """
     s = _sweep(df, prob, label, by, grid, inclusive)
-    cands = F.col("sweep")
-    if need_both_classes:
-        both_truth = (F.col("P") > 0) & (F.col("P") < F.col("N"))
-        cands = F.filter(
-            cands,
-            lambda x: both_truth & ((x["tp"] + x["fp"]) > 0) & ((x["tn"] + x["fn"]) > 0) & (x["f1"] > 0),
-        )
-    best = F.array_max(F.transform(cands, lambda x: F.struct(x["f1"].alias("f1"), (-x["t"]).alias("neg_t"), x["threshold"].alias("threshold"))))
-    out = s.select(*by, best.alias("_best"))
+    out = s.select(*by, _best_point(_candidates(need_both_classes)).alias("_best"))
     return out.select(
         *by,
         F.coalesce(F.col("_best.threshold"), F.lit(float(default))).alias("threshold"),
@@ -271,28 +296,23 @@ def category_report(
     category: str,
     grid: Sequence[float] = CATEGORY_GRID,
 ) -> DataFrame:
-    """Per category: samples, tuned threshold and metrics at it."""
-    thr = tune_thresholds(df, prob, label, [category], grid)
-    scored = apply_thresholds(df, thr, prob, [category], keep_threshold=True)
-    m = with_rates(
-        scored.groupBy(category).agg(
-            *confusion_aggs("pred", label),
-            F.count(F.lit(1)).alias("num_samples"),
-            F.max("_thr").alias("optimal_threshold"),
-        )
-    )
-    return (
-        m.select(
-            category,
-            "num_samples",
-            "optimal_threshold",
-            F.col("f1").alias("f1_optimized"),
-            F.col("accuracy").alias("accuracy_optimized"),
-            F.col("precision").alias("precision_optimized"),
-            F.col("recall").alias("recall_optimized"),
-        )
-        .orderBy(category)
-    )
+    """Per category: samples, tuned threshold and metrics at it.
+
+    The counts at the tuned threshold are read from the sweep itself, so the
+    data is aggregated once and never joined back.
+    """
+    s = _sweep(df, prob, label, [category], grid, False)
+    best = s.select(category, F.col("N").alias("num_samples"), _best_point(F.col("sweep")).alias("b"))
+    m = with_rates(best.select(category, "num_samples", *[F.col(f"b.{k}").alias(k) for k in ("tp", "fp", "tn", "fn")], F.col("b.threshold").alias("optimal_threshold")))
+    return m.select(
+        category,
+        "num_samples",
+        "optimal_threshold",
+        F.col("f1").alias("f1_optimized"),
+        F.col("accuracy").alias("accuracy_optimized"),
+        F.col("precision").alias("precision_optimized"),
+        F.col("recall").alias("recall_optimized"),
+    ).orderBy(category)
 
 
 def overall_metrics(
@@ -305,20 +325,30 @@ def overall_metrics(
 ) -> DataFrame:
     """Overall metrics at the fixed threshold and with per-category tuned thresholds.
 
-    ``(threshold_mode, tp, fp, tn, fn, accuracy, precision, recall, f1)``.
+    ``(threshold_mode, tp, fp, tn, fn, accuracy, precision, recall, f1)``.  One
+    aggregation of the data: the fixed-threshold counts ride along with the
+    histogram, the tuned counts are the best sweep points summed over categories.
     """
-    thr = tune_thresholds(df, prob, label, [category], grid)
-    scored = apply_thresholds(df, thr, prob, [category], out="pred_opt").withColumn(
-        "pred_fixed", binarize(prob, fixed)
-    )
-    agg = scored.agg(
-        *[c.alias("f_" + n) for c, n in zip(confusion_aggs("pred_fixed", label), ("tp", "fp", "tn", "fn"))],
-        *[c.alias("o_" + n) for c, n in zip(confusion_aggs("pred_opt", label), ("tp", "fp", "tn", "fn"))],
+    p, y = F.col(prob), F.col(label)
+    pred = p > F.lit(float(fixed))
+    extra = {
+        "f_tp": pred & (y == 1),
+        "f_fp": pred & (y == 0),
+        "f_tn": ~pred & (y == 0),
+        "f_fn": ~pred & (y == 1),
+    }
+    # a NULL probability is predicted negative, as at the tuned thresholds
+    extra = {k: F.coalesce(v, (y == 1) if k == "f_fn" else (y == 0) if k == "f_tn" else F.lit(False)) for k, v in extra.items()}
+    s = _sweep(df, prob, label, [category], grid, False, extra=extra)
+    best = s.select(*extra, _best_point(F.col("sweep")).alias("b"))
+    agg = best.agg(
+        *[F.sum(k).alias(k) for k in extra],
+        *[F.sum(f"b.{k}").alias(f"o_{k}") for k in ("tp", "fp", "tn", "fn")],
     )
     cells = F.array(
         *[
-            F.struct(F.lit(mode).alias("threshold_mode"), *[F.col(f"{p}_{n}").alias(n) for n in ("tp", "fp", "tn", "fn")])
-            for mode, p in ((f"at_{fixed}", "f"), ("optimized", "o"))
+            F.struct(F.lit(mode).alias("threshold_mode"), *[F.col(f"{pfx}_{n}").cast("long").alias(n) for n in ("tp", "fp", "tn", "fn")])
+            for mode, pfx in ((f"at_{fixed}", "f"), ("optimized", "o"))
         ]
     )
     return with_rates(agg.select(F.explode(cells).alias("s")).select("s.*"))
