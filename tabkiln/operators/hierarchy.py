@@ -16,7 +16,16 @@ from pyspark.sql import functions as F
 
 from tabkiln.functions import bce_with_logits, binarize, sigmoid
 from tabkiln.operators.joins import attach_small
-from tabkiln.operators.metrics import LABEL_GRID, _ratio, confusion_aggs, f1_expr, tune_thresholds
+from tabkiln.operators.metrics import (
+    LABEL_GRID,
+    _best_point,
+    _candidates,
+    _ratio,
+    _sweep,
+    confusion_aggs,
+    f1_expr,
+    tune_thresholds,
+)
 
 GROUP = ["level", "kind"]
 LABEL = ["level", "kind", "label_idx", "label_name"]
@@ -109,22 +118,35 @@ def evaluate(long: DataFrame, grid: Sequence[float] = LABEL_GRID) -> DataFrame:
     return multilabel_metrics(long, label_thresholds(long, grid))
 
 
-def per_class_report(long: DataFrame, grid: Sequence[float] = LABEL_GRID) -> DataFrame:
+def per_class_report(long: DataFrame, grid: Sequence[float] = LABEL_GRID, default: float = 0.5) -> DataFrame:
     """Per label: tuned threshold, P/R/F1 and counts at it (E5).
 
-    Counts are forced to 0 when the truth of the label holds a single class.
+    One aggregation: the counts at the tuned threshold are the chosen sweep
+    point, and counts at the default threshold (used when no grid point
+    qualifies) are summed alongside the histogram.  Counts are forced to 0
+    when the truth of the label holds a single class.
     """
-    thr = label_thresholds(long, grid)
-    s = _scored(long, thr)
-    c = s.groupBy(*LABEL).agg(
-        *confusion_aggs("pred_opt", "y"),
-        F.max("y").alias("_ymax"),
-        F.min("y").alias("_ymin"),
-        F.max("_thr").alias("optimal_threshold"),
-    )
-    single = F.col("_ymax") == F.col("_ymin")
+    p, y = F.col("prob"), F.col("y")
+    at_default = p >= F.lit(float(default))
+    extra = {
+        "d_tp": F.coalesce(at_default & (y == 1), F.lit(False)),
+        "d_fp": F.coalesce(at_default & (y == 0), F.lit(False)),
+        "d_tn": F.coalesce(~at_default & (y == 0), y == 0),
+        "d_fn": F.coalesce(~at_default & (y == 1), y == 1),
+    }
+    s = _sweep(with_probs(long), "prob", "y", LABEL, grid, True, extra=extra)
+    b = s.select(*LABEL, "P", "N", *extra, _best_point(_candidates(True)).alias("b"))
+    single = (F.col("P") == 0) | (F.col("P") == F.col("N"))
     zero = F.lit(0).cast("long")
-    c = c.withColumns({k: F.when(single, zero).otherwise(F.col(k)) for k in ("tp", "fp", "tn", "fn")})
+    counts = {
+        k: F.when(single, zero).otherwise(F.coalesce(F.col(f"b.{k}"), F.col(f"d_{k}")).cast("long"))
+        for k in ("tp", "fp", "tn", "fn")
+    }
+    c = b.select(
+        *LABEL,
+        F.coalesce(F.col("b.threshold"), F.lit(float(default))).alias("optimal_threshold"),
+        *[v.alias(k) for k, v in counts.items()],
+    )
     tp, fp, fn = F.col("tp"), F.col("fp"), F.col("fn")
     return c.select(
         *LABEL,

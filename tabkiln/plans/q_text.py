@@ -9,7 +9,6 @@ from tabkiln.operators import metrics, segments, split, triples
 from tabkiln.plans import fixtures as fx
 from tabkiln.plans.q_metrics import _OVERALL_CTE, _SWEEP_CTE, RATES_SQL, _counts_sql
 from tabkiln.plans.registry import register
-from tabkiln.session import checkpoint_dir
 
 LENGTH, OVERLAP = 256, 64
 _SEG_SQL = fx.SEGMENTS_SQL.format(length=LENGTH, overlap=OVERLAP, step=LENGTH - OVERLAP)
@@ -99,19 +98,13 @@ def sigmoid_binarize(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _doc_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document scores joined with labels, written once to the shared checkpoint folder.
-
-    Tuning reads them twice (thresholds, then metrics at the thresholds); the
-    checkpoint keeps the whole-text windowing to one pass.
-    """
+    """Document scores (mean of segment logits) joined with their labels."""
     agg = segments.aggregate_segments(_scored_segments(spark, sf_dir), "doc_id", "logits", "mean", carry=["lang"])
     probs = segments.positive_probability(agg).select("doc_id", "lang", "prob")
     lab = fx.t(spark, sf_dir, "labels").select("doc_id", "quality")
-    out = probs.join(lab, "doc_id").select(
+    return probs.join(lab, "doc_id").select(
         F.col("doc_id").alias("id"), F.col("lang").alias("id_aux"), F.col("quality").alias("labels"), "prob"
     )
-    checkpoint_dir(spark)
-    return out.checkpoint(eager=True)
 
 
 _DOC_TEXT_FX = f"""{_MEAN_CTE},
