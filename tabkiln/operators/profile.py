@@ -1,9 +1,11 @@
 """Column profiling, roles and statistics-driven column selection.
 
-A1-A6, A22, C1, C2.  Every profile is one aggregation pass over the table
-whatever the number of columns; the result row is unpivoted into a long
-report with ``unpivot`` so it stays a DataFrame.  Fits that steer a later
-projection collect that single small row to the driver.
+A1-A6, A22, C1, C2.  A profile is a one-row aggregate per chunk of
+columns, exploded into a long report so it stays a DataFrame.  Chunks keep
+each aggregate's buffers under Spark's whole-stage codegen field limit; the
+chunks run in one job and, parquet being columnar, read together what one
+wide pass would.  Fits that steer a later projection collect the small
+report (one row per column) to the driver.
 """
 
 from __future__ import annotations
@@ -17,15 +19,38 @@ from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from tabkiln.functions import safe_corr
 
-# Correlation pairs per aggregation job: keeps the generated code of one
-# aggregate below the JVM method size limits for wide tables.
-CORR_CHUNK = 400
+# Correlation pairs per aggregate.  A guarded correlation keeps about ten
+# buffer fields (covariance and two conditional deviations); whole-stage
+# codegen is switched off for an aggregate whose buffers exceed
+# spark.sql.codegen.maxFields (100 by default), so pairs are grouped nine at a
+# time.  The chunks are unioned into one job, each scan pruned to its columns.
+CORR_CHUNK = 9
+# Aggregation buffer budget per chunk for the other profiles (same limit).
+FIELD_BUDGET = 96
 
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def _chunked_cells(df: DataFrame, items: Sequence, cell, fields_per_item: int) -> DataFrame:
+    """Union of one-row aggregates, each over a chunk of ``items`` small enough
+    to keep whole-stage codegen, exploded into one row per item.
+
+    Parquet is columnar, so each chunk's scan reads only its own columns and the
+    chunks together read what one wide pass would.
+    """
+    size = max(1, FIELD_BUDGET // max(1, fields_per_item))
+    out = None
+    for start in range(0, len(items), size):
+        chunk = items[start : start + size]
+        part = df.agg(F.array(*[cell(x) for x in chunk]).alias("cells")).select(F.explode("cells").alias("s")).select("s.*")
+        out = part if out is None else out.unionByName(part)
+    if out is None:
+        raise ValueError("nothing to aggregate")
+    return out
+
+
 def _is_float(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, (DoubleType, FloatType))
 
@@ -41,9 +66,10 @@ def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
 def null_profile(df: DataFrame, threshold: float, cols: Sequence[str] | None = None) -> DataFrame:
     """``(column, null_frac, rejected)``: rejected when the NULL share is strictly above threshold."""
     cols = list(cols) if cols else df.columns
-    wide = df.agg(*[F.avg(_q(c).isNull().cast("double")).alias(c) for c in cols])
-    long = wide.unpivot([], [_q(c) for c in cols], "column", "null_frac")
-    return long.withColumn("rejected", F.col("null_frac") > F.lit(float(threshold)))
+    out = _chunked_cells(
+        df, cols, lambda c: F.struct(F.lit(c).alias("column"), F.avg(_q(c).isNull().cast("double")).alias("null_frac")), 2
+    )
+    return out.withColumn("rejected", F.col("null_frac") > F.lit(float(threshold)))
 
 
 def rejected_columns(df: DataFrame, threshold: float) -> list[str]:
@@ -122,24 +148,13 @@ def distinct_values(df: DataFrame, col: str) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """``(column, mean, min, max)`` in one pass (A4)."""
-    aggs = []
-    for c in cols:
+    """``(column, mean, min, max)`` in one pass per chunk of columns (A4)."""
+
+    def cell(c: str) -> Column:
         x = _q(c).cast("double")
-        aggs += [F.avg(x).alias(f"{c}\u0001mean"), F.min(x).alias(f"{c}\u0001min"), F.max(x).alias(f"{c}\u0001max")]
-    wide = df.agg(*aggs)
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                _q(f"{c}\u0001mean").alias("mean"),
-                _q(f"{c}\u0001min").alias("min"),
-                _q(f"{c}\u0001max").alias("max"),
-            )
-            for c in cols
-        ]
-    )
-    return wide.select(F.explode(cells).alias("s")).select("s.*")
+        return F.struct(F.lit(c).alias("column"), F.avg(x).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max"))
+
+    return _chunked_cells(df, list(cols), cell, 4)
 
 
 def fit_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, float]]:
@@ -151,39 +166,31 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(col_a, col_b, pos_a, pos_b, corr)`` for every pair a before b (A5).
 
     Pearson over pairwise complete rows, NULL when a side is constant.  The
-    pairs are evaluated as plain aggregates in chunks of ``CORR_CHUNK``; each
-    chunk is one pass with a map-side partial aggregate.
+    pairs are plain aggregates with map-side partial aggregation, grouped
+    ``CORR_CHUNK`` to an aggregate.
     """
     cols = list(cols)
     pairs = [(i, j) for j in range(len(cols)) for i in range(j)]
-    out = None
-    for start in range(0, max(len(pairs), 1), CORR_CHUNK):
-        chunk = pairs[start : start + CORR_CHUNK]
-        if not chunk:
-            break
-        cells = F.array(
-            *[
-                F.struct(
-                    F.lit(cols[i]).alias("col_a"),
-                    F.lit(cols[j]).alias("col_b"),
-                    F.lit(i).alias("pos_a"),
-                    F.lit(j).alias("pos_b"),
-                    safe_corr(_q(cols[i]), _q(cols[j])).alias("corr"),
-                )
-                for i, j in chunk
-            ]
-        )
-        part = df.agg(cells.alias("cells")).select(F.explode("cells").alias("s")).select("s.*")
-        out = part if out is None else out.unionByName(part)
-    if out is None:
+    if not pairs:
         raise ValueError("need at least two columns")
-    return out
+
+    def cell(pair: tuple[int, int]) -> Column:
+        i, j = pair
+        return F.struct(
+            F.lit(cols[i]).alias("col_a"),
+            F.lit(cols[j]).alias("col_b"),
+            F.lit(i).alias("pos_a"),
+            F.lit(j).alias("pos_b"),
+            safe_corr(_q(cols[i]), _q(cols[j])).alias("corr"),
+        )
+
+    return _chunked_cells(df, pairs, cell, FIELD_BUDGET // CORR_CHUNK)
 
 
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """``(column, corr)``: signed correlation with the target."""
-    cells = F.array(*[F.struct(F.lit(c).alias("column"), safe_corr(_q(c), _q(target)).alias("corr")) for c in cols])
-    return df.agg(cells.alias("cells")).select(F.explode("cells").alias("s")).select("s.*")
+    cell = lambda c: F.struct(F.lit(c).alias("column"), safe_corr(_q(c), _q(target)).alias("corr"))
+    return _chunked_cells(df, list(cols), cell, FIELD_BUDGET // CORR_CHUNK)
 
 
 # --------------------------------------------------------------------------
