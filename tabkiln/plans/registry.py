@@ -29,15 +29,23 @@ class Entry:
 REGISTRY: dict[str, Entry] = {}
 
 
+def _rounded(c: str, digits: int):
+    # a value rounding to zero is returned as +0.0 on both sides (DuckDB keeps -0.0)
+    r = F.round(F.col(c), digits)
+    return F.when(r == 0, F.lit(0.0)).otherwise(r).alias(c)
+
+
 def round_doubles(df: DataFrame, cols: Sequence[str], digits: int = DIGITS) -> DataFrame:
     wanted = set(cols)
-    return df.select(*[F.round(F.col(c), digits).alias(c) if c in wanted else F.col(c) for c in df.columns])
+    return df.select(*[_rounded(c, digits) if c in wanted else F.col(c) for c in df.columns])
 
 
 def oracle_wrap(sql: str, cols: Sequence[str], digits: int = DIGITS) -> str:
     if not cols:
         return sql
-    repl = ", ".join(f"round({c}, {digits}) AS {c}" for c in cols)
+    repl = ", ".join(
+        f"CASE WHEN round({c}, {digits}) = 0 THEN 0.0::DOUBLE ELSE round({c}, {digits}) END AS {c}" for c in cols
+    )
     return f"SELECT * REPLACE ({repl}) FROM (\n{sql}\n) AS q"
 
 
