@@ -10,7 +10,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType, LongType, ShortType, ByteType, StringType
+from pyspark.sql.types import DoubleType, FloatType, LongType
 
 from tabkiln.functions.columns import is_bad_number
 
@@ -88,12 +88,7 @@ def apply_formula(df: DataFrame, formulas: Mapping[str, str | Callable[[Column],
     return df.withColumns(out)
 
 
-def downcast_types(
-    df: DataFrame,
-    cat_threshold: int = 100,
-    int_fill_cols: Sequence[str] = (),
-    low_card_strings: Sequence[str] | None = None,
-) -> DataFrame:
+def downcast_types(df: DataFrame, int_fill_cols: Sequence[str] = ()) -> DataFrame:
     """Narrow numeric types.
 
     doubles become floats, longs become ints (``try_cast``: out-of-range values
@@ -161,6 +156,3 @@ def tag(df: DataFrame, col: str, value) -> DataFrame:
     """Constant column, e.g. ``type='train'``."""
     return df.withColumn(col, F.lit(value))
 
-
-INTEGRAL = (ByteType, ShortType, IntegerType, LongType)
-TEXT = (StringType,)

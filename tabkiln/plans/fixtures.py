@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkiln.functions import tokens
 from tabkiln.sources import load_table
 
 
@@ -147,11 +146,6 @@ def segment_logits(seg_len: F.Column, seg_no: F.Column, doc_id: F.Column) -> F.C
     )
 
 
-SEGMENT_LOGITS_SQL = (
-    "[CAST((len(seg) % 11) - 5 AS DOUBLE) / 2.0, "
-    "CAST(((seg_no * 7 + doc_id) % 13) - 6 AS DOUBLE) / 2.0]"
-)
-
 # Window start offsets: 0, step, 2*step, ... while the previous window does not
 # already reach the end; one window when the text fits.
 SEGMENTS_SQL = """seg_base AS (
@@ -168,11 +162,6 @@ segments AS (
   FROM seg_starts)"""
 
 
-def doc_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = t(spark, sf_dir, "documents")
-    return d.select("doc_id", "lang", tokens("text").alias("toks"))
-
-
 # --------------------------------------------------------------------------
 # hier: hierarchical multi-label scores from embeddings
 # main logits = 10 embedding elements * 10, y_i = (label = i)
