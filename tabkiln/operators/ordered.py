@@ -15,6 +15,7 @@ same indexes, and no checkpoint is needed.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -52,6 +53,15 @@ def _ranges(
     max_buckets: int = MAX_BUCKETS,
     n: int | None = None,
 ) -> tuple[DataFrame, int, int]:
+    """Add ``_range_id``; ranges are ordered like the keys.
+
+    A leading-key value that fills several quantile slots (a hot value) gets a
+    range of its own, cut further at quantiles of the next order key computed
+    over that value's rows only (one extra pass for all hot values); with a
+    single order key, rows tied on a hot value are spread by a hash of all
+    their columns, since their mutual order is arbitrary anyway (rows equal in
+    every column stay together).
+    """
     kcol = _numeric_key(df, keys[0])
     n = df.count() if n is None else n
     by_size = math.ceil(n / max(1, rows_per_bucket))
@@ -63,11 +73,46 @@ def _ranges(
     probs = [i / n_buckets for i in range(1, n_buckets)]
     accuracy = max(10_000, 20 * n_buckets)
     row = staged.agg(F.percentile_approx("_range_key", probs, accuracy).alias("q")).first()
-    points = sorted({float(x) for x in (row["q"] or []) if x is not None})
+    q = [float(x) for x in (row["q"] or []) if x is not None and not math.isnan(x)]
+    slots = Counter(q)
+    hot = sorted(v for v, c in slots.items() if c >= 2)
+    points = sorted(set(q) | {math.nextafter(v, math.inf) for v in hot})
     splits = [-math.inf, *points, math.inf]
     bucketizer = Bucketizer(splits=splits, inputCol="_range_key", outputCol="_range_f", handleInvalid="keep")
     out = bucketizer.transform(staged)
-    return out.withColumn(_B, F.col("_range_f").cast("int")).drop("_range_key", "_range_f"), n, len(splits) - 1
+    rid = F.col("_range_f").cast("int")
+    n_ranges = len(splits) - 1
+    if hot:
+        sub, width = _hot_subranges(df, staged, keys, hot, slots, accuracy)
+        rid = rid * width + sub
+        n_ranges += sum(slots[v] for v in hot)
+    return out.withColumn(_B, rid).drop("_range_key", "_range_f"), n, n_ranges
+
+
+def _hot_subranges(
+    df: DataFrame, staged: DataFrame, keys: list[str], hot: list[float], slots: Counter, accuracy: int
+) -> tuple[Column, int]:
+    """Sub-range index inside each hot leading-key value, and the index width."""
+    width = max(slots[v] for v in hot) + 1
+    is_hot = [F.col("_range_key") == F.lit(v) for v in hot]
+    if len(keys) > 1:
+        k2 = _numeric_key(df, keys[1])
+        aggs = [
+            F.percentile_approx(F.when(cond, k2), [j / (slots[v] + 1) for j in range(1, slots[v] + 1)], accuracy).alias(f"h{i}")
+            for i, (v, cond) in enumerate(zip(hot, is_hot))
+        ]
+        cuts = staged.agg(*aggs).first()
+        sub = F.lit(0)
+        for i, cond in reversed(list(enumerate(is_hot))):
+            pts = sorted({float(x) for x in (cuts[f"h{i}"] or []) if x is not None})
+            inside = sum((F.when(k2 >= F.lit(p), 1).otherwise(0) for p in pts), F.lit(0))
+            sub = F.when(cond, inside).otherwise(sub)
+    else:
+        spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(width)).cast("int")
+        sub = F.lit(0)
+        for cond in is_hot:
+            sub = F.when(cond, spread).otherwise(sub)
+    return sub, width
 
 
 def with_ranges(

@@ -86,3 +86,36 @@ def test_three_way_sizes(spark):
     assert counts["test"] == math.ceil(held * 0.5)
     assert counts["val"] == held - counts["test"]
     assert counts["train"] == n - held
+
+
+def test_hot_leading_key_is_split_and_order_kept(spark):
+    # a third of the rows share one leading-key value; the second key orders them
+    rows = [(0 if i % 3 == 0 else i, i) for i in range(900)]
+    df = spark.createDataFrame(rows, "k1 long, k2 long")
+    ranged, n = ordered.with_ranges(df, ["k1", "k2"], rows_per_bucket=60)
+    sizes = [r["count"] for r in ranged.groupBy("_range_id").count().collect()]
+    assert n == 900 and max(sizes) < 150  # the 300 hot rows are spread over several ranges
+    got = ordered.add_row_index(df, ["k1", "k2"], "ix", rows_per_bucket=60)
+    ref = df.withColumn("ix_ref", F.row_number().over(Window.orderBy("k1", "k2")))
+    assert got.join(ref, ["k1", "k2"]).filter(F.col("ix") != F.col("ix_ref")).count() == 0
+    filled = ordered.fill_forward_backward(
+        df.withColumn("v", F.when(F.col("k2") % 7 == 0, F.col("k2").cast("double"))), ["k1", "k2"], ["v"], rows_per_bucket=60
+    )
+    w = Window.orderBy("k1", "k2")
+    src = df.withColumn("v", F.when(F.col("k2") % 7 == 0, F.col("k2").cast("double")))
+    ref2 = src.withColumn(
+        "v_ref",
+        F.coalesce("v", F.last("v", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.first("v", True).over(w.rowsBetween(0, Window.unboundedFollowing))),
+    )
+    bad = filled.select("k1", "k2", "v").join(ref2.select("k1", "k2", "v_ref"), ["k1", "k2"]).filter(~F.col("v").eqNullSafe(F.col("v_ref")))
+    assert bad.count() == 0
+
+
+def test_hot_single_key_ties_spread(spark):
+    # rows tied on the key differ in another column (fully identical rows cannot be told apart)
+    df = spark.createDataFrame([(0 if i % 2 == 0 else i, f"p{i}") for i in range(800)], "k long, payload string")
+    ranged, _ = ordered.with_ranges(df, ["k"], rows_per_bucket=50)
+    sizes = [r["count"] for r in ranged.groupBy("_range_id").count().collect()]
+    assert max(sizes) < 200
+    got = ordered.add_row_index(df, "k", "ix", rows_per_bucket=50)
+    assert sorted(r["ix"] for r in got.collect()) == list(range(1, 801))
