@@ -1,6 +1,7 @@
 """Column-level building blocks (all JVM-side expressions, no Python UDFs)."""
 
 from tabkiln.functions.columns import (
+    above,
     abs_error,
     bce_with_logits,
     binarize,
@@ -17,6 +18,7 @@ from tabkiln.functions.columns import (
 )
 
 __all__ = [
+    "above",
     "abs_error",
     "bce_with_logits",
     "binarize",

@@ -28,12 +28,21 @@ def sigmoid_array(c: ColumnOrName) -> Column:
     return F.transform(_c(c), lambda x: 1.0 / (1.0 + F.exp(-x)))
 
 
-def binarize(prob: ColumnOrName, threshold: float | Column, inclusive: bool = False) -> Column:
-    """1 when ``prob > threshold`` (or ``>=`` when inclusive), else 0."""
-    p = _c(prob)
+def above(x: ColumnOrName, threshold: float | Column, inclusive: bool = False) -> Column:
+    """``x > threshold`` (or ``>=``) with NaN never above anything.
+
+    Spark orders NaN above every number, Python and NumPy compare it as false;
+    the NumPy reading is the one kept.  NULL stays NULL.
+    """
+    v = _c(x)
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
-    cond = p >= t if inclusive else p > t
-    return F.when(cond, 1).otherwise(0)
+    cond = v >= t if inclusive else v > t
+    return cond & ~F.isnan(v)
+
+
+def binarize(prob: ColumnOrName, threshold: float | Column, inclusive: bool = False) -> Column:
+    """1 when ``prob > threshold`` (or ``>=`` when inclusive), else 0 (NULL and NaN give 0)."""
+    return F.when(above(prob, threshold, inclusive), 1).otherwise(0)
 
 
 def abs_error(pred: ColumnOrName, truth: ColumnOrName) -> Column:
@@ -43,45 +52,51 @@ def abs_error(pred: ColumnOrName, truth: ColumnOrName) -> Column:
 def tolerance_flag(err: ColumnOrName, tolerance: float) -> Column:
     """0 when the error exceeds the tolerance, else 1.
 
-    An error equal to the tolerance counts as correct, and a NULL error falls to
-    1, as ``0 if x > th else 1`` does for NaN.
+    An error equal to the tolerance counts as correct, and a NULL or NaN error
+    falls to 1, as ``0 if x > th else 1`` does for NaN.
     """
-    return F.when(_c(err) > F.lit(float(tolerance)), 0).otherwise(1)
+    return F.when(above(err, tolerance), 0).otherwise(1)
+
+
+def _num(c: ColumnOrName) -> Column:
+    """Double with NaN read as missing, as pandas row-wise statistics skip it."""
+    x = _c(c).cast("double")
+    return F.nanvl(x, F.lit(None).cast("double"))
 
 
 def row_max(cols: Sequence[ColumnOrName]) -> Column:
-    """Row-wise maximum skipping NULLs (NULL when all are NULL)."""
+    """Row-wise maximum skipping NULL and NaN (NULL when none is left)."""
     if len(cols) == 1:
-        return _c(cols[0]).cast("double")
-    return F.greatest(*[_c(c).cast("double") for c in cols])
+        return _num(cols[0])
+    return F.greatest(*[_num(c) for c in cols])
 
 
 def row_min(cols: Sequence[ColumnOrName]) -> Column:
     if len(cols) == 1:
-        return _c(cols[0]).cast("double")
-    return F.least(*[_c(c).cast("double") for c in cols])
+        return _num(cols[0])
+    return F.least(*[_num(c) for c in cols])
 
 
 def row_mean(cols: Sequence[ColumnOrName]) -> Column:
-    """Row-wise mean over the non-NULL values (NULL when all are NULL)."""
-    total = sum((F.coalesce(_c(c).cast("double"), F.lit(0.0)) for c in cols), F.lit(0.0))
-    count = sum((_c(c).isNotNull().cast("double") for c in cols), F.lit(0.0))
+    """Row-wise mean over the values present (NULL when none is)."""
+    total = sum((F.coalesce(_num(c), F.lit(0.0)) for c in cols), F.lit(0.0))
+    count = sum((_num(c).isNotNull().cast("double") for c in cols), F.lit(0.0))
     return F.try_divide(total, F.nullif(count, F.lit(0.0)))
 
 
 def row_median(cols: Sequence[ColumnOrName]) -> Column:
-    """Row-wise median over the non-NULL values.
+    """Row-wise median over the values present.
 
-    ``sort_array`` puts NULLs first, so the non-NULL values occupy the last
+    ``sort_array`` puts NULLs first, so the present values occupy the last
     ``n`` slots and the middle ones are found by index arithmetic (no lambda,
     so the expression stays in generated code).
     """
     k = len(cols)
     if k == 1:
-        return _c(cols[0]).cast("double")
-    arr = F.sort_array(F.array(*[_c(c).cast("double") for c in cols]))
-    n = sum((_c(c).isNotNull().cast("int") for c in cols), F.lit(0))
-    first = F.lit(k) - n  # 0-based position of the first non-NULL value
+        return _num(cols[0])
+    arr = F.sort_array(F.array(*[_num(c) for c in cols]))
+    n = sum((_num(c).isNotNull().cast("int") for c in cols), F.lit(0))
+    first = F.lit(k) - n  # 0-based position of the first present value
     lo = F.try_element_at(arr, (first + F.floor((n - 1) / 2) + 1).cast("int"))
     hi = F.try_element_at(arr, (first + F.floor(n / 2) + 1).cast("int"))
     return F.when(n == 0, F.lit(None).cast("double")).otherwise((lo + hi) / 2.0)

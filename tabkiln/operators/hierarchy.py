@@ -14,7 +14,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkiln.functions import bce_with_logits, binarize, sigmoid
+from tabkiln.functions import above, bce_with_logits, binarize, sigmoid
 from tabkiln.operators.joins import attach_small
 from tabkiln.operators.metrics import (
     LABEL_GRID,
@@ -126,8 +126,8 @@ def per_class_report(long: DataFrame, grid: Sequence[float] = LABEL_GRID, defaul
     qualifies) are summed alongside the histogram.  Counts are forced to 0
     when the truth of the label holds a single class.
     """
-    p, y = F.col("prob"), F.col("y")
-    at_default = p >= F.lit(float(default))
+    y = F.col("y")
+    at_default = above("prob", default, inclusive=True)
     extra = {
         "d_tp": F.coalesce(at_default & (y == 1), F.lit(False)),
         "d_fp": F.coalesce(at_default & (y == 0), F.lit(False)),

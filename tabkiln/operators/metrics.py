@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkiln.functions import binarize
+from tabkiln.functions import above, binarize
 from tabkiln.operators.joins import attach_small
 
 
@@ -329,8 +329,8 @@ def overall_metrics(
     aggregation of the data: the fixed-threshold counts ride along with the
     histogram, the tuned counts are the best sweep points summed over categories.
     """
-    p, y = F.col(prob), F.col(label)
-    pred = p > F.lit(float(fixed))
+    y = F.col(label)
+    pred = above(prob, fixed)
     extra = {
         "f_tp": pred & (y == 1),
         "f_fp": pred & (y == 0),

@@ -30,3 +30,19 @@ def test_single_model_has_no_ensembles(spark):
     a = spark.createDataFrame([(1, 13.0)], "id long, y_pred_a double")
     cols = ensemble.collate([a], truth).columns
     assert not any("comb" in c for c in cols)
+
+
+def test_nan_follows_numpy_comparisons(spark):
+    from tabkiln.functions import binarize, tolerance_flag
+
+    df = spark.createDataFrame([(float("nan"),), (None,), (0.7,), (0.2,)], "p double")
+    got = [tuple(r) for r in df.select(binarize("p", 0.5), tolerance_flag("p", 0.5)).collect()]
+    assert got == [(0, 1), (0, 1), (1, 0), (0, 1)]
+
+
+def test_row_statistics_skip_nan(spark):
+    from tabkiln.functions import row_max, row_mean, row_median, row_min
+
+    df = spark.createDataFrame([(float("nan"), 2.0, 4.0)], "a double, b double, c double")
+    r = df.select(row_max(["a", "b", "c"]), row_min(["a", "b", "c"]), row_mean(["a", "b", "c"]), row_median(["a", "b", "c"])).first()
+    assert tuple(r) == (4.0, 2.0, 3.0, 3.0)
