@@ -109,13 +109,13 @@ def is_bad_number(c: ColumnOrName) -> Column:
 
 
 def safe_corr(a: ColumnOrName, b: ColumnOrName) -> Column:
-    """Pearson correlation over pairwise complete rows; NULL for a constant side.
+    """Pearson correlation over pairwise complete rows (NaN read as missing); NULL for a constant side.
 
     ``corr`` raises DIVIDE_BY_ZERO under ANSI for a constant column and a
     ``when`` around the aggregate does not help, so the ratio is built from
     population covariance and standard deviations with ``try_divide``.
     """
-    x, y = _c(a).cast("double"), _c(b).cast("double")
+    x, y = _num(a), _num(b)
     both = x.isNotNull() & y.isNotNull()
     sx = F.stddev_pop(F.when(both, x))
     sy = F.stddev_pop(F.when(both, y))

@@ -55,6 +55,13 @@ def _is_float(df: DataFrame, c: str) -> bool:
     return isinstance(df.schema[c].dataType, (DoubleType, FloatType))
 
 
+def _present(df: DataFrame, c: str) -> Column:
+    """The column with NaN read as missing in floating columns (pandas semantics)."""
+    if _is_float(df, c):
+        return F.nanvl(_q(c), F.lit(None).cast(df.schema[c].dataType))
+    return _q(c)
+
+
 def numeric_columns(df: DataFrame, exclude: Sequence[str] = ()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
 
@@ -67,7 +74,7 @@ def null_profile(df: DataFrame, threshold: float, cols: Sequence[str] | None = N
     """``(column, null_frac, rejected)``: rejected when the NULL share is strictly above threshold."""
     cols = list(cols) if cols else df.columns
     out = _chunked_cells(
-        df, cols, lambda c: F.struct(F.lit(c).alias("column"), F.avg(_q(c).isNull().cast("double")).alias("null_frac")), 2
+        df, cols, lambda c: F.struct(F.lit(c).alias("column"), F.avg(_present(df, c).isNull().cast("double")).alias("null_frac")), 2
     )
     return out.withColumn("rejected", F.col("null_frac") > F.lit(float(threshold)))
 
@@ -107,7 +114,7 @@ def distinct_profile(
     """
     cols = [c for c in df.columns if c != target]
     count = F.approx_count_distinct if approx else F.count_distinct
-    wide = df.agg(*[count(_q(c)).alias(c) for c in cols])
+    wide = df.agg(*[count(_present(df, c)).alias(c) for c in cols])
     long = wide.unpivot([], [_q(c) for c in cols], "column", "n_distinct")
     floats = [c for c in cols if _is_float(df, c)]
     is_float = F.col("column").isin(floats) if floats else F.lit(False)
@@ -151,7 +158,7 @@ def column_stats(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """``(column, mean, min, max)`` in one pass per chunk of columns (A4)."""
 
     def cell(c: str) -> Column:
-        x = _q(c).cast("double")
+        x = _present(df, c).cast("double")
         return F.struct(F.lit(c).alias("column"), F.avg(x).alias("mean"), F.min(x).alias("min"), F.max(x).alias("max"))
 
     return _chunked_cells(df, list(cols), cell, 4)

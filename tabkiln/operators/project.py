@@ -48,10 +48,22 @@ def map_values(df: DataFrame, col: str, mapping: Mapping, out: str | None = None
     return joined.withColumn(out, F.col("_map_value")).drop("_map_key", "_map_value")
 
 
+def _missing(df: DataFrame, c: str) -> Column:
+    """NULL, or NaN in a floating column (what pandas calls missing)."""
+    if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
+        return _q(c).isNull() | F.isnan(_q(c))
+    return _q(c).isNull()
+
+
 def fill_nulls(df: DataFrame, cols: Sequence[str], value) -> DataFrame:
-    """Fill NULLs in the listed columns with a constant."""
+    """Fill missing values (NULL, and NaN in floating columns) with a constant."""
     return df.select(
-        *[F.coalesce(_q(c), F.lit(value).cast(df.schema[c].dataType)).alias(c) if c in cols else _q(c) for c in df.columns]
+        *[
+            F.when(_missing(df, c), F.lit(value).cast(df.schema[c].dataType)).otherwise(_q(c)).alias(c)
+            if c in cols
+            else _q(c)
+            for c in df.columns
+        ]
     )
 
 
@@ -137,9 +149,9 @@ def complete_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 
 
 def non_null_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """One row with the non-NULL count of each column."""
+    """One row with the count of present values (not NULL, not NaN) of each column."""
     cols = list(cols) if cols else df.columns
-    return df.agg(*[F.count(_q(c)).alias(c) for c in cols])
+    return df.agg(*[F.count(F.when(~_missing(df, c), 1)).alias(c) for c in cols])
 
 
 def drop_all_null_columns(df: DataFrame) -> DataFrame:

@@ -79,3 +79,19 @@ def test_pair_features_guard(spark):
 
     with pytest.raises(ValueError):
         scale.pair_features(df, df.columns, max_cols=3)
+
+
+def test_nan_is_missing_in_profiles_and_fills(spark):
+    from tabkiln.operators import profile
+
+    df = spark.createDataFrame([(1, float("nan")), (2, 1.0), (3, None), (4, 3.0)], "id long, v double")
+    prof = {r["column"]: r["null_frac"] for r in profile.null_profile(df, 0.4).collect()}
+    assert prof["v"] == 0.5
+    stats = profile.column_stats(df, ["v"]).first()
+    assert (stats["mean"], stats["min"], stats["max"]) == (2.0, 1.0, 3.0)
+    roles = profile.distinct_profile(df, None, 10).collect()
+    assert {r["column"]: r["n_distinct"] for r in roles}["v"] == 2
+    filled = [r.v for r in project.fill_nulls(df, ["v"], 0.0).orderBy("id").collect()]
+    assert filled == [0.0, 1.0, 0.0, 3.0]
+    allnan = spark.createDataFrame([(1, float("nan"))], "id long, w double")
+    assert project.drop_all_null_columns(allnan).columns == ["id"]
