@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tabkiln.operators.ensemble import collate, collate_pretrained
 from tabkiln.operators.ordered import assign_folds
 from tabkiln.operators.metrics import regression_metrics
 from tabkiln.session import checkpoint_dir
@@ -248,8 +249,6 @@ def fit_and_predict(
     features: Sequence[str] | None = None,
 ) -> tuple[DataFrame, dict[str, CvResult]]:
     """Train with k-fold CV per learner, predict the test table, collate with truth (M8 train-test)."""
-    from tabkiln.operators.ensemble import collate
-
     specs = {n: {} for n in learners} if not isinstance(learners, Mapping) else dict(learners)
     results = {}
     for name, params in specs.items():
@@ -280,7 +279,5 @@ def fit_only(
 
 def predict_only(df: DataFrame, key: str, model_paths: Mapping[str, str]) -> DataFrame:
     """Score with saved models and build the ensemble columns (M8 predict-only, M5)."""
-    from tabkiln.operators.ensemble import collate_pretrained
-
     preds = score_saved(df, model_paths, key)
     return collate_pretrained(list(preds.values()), df.select(key), key)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabkiln.operators import profile, project, split
 from tabkiln.plans import fixtures as fx
 from tabkiln.plans.registry import register
+from tabkiln.session import checkpoint_dir
+from tabkiln.sources import write_parquet
 
 _REG_COLS = ["id", "y", "x1", "x2", "x3", "c1", "k", "n1", "n2"]
 
@@ -265,11 +269,6 @@ SELECT doc_id, lang, source, n_chars, coalesce(quality, -1) AS quality, coalesce
 @register("cleaned_parquet_roundtrip", _CLEAN_RT_SQL)
 def cleaned_parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: a cleaned table written as parquet to the shared folder and read back."""
-    import uuid
-
-    from tabkiln.session import checkpoint_dir
-    from tabkiln.sources import write_parquet
-
     cleaned = project.fill_nulls(fx.nullable(spark, sf_dir), ["quality", "toxic"], -1)
     path = f"{checkpoint_dir(spark).rstrip('/')}/cleaned-{uuid.uuid4().hex}"
     write_parquet(cleaned, path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -144,8 +146,6 @@ def ensemble_partial_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("csv_roundtrip", _COLLATE_SQL, doubles=_COLLATE_DOUBLES)
 def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The collated table written as header CSV to the shared folder and read back."""
-    import uuid
-
     collated = _collated(spark, sf_dir)
     path = f"{checkpoint_dir(spark).rstrip('/')}/csv-roundtrip-{uuid.uuid4().hex}"
     write_csv(collated, path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from tabkiln.operators import hierarchy, metrics
 from tabkiln.plans import fixtures as fx
 from tabkiln.plans.q_metrics import _counts_sql, grid_values_sql
 from tabkiln.plans.registry import register
+from tabkiln.session import checkpoint_dir
+from tabkiln.sources import write_reports
 
 _LBL = "level, kind, label_idx, label_name"
 
@@ -253,11 +257,6 @@ _REPORT_RT_SQL = _eval_sql(["at_0.5", "optimized"])
 @register("report_sink_roundtrip", _REPORT_RT_SQL, doubles=_EVAL_DOUBLES)
 def report_sink_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The evaluation report written once, partitioned by level and kind, and read back."""
-    import uuid
-
-    from tabkiln.session import checkpoint_dir
-    from tabkiln.sources import write_reports
-
     ev = hierarchy.evaluate(fx.hier_long(spark, sf_dir))
     path = f"{checkpoint_dir(spark).rstrip('/')}/reports-{uuid.uuid4().hex}"
     write_reports(ev, path, keys=("level", "kind"))
