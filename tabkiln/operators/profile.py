@@ -10,9 +10,12 @@ report (one row per column) to the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
@@ -169,17 +172,35 @@ def fit_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, float]]
     return {r["column"]: {"mean": r["mean"], "min": r["min"], "max": r["max"]} for r in column_stats(df, cols).collect()}
 
 
-def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+# Tables with at least this many complete numeric columns get their matrix
+# from one Gramian pass (MLlib Correlation) instead of pairwise aggregates.
+GRAMIAN_MIN_COLS = 16
+
+
+def correlation_pairs(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
     """``(col_a, col_b, pos_a, pos_b, corr)`` for every pair a before b (A5).
 
-    Pearson over pairwise complete rows, NULL when a side is constant.  The
-    pairs are plain aggregates with map-side partial aggregation, grouped
-    ``CORR_CHUNK`` to an aggregate.
+    Pearson over pairwise complete rows, NULL when a side is constant.
+    ``aggregate``: plain aggregates with map-side partial aggregation,
+    ``CORR_CHUNK`` pairs to an aggregate.  ``gramian``: columns without missing
+    values are centred and their whole matrix comes from one tree-aggregated
+    pass (MLlib ``Correlation``); pairs touching a column with missing values
+    still use aggregates.  ``auto`` picks the Gramian path for wide tables.
     """
     cols = list(cols)
     pairs = [(i, j) for j in range(len(cols)) for i in range(j)]
     if not pairs:
         raise ValueError("need at least two columns")
+    full: list[str] = []
+    present: dict = {}
+    if method == "gramian" or (method == "auto" and len(cols) >= GRAMIAN_MIN_COLS):
+        present = profile_present_counts(df, cols)
+        full = [c for c in cols if present[c]["missing"] == 0]
+        if method == "auto" and len(full) < GRAMIAN_MIN_COLS:
+            full = []
+    full_set = set(full)
+    rest = [(i, j) for i, j in pairs if not (cols[i] in full_set and cols[j] in full_set)]
+    out = _gramian_pairs(df, cols, full, present) if len(full) >= 2 else None
 
     def cell(pair: tuple[int, int]) -> Column:
         i, j = pair
@@ -191,7 +212,36 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str]) -> DataFrame:
             safe_corr(_q(cols[i]), _q(cols[j])).alias("corr"),
         )
 
-    return _chunked_cells(df, pairs, cell, FIELD_BUDGET // CORR_CHUNK)
+    if rest:
+        agg = _chunked_cells(df, rest, cell, FIELD_BUDGET // CORR_CHUNK)
+        out = agg if out is None else out.unionByName(agg)
+    return out
+
+
+def profile_present_counts(df: DataFrame, cols: Sequence[str]) -> dict:
+    """Per column: mean and number of missing values (NULL or NaN), one chunked pass."""
+    cell = lambda c: F.struct(
+        F.lit(c).alias("column"),
+        F.avg(_present(df, c).cast("double")).alias("mean"),
+        F.sum(_present(df, c).isNull().cast("long")).alias("missing"),
+    )
+    return {r["column"]: {"mean": r["mean"], "missing": r["missing"]} for r in _chunked_cells(df, list(cols), cell, 3).collect()}
+
+
+def _gramian_pairs(df: DataFrame, cols: list[str], full: list[str], present: dict) -> DataFrame:
+    names = [f"_g{k}" for k in range(len(full))]
+    centred = df.select(*[(_q(c).cast("double") - F.lit(float(present[c]["mean"] or 0.0))).alias(n) for c, n in zip(full, names)])
+    vec = VectorAssembler(inputCols=names, outputCol="_v").transform(centred).select("_v")
+    m = Correlation.corr(vec, "_v").head()[0].toArray()
+    pos = {c: cols.index(c) for c in full}
+    rows = []
+    for b in range(len(full)):
+        for a in range(b):
+            ca, cb = full[a], full[b]
+            i, j = sorted((pos[ca], pos[cb]))
+            v = float(m[a][b])
+            rows.append((cols[i], cols[j], i, j, None if math.isnan(v) else v))
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, pos_a int, pos_b int, corr double")
 
 
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
