@@ -23,7 +23,7 @@ from pyspark.sql.types import NumericType
 
 from tabkiln.operators.models import spread
 from tabkiln.operators.ordered import fill_forward_backward
-from tabkiln.operators.project import non_null_counts
+from tabkiln.operators.project import _missing, non_null_counts
 from tabkiln.session import checkpoint_dir
 
 
@@ -89,9 +89,19 @@ def model_impute(
     for col in cols:
         feats = list(features) if features is not None else _numeric(cur, [key, col])
         feats = [f for f in feats if f != col]
+        # one pass: are there cells to fill, and complete rows to learn from?
+        complete = F.lit(True)
+        for c in cur.columns:
+            complete = complete & ~_missing(cur, c)
+        probe = cur.agg(
+            F.count(F.when(F.col(col).isNull(), 1)).alias("to_fill"),
+            F.count(F.when(complete, 1)).alias("complete"),
+        ).first()
+        if probe["to_fill"] == 0 or probe["complete"] == 0:
+            continue
         train, to_pred = impute_partition(cur, col, key, feats)
         used = [c for c in to_pred.columns if c != key]
-        if not used or to_pred.isEmpty() or train.isEmpty():
+        if not used:
             continue
         assembler = VectorAssembler(inputCols=used, outputCol="_features", handleInvalid="keep")
         if categorical:
