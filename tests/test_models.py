@@ -47,3 +47,22 @@ def test_categorical_impute_keeps_label_values(spark):
     out = impute.model_impute(n, ["quality"], "doc_id", learner="rf", categorical=True, features=["n_chars"], num_trees=5)
     vals = {r[0] for r in out.select("quality").distinct().collect()}
     assert vals <= {0, 1}
+
+
+def test_important_features_plain_exclusion(spark):
+    r = fx.reg(spark, SF).select("y", "x1", "x3", "c1", "k")
+    names = models.important_features(r, "y", skip=["k", "c1"], learner="rf", params={"numTrees": 5})
+    assert sorted(names) == ["x1", "x3"]  # every other feature once, skipped ones gone
+
+
+def test_predict_only_reloads_and_ensembles(spark, tmp_path):
+    r = fx.reg(spark, SF).select("id", "y", "x1", "x3")
+    train = r.filter("id % 4 != 0")
+    test = r.filter("id % 4 = 0")
+    paths = models.fit_only(train, "id", "y", str(tmp_path), {"rf": {"numTrees": 5}, "dt": {"maxDepth": 4}}, 2, ["x1", "x3"])
+    out = models.predict_only(test, "id", paths)
+    assert set(out.columns) == {
+        "id", "y_pred_rf", "y_pred_dt", "y_pred_comb_max", "y_pred_comb_min", "y_pred_comb_mean", "y_pred_comb_median"
+    }
+    assert out.count() == test.count()
+    assert out.filter(F.col("y_pred_comb_max") < F.col("y_pred_comb_min")).count() == 0
