@@ -40,3 +40,21 @@ def test_text_windows_need_no_shuffle(spark):
     plan = _plan(queries()["text_windows"](spark, SF))
     assert "Exchange" not in plan
     assert re.search(r"ReadSchema: struct<doc_id:bigint,text:string,lang:string>|ReadSchema: struct<doc_id:bigint,lang:string,text:string>", plan)
+
+
+def test_no_python_udfs_in_registered_queries(spark):
+    from conftest import SF_SMALL
+
+    learners = {
+        "impute_rf", "impute_dt_categorical", "feature_importance", "feature_importance_classifier",
+        "important_features", "cv_regression", "cv_metrics", "cv_importance", "load_predict",
+        "fit_predict_collate", "pca_features",
+    }
+    bad = []
+    for name, fn in sorted(queries().items()):
+        if name in learners:
+            continue
+        plan = _plan(fn(spark, SF_SMALL))
+        if re.search(r"BatchEvalPython|ArrowEvalPython|MapInPandas|PythonUDF|FlatMapGroupsInPandas", plan):
+            bad.append(name)
+    assert bad == []
