@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from tabkiln.llm.tiles import finite_vectors, tile_topk
 
-PIVOTS = 256
-PREFIX = 24
-RERANK = 0.08
+PIVOTS = 512
+PREFIX = 64
+RERANK = 0.12
 PIVOT_SAMPLE = 4_096
 
 

@@ -3,7 +3,8 @@
 The kernel of two words adds up, over all common subsequences of three
 characters, a weight that falls with the span each covers (gaps are allowed up
 to ``SPAN`` characters), and is normalised to 1 for equal words; a word with
-characters slipped in keeps most of its kernel value.  Landmarks are words of
+characters slipped in keeps most of its kernel value.  Its ``POWER``-th power,
+a kernel too, tells such words from those that share a syllable.  Landmarks are words of
 labelled training texts.  A text's kernel with a landmark is its best word's,
 and the Nyström map turns these values into the features of a linear support
 vector machine with squared hinge loss, whose margins a logistic fit turns
@@ -31,10 +32,12 @@ SPAN = 7
 DECAY = 0.7
 LANDMARKS = 160
 MAX_ROWS = 20_000
-FLOOR = 0.35
+FLOOR = 0.4
+POWER = 4
 PIECE = 32
 CACHE_WORDS = 300_000
 REJECT = 0.3
+MIN_GAIN, MIN_SHARE = 16.0, 0.6
 _DROP = re.compile(r"[\W_]+")
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
 _OFFSETS = [(a, b) for a in range(1, SPAN - 1) for b in range(a + 1, SPAN)]
@@ -179,7 +182,7 @@ class TextFeatures:
             for t in words & self.hits.keys():
                 for l, s in self.hits[t].items():
                     row[l] = max(row[l], s)
-        return out
+        return out**POWER
 
 
 @dataclass
@@ -236,25 +239,30 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
              .orderBy(F.xxhash64("id"), "id").limit(max_rows))
     # at most max_rows ids: small by its parameter
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("body")).filter("body IS NOT NULL")
-    return materialize(texts.join(F.broadcast(known), "id"), "labelled")
+    return materialize(texts.join(F.broadcast(known), "id").dropDuplicates(["body", "label"]), "labelled")
 
 
 def choose_landmarks(rows: DataFrame, count: int) -> list[str]:
-    """The words that tell toxic from other training texts best: the largest gain in log-likelihood ratio."""
+    """The words that tell toxic from other training texts best.
+
+    The gain is the exponent of Chernoff's bound for a word's share of toxic texts under the share of all texts;
+    ``MIN_GAIN`` leaves out words whose share would come up by chance in a vocabulary of millions.
+    """
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = [(w, y) for b, y in zip(pdf["body"], pdf["label"].tolist())
                    for w in {p for t in set(tokens(b.decode("utf-8", "replace"))) for p in pieces(clean(t)) if len(p) > 2}]
             yield pd.DataFrame(out, columns=["word", "label"])
 
-    up, down = rows.agg(F.sum("label"), F.sum(1 - F.col("label"))).first()
-    if not up or not down:
+    toxic, n = rows.agg(F.sum("label"), F.count("*")).first()
+    if not toxic or toxic == n:
         return []
-    p = (F.col("up") + 0.5) / (up + 1.0)
-    q = (F.col("down") + 0.5) / (down + 1.0)
+    base = toxic / n
+    seen, share = F.col("up") + F.col("down"), F.col("up") / (F.col("up") + F.col("down"))
+    rare = F.when(F.col("down") > 0, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
     found = (rows.mapInPandas(words, "word string, label int").groupBy("word")
-             .agg(F.sum("label").alias("up"), F.sum(1 - F.col("label")).alias("down"))
-             .withColumn("gain", F.col("up") * F.log(p / q)).filter((F.col("up") >= 2) & (p > 4 * q))
+             .agg(F.sum("label").alias("up"), F.sum(1 - F.col("label")).alias("down")).filter("up > 0")
+             .withColumn("gain", seen * (share * F.log(share / base) + rare)).filter((share > max(base, MIN_SHARE)) & (F.col("gain") > MIN_GAIN))
              .orderBy(F.col("gain").desc(), "word").limit(count))
     return [r["word"] for r in found.select("word").collect()]
 
@@ -282,7 +290,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     x, label = np.stack(sample["x"].to_numpy()), sample["label"].to_numpy()
     among = np.zeros((len(words), len(words)))
     for row, (marks, sim) in zip(among, kernel.similarities(words, 0.0)):
-        row[marks] = sim
+        row[marks] = sim**POWER
     value, vector = np.linalg.eigh((among + among.T) / 2)
     nystrom = vector / np.sqrt(np.maximum(value, 1e-3)) @ vector.T
     # inserted characters: each toxic text also enters with the kernel values its landmarks keep with a character slipped in
@@ -298,7 +306,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def _kept(kernel: Kernel, word: str, i: int) -> float:
     half = len(word) // 2
     marks, sim = kernel.similarities([word[:half] + "∧" + word[half:]], 0.0)[0]
-    return float(sim[marks == i].sum())
+    return float((sim[marks == i] ** POWER).sum())
 
 
 def score_column(model: Model, text_col: str) -> Column:
