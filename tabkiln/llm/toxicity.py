@@ -38,14 +38,15 @@ PIECE = 32
 CACHE_WORDS = 300_000
 REJECT = 0.3
 MIN_GAIN, MIN_SHARE = 16.0, 0.6
+START = "\x02"
 _DROP = re.compile(r"[\W_]+")
 _SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
 _OFFSETS = [(a, b) for a in range(1, SPAN - 1) for b in range(a + 1, SPAN)]
 
 
 def clean(token: str) -> str:
-    """A token's letters and digits."""
-    return _DROP.sub("", token)
+    """A token's letters and digits behind a mark for its start, so that a word's head counts as such."""
+    return START + _DROP.sub("", token)
 
 
 def pieces(word: str) -> list[str]:
@@ -164,7 +165,7 @@ class TextFeatures:
         if len(self.plain) > CACHE_WORDS:
             self.plain, self.hits = set(), {}
         new = [t for t in words if t not in self.plain and t not in self.hits]
-        parts = [(t, p) for t in new for p in pieces(clean(t)) if len(p) > 2]
+        parts = [(t, p) for t in new for p in pieces(clean(t)) if len(p) > 3]
         for lo in range(0, len(parts), 20_000):
             some = parts[lo : lo + 20_000]
             for (t, _), (marks, sim) in zip(some, self.kernel.similarities([p for _, p in some])):
@@ -251,7 +252,7 @@ def choose_landmarks(rows: DataFrame, count: int) -> list[str]:
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = [(w, y) for b, y in zip(pdf["body"], pdf["label"].tolist())
-                   for w in {p for t in set(tokens(b.decode("utf-8", "replace"))) for p in pieces(clean(t)) if len(p) > 2}]
+                   for w in {p for t in set(tokens(b.decode("utf-8", "replace"))) for p in pieces(clean(t)) if len(p) > 3}]
             yield pd.DataFrame(out, columns=["word", "label"])
 
     toxic, n = rows.agg(F.sum("label"), F.count("*")).first()
