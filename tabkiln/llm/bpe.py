@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tabkiln.llm.common import byte_batches
 
 #: Pieces kept encoded in a Python worker; beyond it the memory starts anew (results do not depend on it).
-CACHE_PIECES = 200_000
+CACHE_PIECES = 500_000
 
 # The pre-tokenising pattern of the vocabulary files with word ends.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -60,8 +60,10 @@ class WordBpe:
         result = np.array([vocab[a + b] for a, b in pairs], np.int64)
         turn = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.merged = keys[turn], turn, result[turn]
-        self.pieces: dict[bytes, tuple[bytes, str]] = {}
-        self.known: dict[str, bytes] = {}
+        self.names = [self.tokens.get(i, "") for i in range(max(self.tokens) + 1)]
+        self.ids: dict[bytes, bytes] = {}  # of pieces
+        self.shown: dict[bytes, str] = {}
+        self.words_ids: dict[str | int, tuple[bytes, str]] = {}  # of words and special tokens
 
     def normalise(self, text: str) -> str:
         """NFC, then lower case by character (a capital sigma has one lower case, wherever it stands)."""
@@ -81,8 +83,8 @@ class WordBpe:
                 out += self.words.findall(self.normalise(part))
         return out
 
-    def merge_rounds(self, words: list[str]) -> list[np.ndarray]:
-        """Token ids of each word."""
+    def merge_rounds(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Token ids of all words, and the offsets of each word's."""
         raw = [w.encode("utf-8") for w in words]
         size = np.array([len(r) for r in raw], np.int64)
         flat = np.frombuffer(b"".join(raw), np.uint8)
@@ -113,11 +115,9 @@ class WordBpe:
             symbol[hit] = self.merged[at[hit]]
             still[hit + 1] = False
             symbol, word = symbol[still], word[still]
-        if not done:
-            return [np.zeros(0, np.int64) for _ in words]
-        word, symbol = (np.concatenate(x) for x in zip(*done))
+        word, symbol = (np.concatenate(x) for x in zip(*done)) if done else (word, symbol)
         turn = np.argsort(word, kind="stable")
-        return np.split(symbol[turn], np.searchsorted(word[turn], np.arange(1, len(words))))
+        return symbol[turn], np.searchsorted(word[turn], np.arange(len(words) + 1))
 
     def decode(self, ids) -> str:
         """Tokens as they stand in the vocabulary, joined by spaces; unknown ids are left out."""
@@ -125,24 +125,31 @@ class WordBpe:
 
     def learn(self, pieces: set[bytes]) -> None:
         """Encode the pieces that are not known yet."""
-        if len(self.pieces) > CACHE_PIECES:
-            self.pieces.clear()
-            self.known.clear()
-        cuts = {p: self.cut(p) for p in pieces if p not in self.pieces}
-        new = list(dict.fromkeys(w for c in cuts.values() for w in c if isinstance(w, str) and w not in self.known))
-        for w, ids in zip(new, self.merge_rounds(new) if new else []):
-            self.known[w] = ids.astype("<u4").tobytes()
+        if len(self.ids) > CACHE_PIECES:
+            self.ids, self.shown, self.words_ids = {}, {}, {}
+        cuts = {p: self.cut(p) for p in pieces.difference(self.ids)}
+        known, names = self.words_ids, self.names
+        new = list({w for c in cuts.values() for w in c if w not in known and isinstance(w, str)})
+        if new:
+            symbols, offsets = self.merge_rounds(new)
+            packed, listed, offsets = symbols.astype("<u4").tobytes(), symbols.tolist(), offsets.tolist()
+            for w, s, e in zip(new, offsets, offsets[1:]):
+                known[w] = packed[4 * s : 4 * e], " ".join([names[i] for i in listed[s:e]])
+        for i, name in ((i, n) for n, i in self.special.items()):
+            known.setdefault(i, (i.to_bytes(4, "little"), name))
         for p, c in cuts.items():
-            ids = b"".join(self.known[w] if isinstance(w, str) else w.to_bytes(4, "little") for w in c)
-            self.pieces[p] = (ids, self.decode(np.frombuffer(ids, "<u4").tolist()))
+            if len(c) == 1:
+                self.ids[p], self.shown[p] = known[c[0]]
+            else:
+                parts = [known[w] for w in c]
+                self.ids[p], self.shown[p] = b"".join([a for a, _ in parts]), " ".join([d for _, d in parts if d])
 
     def encode(self, bodies: list[bytes]) -> Iterator[tuple[bytes, str]]:
         """For each text its ids as little-endian 32-bit integers, and their decoded text."""
         texts = [b.split() for b in bodies]
-        self.learn({p for t in texts for p in t})
+        self.learn(set().union(*texts))
         for t in texts:
-            parts = [self.pieces[p] for p in t]
-            yield b"".join([a for a, _ in parts]), " ".join([d for _, d in parts if d])
+            yield b"".join(map(self.ids.__getitem__, t)), " ".join(filter(None, map(self.shown.__getitem__, t)))
 
 
 _MODELS: dict[str, WordBpe] = {}
