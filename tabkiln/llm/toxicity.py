@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import math
 import re
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -35,39 +36,33 @@ MAX_ROWS = 20_000
 FLOOR = 0.4
 POWER = 4
 PIECE = 32
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 REJECT = 0.3
 MIN_GAIN, MIN_SHARE = 16.0, 0.6
 START = "\x02"
-_DROP = re.compile(r"[\W_]+")
-_SPACED = re.compile(r"(?<!\S)(?:\S[ \t]){2,}\S(?!\S)")
+_DROP = re.compile(r"[^\w\s]+|_+")
+_SPACED = re.compile(r"(?<!\S)(?:\S\s){2,}\S(?!\S)")
 _OFFSETS = [(a, b) for a in range(1, SPAN - 1) for b in range(a + 1, SPAN)]
 
 
-def clean(token: str) -> str:
-    """A token's letters and digits behind a mark for its start, so that a word's head counts as such."""
-    return START + _DROP.sub("", token)
-
-
 def pieces(word: str) -> list[str]:
-    """A word in overlapping pieces of ``PIECE`` characters."""
+    """A word behind a mark for its start, so that a word's head counts as such, in overlapping pieces of ``PIECE`` characters."""
+    word = START + word
     if len(word) <= PIECE:
         return [word]
     return [word[i : i + PIECE] for i in range(0, len(word) - PIECE // 2, PIECE // 2)]
 
 
 def tokens(text: str) -> list[str]:
-    """Lower-case tokens at white space; a run of single characters also counts as one token."""
-    text = text.lower()
-    out = text.split()
-    out += [m.replace(" ", "").replace("\t", "") for m in _SPACED.findall(text)]
-    return out
+    """Lower-case letters and digits between white space; a run of single characters also counts as one token."""
+    text = _DROP.sub("", text.lower())
+    return text.split() + ["".join(m.split()) for m in _SPACED.findall(text)]
 
 
-def triples(words: list[str], code: dict[str, int] | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def triples(words: list[str], code: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Subsequences of three characters: their word, their key and their weight.
 
-    With ``code`` only characters it knows take part; without, all do.
+    ``code`` numbers the characters that take part (-1: not); without it all do.
     """
     text = "\0".join(words)
     points = np.frombuffer(text.encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -76,9 +71,8 @@ def triples(words: list[str], code: dict[str, int] | None) -> tuple[np.ndarray,
         alphabet, letter = np.unique(points, return_inverse=True)
         known, base = points != 0, len(alphabet)
     else:
-        alphabet = np.array(sorted(map(ord, code)), np.int64)
-        at = np.minimum(np.searchsorted(alphabet, points), len(alphabet) - 1)
-        known, letter, base = alphabet[at] == points, at, len(alphabet)
+        letter = code[points]
+        known, base = letter >= 0, int(code.max()) + 1
     out_w, out_k, out_v = [], [], []
     for a, b in _OFFSETS:
         n = len(points) - b
@@ -115,16 +109,20 @@ class Kernel:
     """Similarities of words to landmarks."""
 
     landmarks: list[str]
-    code: dict[str, int] = field(init=False)
+    code: np.ndarray = field(init=False)  # by code point
 
     def __post_init__(self) -> None:
-        self.code = {c: i for i, c in enumerate(sorted(set("".join(self.landmarks))))}
+        letters = sorted(set("".join(self.landmarks)))
+        self.code = np.full(sys.maxunicode + 1, -1, np.int64)
+        self.code[[ord(c) for c in letters]] = np.arange(len(letters))
         self.own = np.sqrt(self_kernels(self.landmarks))
         mark, key, value = _summed(*triples(self.landmarks, self.code))
         turn = np.argsort(key, kind="stable")
         self.mark, self.value = mark[turn], value[turn]
-        self.keys, self.start = np.unique(key[turn], return_index=True)
+        keys, self.start = np.unique(key[turn], return_index=True)
         self.stop = np.append(self.start[1:], len(key))
+        self.place = np.full(len(letters) ** 3, -1, np.int32)
+        self.place[keys] = np.arange(len(keys))
 
     def similarities(self, words: list[str], floor: float = FLOOR) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each word the landmarks it resembles by at least ``floor``, and how much."""
@@ -132,8 +130,8 @@ class Kernel:
         empty = (np.zeros(0, np.int64), np.zeros(0))
         out = [empty] * n
         word, key, value = triples(words, self.code)
-        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-        ok = self.keys[at] == key
+        at = self.place[key]
+        ok = at >= 0
         word, at, value = word[ok], at[ok], value[ok]
         count = self.stop[at] - self.start[at]
         entry = np.repeat(self.start[at] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
@@ -165,9 +163,9 @@ class TextFeatures:
         if len(self.plain) > CACHE_WORDS:
             self.plain, self.hits = set(), {}
         new = [t for t in words if t not in self.plain and t not in self.hits]
-        parts = [(t, p) for t in new for p in pieces(clean(t)) if len(p) > 3]
-        for lo in range(0, len(parts), 20_000):
-            some = parts[lo : lo + 20_000]
+        parts = [(t, p) for t in new if len(t) > 2 for p in pieces(t)]
+        for lo in range(0, len(parts), 4_000):
+            some = parts[lo : lo + 4_000]
             for (t, _), (marks, sim) in zip(some, self.kernel.similarities([p for _, p in some])):
                 if len(marks):
                     best = self.hits.setdefault(t, {})
@@ -252,7 +250,7 @@ def choose_landmarks(rows: DataFrame, count: int) -> list[str]:
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = [(w, y) for b, y in zip(pdf["body"], pdf["label"].tolist())
-                   for w in {p for t in set(tokens(b.decode("utf-8", "replace"))) for p in pieces(clean(t)) if len(p) > 3}]
+                   for w in {p for t in set(tokens(b.decode("utf-8", "replace"))) if len(t) > 2 for p in pieces(t)}]
             yield pd.DataFrame(out, columns=["word", "label"])
 
     toxic, n = rows.agg(F.sum("label"), F.count("*")).first()
