@@ -8,10 +8,10 @@ come within six standard deviations of the threshold.  Candidates are
 confirmed on their full sets.
 
 No bucket is expanded into all its pairs.  First every bucket member meets
-one representative of its bucket, in a few rounds with other representatives;
-members already in one component are never compared again.  What is left are
-pairs of a bucket that lie in different components; these are all compared,
-so no link between two sets that share a band is lost.
+one representative of its bucket, then another one; members already in one
+component are never compared again.  What is left are members of buckets that
+span several components: of these, every pair that a prefix filter over their
+full sets lets through is compared too, so no link between them is lost.
 """
 
 from __future__ import annotations
@@ -117,6 +117,40 @@ def _confirm(k: int, percent: int):
     return run
 
 
+def _prefix_pairs(sids: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Pairs (a, b) of ``sids`` (sid, comp) in different components that can be similar enough.
+
+    Two sets that overlap by ``need`` shingles share one among the first ``size - need + 1`` of each, in any order of
+    all shingles; with rare shingles first, edited copies of one text seldom do.
+    """
+    def explode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            bodies = list(pdf["body"])
+            for lo, hi in byte_batches(bodies):
+                found = shingle_sets(bodies[lo:hi], k)
+                size = [len(x) for x in found]
+                yield pd.DataFrame({"sid": np.repeat(pdf["sid"].to_numpy()[lo:hi], size), "comp": np.repeat(pdf["comp"].to_numpy()[lo:hi], size),
+                                    "sh": np.concatenate(found).view(np.int64)})
+
+    shingles = materialize(sids.join(texts, "sid").mapInPandas(explode, "sid long, comp long, sh long"), "shingles")
+    counts = shingles.groupBy("sh").agg(F.count("*").alias("c"))
+    ranked = (shingles.join(counts, "sh").groupBy("sid", "comp")
+              .agg(F.sort_array(F.collect_list(F.struct("c", "sh"))).alias("all"))
+              .withColumn("n", F.size("all"))
+              .select("sid", "comp", "n", F.posexplode(F.expr(f"slice(all, 1, cast(n - ceil({percent} * n / 100) + 1 as int))")).alias("pos", "x"))
+              .filter("x.c > 1").select("sid", "comp", "n", "pos", F.col("x.sh").alias("sh")))
+    ranked = materialize(ranked, "prefixes")
+
+    def need(n: str, m: str) -> str:
+        return f"ceil({percent} * ({n} + {m}) / {100 + percent})"
+
+    x = ranked.filter(f"pos <= n - {need('n', 'n')}").toDF("a", "ca", "na", "pa", "sh")
+    y = ranked.toDF("b", "cb", "nb", "pb", "sh")
+    pairs = (x.join(y, "sh").filter("ca <> cb AND (na < nb OR (na = nb AND a < b))").filter(f"na * 100 >= nb * {percent}")
+             .filter(f"pa <= na - {need('na', 'nb')} AND pb <= nb - {need('na', 'nb')}"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``df``.
@@ -154,7 +188,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tested = None
     for turn in range(STAR_ROUNDS):
         members = buckets.join(labels, "sid")
-        order = F.col("sid") if turn == 0 else F.xxhash64(F.lit(turn), F.col("sid"))
+        order = F.col("sid") if turn == 0 else F.xxhash64(F.lit(turn), F.col("sid"), F.col("key"))
         centres = (members.groupBy("key")
                    .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by(F.struct("sid", "comp"), order).alias("c"))
                    .filter("lo < hi").select("key", F.col("c.sid").alias("a"), F.col("c.comp").alias("ca")))
@@ -163,13 +197,10 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         tested = pairs if tested is None else tested.unionByName(pairs)
         if not links.isEmpty():
             labels = merge_components(labels, links)
-    members = buckets.join(labels, "sid").join(marks, "sid")
+    members = buckets.join(labels, "sid")
     split = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
-    members = materialize(members.join(split, "key", "left_semi").select("key", "sid", "comp", "n", "sig"), "split")
-    x, y = members.toDF("key", "a", "ca", "na", "sa"), members.toDF("key", "b", "cb", "nb", "sb")
-    rest = (x.join(y, "key").filter("ca < cb").filter(agreeing_lanes("sa", "sb") >= least)
-            .filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
-            .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    open_ids = members.join(split, "key", "left_semi").select("sid", "comp").distinct()
+    rest = _prefix_pairs(open_ids, texts, shingle, percent)
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     links = confirm(rest.join(done, ["a", "b"], "left_anti"))
     if not links.isEmpty():
