@@ -171,18 +171,20 @@ def default_loss_weights(levels: Sequence[int]) -> dict:
     return w
 
 
-def hierarchical_bce(long: DataFrame, weights: Mapping | None = None, levels: Sequence[int] = (1, 2)) -> DataFrame:
+def hierarchical_bce(long: DataFrame, weights: Mapping | None = None) -> DataFrame:
     """Mean BCE-with-logits per (level, kind), its weight and weighted value.
 
     The mean runs over all elements of a level and kind (the reference
-    averages per batch, which depends on the batch size).
+    averages per batch, which depends on the batch size).  Without ``weights``
+    every level gets its default weight (see ``default_loss_weights``); with
+    them, a level and kind they do not name gets 1.
     """
-    weights = dict(weights or default_loss_weights(levels))
-    wmap = F.create_map(
-        *[x for (lvl, kind), v in weights.items() for x in (F.lit(f"{lvl}|{kind}"), F.lit(float(v)))]
-    )
     g = long.groupBy(*GROUP).agg(F.avg(bce_with_logits("logit", "y")).alias("loss"))
-    w = F.coalesce(F.try_element_at(wmap, F.concat_ws("|", F.col("level").cast("string"), F.col("kind"))), F.lit(1.0))
+    if weights:
+        wmap = F.create_map(*[x for (lvl, kind), v in weights.items() for x in (F.lit(f"{lvl}|{kind}"), F.lit(float(v)))])
+        w = F.coalesce(F.try_element_at(wmap, F.concat_ws("|", F.col("level").cast("string"), F.col("kind"))), F.lit(1.0))
+    else:
+        w = (1.0 + (F.col("level") - 1) * 0.1) * F.when(F.col("kind") == "sub", 0.8).otherwise(1.0)
     return g.select(*GROUP, "loss", w.alias("weight"), (F.col("loss") * w).alias("weighted_loss"))
 
 

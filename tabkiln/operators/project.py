@@ -103,10 +103,15 @@ def apply_formula(df: DataFrame, formulas: Mapping[str, str | Callable[[Column],
 def downcast_types(df: DataFrame, int_fill_cols: Sequence[str] = ()) -> DataFrame:
     """Narrow numeric types.
 
-    doubles become floats, longs become ints (``try_cast``: out-of-range values
-    become NULL instead of raising), and ``int_fill_cols`` get NULL -> 0 and int.
-    Strings stay strings; parquet dictionary-encodes low-cardinality text.
+    doubles become floats; longs become ints where all values of the column fit,
+    read from one aggregate, and stay longs elsewhere; ``int_fill_cols`` get NULL
+    -> 0 and int.  Strings stay strings; parquet dictionary-encodes low-cardinality text.
     """
+    longs = [f.name for f in df.schema.fields if isinstance(f.dataType, LongType) and f.name not in int_fill_cols]
+    wide: set[str] = set()
+    if longs:
+        outside = [F.max(~_q(c).between(-(2**31), 2**31 - 1)) for c in longs]
+        wide = {c for c, out in zip(longs, df.agg(*outside).first()) if out}
     cols = []
     for f in df.schema.fields:
         c = _q(f.name)
@@ -114,8 +119,8 @@ def downcast_types(df: DataFrame, int_fill_cols: Sequence[str] = ()) -> DataFram
             cols.append(F.coalesce(c.try_cast("int"), F.lit(0)).alias(f.name))
         elif isinstance(f.dataType, DoubleType):
             cols.append(c.cast("float").alias(f.name))
-        elif isinstance(f.dataType, LongType):
-            cols.append(c.try_cast("int").alias(f.name))
+        elif f.name in longs and f.name not in wide:
+            cols.append(c.cast("int").alias(f.name))
         else:
             cols.append(c)
     return df.select(*cols)

@@ -144,7 +144,7 @@ _BCE_SQL = f"WITH {_BCE_CTE}\nSELECT level, kind, loss, weight, loss * weight AS
 @register("hier_bce_loss", _BCE_SQL, doubles=["loss", "weight", "weighted_loss"])
 def hier_bce_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean BCE-with-logits per level and kind with the level/sub weights."""
-    return hierarchy.hierarchical_bce(fx.hier_long(spark, sf_dir), levels=(1, 2))
+    return hierarchy.hierarchical_bce(fx.hier_long(spark, sf_dir))
 
 
 _TOTAL_SQL = f"WITH {_BCE_CTE}\nSELECT sum(loss * weight) AS total_loss FROM bw"
@@ -153,7 +153,7 @@ _TOTAL_SQL = f"WITH {_BCE_CTE}\nSELECT sum(loss * weight) AS total_loss FROM bw"
 @register("hier_total_loss", _TOTAL_SQL, doubles=["total_loss"])
 def hier_total_loss(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted sum of the per level and kind losses."""
-    return hierarchy.total_loss(hierarchy.hierarchical_bce(fx.hier_long(spark, sf_dir), levels=(1, 2)))
+    return hierarchy.total_loss(hierarchy.hierarchical_bce(fx.hier_long(spark, sf_dir)))
 
 
 def _hier_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:

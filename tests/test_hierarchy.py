@@ -64,3 +64,11 @@ def test_exact_match_accuracy(spark):
         per_id.setdefault(i, True)
         per_id[i] = per_id[i] and ((1 if _sig(lg) >= 0.5 else 0) == y)
     assert abs(r["accuracy"] - sum(per_id.values()) / len(per_id)) < 1e-12
+
+
+def test_default_loss_weights_follow_every_level(spark):
+    rows = [("a", level, kind, 0, "x", 0.3, 1) for level in (1, 2, 3) for kind in ("main", "sub")]
+    df = spark.createDataFrame(rows, "id string, level int, kind string, label_idx int, label_name string, logit double, y int")
+    got = {(r["level"], r["kind"]): round(r["weight"], 6) for r in hierarchy.hierarchical_bce(df).collect()}
+    assert got == {k: round(v, 6) for k, v in hierarchy.default_loss_weights([1, 2, 3]).items()}
+    assert (got[3, "main"], got[3, "sub"]) == (1.2, 0.96)

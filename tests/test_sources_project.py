@@ -52,11 +52,12 @@ def test_formula_string_and_callable_keep_zero_and_null(spark):
     assert out == [0.0, 5.0, None]
 
 
-def test_downcast_out_of_range_long_becomes_null(spark):
-    df = spark.createDataFrame([(1, 2**40, 1.5)], "a long, b long, c double")
-    r = project.downcast_types(df).first()
-    assert (r.a, r.b) == (1, None)
-    assert dict(project.downcast_types(df).dtypes)["c"] == "float"
+def test_downcast_keeps_wide_longs(spark):
+    df = spark.createDataFrame([(1, 2**40, 1.5), (None, None, None)], "a long, b long, c double")
+    out = project.downcast_types(df)
+    assert (out.first().a, out.first().b) == (1, 2**40)
+    assert dict(out.dtypes) == {"a": "int", "b": "bigint", "c": "float"}
+    assert dict(project.downcast_types(df.limit(0)).dtypes)["b"] == "int"
 
 
 def test_pluggable_extractor(spark):
