@@ -12,7 +12,6 @@ from tabkiln.functions.columns import (
     row_min,
     safe_corr,
     sigmoid,
-    sigmoid_array,
     tokens,
     tolerance_flag,
 )
@@ -29,7 +28,6 @@ __all__ = [
     "row_min",
     "safe_corr",
     "sigmoid",
-    "sigmoid_array",
     "tokens",
     "tolerance_flag",
 ]

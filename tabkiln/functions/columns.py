@@ -23,11 +23,6 @@ def sigmoid(c: ColumnOrName) -> Column:
     return 1.0 / (1.0 + F.exp(-_c(c)))
 
 
-def sigmoid_array(c: ColumnOrName) -> Column:
-    """Element-wise sigmoid of an array of logits."""
-    return F.transform(_c(c), lambda x: 1.0 / (1.0 + F.exp(-x)))
-
-
 def above(x: ColumnOrName, threshold: float | Column, inclusive: bool = False) -> Column:
     """``x > threshold`` (or ``>=``) with NaN never above anything.
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,11 +32,15 @@ class OneHotModel:
     drop: bool = True
 
     def transform(self, df: DataFrame) -> DataFrame:
-        out = {}
+        # values that share a name (case, outer blanks) share its column
+        named: dict = {}
         for c, vals in self.values.items():
-            s = _q(c).cast("string")
             for v in vals:
-                out[dummy_name(c, v)] = F.when(s == F.lit(v), 1).otherwise(0)
+                owner, members = named.setdefault(dummy_name(c, v), (c, []))
+                if owner != c:
+                    raise ValueError(f"columns {owner} and {c} both give a dummy column {dummy_name(c, v)}")
+                members.append(v)
+        out = {n: F.when(_q(c).cast("string").isin(members), 1).otherwise(0) for n, (c, members) in named.items()}
         res = df.withColumns(out)
         return res.drop(*self.values.keys()) if self.drop else res
 
@@ -86,10 +90,3 @@ def index_categories(df: DataFrame, cols: Sequence[str], suffix: str = "_idx"):
     )
     model = indexer.fit(df)
     return model, model.transform(df)
-
-
-def codes_to_labels(df: DataFrame, model, col: str, out: str) -> DataFrame:
-    """Map codes back to the original strings (inverse of :func:`index_categories`)."""
-    pos = list(model.getInputCols()).index(col) if model.hasParam("inputCols") and model.isSet("inputCols") else 0
-    labels = model.labelsArray[pos]
-    return IndexToString(inputCol=col + "_idx", outputCol=out, labels=list(labels)).transform(df)

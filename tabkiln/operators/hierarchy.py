@@ -9,13 +9,13 @@ per-sample exact match groups by id, whose group size is the label count.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkiln.functions import above, bce_with_logits, binarize, sigmoid
-from tabkiln.operators.joins import attach_small
+from tabkiln.operators.joins import attach_per_group
 from tabkiln.operators.metrics import (
     LABEL_GRID,
     _best_point,
@@ -49,7 +49,7 @@ def label_thresholds(long: DataFrame, grid: Sequence[float] = LABEL_GRID) -> Dat
 def _scored(long: DataFrame, thresholds: DataFrame | None, fixed: float = 0.5) -> DataFrame:
     s = with_probs(long).withColumn("pred_fixed", binarize("prob", fixed, inclusive=True))
     if thresholds is not None:
-        s = attach_small(s, thresholds.select(*LABEL, F.col("threshold").alias("_thr")), LABEL, "left")
+        s = attach_per_group(s, thresholds.select(*LABEL, F.col("threshold").alias("_thr")), LABEL, "left")
         s = s.withColumn("pred_opt", binarize("prob", F.coalesce(F.col("_thr"), F.lit(fixed)), inclusive=True))
     return s
 
@@ -171,15 +171,22 @@ def default_loss_weights(levels: Sequence[int]) -> dict:
     return w
 
 
-def hierarchical_bce(long: DataFrame, weights: Mapping | None = None) -> DataFrame:
-    """Mean BCE-with-logits per (level, kind), its weight and weighted value.
+def hierarchical_bce(
+    long: DataFrame,
+    weights: Mapping | None = None,
+    loss: Callable[[str, str], Column] = bce_with_logits,
+) -> DataFrame:
+    """Mean loss per (level, kind), its weight and weighted value.
+
+    ``loss`` builds the loss of one element from the logit and label columns;
+    BCE with logits unless told otherwise.
 
     The mean runs over all elements of a level and kind (the reference
     averages per batch, which depends on the batch size).  Without ``weights``
     every level gets its default weight (see ``default_loss_weights``); with
     them, a level and kind they do not name gets 1.
     """
-    g = long.groupBy(*GROUP).agg(F.avg(bce_with_logits("logit", "y")).alias("loss"))
+    g = long.groupBy(*GROUP).agg(F.avg(loss("logit", "y")).alias("loss"))
     if weights:
         wmap = F.create_map(*[x for (lvl, kind), v in weights.items() for x in (F.lit(f"{lvl}|{kind}"), F.lit(float(v)))])
         w = F.coalesce(F.try_element_at(wmap, F.concat_ws("|", F.col("level").cast("string"), F.col("kind"))), F.lit(1.0))

@@ -36,25 +36,25 @@ def impute_partition(
 ) -> tuple[DataFrame, DataFrame]:
     """Training rows and rows to predict for one column.
 
-    train: ``col`` set and no NULL anywhere; to_predict: ``col`` NULL, features
-    filled forward then backward in key order, features that stay all-NULL
-    dropped from both sides.  Returns ``(train[key, features, col], to_predict[key, features])``.
+    train: ``col`` and the features used all set; to_predict: ``col`` missing,
+    features filled forward then backward in key order, features with nothing
+    to fill from dropped from both sides.  NaN is missing.  Returns ``(train[key, features, col], to_predict[key, features])``.
     """
     feats = list(features) if features is not None else [c for c in df.columns if c not in (key, col)]
-    to_pred = df.filter(F.col(col).isNull()).select(key, *feats)
+    to_pred = df.filter(_missing(df, col)).select(key, *feats)
     to_pred = fill_forward_backward(to_pred, key, feats)
     counts = non_null_counts(to_pred, feats).first().asDict() if feats else {}
     keep = [f for f in feats if counts.get(f, 0) > 0]
-    train = df.filter(F.col(col).isNotNull()).dropna(how="any").select(key, *keep, col)
+    train = df.select(key, *keep, col).dropna(how="any", subset=[*keep, col])
     return train, to_pred.select(key, *keep)
 
 
 def write_back(df: DataFrame, predictions: DataFrame, key: str, col: str, pred: str = "prediction") -> DataFrame:
-    """Fill only the NULL cells of ``col`` with predictions joined by key."""
+    """Fill only the missing cells (NULL, NaN) of ``col`` with predictions joined by key."""
     p = predictions.select(key, F.col(pred).alias("_imputed"))
     joined = df.join(p, key, "left")
     dtype = df.schema[col].dataType
-    return joined.withColumn(col, F.coalesce(F.col(col), F.col("_imputed").cast(dtype))).drop("_imputed")
+    return joined.withColumn(col, F.when(_missing(df, col), F.col("_imputed").cast(dtype)).otherwise(F.col(col))).drop("_imputed")
 
 
 def _learner(kind: str, categorical: bool, seed: int, label: str, num_trees: int, max_depth: int):
@@ -81,7 +81,9 @@ def model_impute(
     """Impute ``cols`` one after another with a tree learner.
 
     ``categorical`` selects a classifier (labels indexed and mapped back);
-    otherwise a regressor.  Features default to the numeric columns.
+    otherwise a regressor.  Features default to the numeric columns.  A column
+    with missing cells raises where no feature is usable, or no row has it and
+    the used features all set.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
@@ -89,32 +91,26 @@ def model_impute(
     for col in cols:
         feats = list(features) if features is not None else _numeric(cur, [key, col])
         feats = [f for f in feats if f != col]
-        # one pass: are there cells to fill, and complete rows to learn from?
-        complete = F.lit(True)
-        for c in cur.columns:
-            complete = complete & ~_missing(cur, c)
-        probe = cur.agg(
-            F.count(F.when(F.col(col).isNull(), 1)).alias("to_fill"),
-            F.count(F.when(complete, 1)).alias("complete"),
-        ).first()
-        if probe["to_fill"] == 0 or probe["complete"] == 0:
+        if cur.filter(_missing(cur, col)).isEmpty():
             continue
         train, to_pred = impute_partition(cur, col, key, feats)
         used = [c for c in to_pred.columns if c != key]
         if not used:
-            continue
+            raise ValueError(f"no usable feature to impute {col} from")
+        if train.isEmpty():
+            raise ValueError(f"no row has {col} and its features {used} all set")
         assembler = VectorAssembler(inputCols=used, outputCol="_features", handleInvalid="keep")
         if categorical:
             indexer = StringIndexer(inputCol=col, outputCol="_label", handleInvalid="keep")
             model_stage = _learner(learner, True, seed, "_label", num_trees, max_depth)
-            fitted = Pipeline(stages=[indexer, assembler, model_stage]).fit(spread(train))
+            fitted = Pipeline(stages=[indexer, assembler, model_stage]).fit(spread(train, key))
             labels = fitted.stages[0].labelsArray[0]
             scored = fitted.transform(to_pred)
             scored = IndexToString(inputCol="prediction", outputCol="_pred_label", labels=list(labels)).transform(scored)
             preds = scored.select(key, F.col("_pred_label").alias("prediction"))
         else:
             model_stage = _learner(learner, False, seed, col, num_trees, max_depth)
-            fitted = Pipeline(stages=[assembler, model_stage]).fit(spread(train))
+            fitted = Pipeline(stages=[assembler, model_stage]).fit(spread(train, key))
             preds = fitted.transform(to_pred).select(key, "prediction")
         cur = write_back(cur, preds, key, col).checkpoint(eager=True)
     return cur

@@ -1,10 +1,9 @@
 """Key joins used to put columns back together.
 
 The reference aligns frames by position; here every alignment needs a
-declared key.  Joins of two data-sized tables are left to the optimizer (AQE
-measures the shuffled sizes at runtime and splits skewed partitions).  A
-per-group table joined back onto its rows goes through ``attach_small``: it is
-broadcast only after its row count has been checked, never blindly.
+declared key.  Joins are left to the optimizer: AQE measures the sizes at
+runtime, broadcasts a side under ``autoBroadcastJoinThreshold`` and splits
+skewed partitions.
 """
 
 from __future__ import annotations
@@ -31,22 +30,10 @@ def first_per_key(df: DataFrame, key: str, order: str, cols: Sequence[str]) -> D
     return df.groupBy(key).agg(picked).select(key, *[F.col(f"_first.{c}").alias(c) for c in cols])
 
 
-# Largest table collected and broadcast by attach_small; beyond it the join shuffles.
-SMALL_TABLE_ROWS = 200_000
+def attach_per_group(df: DataFrame, per_group: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a per-group table (thresholds, offsets) onto the rows of its groups.
 
-
-def attach_small(
-    df: DataFrame, small: DataFrame, on: Sequence[str], how: str = "left", max_rows: int = SMALL_TABLE_ROWS
-) -> DataFrame:
-    """Join a per-group table (thresholds, offsets) that is usually tiny.
-
-    The table is fetched with a row cap of ``max_rows + 1``: under the cap its
-    size is proven and it is broadcast, so the big side is not shuffled on a
-    low-cardinality key; above the cap the join shuffles both sides and AQE
-    splits skewed partitions.
+    Lazy: the table is an aggregate, whose size AQE measures before it picks a
+    broadcast (the big side then stays where it is) or a shuffled join.
     """
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        local = df.sparkSession.createDataFrame(rows, small.schema)
-        return df.join(F.broadcast(local), list(on), how)
-    return df.join(small, list(on), how)
+    return df.join(per_group, list(on), how)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkiln.functions import above, binarize
-from tabkiln.operators.joins import attach_small
+from tabkiln.operators.joins import attach_per_group
 
 
 def _c(c: str | Column) -> Column:
@@ -92,8 +92,10 @@ def binary_metrics(
 ) -> DataFrame:
     """tp/fp/tn/fn, accuracy, precision, recall and F1 at a threshold.
 
-    ``threshold`` may be a column name holding a per-row threshold (J6).
+    ``threshold`` may be a column name holding a per-row threshold (J6).  Rows
+    without a label are left out.
     """
+    df = df.filter(F.col(label).isNotNull())
     t = F.col(threshold) if isinstance(threshold, str) else threshold
     pred = binarize(prob, t, inclusive)
     counts = df.groupBy(*by).agg(*confusion_aggs(pred, label), F.count(F.lit(1)).alias("num_samples"))
@@ -176,7 +178,9 @@ def _sweep(
     """One row per group with ``sweep``: array of structs (t, threshold, tp, fp, fn, tn, f1).
 
     ``extra`` maps names to 0/1 columns summed per group in the same pass.
+    Rows without a label are left out.
     """
+    df = df.filter(F.col(label).isNotNull())
     n_grid = len(grid)
     extra = dict(extra or {})
     bucket = grid_bucket(prob, grid, inclusive)
@@ -280,11 +284,10 @@ def apply_thresholds(
 ) -> DataFrame:
     """Binarize each row with its group's tuned threshold.
 
-    The threshold table has one row per group: it is broadcast under a
-    checked row count (no shuffle of the big side on a low-cardinality key)
-    and shuffle-joined above it.  ``keep_threshold`` keeps it as ``_thr``.
+    The threshold table has one row per group; the join is lazy and its
+    strategy is AQE's.  ``keep_threshold`` keeps it as ``_thr``.
     """
-    j = attach_small(df, thresholds.select(*by, F.col("threshold").alias("_thr")), by, "left")
+    j = attach_per_group(df, thresholds.select(*by, F.col("threshold").alias("_thr")), by, "left")
     j = j.withColumn(out, binarize(prob, F.col("_thr"), inclusive))
     return j if keep_threshold else j.drop("_thr")
 

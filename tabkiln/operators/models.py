@@ -8,21 +8,25 @@ the training table persisted once.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import math
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import VectorAssembler, VectorIndexer
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.classification import RandomForestClassifier, GBTClassifier
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StringType
 
 from tabkiln.operators.ensemble import collate, collate_pretrained
 from tabkiln.operators.ordered import assign_folds
 from tabkiln.operators.metrics import regression_metrics
+from tabkiln.operators.profile import distinct_profile
 from tabkiln.session import checkpoint_dir
 
 
@@ -30,15 +34,27 @@ def _numeric(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name not in exclude]
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core for a table an iterative learner will scan many times.
+# Layout of a training table: partitions follow its rows, never the cluster.
+ROWS_PER_PARTITION = 1_000_000
+MIN_PARTITIONS = 16
 
-    A small input file is one scan split; without this every boosting
-    iteration would run as a single task.  Tables that already have enough
-    partitions (any large input) are left as they are.
+
+def spread(
+    df: DataFrame,
+    key: str | None = None,
+    rows_per_partition: int = ROWS_PER_PARTITION,
+    min_partitions: int = MIN_PARTITIONS,
+) -> DataFrame:
+    """Training table laid out by a hash of ``key`` (else of all columns) and ordered within partitions.
+
+    Tree learners draw their bagging samples per partition, so the same rows
+    must meet in the same partition and order on every cluster, and again
+    after a lost executor.  The partition count is a function of the row count
+    alone.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    by = [key] if key is not None else df.columns
+    parts = max(min_partitions, math.ceil(df.count() / rows_per_partition))
+    return df.repartition(parts, *by).sortWithinPartitions(*by)
 
 
 DEFAULT_PARAMS = {
@@ -63,12 +79,25 @@ def regressor(learner: str, params: Mapping | None = None, features: str = "_fea
     raise ValueError(f"unknown learner {learner}")
 
 
-def _stages(features: Sequence[str], cat_threshold: int | None) -> list:
-    stages = [VectorAssembler(inputCols=list(features), outputCol="_raw" if cat_threshold else "_features", handleInvalid="keep")]
-    if cat_threshold:
-        # features with fewer than cat_threshold distinct values are treated as categorical by the trees
-        stages.append(VectorIndexer(inputCol="_raw", outputCol="_features", maxCategories=cat_threshold - 1, handleInvalid="keep"))
-    return stages
+def categorical_features(df: DataFrame, features: Sequence[str], cat_threshold: int) -> list[str]:
+    """Features with fewer than ``cat_threshold`` values that are not floating (the rule of ``column_roles``)."""
+    prof = distinct_profile(df.select(*features), None, cat_threshold, exclude_float=True).filter("categorical")
+    named = {r["column"] for r in prof.collect()}
+    return [f for f in features if f in named]
+
+
+def _stages(features: Sequence[str], categorical: Sequence[str] = ()) -> list:
+    """Assembly of ``features`` in order; categorical ones as indexed values, NULL and unseen values as one more."""
+    ix = {c: f"_ix_{c}" for c in categorical}
+    stages: list = []
+    if ix:
+        stages.append(
+            StringIndexer(
+                inputCols=list(ix), outputCols=list(ix.values()), handleInvalid="keep", stringOrderType="alphabetAsc"
+            )
+        )
+    names = [ix.get(f, f) for f in features]
+    return [*stages, VectorAssembler(inputCols=names, outputCol="_features", handleInvalid="keep")]
 
 
 # --------------------------------------------------------------------------
@@ -96,7 +125,7 @@ def feature_importance(
         )
     else:
         est = regressor(learner, params)
-    model = Pipeline(stages=[*_stages(feats, None), est]).fit(spread(data))
+    model = Pipeline(stages=[*_stages(feats), est]).fit(spread(data))
     imp = model.stages[-1].featureImportances.toArray().tolist()
     spark = df.sparkSession
     out = spark.createDataFrame([(f, float(v)) for f, v in zip(feats, imp)], "feature string, importance double")
@@ -123,7 +152,7 @@ def important_features(
 
 @dataclass
 class CvResult:
-    predictions: DataFrame  # (key, y_pred_<name>) for the test table, mean over folds
+    predictions: DataFrame | None  # (key, y_pred_<name>) for the test table, mean over folds
     oof: DataFrame  # (key, y_pred_<name>) out-of-fold for the train table
     importance: DataFrame  # (feature, importance) mean over folds
     metrics: DataFrame  # (fold, train, valid, n_trees)
@@ -131,9 +160,68 @@ class CvResult:
     features: list
 
 
+@dataclass
+class Folded:
+    """A training table with its folds, assembled and persisted for all fits."""
+
+    base: DataFrame  # (key, _features, _label, _fold)
+    prep: PipelineModel
+    features: list
+    max_bins: int | None
+    n_folds: int
+    key: str
+
+
+@contextmanager
+def folded_table(
+    train: DataFrame,
+    key: str,
+    target: str,
+    features: Sequence[str] | None = None,
+    n_folds: int = 2,
+    cat_threshold: int | None = None,
+) -> Iterator[Folded]:
+    """Contiguous folds of ``train``, persisted while the block runs; learners share it.
+
+    Features default to the numeric columns and, with ``cat_threshold``, the
+    string columns of fewer values than that.  With ``cat_threshold`` integer
+    and string features of fewer values are categorical for the trees; a
+    string feature of more values raises.
+    """
+    feats = list(features) if features is not None else _numeric(train, [key, target])
+    strings = [f.name for f in train.schema.fields if isinstance(f.dataType, StringType) and f.name not in (key, target)]
+    if features is None and cat_threshold:
+        feats += strings
+    cats = categorical_features(train, feats, cat_threshold) if cat_threshold else []
+    if features is None:
+        feats = [f for f in feats if f not in strings or f in cats]
+    if wide := [f for f in feats if f in strings and f not in cats]:
+        raise ValueError(f"string features {wide} are not categorical at cat_threshold={cat_threshold}")
+    prep = Pipeline(stages=_stages(feats, cats)).fit(train.select(*feats))
+    rows = train.select(key, *feats, F.col(target).cast("double").alias("_label"))
+    folded = prep.transform(assign_folds(rows, key, n_folds, out="_fold"))
+    base = spread(folded.select(key, "_features", "_label", "_fold"), key).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield Folded(base, prep, feats, max(32, cat_threshold + 1) if cats else None, n_folds, key)
+    finally:
+        base.unpersist()
+
+
+def _fit_fold(folded: Folded, k: int, learner: str, params: Mapping | None, early_stopping: bool):
+    """The learner fitted on every fold but ``k``."""
+    p = dict(params or {})
+    if folded.max_bins and learner != "lr":
+        p.setdefault("maxBins", folded.max_bins)
+    held = F.col("_fold") == k
+    if learner == "gbt" and early_stopping:
+        est = regressor(learner, {**p, "validationIndicatorCol": "_is_valid"})
+        return est.fit(folded.base.withColumn("_is_valid", held))
+    return regressor(learner, p).fit(folded.base.filter(~held))
+
+
 def cv_regression(
     train: DataFrame,
-    test: DataFrame,
+    test: DataFrame | None,
     key: str,
     target: str,
     features: Sequence[str] | None = None,
@@ -146,69 +234,69 @@ def cv_regression(
 ) -> CvResult:
     """Contiguous k-fold regression with out-of-fold and averaged test predictions.
 
-    Features are assembled once and the assembled table is persisted for all
-    folds.  Metrics: per fold train and valid RMSE (one scoring pass per fold);
-    an ``overall`` row with the mean train RMSE and the R^2 of the out-of-fold
-    predictions.  GBT uses the valid fold for early stopping
-    (``validationIndicatorCol``).
+    Metrics: per fold train and valid RMSE (one scoring pass per fold); an
+    ``overall`` row with the mean train RMSE and the R^2 of the out-of-fold
+    predictions.  Boosting uses the valid fold for early stopping
+    (``validationIndicatorCol``): MLlib stops at the first round whose
+    validation error gains less than ``validationTol`` (1 % unless ``params``
+    says otherwise) and keeps the best round; it has no patience of several
+    rounds.  Without a test table there are no predictions.
     """
+    with folded_table(train, key, target, features, n_folds, cat_threshold) as folded:
+        return cv_folded(folded, test, learner, params, name, early_stopping)
+
+
+def cv_folded(
+    folded: Folded,
+    test: DataFrame | None,
+    learner: str,
+    params: Mapping | None = None,
+    name: str | None = None,
+    early_stopping: bool = True,
+) -> CvResult:
+    """:func:`cv_regression` on folds made before, so that several learners share them."""
     name = name or learner
-    feats = list(features) if features is not None else _numeric(train, [key, target])
-    spark = train.sparkSession
-    if cat_threshold:
-        prep = Pipeline(stages=_stages(feats, cat_threshold)).fit(train.select(*feats))
-    else:
-        prep = PipelineModel(stages=_stages(feats, None))
-    folded = assign_folds(train.select(key, *feats, F.col(target).cast("double").alias("_label")), key, n_folds, out="_fold")
-    base = spread(prep.transform(folded).select(key, "_features", "_label", "_fold")).persist(StorageLevel.MEMORY_AND_DISK)
-    test_x = prep.transform(test.select(key, *feats)).select(key, "_features")
-    oof_parts, test_parts, rows, imps = [], [], [], []
-    fitted = None
-    try:
-        for k in range(n_folds):
-            if learner == "gbt" and early_stopping:
-                data = base.withColumn("_is_valid", F.col("_fold") == k)
-                est = regressor(learner, {**(params or {}), "validationIndicatorCol": "_is_valid"})
-            else:
-                data = base.filter(F.col("_fold") != k)
-                est = regressor(learner, params)
-            fitted = est.fit(data)
-            if hasattr(fitted, "featureImportances"):
-                imps.append(fitted.featureImportances.toArray().tolist())
-            n_trees = len(fitted.trees) if hasattr(fitted, "trees") else None
-            scored = fitted.transform(base)
-            err = regression_metrics(
-                scored.withColumn("_part", F.when(F.col("_fold") == k, "valid").otherwise("train")),
-                "prediction",
-                "_label",
-                by=["_part"],
-            )
-            rmse = {r["_part"]: r["rmse"] for r in err.collect()}
-            rows.append((str(k), float(rmse.get("train") or 0.0), float(rmse.get("valid") or 0.0), n_trees))
-            oof_parts.append(scored.filter(F.col("_fold") == k).select(key, "_label", F.col("prediction").alias("_p")))
-            test_parts.append(fitted.transform(test_x).select(key, F.col("prediction").alias("_p")))
-        oof = oof_parts[0]
-        for p in oof_parts[1:]:
-            oof = oof.unionByName(p)
-        # materialise the out-of-fold table in the shared checkpoint folder so it
-        # no longer depends on the cached training table
-        checkpoint_dir(spark)
-        oof = oof.checkpoint(eager=True)
-        r2 = regression_metrics(oof, "_p", "_label").first()["r2"]
-        rows.append(("overall", float(sum(r[1] for r in rows) / n_folds), float(r2) if r2 is not None else None, None))
-    finally:
-        base.unpersist()
-    tp = test_parts[0]
-    for p in test_parts[1:]:
-        tp = tp.unionByName(p)
-    predictions = tp.groupBy(key).agg(F.avg("_p").alias(f"y_pred_{name}"))
+    key, base, feats, n_folds = folded.key, folded.base, folded.features, folded.n_folds
+    spark = base.sparkSession
+    oof_parts, rows, imps, fits = [], [], [], []
+    for k in range(n_folds):
+        fitted = _fit_fold(folded, k, learner, params, early_stopping)
+        fits.append(fitted)
+        if hasattr(fitted, "featureImportances"):
+            imps.append(fitted.featureImportances.toArray().tolist())
+        n_trees = len(fitted.trees) if hasattr(fitted, "trees") else None
+        scored = fitted.transform(base)
+        err = regression_metrics(
+            scored.withColumn("_part", F.when(F.col("_fold") == k, "valid").otherwise("train")),
+            "prediction",
+            "_label",
+            by=["_part"],
+        )
+        rmse = {r["_part"]: r["rmse"] for r in err.collect()}
+        rows.append((str(k), float(rmse.get("train") or 0.0), float(rmse.get("valid") or 0.0), n_trees))
+        oof_parts.append(scored.filter(F.col("_fold") == k).select(key, "_label", F.col("prediction").alias("_p")))
+    oof = reduce(DataFrame.unionByName, oof_parts)
+    # materialise the out-of-fold table in the shared checkpoint folder so it
+    # no longer depends on the cached training table
+    checkpoint_dir(spark)
+    oof = oof.checkpoint(eager=True)
+    r2 = regression_metrics(oof, "_p", "_label").first()["r2"]
+    rows.append(("overall", float(sum(r[1] for r in rows) / n_folds), float(r2) if r2 is not None else None, None))
+    predictions = None
+    if test is not None:
+        # every fold's model scores the same scan of the test table: no union, no shuffle
+        scored = folded.prep.transform(test.select(key, *feats))
+        for k, fitted in enumerate(fits):
+            scored = fitted.transform(scored, {fitted.predictionCol: f"_p{k}"})
+        mean = sum((F.col(f"_p{k}") for k in range(n_folds)), F.lit(0.0)) / F.lit(float(n_folds))
+        predictions = scored.select(key, mean.alias(f"y_pred_{name}"))
     if imps:
         mean_imp = [sum(v[i] for v in imps) / len(imps) for i in range(len(feats))]
     else:
         mean_imp = [0.0] * len(feats)
     importance = spark.createDataFrame(list(zip(feats, [float(x) for x in mean_imp])), "feature string, importance double")
     metrics = spark.createDataFrame(rows, "fold string, train double, valid double, n_trees int")
-    model = PipelineModel(stages=[*prep.stages, fitted])
+    model = PipelineModel(stages=[*folded.prep.stages, fits[-1]])
     return CvResult(predictions, oof.select(key, F.col("_p").alias(f"y_pred_{name}")), importance, metrics, model, feats)
 
 
@@ -251,8 +339,9 @@ def fit_and_predict(
     """Train with k-fold CV per learner, predict the test table, collate with truth (M8 train-test)."""
     specs = {n: {} for n in learners} if not isinstance(learners, Mapping) else dict(learners)
     results = {}
-    for name, params in specs.items():
-        results[name] = cv_regression(train, test, key, target, features, name, n_folds, params, name=name)
+    with folded_table(train, key, target, features, n_folds) as folded:
+        for name, params in specs.items():
+            results[name] = cv_folded(folded, test, name, params, name)
     truth = test.select(key, target)
     return collate([r.predictions for r in results.values()], truth, tolerance, key, target), results
 
@@ -266,14 +355,15 @@ def fit_only(
     n_folds: int = 2,
     features: Sequence[str] | None = None,
 ) -> dict[str, str]:
-    """Train and save the last fold's model per learner (M8 train-only); returns model paths."""
+    """Fit and save the last fold's model per learner, that one only (M8 train-only); returns model paths."""
     specs = {n: {} for n in learners} if not isinstance(learners, Mapping) else dict(learners)
     paths = {}
-    for name, params in specs.items():
-        res = cv_regression(train, train.limit(0), key, target, features, name, n_folds, params, name=name)
-        path = f"{model_dir.rstrip('/')}/{name}"
-        save_model(res.model, path)
-        paths[name] = path
+    with folded_table(train, key, target, features, n_folds) as folded:
+        for name, params in specs.items():
+            fitted = _fit_fold(folded, n_folds - 1, name, params, True)
+            path = f"{model_dir.rstrip('/')}/{name}"
+            save_model(PipelineModel(stages=[*folded.prep.stages, fitted]), path)
+            paths[name] = path
     return paths
 
 

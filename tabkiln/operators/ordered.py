@@ -21,7 +21,9 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
+
+from tabkiln.operators.project import _missing
 
 # Ranges hold about ROWS_PER_BUCKET rows at scale; mid-size inputs are cut into
 # up to default-parallelism ranges of at least MIN_ROWS_PER_BUCKET rows.
@@ -43,7 +45,11 @@ def _numeric_key(df: DataFrame, key: str) -> Column:
         return F.unix_micros(F.col(key).cast("timestamp")).cast("double")
     if isinstance(dt, DateType):
         return F.unix_date(F.col(key)).cast("double")
-    raise TypeError(f"leading order key {key} must be numeric, date or timestamp, got {dt}")
+    if isinstance(dt, StringType):
+        # the first six bytes as a number: exact in a double and monotone in the string order
+        head = F.hex(F.substring(F.col(key).cast("binary"), 1, 6))
+        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+    raise TypeError(f"order key {key} must be numeric, string, date or timestamp, got {dt}")
 
 
 def _ranges(
@@ -55,6 +61,8 @@ def _ranges(
 ) -> tuple[DataFrame, int, int]:
     """Add ``_range_id``; ranges are ordered like the keys.
 
+    Rows without a leading key form the first range (NULL sorts first), rows
+    with NaN belong to the last one (NaN sorts last): no row is left out.
     A leading-key value that fills several quantile slots (a hot value) gets a
     range of its own, cut further at quantiles of the next order key computed
     over that value's rows only (one extra pass for all hot values); with a
@@ -81,12 +89,13 @@ def _ranges(
     bucketizer = Bucketizer(splits=splits, inputCol="_range_key", outputCol="_range_f", handleInvalid="keep")
     out = bucketizer.transform(staged)
     rid = F.col("_range_f").cast("int")
+    no_key = F.col("_range_key").isNull()
     n_ranges = len(splits) - 1
     if hot:
         sub, width = _hot_subranges(df, staged, keys, hot, slots, accuracy)
         rid = rid * width + sub
         n_ranges += sum(slots[v] for v in hot)
-    return out.withColumn(_B, rid).drop("_range_key", "_range_f"), n, n_ranges
+    return out.withColumn(_B, F.when(no_key, F.lit(-1)).otherwise(rid)).drop("_range_key", "_range_f"), n, n_ranges + 1
 
 
 def _hot_subranges(
@@ -168,14 +177,15 @@ def fill_forward_backward(
     """Forward fill then backward fill of ``cols`` along ``order_by``.
 
     Like pandas ``ffill().bfill()``: leading NULLs take the first value that
-    follows them.
+    follows them, and NaN counts as missing.  Cells that nothing can fill are
+    NULL.
     """
     keys = _keys(order_by)
     ranged, _ = with_ranges(df, keys, rows_per_bucket)
     korder = [F.col(k) for k in keys]
     summary_aggs = []
     for c in cols:
-        present = F.col(c).isNotNull()
+        present = ~_missing(df, c)
         summary_aggs.append(F.max(F.when(present, F.struct(*korder, F.col(c).alias("_v")))).alias(f"_last_{c}"))
         summary_aggs.append(F.min(F.when(present, F.struct(*korder, F.col(c).alias("_v")))).alias(f"_first_{c}"))
     summary = ranged.groupBy(_B).agg(*summary_aggs)
@@ -196,11 +206,12 @@ def fill_forward_backward(
     upto_rev = Window.partitionBy(_B).orderBy(*[k.desc() for k in korder]).rowsBetween(Window.unboundedPreceding, 0)
     filled = {}
     for c in cols:
-        v = F.col(c)
+        own = F.when(~_missing(df, c), F.col(c))
+        v = own
         if forward:
-            v = F.coalesce(v, F.last(F.col(c), ignorenulls=True).over(upto), F.col(f"_in_{c}"))
+            v = F.coalesce(v, F.last(own, ignorenulls=True).over(upto), F.col(f"_in_{c}"))
         if backward:
-            v = F.coalesce(v, F.last(F.col(c), ignorenulls=True).over(upto_rev), F.col(f"_out_{c}"))
+            v = F.coalesce(v, F.last(own, ignorenulls=True).over(upto_rev), F.col(f"_out_{c}"))
         filled[c] = v
     out = joined.withColumns(filled)
     return out.drop(_B, *[f"_in_{c}" for c in cols], *[f"_out_{c}" for c in cols])
@@ -254,7 +265,9 @@ def rank_cuts(
 def at_or_before(order: Sequence[str], cut: tuple | None) -> Column:
     if cut is None:
         return F.lit(False)
-    return F.struct(*[F.col(c) for c in order]) <= F.struct(*[F.lit(v).alias(c) for c, v in zip(order, cut)])
+    # a NULL in the cut takes its column's type
+    values = [(F.when(F.lit(False), F.col(c)) if v is None else F.lit(v)).alias(c) for c, v in zip(order, cut)]
+    return F.struct(*[F.col(c) for c in order]) <= F.struct(*values)
 
 
 def assign_folds(

@@ -219,18 +219,24 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str], method: str = "auto")
 
 
 def profile_present_counts(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Per column: mean and number of missing values (NULL or NaN), one chunked pass."""
+    """Per column: mean, deviation and number of missing values (NULL or NaN), one chunked pass."""
     cell = lambda c: F.struct(
         F.lit(c).alias("column"),
         F.avg(_present(df, c).cast("double")).alias("mean"),
+        F.stddev_pop(_present(df, c).cast("double")).alias("sd"),
         F.sum(_present(df, c).isNull().cast("long")).alias("missing"),
     )
-    return {r["column"]: {"mean": r["mean"], "missing": r["missing"]} for r in _chunked_cells(df, list(cols), cell, 3).collect()}
+    return {r["column"]: r.asDict() for r in _chunked_cells(df, list(cols), cell, 6).collect()}
 
 
 def _gramian_pairs(df: DataFrame, cols: list[str], full: list[str], present: dict) -> DataFrame:
     names = [f"_g{k}" for k in range(len(full))]
-    centred = df.select(*[(_q(c).cast("double") - F.lit(float(present[c]["mean"] or 0.0))).alias(n) for c, n in zip(full, names)])
+    # scaled to unit deviation as well: MLlib takes a variance below 1e-12 for a constant
+    centred = df.select(*[
+        ((_q(c).cast("double") - F.lit(float(present[c]["mean"] or 0.0))) * F.lit(1.0 / present[c]["sd"])).alias(n)
+        if present[c]["sd"] else F.lit(0.0).alias(n)
+        for c, n in zip(full, names)
+    ])
     vec = VectorAssembler(inputCols=names, outputCol="_v").transform(centred).select("_v")
     m = Correlation.corr(vec, "_v").head()[0].toArray()
     pos = {c: cols.index(c) for c in full}

@@ -6,19 +6,24 @@ them into a single projection inside whole-stage codegen.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, LongType
+from pyspark.sql.types import (
+    BooleanType,
+    DataType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from tabkiln.functions.columns import is_bad_number
 
-# Mappings with more keys than this are joined as a broadcast table instead of
-# being inlined as a map literal.  The mapping is a driver-side dict, so its
-# size is known before it is broadcast.
-MAP_LITERAL_LIMIT = 1000
-
 
 def _q(name: str) -> Column:
     return F.col(f"`{name}`")
@@ -35,19 +40,38 @@ def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def map_values(df: DataFrame, col: str, mapping: Mapping, out: str | None = None) -> DataFrame:
-    """Replace values by a mapping; values without a mapping become NULL."""
+    """Replace values by a mapping; values without a mapping become NULL.
+
+    The mapping is a driver-side dict and joins as a local table of known
+    size, whatever its length; Catalyst broadcasts it where it is small.  The
+    result has the narrowest type that holds all mapped values.
+    """
     out = out or col
     if not mapping:
         return df.withColumn(out, F.lit(None).cast(df.schema[col].dataType))
-    if len(mapping) <= MAP_LITERAL_LIMIT:
-        m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
-        return df.withColumn(out, F.try_element_at(m, _q(col)))
-    spark = df.sparkSession
-    table = spark.createDataFrame(list(mapping.items()), ["_map_key", "_map_value"])
-    joined = df.join(F.broadcast(table), _q(col) == F.col("_map_key"), "left")
+    schema = StructType([
+        StructField("_map_key", _python_type(mapping.keys())),
+        StructField("_map_value", _python_type(mapping.values())),
+    ])
+    cast = [str if isinstance(f.dataType, StringType) else float if isinstance(f.dataType, DoubleType) else None for f in schema]
+    rows = [tuple(c(x) if c and x is not None else x for c, x in zip(cast, kv)) for kv in mapping.items()]
+    table = df.sparkSession.createDataFrame(rows, schema)
+    joined = df.join(table, _q(col) == F.col("_map_key"), "left")
     return joined.withColumn(out, F.col("_map_value")).drop("_map_key", "_map_value")
 
 
+def _python_type(values: Iterable) -> DataType:
+    """Type of a list of Python scalars: bool, int, bigint, double, or string for anything else or a mixture."""
+    present = [v for v in values if v is not None]
+    if present and all(isinstance(v, bool) for v in present):
+        return BooleanType()
+    if present and all(isinstance(v, int) and not isinstance(v, bool) for v in present):
+        return IntegerType() if all(-(2**31) <= v < 2**31 for v in present) else LongType()
+    if present and all(isinstance(v, (int, float)) and not isinstance(v, bool) for v in present):
+        return DoubleType()
+    return StringType()
+
+
 def _missing(df: DataFrame, c: str) -> Column:
     """NULL, or NaN in a floating column (what pandas calls missing)."""
     if isinstance(df.schema[c].dataType, (DoubleType, FloatType)):
@@ -133,9 +157,9 @@ def sanitize_numbers(df: DataFrame, cols: Sequence[str] | None = None, value: fl
     return df.withColumns({c: F.when(is_bad_number(_q(c)), F.lit(value)).otherwise(_q(c)) for c in cols})
 
 
-def normalize_names(names: Sequence[str]) -> list[str]:
-    """``lower().strip()`` of column names (P16, driver-side)."""
-    return [n.strip().lower() for n in names]
+def normalize_names(df: DataFrame) -> DataFrame:
+    """``lower().strip()`` of the column names."""
+    return df.toDF(*[n.strip().lower() for n in df.columns])
 
 
 def normalize_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -144,8 +168,8 @@ def normalize_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def split_on_null(df: DataFrame, col: str) -> tuple[DataFrame, DataFrame]:
-    """Rows where ``col`` is set, rows where it is NULL."""
-    return df.filter(_q(col).isNotNull()), df.filter(_q(col).isNull())
+    """Rows where ``col`` is set, rows where it is missing: NULL or NaN."""
+    return df.filter(~_missing(df, col)), df.filter(_missing(df, col))
 
 
 def complete_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:

@@ -11,13 +11,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tabkiln.operators.project import _missing
+
 
 @dataclass
 class PcaResult:
@@ -30,22 +34,28 @@ class PcaResult:
         return list(self.model.stages[-1].explainedVariance.toArray())
 
     def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+        """Every row of ``df``; a row with a missing column has NULL components."""
+        complete = _complete(df, self.columns)
         out = self.model.transform(df)
         arr = vector_to_array(F.col("_pca"))
-        return out.select(*[F.col(c) for c in keep], *[arr[i].alias(f"pca_{i}") for i in range(self.k)])
+        return out.select(*[F.col(c) for c in keep], *[F.when(complete, arr[i]).alias(f"pca_{i}") for i in range(self.k)])
+
+
+def _complete(df: DataFrame, cols: Sequence[str]) -> Column:
+    return reduce(and_, [~_missing(df, c) for c in cols])
 
 
 def fit_pca(df: DataFrame, cols: Sequence[str], k: int) -> PcaResult:
-    """Centred PCA of ``cols`` with ``k`` components; NULL rows are skipped by the assembler."""
+    """Centred PCA of ``cols`` with ``k`` components, fitted on the rows without missing values."""
     cols = list(cols)
     if k > len(cols):
         raise ValueError("k cannot exceed the number of columns")
     stages = [
-        VectorAssembler(inputCols=cols, outputCol="_pca_in", handleInvalid="skip"),
+        VectorAssembler(inputCols=cols, outputCol="_pca_in", handleInvalid="keep"),
         StandardScaler(inputCol="_pca_in", outputCol="_pca_c", withMean=True, withStd=False),
         PCA(k=k, inputCol="_pca_c", outputCol="_pca"),
     ]
-    model = Pipeline(stages=stages).fit(df)
+    model = Pipeline(stages=stages).fit(df.filter(_complete(df, cols)))
     return PcaResult(model, cols, k)
 
 

@@ -54,21 +54,28 @@ def aggregate_segments(
     key: str,
     logits: str = "logits",
     strategy: str = "mean",
-    n_logits: int = 2,
+    n_logits: int | None = None,
     order: str = "seg_no",
     carry: Sequence[str] = (),
     positive: int = 1,
 ) -> DataFrame:
     """Segment logits to one vector per key.
 
-    ``mean``: element-wise mean.  ``max``: the whole vector of the segment with
+    ``mean``: element-wise mean over the whole vectors; their length is read
+    from the data, or stated by ``n_logits`` to spare that pass (a longer vector
+    then raises).  ``max``: the whole vector of the segment with
     the largest logit at ``positive``, ties to the first segment.  ``carry``
     columns come from the first segment of each key.
     """
     if strategy not in ("mean", "max"):
         raise ValueError("strategy must be 'mean' or 'max'")
     if strategy == "mean":
-        agg = F.array(*[F.avg(F.col(logits)[i]) for i in range(n_logits)])
+        vec = F.col(logits)
+        if n_logits is None:
+            n_logits = df.agg(F.max(F.size(logits))).first()[0] or 0
+        else:
+            vec = F.when(F.size(logits) > n_logits, F.raise_error(F.lit(f"more than {n_logits} logits"))).otherwise(vec)
+        agg = F.array(*[F.avg(F.get(vec, F.lit(i))) for i in range(n_logits)])
     else:
         agg = F.max_by(F.col(logits), F.struct(F.col(logits)[positive], -F.col(order)))
     meta = [F.min_by(F.col(c), F.col(order)).alias(c) for c in carry]

@@ -5,6 +5,10 @@ of the key, equal in Spark and in SQL engines, and independent of partitioning.
 Exact sizes (``ceil(n * fraction)`` as in scikit-learn) come from the hash
 value at the cut rank, found by ordering only the key range that holds it;
 rows are then tagged by comparison, without ranking the whole table.
+
+Rows that share a key are told apart by a hash of all their columns, so sizes
+stay exact with repeated keys at every table size; only rows equal in every
+column always fall on one side.
 """
 
 from __future__ import annotations
@@ -15,8 +19,9 @@ from collections.abc import Mapping, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import MapType
 
-from tabkiln.operators.ordered import ROWS_PER_BUCKET, _index_ranged, at_or_before, rank_cuts, with_ranges
+from tabkiln.operators.ordered import at_or_before, rank_cuts
 
 
 def union_tagged(parts: Mapping[str, DataFrame], col: str = "type") -> DataFrame:
@@ -34,20 +39,14 @@ def hash_order(key: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-_ORDER = ["_h60", "_h"]
+# The first 60 bits of the key's hash, then a hash of the whole row for rows that share a key.
+_ORDER = ["_h60", "_tie"]
 
 
 def _with_hash(df: DataFrame, key: str, seed: int | str) -> DataFrame:
-    h = hash_order(key, seed)
-    return df.withColumn("_h", h).withColumn("_h60", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
-
-
-def hash_rank(df: DataFrame, key: str, seed: int | str, out: str = "_rank", rows_per_bucket: int = ROWS_PER_BUCKET):
-    """1-based rank of each row in hash order, and the row count."""
-    staged = _with_hash(df, key, seed)
-    ranged, n = with_ranges(staged, [*_ORDER, key], rows_per_bucket)
-    ranked = _index_ranged(ranged, [*_ORDER, key], out, 1)
-    return ranked.drop("_h", "_h60"), n
+    h60 = F.conv(F.substring(hash_order(key, seed), 1, 15), 16, 10).cast("long")
+    row = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    return df.withColumns({"_h60": h60, "_tie": F.xxhash64(*row)})
 
 
 def holdout_split(
@@ -60,12 +59,12 @@ def holdout_split(
     the table.
     """
     staged = _with_hash(df, key, seed)
-    order = [*_ORDER, key]
+    order = _ORDER
     n = staged.count()
     n_test = math.ceil(n * test_fraction)
     cuts, _ = rank_cuts(staged, order, [n_test], n=n)
     tag = F.when(at_or_before(order, cuts[n_test]), "test").otherwise("train")
-    return staged.withColumn(out, tag).drop("_h", "_h60")
+    return staged.withColumn(out, tag).drop(*_ORDER)
 
 
 def three_way_split(
@@ -79,7 +78,7 @@ def three_way_split(
     """train / val / test as two chained holdouts (U3): ``ceil(n*0.4)`` held out,
     ``ceil(held*0.5)`` of them test, the rest val."""
     staged = _with_hash(df, key, seed)
-    order = [*_ORDER, key]
+    order = _ORDER
     n = staged.count()
     held = math.ceil(n * holdout_fraction)
     n_test = math.ceil(held * test_share)
@@ -89,7 +88,7 @@ def three_way_split(
         .when(at_or_before(order, cuts[held]), "val")
         .otherwise("train")
     )
-    return staged.withColumn(out, tag).drop("_h", "_h60")
+    return staged.withColumn(out, tag).drop(*_ORDER)
 
 
 def split_by_group(
@@ -104,7 +103,7 @@ def split_by_group(
     # the distinct keys are cached only while the cut is found; the result needs just the cut
     groups = _with_hash(df.select(group_key).distinct(), group_key, seed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        order = [*_ORDER, group_key]
+        order = ["_h60"]
         n = groups.count()
         n_test = math.ceil(n * test_fraction)
         cuts, _ = rank_cuts(groups, order, [n_test], n=n)
@@ -112,10 +111,4 @@ def split_by_group(
         groups.unpersist()
     staged = _with_hash(df, group_key, seed)
     tag = F.when(at_or_before(order, cuts[n_test]), "test").otherwise("train")
-    return staged.withColumn(out, tag).drop("_h", "_h60")
-
-
-def split_frames(tagged: DataFrame, col: str = "split") -> dict[str, DataFrame]:
-    """Separate DataFrames per tag value (lazy filters)."""
-    names: Sequence[str] = [r[0] for r in tagged.select(col).distinct().collect()]
-    return {n: tagged.filter(F.col(col) == n).drop(col) for n in names}
+    return staged.withColumn(out, tag).drop(*_ORDER)

@@ -139,8 +139,8 @@ def fit_predict_collate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("cv_importance")
 def cv_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feature importance averaged over the folds of a k-fold fit."""
-    train, test = _split(spark, sf_dir)
-    res = models.cv_regression(train, test.limit(0), "id", "y", _FEATS, "rf", 2, _RF, name="rf")
+    train, _ = _split(spark, sf_dir)
+    res = models.cv_regression(train, None, "id", "y", _FEATS, "rf", 2, _RF, name="rf")
     return res.importance
 
 

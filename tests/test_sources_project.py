@@ -31,12 +31,11 @@ def test_reports_partitioned_by_level_and_kind(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "r")).count() == 3
 
 
-def test_attach_small_falls_back_to_shuffle_join(spark):
+def test_attach_per_group_is_a_left_join(spark):
     big = spark.range(100).withColumn("g", F.col("id") % 10)
     small = spark.range(10).select(F.col("id").alias("g"), (F.col("id") * 2).alias("t"))
-    a = joins.attach_small(big, small, ["g"], max_rows=5)  # above the cap: plain join
-    b = joins.attach_small(big, small, ["g"], max_rows=50)  # under the cap: broadcast
-    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+    got = joins.attach_per_group(big, small.filter("g < 9"), ["g"]).collect()
+    assert len(got) == 100 and {(r.g, r.t) for r in got} == {(g, 2 * g if g < 9 else None) for g in range(10)}
 
 
 def test_map_values_large_mapping_uses_join(spark):
