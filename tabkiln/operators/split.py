@@ -92,16 +92,23 @@ def three_way_split(
 
 
 def split_by_group(
-    df: DataFrame, group_key: str, test_fraction: float = 0.25, seed: int | str = 42, out: str = "split"
+    df: DataFrame,
+    group_key: str,
+    test_fraction: float = 0.25,
+    seed: int | str = 42,
+    out: str = "split",
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Split whole groups (e.g. all segments of a document) to one side (U4).
 
     ``ceil(groups * fraction)`` distinct group keys go to test.  The cut is
     found on the distinct keys; the rows are then tagged by comparing their
     group's hash with it, so the big table is never joined or shuffled.
+    ``groups`` names a smaller table with the same group keys to find them in.
     """
     # the distinct keys are cached only while the cut is found; the result needs just the cut
-    groups = _with_hash(df.select(group_key).distinct(), group_key, seed).persist(StorageLevel.MEMORY_AND_DISK)
+    keyed = df if groups is None else groups
+    groups = _with_hash(keyed.select(group_key).distinct(), group_key, seed).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         order = ["_h60"]
         n = groups.count()

@@ -21,9 +21,9 @@ TRIPLET, SUBJ, OBJ = "<triplet>", "<subj>", "<obj>"
 
 # default words dropped from query texts before the subject lookup (a parameter)
 STOPWORDS = (
-    "a", "an", "and", "are", "as", "at", "be", "by", "did", "do", "does", "for", "from", "happened",
+    "a", "an", "and", "are", "as", "at", "be", "by", "did", "do", "does", "for", "from",
     "how", "in", "is", "it", "of", "on", "or", "that", "the", "this", "to", "was", "were", "what",
-    "when", "where", "which", "who", "why", "with", "after", "before", "contain", "located",
+    "when", "where", "which", "who", "why", "with",
 )
 
 TRIPLE_SCHEMA = "chunk_id long, head string, relation string, tail string"
@@ -33,8 +33,8 @@ def _spaced(c: Column) -> Column:
     return F.concat(F.lit(" "), c, F.lit(" "))
 
 
-def triples_from_tags(df: DataFrame, key: str, tagged: str) -> DataFrame:
-    """``(key, head, relation, tail)`` from tagged text (K2).
+def triples_from_tags(df: DataFrame, key: str, tagged: str, carry: Sequence[str] = ()) -> DataFrame:
+    """``(key, carry..., head, relation, tail)`` from tagged text (K2).
 
     A pair is emitted when its relation is non-empty; the last pair of a text
     also needs a head and a tail.  Marker tokens count only as whole
@@ -43,13 +43,14 @@ def triples_from_tags(df: DataFrame, key: str, tagged: str) -> DataFrame:
     cleaned = F.regexp_replace(F.col(tagged), "|".join(SPECIAL_TOKENS), "")
     norm = _spaced(F.array_join(tokens(cleaned), " "))
     parts = F.split(norm, f" {TRIPLET} ")
-    staged = df.select(key, F.posexplode(parts).alias("_p", "_part"), F.size(parts).alias("_np"))
+    staged = df.select(key, *carry, F.posexplode(parts).alias("_p", "_part"), F.size(parts).alias("_np"))
     # words before the first <triplet> belong to no triple
     staged = staged.filter(F.col("_p") > 0)
     part = _spaced(F.col("_part"))
     segs = F.split(part, f" {SUBJ} ")
     staged = staged.select(
         key,
+        *carry,
         "_p",
         "_np",
         F.trim(F.element_at(segs, 1)).alias("head"),
@@ -62,6 +63,7 @@ def triples_from_tags(df: DataFrame, key: str, tagged: str) -> DataFrame:
     relation = F.when(has_obj, F.trim(F.substring_index(seg, f" {OBJ} ", -1))).otherwise(F.lit(""))
     out = staged.select(
         key,
+        *carry,
         "head",
         relation.alias("relation"),
         tail.alias("tail"),
@@ -76,12 +78,32 @@ def extract_with(df: DataFrame, fn: Callable, schema: str = TRIPLE_SCHEMA) -> Da
     return df.mapInPandas(fn, schema)
 
 
-def query_keywords(df: DataFrame, key: str, text: str, stopwords: Sequence[str] = STOPWORDS) -> DataFrame:
-    """``(key, keyword)``: distinct lower-case tokens of a query without stopwords."""
-    toks = F.array_remove(F.split(F.lower(F.col(text)), "[^a-z0-9_#]+"), "")
+def _words(c: str) -> Column:
+    return F.array_remove(F.split(F.lower(F.col(c)), "[^a-z0-9_#]+"), "")
+
+
+def query_keywords(
+    df: DataFrame, key: str, text: str, stopwords: Sequence[str] = STOPWORDS, max_words: int = 1
+) -> DataFrame:
+    """``(key, keyword)``: distinct runs of 1 to ``max_words`` lower-case words of a query, joined by one space.
+
+    Runs of stopwords only are left out.
+    """
+    staged = df.select(key, _words(text).alias("_w")).filter(F.size("_w") > 0)
+    n = F.size("_w")
+    runs = F.flatten(
+        F.transform(
+            F.sequence(F.lit(1), n),
+            lambda i: F.transform(
+                F.sequence(F.lit(1), F.least(F.lit(max_words), n - i + 1)), lambda k: F.slice(F.col("_w"), i, k)
+            ),
+        )
+    )
+    stop = F.array(*[F.lit(w) for w in stopwords]).cast("array<string>")
     return (
-        df.select(key, F.explode(toks).alias("keyword"))
-        .filter(~F.col("keyword").isin(list(stopwords)))
+        staged.select(key, F.explode(runs).alias("_run"))
+        .filter(F.size(F.array_except("_run", stop)) > 0)
+        .select(key, F.array_join("_run", " ").alias("keyword"))
         .distinct()
     )
 
@@ -91,17 +113,19 @@ def lookup_triples(
     query_key: str,
     query_text: str,
     triples: DataFrame,
-    chunks: DataFrame | None = None,
-    chunk_key: str = "chunk_id",
     stopwords: Sequence[str] = STOPWORDS,
+    max_words: int | None = None,
 ) -> DataFrame:
-    """Triples whose subject equals a query keyword, with their source chunks."""
-    kw = query_keywords(queries, query_key, query_text, stopwords)
-    t = triples.withColumn("_head_key", F.lower(F.col("head")))
-    hits = kw.join(t, kw["keyword"] == t["_head_key"], "inner").drop("_head_key")
-    if chunks is not None:
-        hits = hits.join(chunks, chunk_key, "left")
-    return hits
+    """Triples whose subject occurs in a query as a run of its words, with the columns they carry.
+
+    ``max_words`` is the longest subject in words, read from the triples
+    unless stated.
+    """
+    t = triples.withColumn("_head_key", F.array_join(_words("head"), " "))
+    if max_words is None:
+        max_words = triples.agg(F.max(F.size(_words("head")))).first()[0] or 1
+    kw = query_keywords(queries, query_key, query_text, stopwords, max_words)
+    return kw.join(t, kw["keyword"] == t["_head_key"], "inner").drop("_head_key")
 
 
 def graph_edges(triples: DataFrame) -> DataFrame:

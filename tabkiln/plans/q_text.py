@@ -15,13 +15,13 @@ LENGTH, OVERLAP = 256, 64
 _SEG_SQL = fx.SEGMENTS_SQL.format(length=LENGTH, overlap=OVERLAP, step=LENGTH - OVERLAP)
 
 
-def _windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = fx.t(spark, sf_dir, "documents")
+def _windows(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    d = fx.t(spark, sf_dir, "documents") if docs is None else docs
     return segments.text_windows(d, "doc_id", "text", LENGTH, OVERLAP, carry=["lang"])
 
 
-def _scored_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    w = _windows(spark, sf_dir)
+def _scored_segments(spark: SparkSession, sf_dir: str, docs: DataFrame | None = None) -> DataFrame:
+    w = _windows(spark, sf_dir, docs)
     return w.withColumn("logits", fx.segment_logits(F.size("tokens"), F.col("seg_no"), F.col("doc_id")))
 
 
@@ -63,7 +63,7 @@ def _agg_out(agg: DataFrame) -> DataFrame:
 @register("segment_mean", _MEAN_SQL, doubles=["logit0", "logit1", "prob"])
 def segment_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Element-wise mean of segment logits per document, then sigmoid of class 1."""
-    agg = segments.aggregate_segments(_scored_segments(spark, sf_dir), "doc_id", "logits", "mean", carry=["lang"])
+    agg = segments.aggregate_segments(_scored_segments(spark, sf_dir), "doc_id", "logits", "mean", n_logits=2, carry=["lang"])
     return _agg_out(agg)
 
 
@@ -91,16 +91,18 @@ FROM agg_mean"""
 @register("sigmoid_binarize", _BIN_SQL, doubles=["prob"])
 def sigmoid_binarize(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sigmoid of the aggregated logit and a 0/1 prediction at > 0.5."""
-    agg = segments.aggregate_segments(_scored_segments(spark, sf_dir), "doc_id", "logits", "mean")
+    agg = segments.aggregate_segments(_scored_segments(spark, sf_dir), "doc_id", "logits", "mean", n_logits=2)
     out = segments.positive_probability(agg)
     return out.select("doc_id", "prob", binarize("prob", 0.5).alias("pred"))
 
 
 def _doc_probs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Document scores (mean of segment logits) joined with their labels."""
-    agg = segments.aggregate_segments(_scored_segments(spark, sf_dir), "doc_id", "logits", "mean", carry=["lang"])
-    probs = segments.positive_probability(agg).select("doc_id", "lang", "prob")
+    """Document scores (mean of segment logits) with their labels; only labelled documents are windowed."""
     lab = fx.t(spark, sf_dir, "labels").select("doc_id", "quality")
+    labelled = fx.t(spark, sf_dir, "documents").join(lab.select("doc_id"), "doc_id", "left_semi")
+    scored = _scored_segments(spark, sf_dir, labelled)
+    agg = segments.aggregate_segments(scored, "doc_id", "logits", "mean", n_logits=2, carry=["lang"])
+    probs = segments.positive_probability(agg).select("doc_id", "lang", "prob")
     return probs.join(lab, "doc_id").select(
         F.col("doc_id").alias("id"), F.col("lang").alias("id_aux"), F.col("quality").alias("labels"), "prob"
     )
@@ -151,7 +153,8 @@ FROM segments s JOIN d ON d.doc_id = s.doc_id"""
 def segment_group_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U4: 75/25 split of the segment table by document, so no document straddles both sides."""
     w = _windows(spark, sf_dir).select("doc_id", "seg_no")
-    return split.split_by_group(w, "doc_id", 0.25, seed=42).select("doc_id", "seg_no", "split")
+    docs = fx.t(spark, sf_dir, "documents").filter(F.col("text").isNotNull())
+    return split.split_by_group(w, "doc_id", 0.25, seed=42, groups=docs).select("doc_id", "seg_no", "split")
 
 
 _CHUNK_SQL = f"""WITH {fx.SEGMENTS_SQL.format(length=256, overlap=0, step=256)}
@@ -250,27 +253,26 @@ def query_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q1.unionByName(q2)
 
 
+# a subject matches where its words stand next to each other in the query
 _STOP_SQL = ", ".join(f"'{w}'" for w in triples.STOPWORDS)
 _LOOKUP_SQL = f"""WITH {_TRIPLES_CTE},
 q AS (SELECT 's' || CAST(s_suppkey AS VARCHAR) AS query_id, 'Where is ' || s_name || ' located?' AS query FROM supplier
       UNION ALL
       SELECT 'r' || CAST(r_regionkey AS VARCHAR), 'What does ' || r_name || ' contain?' FROM region),
-kw AS (SELECT DISTINCT query_id, keyword FROM (
-         SELECT query_id, unnest(list_filter(regexp_split_to_array(lower(query), '[^a-z0-9_#]+'), lambda x: x <> '')) AS keyword
-         FROM q) WHERE keyword NOT IN ({_STOP_SQL}))
-SELECT kw.query_id, kw.keyword, t.chunk_id, t.head, t.relation, t.tail, md5(tg.text) AS chunk_hash
-FROM kw JOIN triples t ON lower(t.head) = kw.keyword
-LEFT JOIN tagged tg ON tg.chunk_id = t.chunk_id"""
+qn AS (SELECT query_id, trim(regexp_replace(lower(query), '[^a-z0-9_#]+', ' ', 'g')) AS norm FROM q),
+tn AS (SELECT *, trim(regexp_replace(lower(head), '[^a-z0-9_#]+', ' ', 'g')) AS keyword FROM triples)
+SELECT qn.query_id, t.keyword, t.chunk_id, t.head, t.relation, t.tail, md5(tg.text) AS chunk_hash
+FROM qn JOIN tn t ON contains(' ' || qn.norm || ' ', ' ' || t.keyword || ' ')
+LEFT JOIN tagged tg ON tg.chunk_id = t.chunk_id
+WHERE len(list_filter(string_split(t.keyword, ' '), lambda w: w <> '' AND w NOT IN ({_STOP_SQL}))) > 0"""
 
 
 @register("triple_lookup", _LOOKUP_SQL)
 def triple_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query keywords matched to triple subjects, with the source chunk."""
-    chunks = tagged_chunks(spark, sf_dir)
-    hits = triples.lookup_triples(
-        query_texts(spark, sf_dir), "query_id", "query", _triples(spark, sf_dir),
-        chunks.select("chunk_id", F.md5("text").alias("chunk_hash")),
-    )
+    """Subjects of several words found in query texts, with the source chunk carried along."""
+    chunks = tagged_chunks(spark, sf_dir).withColumn("chunk_hash", F.md5("text"))
+    found = triples.triples_from_tags(chunks, "chunk_id", "text", carry=["chunk_hash"])
+    hits = triples.lookup_triples(query_texts(spark, sf_dir), "query_id", "query", found)
     return hits.select("query_id", "keyword", "chunk_id", "head", "relation", "tail", "chunk_hash")
 
 

@@ -82,6 +82,7 @@ def _load_all() -> None:
         q_clean,
         q_ensemble,
         q_features,
+        q_flows,
         q_hier,
         q_text,
         q_metrics,
