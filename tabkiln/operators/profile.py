@@ -2,9 +2,8 @@
 
 A1-A6, A22, C1, C2.  A profile is a one-row aggregate per chunk of
 columns, exploded into a long report so it stays a DataFrame.  Chunks keep
-each aggregate's buffers under Spark's whole-stage codegen field limit; the
-chunks run in one job and, parquet being columnar, read together what one
-wide pass would.  Fits that steer a later projection collect the small
+each aggregate's buffers under Spark's whole-stage codegen field limit and
+run in one job.  Fits that steer a later projection collect the small
 report (one row per column) to the driver.
 """
 
@@ -40,8 +39,9 @@ def _chunked_cells(df: DataFrame, items: Sequence, cell, fields_per_item: int) -
     """Union of one-row aggregates, each over a chunk of ``items`` small enough
     to keep whole-stage codegen, exploded into one row per item.
 
-    Parquet is columnar, so each chunk's scan reads only its own columns and the
-    chunks together read what one wide pass would.
+    Each chunk's scan reads only its own columns: with one column to an item the
+    chunks together read what one wide pass would, with pairs a column is read
+    once per chunk that holds it.
     """
     size = max(1, FIELD_BUDGET // max(1, fields_per_item))
     out = None
