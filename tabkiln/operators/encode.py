@@ -2,7 +2,7 @@
 
 The one-hot fit collects the distinct values of the chosen columns in one
 job: the (column, value) pairs are deduplicated with a shuffle and only the
-small distinct set reaches the driver, guarded by ``max_values`` per column.
+small distinct set reaches the driver, guarded by ``max_values`` per column (more raise).
 """
 
 from __future__ import annotations
@@ -54,12 +54,14 @@ def fit_onehot(df: DataFrame, cols: Sequence[str], drop: bool = True, max_values
         F.explode(F.array(*[F.struct(F.lit(c).alias("c"), _q(c).cast("string").alias("v")) for c in cols])).alias("p")
     ).select("p.c", "p.v")
     distinct = pairs.filter(F.col("v").isNotNull()).distinct()
-    counts = distinct.groupBy("c").count().filter(F.col("count") > max_values).collect()
-    if counts:
-        raise ValueError(f"too many distinct values for one-hot: {[(r['c'], r['count']) for r in counts]}")
+    # one row more than may be there: enough to know that there are too many
+    most = max_values * len(cols)
+    rows = distinct.limit(most + 1).collect()
     values: dict = {c: [] for c in cols}
-    for r in distinct.collect():
+    for r in rows:
         values[r["c"]].append(r["v"])
+    if len(rows) > most or max(map(len, values.values())) > max_values:
+        raise ValueError(f"more than {max_values} distinct values for one-hot in some of {cols}")
     typed = {}
     for c in cols:
         dt = df.schema[c].dataType.typeName()

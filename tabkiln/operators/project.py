@@ -17,6 +17,7 @@ from pyspark.sql.types import (
     FloatType,
     IntegerType,
     LongType,
+    NumericType,
     StringType,
     StructField,
     StructType,
@@ -129,18 +130,19 @@ def downcast_types(df: DataFrame, int_fill_cols: Sequence[str] = ()) -> DataFram
 
     doubles become floats; longs become ints where all values of the column fit,
     read from one aggregate, and stay longs elsewhere; ``int_fill_cols`` get NULL
-    -> 0 and int.  Strings stay strings; parquet dictionary-encodes low-cardinality text.
+    -> 0 and int, or long where a value does not fit an int.  Strings stay strings; parquet dictionary-encodes low-cardinality text.
     """
     longs = [f.name for f in df.schema.fields if isinstance(f.dataType, LongType) and f.name not in int_fill_cols]
+    filled = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType) and f.name in int_fill_cols]
     wide: set[str] = set()
-    if longs:
-        outside = [F.max(~_q(c).between(-(2**31), 2**31 - 1)) for c in longs]
-        wide = {c for c, out in zip(longs, df.agg(*outside).first()) if out}
+    if longs or filled:
+        outside = [F.max(~_missing(df, c) & ~_q(c).between(-(2**31), 2**31 - 1)) for c in [*longs, *filled]]
+        wide = {c for c, out in zip([*longs, *filled], df.agg(*outside).first()) if out}
     cols = []
     for f in df.schema.fields:
         c = _q(f.name)
         if f.name in int_fill_cols:
-            cols.append(F.coalesce(c.try_cast("int"), F.lit(0)).alias(f.name))
+            cols.append(F.coalesce(c.try_cast("long" if f.name in wide else "int"), F.lit(0)).alias(f.name))
         elif isinstance(f.dataType, DoubleType):
             cols.append(c.cast("float").alias(f.name))
         elif f.name in longs and f.name not in wide:

@@ -5,7 +5,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from tabkiln.operators import encode, hierarchy, impute, metrics, models, ordered, profile, project, reduce, segments, split
+from tabkiln.operators import encode, flows, hierarchy, impute, joins, metrics, models, ordered, profile, project, reduce, segments, split
 
 
 def _keyed(spark, n=400):
@@ -142,3 +142,40 @@ def test_loss_is_pluggable(spark):
     df = spark.createDataFrame([(1, "main", 0, "a", 2.0, 1.0)], "level int, kind string, label_idx int, label_name string, logit double, y double")
     row = hierarchy.hierarchical_bce(df, loss=lambda p, t: F.abs(F.col(p) - F.col(t))).first()
     assert row.loss == pytest.approx(1.0)
+
+
+def test_filled_integers_that_do_not_fit_stay_long(spark):
+    df = spark.createDataFrame([(1, 5_000_000_000, 1.0), (2, None, float("nan")), (3, 7, 4e9)], "id long, a long, b double")
+    out = project.downcast_types(df, ["a", "b"]).orderBy("id")
+    assert [(r.a, r.b) for r in out.collect()] == [(5_000_000_000, 1), (0, 0), (7, 4_000_000_000)]
+
+
+def test_one_hot_raises_above_its_bound(spark):
+    df = spark.range(30).select(F.col("id").cast("string").alias("a"), F.lit("x").alias("b"))
+    assert len(encode.fit_onehot(df, ["a", "b"], max_values=30).values["a"]) == 30
+    with pytest.raises(ValueError):
+        encode.fit_onehot(df, ["a", "b"], max_values=29)
+
+
+def test_first_row_of_each_key_and_names(spark):
+    df = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 1, None)], "k int, seq int, v string")
+    assert sorted(map(tuple, joins.first_per_key(df, "k", "seq", ["v"]).collect())) == [(1, "a"), (2, None)]
+    assert project.normalize_names(df.toDF(" K", "Seq ", "v")).columns == ["k", "seq", "v"]
+
+
+def test_cleaning_survives_saving(spark, tmp_path):
+    df = spark.range(100).select(
+        "id",
+        F.when(F.col("id") % 5 != 0, F.col("id") * 2.0).alias("a"),
+        (F.col("id") * 4.0).alias("twin"),
+        F.when(F.col("id") % 5 == 0, 1.0).alias("rare"),
+        (F.col("id") % 9).cast("double").alias("w"),
+        F.col("id").cast("double").alias("y"),
+    )
+    fit = flows.fit_cleaning(df, "id", "y", collinear_threshold=0.8)
+    fit.save(spark, str(tmp_path / "c"))
+    back = flows.load_cleaning(spark, str(tmp_path / "c"))
+    assert fit.rejected == ["rare"] and fit.collinear == ["twin"] and back.features == ["a", "w"]
+    rows = back.transform(df.drop("y")).orderBy("id").collect()
+    assert rows == fit.transform(df.drop("y")).orderBy("id").collect() and len(rows) == 100
+    assert min(r.a for r in rows) == 0.0 and max(r.a for r in rows) == 10.0
