@@ -14,7 +14,7 @@ from pyspark.ml.feature import StringIndexer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkiln.operators.profile import distinct_profile
+from tabkiln.operators.profile import column_roles
 
 
 def _q(name: str) -> Column:
@@ -80,9 +80,8 @@ def fit_onehot_threshold(df: DataFrame, threshold: int, drop: bool = True, exclu
     Dummy names carry the column prefix (the raw-value names of the reference
     collide between columns).
     """
-    prof = distinct_profile(df, None, threshold, exclude_float=False).filter("categorical").collect()
-    cols = [c for c in df.columns if c in {r["column"] for r in prof} and c not in exclude]
-    return fit_onehot(df, cols, drop, max_values=threshold)
+    roles = column_roles(df.drop(*exclude), None, threshold, exclude_float=False)
+    return fit_onehot(df, list(roles.categorical), drop, max_values=threshold)
 
 
 def index_categories(df: DataFrame, cols: Sequence[str], suffix: str = "_idx"):

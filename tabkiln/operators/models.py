@@ -26,7 +26,7 @@ from pyspark.sql.types import NumericType, StringType
 from tabkiln.operators.ensemble import collate, collate_pretrained
 from tabkiln.operators.ordered import assign_folds
 from tabkiln.operators.metrics import regression_metrics
-from tabkiln.operators.profile import distinct_profile
+from tabkiln.operators.profile import column_roles
 from tabkiln.session import checkpoint_dir
 
 
@@ -81,9 +81,7 @@ def regressor(learner: str, params: Mapping | None = None, features: str = "_fea
 
 def categorical_features(df: DataFrame, features: Sequence[str], cat_threshold: int) -> list[str]:
     """Features with fewer than ``cat_threshold`` values that are not floating (the rule of ``column_roles``)."""
-    prof = distinct_profile(df.select(*features), None, cat_threshold, exclude_float=True).filter("categorical")
-    named = {r["column"] for r in prof.collect()}
-    return [f for f in features if f in named]
+    return list(column_roles(df.select(*features), None, cat_threshold, exclude_float=True).categorical)
 
 
 def _stages(features: Sequence[str], categorical: Sequence[str] = ()) -> list:

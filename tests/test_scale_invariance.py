@@ -179,3 +179,16 @@ def test_cleaning_survives_saving(spark, tmp_path):
     rows = back.transform(df.drop("y")).orderBy("id").collect()
     assert rows == fit.transform(df.drop("y")).orderBy("id").collect() and len(rows) == 100
     assert min(r.a for r in rows) == 0.0 and max(r.a for r in rows) == 10.0
+
+
+def test_roles_are_exact_near_the_threshold(spark):
+    df = spark.range(20_000).select(
+        "id",
+        *[(F.col("id") % n).alias(f"c{n}") for n in (2, 99, 100, 101, 5000)],
+        F.when(F.col("id") % 2 == 0, F.lit(float("nan"))).otherwise(1.0).alias("f"),
+        F.lit(None).cast("string").alias("none"),
+    )
+    roles = profile.column_roles(df, "c2", 100)
+    assert roles.categorical == ("c99", "none")
+    assert {c: roles.distinct[c] for c in ("c99", "c100", "c101", "f", "none")} == {"c99": 99, "c100": 100, "c101": 101, "f": 1, "none": 0}
+    assert profile.column_roles(df, "c2", 100, exclude_float=False).categorical == ("c99", "f", "none")
