@@ -7,10 +7,12 @@ anchor position form a chunk: one row that carries ``window - 1`` symbols
 more than it has windows.  Only anchors that occur twice keep their chunks;
 equal chunks become one with a weight; the distinct chunks of an anchor meet
 in one task, where a matcher finds the windows that occur again.  An anchor
-with more than ``group_limit`` distinct chunks is cut into pieces of a few
-windows each, keyed by the symbols all windows of the piece share, and equal
-pieces become one again: no group grows with the corpus through a passage
-that many texts share in full.
+with more than ``group_limit`` distinct chunks is cut into pieces: a grid laid
+out from the anchor gives every window its piece, whatever else the chunk
+holds, and the symbols that all windows of a piece share are its key.  Equal
+pieces become one again.  A key that still has more than ``group_limit``
+distinct pieces (the edge of a passage that many texts share) is cut into its
+windows, and equal windows become one: no group grows with the corpus.
 
 Results depend on content alone; nothing is capped or sampled.
 """
@@ -28,6 +30,9 @@ from pyspark.sql import functions as F
 from tabkiln.llm.common import (BYTE_CODE, byte_batches, gram_hash, materialize, prefix_hash,
                                 range_hash, row_id, word_hashes)
 
+#: A chunk's place in its text: first window, anchor's distance from it and number of windows in one long.
+SHIFT, HALF = 32, 65536
+
 #: (bodies, weights) -> for each body the (first, end) ranges of window starts that occur again
 Matcher = Callable[[list[bytes], list[int]], list[list[tuple[int, int]]]]
 
@@ -66,9 +71,9 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def chunk_arrays(plan: Plan, bodies: list[bytes]) -> dict[str, np.ndarray]:
-    """Chunks of a batch of texts: text index, anchor hash, content hash, first window, number of windows."""
+    """Chunks of a batch of texts: text index, anchor hash, content hash, first window, anchor's distance, number of windows."""
     codes, off = plan.symbols(bodies)
-    none = {k: np.zeros(0, np.int64) for k in ("text", "gram", "chunk", "first", "n")}
+    none = {k: np.zeros(0, np.int64) for k in ("text", "gram", "chunk", "first", "off", "n")}
     if len(codes) < plan.window:
         return none
     prefix = prefix_hash(codes)
@@ -85,7 +90,7 @@ def chunk_arrays(plan: Plan, bodies: list[bytes]) -> dict[str, np.ndarray]:
     text = np.searchsorted(off, first, side="right") - 1
     return {"text": text, "gram": h[a[new]].view(np.int64),
             "chunk": range_hash(prefix, first, first + n - 1 + plan.window).view(np.int64),
-            "first": first - off[text], "n": n}
+            "first": first - off[text], "off": a[new] - first, "n": n}
 
 
 def _emit_chunks(plan: Plan):
@@ -97,10 +102,15 @@ def _emit_chunks(plan: Plan):
                 c = chunk_arrays(plan, bodies[lo:hi])
                 if len(c["text"]):
                     yield pd.DataFrame({"r1": r1[lo:hi][c["text"]], "r2": r2[lo:hi][c["text"]], "gram": c["gram"],
-                                        "chunk": c["chunk"], "span": c["first"] * 65536 + c["n"]})
+                                        "chunk": c["chunk"], "span": (c["first"] << SHIFT) + c["off"] * HALF + c["n"]})
     return run
 
 
+def _bytes_hash(body: bytes) -> int:
+    prefix = prefix_hash(BYTE_CODE[np.frombuffer(body, np.uint8)])
+    return int(range_hash(prefix, np.array([0]), np.array([len(body)])).view(np.int64)[0])
+
+
 def _emit_bodies(plan: Plan):
     """Bodies of the wanted chunks of each text; those of crowded anchors in pieces."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -109,19 +119,18 @@ def _emit_bodies(plan: Plan):
             for body, want in zip(pdf["body"], pdf["want"]):
                 symbols = plan.cut(body)
                 for w in want:
-                    first, n = divmod(w["span"], 65536)
+                    first, off, n = w["span"] >> SHIFT, w["span"] // HALF % HALF, w["span"] % HALF
                     if w["nd"] <= plan.group_limit:
                         out.append((w["gram"], w["chunk"], 0, w["gram"], w["chunk"], w["n"],
                                     plan.join(symbols[first : first + n - 1 + plan.window])))
                         size += len(out[-1][-1])
                         continue
-                    for lo in range(0, n, plan.piece):
-                        k = min(plan.piece, n - lo)
-                        part = plan.join(symbols[first + lo : first + lo + k - 1 + plan.window])
-                        core = plan.join(symbols[first + lo + k - 1 : first + lo + plan.window])
-                        key, mark = (int(range_hash(prefix_hash(BYTE_CODE[np.frombuffer(x, np.uint8)]), np.array([0]), np.array([len(x)])).view(np.int64)[0])
-                                     for x in (core + b"\0%d" % k, part))
-                        out.append((w["gram"], w["chunk"], lo, key, mark, w["n"], part))
+                    for cell in range(-off // plan.piece, (n - 1 - off) // plan.piece + 1):
+                        left = off + cell * plan.piece  # the cell's first window, counted from the chunk's; may lie before it
+                        lo, hi = max(left, 0), min(left + plan.piece, n)
+                        part = plan.join(symbols[first + lo : first + hi - 1 + plan.window])
+                        core = plan.join(symbols[first + left + plan.piece - 1 : first + left + plan.window])
+                        out.append((w["gram"], w["chunk"], lo, _bytes_hash(core + b"\0%d" % cell), _bytes_hash(part), w["n"], part))
                         size += len(part)
                 if size > 4_000_000:
                     yield pd.DataFrame(out, columns=_BODY_COLS)
@@ -131,8 +140,28 @@ def _emit_bodies(plan: Plan):
     return run
 
 
+def _emit_windows(plan: Plan):
+    """Pieces window by window."""
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for key, mark, weight, part in zip(pdf["key"].tolist(), pdf["mark"].tolist(), pdf["weight"].tolist(), pdf["part"]):
+                symbols = plan.cut(part)
+                for i in range(len(symbols) - plan.window + 1):
+                    body = plan.join(symbols[i : i + plan.window])
+                    out.append((key, mark, i, _bytes_hash(body), weight, body))
+                if len(out) > 10_000:
+                    yield pd.DataFrame(out, columns=_WINDOW_COLS)
+                    out = []
+            if out:
+                yield pd.DataFrame(out, columns=_WINDOW_COLS)
+    return run
+
+
 _BODY_COLS = ["gram", "chunk", "lo", "key", "mark", "weight", "part"]
 _BODY_SCHEMA = "gram long, chunk long, lo int, key long, mark long, weight long, part binary"
+_WINDOW_COLS = ["key", "mark", "at", "w", "weight", "part"]
+_WINDOW_SCHEMA = "key long, mark long, at int, w long, weight long, part binary"
 
 
 def _match(plan: Plan, matcher: Matcher):
@@ -175,16 +204,24 @@ def repeated_windows(df: DataFrame, id_col: str, text_col: str, plan: Plan, matc
     bodies = materialize(want.join(rows, ["r1", "r2"]).select("want", "body").mapInPandas(_emit_bodies(plan), _BODY_SCHEMA), "bodies")
     plain = bodies.filter("gram = key AND chunk = mark")
     cut = bodies.filter("NOT (gram = key AND chunk = mark)")
-    merged = cut.groupBy("key", "mark").agg(F.sum("weight").alias("weight"), F.first("part").alias("part"))
-    hits = (plain.select("key", "mark", "weight", "part").unionByName(merged)
+    once = [F.sum("weight").alias("weight"), F.first("part").alias("part")]
+    merged = materialize(cut.groupBy("key", "mark").agg(*once), "pieces")
+    crowded = merged.groupBy("key").agg(F.count("*").alias("nd")).filter(F.col("nd") > plan.group_limit).select("key")
+    windows = materialize(merged.join(crowded, "key", "left_semi").select("key", "mark", "weight", "part")
+                          .mapInPandas(_emit_windows(plan), _WINDOW_SCHEMA), "windows")
+    single = windows.groupBy("w").agg(*once).select(F.col("w").alias("key"), F.col("w").alias("mark"), "weight", "part")
+    hits = (plain.select("key", "mark", "weight", "part").unionByName(merged.join(crowded, "key", "left_anti")).unionByName(single)
             .repartition("key").sortWithinPartitions("key", "mark")
             .mapInPandas(_match(plan, matcher), "key long, mark long, s int, e int"))
     hits = materialize(hits, "hits")
-    pieces = cut.select("gram", "chunk", "lo", "key", "mark").distinct()
+    pieces = (cut.select("gram", "chunk", "lo", "key", "mark").distinct()
+              .join(windows.select("key", "mark", "at", "w"), ["key", "mark"], "left")
+              .select("gram", "chunk", (F.col("lo") + F.coalesce("at", F.lit(0))).alias("lo"),
+                      F.coalesce("w", "key").alias("key"), F.coalesce("w", "mark").alias("mark")))
     found = hits.join(pieces, ["key", "mark"], "left").select(
         F.coalesce("gram", "key").alias("gram"), F.coalesce("chunk", "mark").alias("chunk"),
         (F.col("s") + F.coalesce("lo", F.lit(0))).alias("s"), (F.col("e") + F.coalesce("lo", F.lit(0))).alias("e"))
-    first = F.floor(F.col("span") / 65536)
+    first = F.shiftright("span", SHIFT)
     return (occ.join(found, ["gram", "chunk"])
             .groupBy("r1", "r2")
             .agg(F.array_sort(F.collect_set(F.struct((first + F.col("s")).alias("s"), (first + F.col("e") - 1 + plan.window).alias("e")))).alias("ranges")))

@@ -54,9 +54,9 @@ def cut(symbols, starts, n):
     return [x for i, x in enumerate(symbols) if i not in left], len(gone), runs
 
 
-@pytest.mark.parametrize("limit", [8192, 1])
+@pytest.mark.parametrize("limit", [300_000, 1])
 def test_repeated_bytes_match_brute_force(docs, rows, monkeypatch, limit):
-    monkeypatch.setattr(suffix_dedup, "Plan", lambda **k: chunks.Plan(**k, group_limit=limit))
+    monkeypatch.setattr(suffix_dedup, "Plan", lambda **k: chunks.Plan(**k, group_limit=limit, task_bytes=limit))
     bodies = [(r[1] or "").encode() for r in rows]
     want = collections.Counter()
     for r, b, s in zip(rows, bodies, repeated(bodies, 400)):
@@ -65,9 +65,9 @@ def test_repeated_bytes_match_brute_force(docs, rows, monkeypatch, limit):
     assert collections.Counter(map(tuple, suffix_dedup.repeat_digests(docs).collect())) == want
 
 
-@pytest.mark.parametrize("limit", [8192, 1])
+@pytest.mark.parametrize("limit", [300_000, 1])
 def test_repeated_passages_match_brute_force(docs, rows, monkeypatch, limit):
-    monkeypatch.setattr(rlz_dedup, "Plan", lambda **k: chunks.Plan(**k, group_limit=limit))
+    monkeypatch.setattr(rlz_dedup, "Plan", lambda **k: chunks.Plan(**k, group_limit=limit, task_bytes=limit))
     texts = [WORD.findall(r[1] or "") for r in rows]
     want, whole = collections.Counter(), collections.Counter()
     for r, w, s in zip(rows, texts, repeated(texts, 35)):
@@ -80,6 +80,22 @@ def test_repeated_passages_match_brute_force(docs, rows, monkeypatch, limit):
     assert collections.Counter((r["doc_id"], r["text"], r["lang"]) for r in out.collect()) == whole
 
 
+def test_crowded_anchors_match_brute_force_where_copies_start_anywhere(spark, monkeypatch):
+    rng = random.Random(31)
+    passages = [sentence(rng, 150).split() for _ in range(30)]
+    texts = []
+    for i in range(90):
+        a, passage = rng.randint(0, 30), passages[i % 30]
+        texts.append(" ".join([*sentence(rng, rng.randint(0, 9)).split(), *passage[a : a + rng.randint(50, 90)], *sentence(rng, rng.randint(0, 9)).split()]))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    for module, window, run, cut_up in ((rlz_dedup, 35, rlz_dedup.passage_digests, str.split), (suffix_dedup, 120, suffix_dedup.repeat_digests, str.encode)):
+        monkeypatch.setattr(module, "Plan", lambda **k: chunks.Plan(**k, group_limit=2, task_bytes=1))
+        options = {"window": window, "gram": 8 if window == 35 else 40}
+        got = {r["doc_id"]: r["n_removed"] for r in run(docs, **options).collect()}
+        bodies = [cut_up(t) for t in texts]
+        assert got == {i: cut(b, s, window)[1] for i, (b, s) in enumerate(zip(bodies, repeated(bodies, window)))}
+
+
 def test_collection_bwt_sorts_suffixes():
     rng = random.Random(2)
     for _ in range(60):
