@@ -9,12 +9,13 @@ report (one row per column) to the driver.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, NumericType
@@ -185,35 +186,27 @@ def fit_stats(df: DataFrame, cols: Sequence[str]) -> dict[str, dict[str, float]]
     return {r["column"]: {"mean": r["mean"], "min": r["min"], "max": r["max"]} for r in column_stats(df, cols).collect()}
 
 
-# Tables with at least this many complete numeric columns get their matrix
-# from one Gramian pass (MLlib Correlation) instead of pairwise aggregates.
-GRAMIAN_MIN_COLS = 16
+# A variance below this share of the mean square is rounding noise of a constant.
+CONSTANT_SHARE = 1e-12
 
 
-def correlation_pairs(df: DataFrame, cols: Sequence[str], method: str = "auto") -> DataFrame:
+def correlation_pairs(df: DataFrame, cols: Sequence[str], method: str = "gramian") -> DataFrame:
     """``(col_a, col_b, pos_a, pos_b, corr)`` for every pair a before b (A5).
 
     Pearson over pairwise complete rows, NULL when a side is constant.
-    ``aggregate``: plain aggregates with map-side partial aggregation,
-    ``CORR_CHUNK`` pairs to an aggregate.  ``gramian``: columns without missing
-    values are centred and their whole matrix comes from one tree-aggregated
-    pass (MLlib ``Correlation``); pairs touching a column with missing values
-    still use aggregates.  ``auto`` picks the Gramian path for wide tables.
+    ``gramian``: one profile of the columns, then one tree-aggregated pass over
+    the table for all pairs, whatever their number and their gaps.
+    ``aggregate``: plain aggregates, ``CORR_CHUNK`` pairs to a scan; exact for
+    the smallest variances, for few columns.
     """
     cols = list(cols)
     pairs = [(i, j) for j in range(len(cols)) for i in range(j)]
     if not pairs:
         raise ValueError("need at least two columns")
-    full: list[str] = []
-    present: dict = {}
-    if method == "gramian" or (method == "auto" and len(cols) >= GRAMIAN_MIN_COLS):
-        present = profile_present_counts(df, cols)
-        full = [c for c in cols if present[c]["missing"] == 0]
-        if method == "auto" and len(full) < GRAMIAN_MIN_COLS:
-            full = []
-    full_set = set(full)
-    rest = [(i, j) for i, j in pairs if not (cols[i] in full_set and cols[j] in full_set)]
-    out = _gramian_pairs(df, cols, full, present) if len(full) >= 2 else None
+    if method == "gramian":
+        return _gramian_pairs(df, cols)
+    if method != "aggregate":
+        raise ValueError(f"unknown method {method!r}")
 
     def cell(pair: tuple[int, int]) -> Column:
         i, j = pair
@@ -225,10 +218,7 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str], method: str = "auto")
             safe_corr(_q(cols[i]), _q(cols[j])).alias("corr"),
         )
 
-    if rest:
-        agg = _chunked_cells(df, rest, cell, FIELD_BUDGET // CORR_CHUNK)
-        out = agg if out is None else out.unionByName(agg)
-    return out
+    return _chunked_cells(df, pairs, cell, FIELD_BUDGET // CORR_CHUNK)
 
 
 def profile_present_counts(df: DataFrame, cols: Sequence[str]) -> dict:
@@ -242,25 +232,46 @@ def profile_present_counts(df: DataFrame, cols: Sequence[str]) -> dict:
     return {r["column"]: r.asDict() for r in _chunked_cells(df, list(cols), cell, 6).collect()}
 
 
-def _gramian_pairs(df: DataFrame, cols: list[str], full: list[str], present: dict) -> DataFrame:
-    names = [f"_g{k}" for k in range(len(full))]
-    # scaled to unit deviation as well: MLlib takes a variance below 1e-12 for a constant
-    centred = df.select(*[
-        ((_q(c).cast("double") - F.lit(float(present[c]["mean"] or 0.0))) * F.lit(1.0 / present[c]["sd"])).alias(n)
-        if present[c]["sd"] else F.lit(0.0).alias(n)
-        for c, n in zip(full, names)
-    ])
-    vec = VectorAssembler(inputCols=names, outputCol="_v").transform(centred).select("_v")
-    m = Correlation.corr(vec, "_v").head()[0].toArray()
-    pos = {c: cols.index(c) for c in full}
-    rows = []
-    for b in range(len(full)):
-        for a in range(b):
-            ca, cb = full[a], full[b]
-            i, j = sorted((pos[ca], pos[cb]))
-            v = float(m[a][b])
-            rows.append((cols[i], cols[j], i, j, None if math.isnan(v) else v))
-    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, pos_a int, pos_b int, corr double")
+def _gramian_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Every pair's correlation from the Gram matrix of the values, their squares and the masks of present cells.
+
+    Values enter centred and scaled, missing ones as 0; a column without gaps
+    has the constant 1 for a mask.  The matrix is bounded by the number of columns.
+    """
+    present = profile_present_counts(df, cols)
+    k = len(cols)
+    gaps = [i for i, c in enumerate(cols) if present[c]["missing"]]
+    values = []
+    for c in cols:
+        mean, sd = present[c]["mean"], present[c]["sd"]
+        x = (_present(df, c).cast("double") - F.lit(float(mean or 0.0))) * F.lit(1.0 / sd) if sd else F.lit(0.0)
+        values.append(F.coalesce(x, F.lit(0.0)))
+    parts = [F.lit(1.0), *values]
+    if gaps:
+        parts += [x * x for x in values] + [_present(df, cols[i]).isNotNull().cast("double") for i in gaps]
+    rows = df.select(array_to_vector(F.array(*parts)).alias("v"))
+    gram = np.zeros((len(parts), len(parts)))
+    if any(present[c]["mean"] is not None for c in cols):  # MLlib refuses a table without rows
+        gram = RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v"), 0, len(parts)).computeGramianMatrix().toArray()
+
+    value = np.arange(1, k + 1)
+    mask = np.zeros(k, int)
+    mask[gaps] = 2 * k + 1 + np.arange(len(gaps))
+    n = gram[np.ix_(mask, mask)]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        mean = gram[np.ix_(value, mask)] / n  # of the row's column, over the rows where the other has a value
+        square = (gram[np.ix_(value + k, mask)] if gaps else np.diag(gram)[value][:, None]) / n
+        var = square - mean * mean
+        cov = gram[np.ix_(value, value)] / n - mean * mean.T
+        corr = np.clip(cov / np.sqrt(var * var.T), -1.0, 1.0)
+        known = (var > CONSTANT_SHARE * square) & (var.T > CONSTANT_SHARE * square.T) & np.isfinite(corr)
+    out = [(j, [float(corr[i, j]) if known[i, j] else None for i in range(j)]) for j in range(1, k)]
+    names = F.array(*[F.lit(c) for c in cols])
+    return (
+        df.sparkSession.createDataFrame(out, "pos_b int, corrs array<double>")
+        .select("pos_b", F.posexplode("corrs").alias("pos_a", "corr"))
+        .select(F.get(names, "pos_a").alias("col_a"), F.get(names, "pos_b").alias("col_b"), "pos_a", "pos_b", "corr")
+    )
 
 
 def target_correlation(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
