@@ -195,7 +195,8 @@ def repeated_windows(df: DataFrame, id_col: str, text_col: str, plan: Plan, matc
     """
     rows = df.select(*row_id(id_col, text_col), F.col(text_col).cast("binary").alias("body")).filter("body IS NOT NULL")
     occ = materialize(rows.mapInPandas(_emit_chunks(plan), "r1 long, r2 long, gram long, chunk long, span long"), "chunks")
-    twice = occ.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram")
+    # written, so that the join below deals both sides by plain exchanges and AQE can split a hot anchor's rows
+    twice = materialize(occ.groupBy("gram").agg(F.count("*").alias("c")).filter("c > 1").select("gram"), "grams")
     occ = materialize(occ.join(twice, "gram", "left_semi"), "chunks2")
     groups = occ.groupBy("gram", "chunk").agg(F.count("*").alias("n"), F.min(F.struct("r1", "r2", "span")).alias("at"))
     crowd = groups.groupBy("gram").agg(F.count("*").alias("nd"))
