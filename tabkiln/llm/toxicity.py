@@ -38,7 +38,7 @@ POWER = 4
 PIECE = 32
 CACHE_WORDS = 500_000
 REJECT = 0.3
-MIN_GAIN, MIN_SHARE = 16.0, 0.6
+SAMPLED, TRUST = 16, 16.0
 START = "\x02"
 _DROP = re.compile(r"[^\w\s]+|_+")
 _SPACED = re.compile(r"(?<!\S)(?:\S\s){2,}\S(?!\S)")
@@ -100,8 +100,9 @@ def self_kernels(words: list[str]) -> np.ndarray:
     return np.bincount(w, v * v, minlength=len(words)) if len(words) else np.zeros(0)
 
 
-#: Least possible kernel of a word with itself, by its length: all its subsequences differ.
-_LEAST = np.array([sum(max(n - b, 0) * DECAY ** (2 * (b + 1)) for _, b in _OFFSETS) for n in range(PIECE + 1)])
+#: Least possible kernel of a word with itself, by its length (a piece, or one with a character slipped in): all its
+#: subsequences differ.
+_LEAST = np.array([sum(max(n - b, 0) * DECAY ** (2 * (b + 1)) for _, b in _OFFSETS) for n in range(PIECE + 2)])
 
 
 @dataclass
@@ -241,11 +242,12 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     return materialize(texts.join(F.broadcast(known), "id").dropDuplicates(["body", "label"]), "labelled")
 
 
-def choose_landmarks(rows: DataFrame, count: int) -> list[str]:
-    """The words that tell toxic from other training texts best.
+def choose_landmarks(rows: DataFrame, count: int, sampled: int = SAMPLED) -> dict[str, float]:
+    """The words that tell toxic from other training texts best and ``sampled`` words more of either class, with their trust.
 
-    The gain is the exponent of Chernoff's bound for a word's share of toxic texts under the share of all texts;
-    ``MIN_GAIN`` leaves out words whose share would come up by chance in a vocabulary of millions.
+    The gain is the exponent of Chernoff's bound for a word's share of toxic texts under the share of all texts.  No
+    gain is too small, but the trust, gain / (gain + ``TRUST``), scales the word's feature, so that the support vector
+    machine's ridge weighs most on words whose share may have come up by chance.
     """
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -255,25 +257,29 @@ def choose_landmarks(rows: DataFrame, count: int) -> list[str]:
 
     toxic, n = rows.agg(F.sum("label"), F.count("*")).first()
     if not toxic or toxic == n:
-        return []
+        return {}
     base = toxic / n
     seen, share = F.col("up") + F.col("down"), F.col("up") / (F.col("up") + F.col("down"))
+    common = F.when(F.col("up") > 0, share * F.log(share / base)).otherwise(0.0)
     rare = F.when(F.col("down") > 0, (1 - share) * F.log((1 - share) / (1 - base))).otherwise(0.0)
-    found = (rows.mapInPandas(words, "word string, label int").groupBy("word")
-             .agg(F.sum("label").alias("up"), F.sum(1 - F.col("label")).alias("down")).filter("up > 0")
-             .withColumn("gain", seen * (share * F.log(share / base) + rare)).filter((share > max(base, MIN_SHARE)) & (F.col("gain") > MIN_GAIN))
-             .orderBy(F.col("gain").desc(), "word").limit(count))
-    return [r["word"] for r in found.select("word").collect()]
+    found = materialize(rows.mapInPandas(words, "word string, label int").groupBy("word")
+                        .agg(F.sum("label").alias("up"), F.sum(1 - F.col("label")).alias("down"))
+                        .withColumn("gain", seen * (common + rare)).withColumn("toxic", share > base), "words")
+    best = found.filter("toxic AND gain > 0").orderBy(F.col("gain").desc(), "word").limit(count)
+    more = [found.filter(f"{c} > 0").orderBy(F.xxhash64("word"), "word").limit(sampled) for c in ("up", "down")]
+    return {r["word"]: r["gain"] / (r["gain"] + TRUST) for part in (best, *more) for r in part.select("word", "gain").collect()}
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
         landmarks: int = LANDMARKS, max_rows: int = MAX_ROWS) -> Model:
     """Learn from labelled texts whose id's CRC-32 leaves another remainder than 2 modulo 4.
 
-    With one class only, every text gets the share of toxic labels (0 without labels) as its score.
+    With one class only (or no word in any labelled text), every text gets the share of toxic labels (0 without labels)
+    as its score.
     """
     rows = training_rows(docs, labels, id_col, text_col, label_col, max_rows)
-    words = choose_landmarks(rows, landmarks)
+    trust = choose_landmarks(rows, landmarks)
+    words = list(trust)
     if not words:
         up, n = rows.agg(F.sum("label"), F.count("*")).first()
         share = min(max((up or 0) / n if n else 0.0, 1e-9), 1 - 1e-9)
@@ -291,7 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for row, (marks, sim) in zip(among, kernel.similarities(words, 0.0)):
         row[marks] = sim**POWER
     value, vector = np.linalg.eigh((among + among.T) / 2)
-    nystrom = vector / np.sqrt(np.maximum(value, 1e-3)) @ vector.T
+    nystrom = vector / np.sqrt(np.maximum(value, 1e-3)) @ vector.T * np.array(list(trust.values()))
     # inserted characters: each toxic text also enters with the kernel values its landmarks keep with a character slipped in
     gapped = np.array([_kept(kernel, w, i) for i, w in enumerate(words)])
     toxic = x[label == 1] * gapped

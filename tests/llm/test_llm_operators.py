@@ -276,6 +276,28 @@ def test_toxicity_holds_out_and_scores_every_text(docs, spark):
     assert toxicity.keep_clean(docs, model).columns == docs.columns
 
 
+def test_toxicity_learns_from_few_labels(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abdefgiklmnoprstuvz") for _ in range(rng.randint(4, 9))) for _ in range(2000)]
+    texts = [(i, " ".join(rng.choices(words, k=25) + [["qwxhyj", "jyqqwc", "cwhjxq"][i // 2 % 3]] * (i % 2))) for i in range(300)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(80)], "doc_id long, toxic int")
+    got = toxicity.score(docs, toxicity.fit(docs, labels)).filter("doc_id >= 80")
+    caught, kept = got.agg(F.avg(F.expr("if(doc_id % 2 = 1, predicted, null)")), F.avg(F.expr("if(doc_id % 2 = 0, 1 - predicted, null)"))).first()
+    assert caught > 0.9 and kept > 0.7
+    for sf, least, most in (("sf0.001", 1, 0.1), ("sf0.01", 9, 0.05)):
+        docs, labels = (table(spark, f"/root/testdata/{sf}", t) for t in ("documents", "labels"))
+        got = toxicity.score(docs, toxicity.fit(docs, labels)).join(labels, "doc_id").filter("held_out")
+        assert got.filter("toxic = 1 AND predicted = 1").count() >= least
+        assert got.filter("toxic = 0").agg(F.avg("predicted")).first()[0] < most
+
+
+def test_toxicity_takes_long_words_as_landmarks(spark):
+    docs = spark.createDataFrame([(i, "ab" * 40 if i % 2 else "plain text") for i in range(20)], "doc_id long, text string")
+    model = toxicity.fit(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic"))
+    assert {(r["doc_id"] % 2, r["predicted"]) for r in toxicity.score(docs, model).collect()} == {(0, 0), (1, 1)}
+
+
 def test_operators_take_empty_tables(docs, vectors, spark):
     none, no_vectors = docs.limit(0), vectors.limit(0)
     pages = spark.createDataFrame([], "page_id long, url string, html string")
