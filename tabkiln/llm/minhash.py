@@ -77,7 +77,7 @@ def _signatures(k: int):
                     s1, s2 = mix(values).sum(dtype=np.uint64), mix(values ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
                     rows.append((len(values), int(s1.view(np.int64)), int(s2.view(np.int64)), sig.view(np.int64), bands.view(np.int64)))
                 n, s1, s2, sig, bands = zip(*rows)
-                yield pd.DataFrame({"id": pdf["id"].iloc[lo:hi].array, "n": n, "s1": s1, "s2": s2, "sig": sig, "bands": bands})
+                yield pd.DataFrame({"id": pdf["id"].iloc[lo:hi].array, "t": pdf["t"].iloc[lo:hi].array, "n": n, "s1": s1, "s2": s2, "sig": sig, "bands": bands})
     return run
 
 
@@ -135,7 +135,7 @@ def _prefix_pairs(sids: DataFrame, texts: DataFrame, k: int, percent: int) -> Da
     shingles = materialize(sids.join(texts, "sid").mapInPandas(explode, "sid long, comp long, sh long"), "shingles")
     counts = shingles.groupBy("sh").agg(F.count("*").alias("c"))
     ranked = (shingles.join(counts, "sh").groupBy("sid", "comp")
-              .agg(F.sort_array(F.collect_list(F.struct("c", "sh"))).alias("all"))
+              .agg(F.sort_array(F.collect_set(F.struct("c", "sh"))).alias("all"))
               .withColumn("n", F.size("all"))
               .select("sid", "comp", "n", F.posexplode(F.expr(f"slice(all, 1, cast(n - ceil({percent} * n / 100) + 1 as int))")).alias("pos", "x"))
               .filter("x.c > 1").select("sid", "comp", "n", "pos", F.col("x.sh").alias("sh")))
@@ -162,18 +162,29 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     no part: its component is NULL and it is kept.  Rows that repeat an id share
     its component.
     """
-    spark_long = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body"))
-    sets = materialize(spark_long.mapInPandas(_signatures(shingle), "id long, n long, s1 long, s2 long, sig array<long>, bands array<long>"), "minhash")
+    spark_long = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body")).withColumn("t", F.xxhash64("body"))
+    sets = materialize(spark_long.mapInPandas(_signatures(shingle), "id long, t long, n long, s1 long, s2 long, sig array<long>, bands array<long>"), "minhash")
     linked = sets.filter("n > 0 AND id IS NOT NULL")
-    classes = materialize(linked.groupBy("s1", "s2").agg(F.min("id").alias("sid")), "classes")
-    reps = linked.join(classes, ["s1", "s2"]).filter("id = sid").select("sid", "n", "sig", "bands")
+    # one class a set, named by a hash (sid), not by its least id (head): an id with two texts can be that of two classes
+    classes = materialize(linked.groupBy("s1", "s2").agg(F.min(F.struct("id", "t")).alias("h"))
+                          .select("s1", "s2", F.xxhash64("s1", "s2").alias("sid"), F.col("h.id").alias("head"), F.col("h.t").alias("t")), "classes")
+    reps = (linked.join(classes, ["s1", "s2", "t"]).filter("id = head").dropDuplicates(["sid"])
+            .select("sid", "head", "t", "n", "sig", "bands"))
     bands = reps.select("sid", F.explode("bands").alias("key"))
     shared = bands.groupBy("key").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).filter("x < y").select("key")
     buckets = materialize(bands.join(shared, "key", "left_semi"), "buckets")
     in_play = buckets.select("sid").distinct()
-    texts = materialize(in_play.join(spark_long.withColumnRenamed("id", "sid").filter("body IS NOT NULL"), "sid"), "texts")
-    marks = materialize(reps.select("sid", "n", "sig").join(in_play, "sid"), "marks")
-    labels = materialize(in_play.select("sid", F.col("sid").alias("comp")), "components")
+    marks = materialize(reps.select("sid", "head", "t", "n", "sig").join(in_play, "sid"), "marks")
+    bodies = spark_long.filter("body IS NOT NULL").withColumnRenamed("id", "head")
+    texts = materialize(marks.select("sid", "head", "t").join(bodies, ["head", "t"]).select("sid", "body").dropDuplicates(["sid"]), "texts")
+    marks = marks.select("sid", "n", "sig")
+    named = materialize(linked.select("id", "s1", "s2").distinct().join(classes.drop("t"), ["s1", "s2"]).select("id", "sid", "head"), "named")
+    several = named.groupBy("id").agg(F.min("sid").alias("a"), F.max("sid").alias("z")).filter("a < z").select("id", "a")
+    ties = materialize(named.join(several, "id").select("a", F.col("sid").alias("b")).filter("a <> b").distinct(), "ties")
+    nodes = in_play.union(ties.select("a")).union(ties.select("b")).distinct()
+    labels = materialize(nodes.join(classes, "sid").select("sid", F.col("head").alias("comp")), "components")
+    if not ties.isEmpty():
+        labels = merge_components(labels, ties)
     least = least_agreement(percent / 100)
 
     def confirm(pairs: DataFrame) -> DataFrame:
@@ -188,7 +199,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     tested = None
     for turn in range(STAR_ROUNDS):
         members = buckets.join(labels, "sid")
-        order = F.col("sid") if turn == 0 else F.xxhash64(F.lit(turn), F.col("sid"), F.col("key"))
+        order = F.struct("comp", "sid") if turn == 0 else F.xxhash64(F.lit(turn), F.col("sid"), F.col("key"))
         centres = (members.groupBy("key")
                    .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min_by(F.struct("sid", "comp"), order).alias("c"))
                    .filter("lo < hi").select("key", F.col("c.sid").alias("a"), F.col("c.comp").alias("ca")))
@@ -205,9 +216,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     links = confirm(rest.join(done, ["a", "b"], "left_anti"))
     if not links.isEmpty():
         labels = merge_components(labels, links)
-    return (sets.join(classes, ["s1", "s2"], "left")
-            .withColumn("sid", F.when(F.col("n") > 0, F.coalesce("sid", "id")).otherwise(F.col("id")))
-            .join(labels, "sid", "left")
-            .select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"),
-                    F.when(F.col("id").isNotNull(), F.coalesce("comp", "sid")).alias("component_id"))
+    found = named.join(labels, "sid", "left").groupBy("id").agg(F.min(F.coalesce("comp", "head")).alias("comp"))
+    rows = sets.select("id", "n")
+    rows = (rows.filter("id IS NOT NULL").join(found, "id", "left").select("id", "n", F.coalesce("comp", "id").alias("comp"))
+            .unionByName(rows.filter("id IS NULL").withColumn("comp", F.lit(None).cast("long"))))
+    return (rows.select(F.col("id").cast(df.schema[id_col].dataType).alias(id_col), F.col("n").alias("n_shingles"), F.col("comp").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))

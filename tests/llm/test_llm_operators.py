@@ -136,6 +136,19 @@ def test_near_duplicates_match_brute_force(docs, rows, k):
     assert collections.Counter(map(tuple, minhash.near_duplicates(docs, shingle=k).collect())) == want
 
 
+def test_repeated_rows_and_ids_keep_their_links(spark):
+    rng = random.Random(12)
+    base, other = (sentence(rng, 60).split() for _ in range(2))
+    near = [" ".join([*base[:-1], f"end{i}"]) for i in range(3)]
+    sids = spark.createDataFrame([(i, i) for i in range(3)], "sid long, comp long")
+    texts = spark.createDataFrame([(i, t.encode()) for i, t in enumerate(near) for _ in range(3 if i == 1 else 1)], "sid long, body binary")
+    assert sorted(map(tuple, minhash._prefix_pairs(sids, texts, 5, 80).collect())) == [(0, 1), (0, 2), (1, 2)]
+    rows = [(2, near[0]), (3, near[1]), (3, " ".join(other)), (3, ""), (4, " ".join([*other[:-1], "end"])), (9, near[2]), (9, near[2]), (9, near[2]), (11, "alone"), (11, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = collections.Counter((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs).collect())
+    assert got == {(2, 2, True): 1, (3, 2, False): 3, (4, 2, False): 1, (9, 2, False): 3, (11, 11, True): 2}
+
+
 def test_bpe_matches_the_tokenizers_library(docs, rows):
     tokenizers = pytest.importorskip("tokenizers")
     t = tokenizers.Tokenizer.from_file(queries.vocabulary())
