@@ -26,10 +26,17 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word shingles, similarity 0.8 or more); rows without id stay."""
-    groups = minhash.near_duplicates(docs, shingle=5, percent=80)
-    gone = groups.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    """One document of each group of near copies (five-word shingles, similarity 0.8 or more), each of its texts once.
+
+    Rows without id take part under a hash of their text, from 2^62 on, so that a row with an id stays before them.
+    """
+    content = F.xxhash64("text").bitwiseAND(F.lit(2**62 - 1)).bitwiseOR(F.lit(2**62))
+    keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), content))
+    groups = minhash.near_duplicates(keyed.select("__key", "text"), id_col="__key", shingle=5, percent=80)
+    gone = groups.filter(~F.col("kept")).select("__key").distinct()
+    kept = keyed.join(gone, "__key", "left_anti").groupBy("__key", "text")
+    row = F.struct(*[c for c in COLUMNS if c != "text"])
+    return kept.agg(F.min(row).alias("__row")).select("text", "__row.*").select(COLUMNS)
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

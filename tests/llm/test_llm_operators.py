@@ -333,3 +333,18 @@ def test_pipeline_stages_follow_their_operators(spark):
     out = corpus_pipeline.run(spark, SMALL)
     assert out.columns == ["doc_id", "ids", "decoded"]
     assert {r["doc_id"] for r in out.collect()} <= {r["doc_id"] for r in single.collect()}
+
+
+def test_pipeline_keeps_one_copy_of_repeated_rows(spark):
+    import corpus_pipeline
+
+    rng = random.Random(21)
+    texts = [sentence(rng, 60) for _ in range(4)]
+    rows = [(1, texts[0])] * 3 + [(None, texts[1])] * 2 + [(None, texts[0]), (5, texts[2]), (None, texts[3]), (6, None), (None, None), (None, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars int").repartition(3)
+    single = corpus_pipeline.drop_near_duplicates(spark, docs, SMALL)
+    assert single.columns == corpus_pipeline.COLUMNS
+    want = collections.Counter([(1, texts[0]), (None, texts[1]), (5, texts[2]), (None, texts[3]), (6, None), (None, None), (None, "")])
+    assert collections.Counter((r["doc_id"], r["text"]) for r in single.collect()) == want
+    passages = corpus_pipeline.drop_passages(spark, single, SMALL)
+    assert collections.Counter((r["doc_id"], r["text"]) for r in passages.collect()) == want
