@@ -68,9 +68,12 @@ def _ranges(
     over that value's rows only (one extra pass for all hot values); with a
     single order key, rows tied on a hot value are spread by a hash of all
     their columns, since their mutual order is arbitrary anyway (rows equal in
-    every column stay together).
+    every column stay together).  A string key is cut at whole strings, the
+    quantiles of a sample, so different keys with a common prefix never count
+    as one hot value.
     """
-    kcol = _numeric_key(df, keys[0])
+    text = isinstance(df.schema[keys[0]].dataType, StringType)
+    kcol = F.col(keys[0]) if text else _numeric_key(df, keys[0])
     n = df.count() if n is None else n
     by_size = math.ceil(n / max(1, rows_per_bucket))
     by_cores = min(df.sparkSession.sparkContext.defaultParallelism, n // MIN_ROWS_PER_BUCKET)
@@ -80,17 +83,25 @@ def _ranges(
     staged = df.withColumn("_range_key", kcol)
     probs = [i / n_buckets for i in range(1, n_buckets)]
     accuracy = max(10_000, 20 * n_buckets)
-    row = staged.agg(F.percentile_approx("_range_key", probs, accuracy).alias("q")).first()
-    q = [float(x) for x in (row["q"] or []) if x is not None and not math.isnan(x)]
+    if text:
+        # any cut keeps the order: the sample decides the sizes of the ranges alone
+        some = staged.sample(min(1.0, accuracy / n), 17).select("_range_key").filter(F.col("_range_key").isNotNull()).collect()
+        some = sorted(r[0] for r in some)
+        q = [some[int(x * len(some))] for x in probs] if some else []
+    else:
+        row = staged.agg(F.percentile_approx("_range_key", probs, accuracy).alias("q")).first()
+        q = [float(x) for x in (row["q"] or []) if x is not None and not math.isnan(x)]
     slots = Counter(q)
     hot = sorted(v for v, c in slots.items() if c >= 2)
-    points = sorted(set(q) | {math.nextafter(v, math.inf) for v in hot})
-    splits = [-math.inf, *points, math.inf]
-    bucketizer = Bucketizer(splits=splits, inputCol="_range_key", outputCol="_range_f", handleInvalid="keep")
-    out = bucketizer.transform(staged)
-    rid = F.col("_range_f").cast("int")
+    points = sorted(set(q) | {v + "\0" if text else math.nextafter(v, math.inf) for v in hot})
+    if text:
+        out, rid = staged, _text_range(points, 0, len(points))
+    else:
+        bucketizer = Bucketizer(splits=[-math.inf, *points, math.inf], inputCol="_range_key", outputCol="_range_f", handleInvalid="keep")
+        out = bucketizer.transform(staged)
+        rid = F.col("_range_f").cast("int")
     no_key = F.col("_range_key").isNull()
-    n_ranges = len(splits) - 1
+    n_ranges = len(points) + 1
     if hot:
         sub, width = _hot_subranges(df, staged, keys, hot, slots, accuracy)
         rid = rid * width + sub
@@ -98,8 +109,16 @@ def _ranges(
     return out.withColumn(_B, F.when(no_key, F.lit(-1)).otherwise(rid)).drop("_range_key", "_range_f"), n, n_ranges + 1
 
 
+def _text_range(points: list[str], lo: int, hi: int) -> Column:
+    """How many of ``points[lo:hi]``, and of those before, are at or below the key, by halving."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(F.col("_range_key") < F.lit(points[mid]), _text_range(points, lo, mid)).otherwise(_text_range(points, mid + 1, hi))
+
+
 def _hot_subranges(
-    df: DataFrame, staged: DataFrame, keys: list[str], hot: list[float], slots: Counter, accuracy: int
+    df: DataFrame, staged: DataFrame, keys: list[str], hot: list, slots: Counter, accuracy: int
 ) -> tuple[Column, int]:
     """Sub-range index inside each hot leading-key value, and the index width."""
     width = max(slots[v] for v in hot) + 1

@@ -119,3 +119,21 @@ def test_hot_single_key_ties_spread(spark):
     assert max(sizes) < 200
     got = ordered.add_row_index(df, "k", "ix", rows_per_bucket=50)
     assert sorted(r["ix"] for r in got.collect()) == list(range(1, 801))
+
+
+def test_string_keys_with_a_common_prefix_are_ordered(spark):
+    df = spark.range(3000).select(F.format_string("customer-0%07d", F.pmod(F.col("id") * 7919, F.lit(3000))).alias("k"),
+                                  F.when(F.col("id") % 5 == 0, F.col("id")).alias("v"), F.col("id"))
+    ref = df.withColumn("ix_ref", F.row_number().over(Window.orderBy("k")))
+    for order in ("k", ["k", "id"]):
+        got = ordered.add_row_index(df, order, "ix", rows_per_bucket=100)
+        assert got.join(ref, "id").filter("ix = ix_ref").count() == 3000
+        assert ordered.rank_cuts(df, [order] if order == "k" else order, [1000], rows_per_bucket=100)[0][1000][0] == "customer-00000999"
+    ranged, _ = ordered.with_ranges(df, "k", 100)
+    assert ranged.groupBy("_range_id").count().agg(F.max("count")).first()[0] < 300
+    hot = df.withColumn("k", F.when(F.col("id") % 3 == 0, "customer-00001500").otherwise(F.col("k")))
+    got = ordered.add_row_index(hot, ["k", "id"], "ix", rows_per_bucket=100)
+    ref = hot.withColumn("ix_ref", F.row_number().over(Window.orderBy("k", "id")))
+    assert got.join(ref, "id").filter("ix = ix_ref").count() == 3000
+    index = {r["ix"]: r["k"] for r in ordered.add_row_index(hot, "k", "ix", rows_per_bucket=100).collect()}
+    assert list(map(index.get, range(1, 3001))) == sorted(index.values())
