@@ -138,6 +138,8 @@ def write_archives(df: DataFrame, folder: str, id_col: str = "page_id", url_col:
     revisits = assign_revisits(df, id_col, payload_col)
     rows = df.select(F.col(id_col).alias("id"), F.col(url_col).alias("url"), F.col(payload_col).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha1(F.coalesce("payload", F.lit(b"")))).join(revisits, ["id", "digest"], "left")
+    # as strings: pandas holds longs with NULLs as doubles, which round above 2^53
+    rows = rows.withColumns({c: F.col(c).cast("string") for c in ("id", "refers_to")})
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         store, root = fs.FileSystem.from_uri(folder)
@@ -148,7 +150,7 @@ def write_archives(df: DataFrame, folder: str, id_col: str = "page_id", url_col:
                 if writer is None:
                     bundle = f"{uuid.uuid4().hex}.warc.zst"
                     writer = BundleWriter(store.open_output_stream(f"{root}/{bundle}", compression=None))
-                refers = None if pd.isna(refers) else str(int(refers))
+                refers = None if pd.isna(refers) else refers
                 key = None if pd.isna(name) else int(name)
                 data = record("response" if refers is None else "revisit", "none" if key is None else str(key), url, payload or b"", refers)
                 index.append((key, bundle, *writer.add(data)))

@@ -247,6 +247,13 @@ def test_archives_round_trip(spark):
     assert collections.Counter(map(tuple, warc.archive_round_trip(df).collect())) == want
 
 
+def test_archives_keep_large_ids(spark):
+    page, first = "<p>é</p>" * 300, 2**53 + 1
+    df = spark.createDataFrame([(first, "u", page), (first + 2, "u", page), (first + 4, "u", "short"), (None, "u", "none")], "page_id long, url string, html string").coalesce(1)
+    got = {(r["page_id"], r["refers_to"]) for r in warc.archive_round_trip(df).select("page_id", "refers_to").collect()}
+    assert got == {(first, first + 2), (first + 2, None), (first + 4, None), (None, None)}
+
+
 def test_mix_hits_targets_and_caps(docs, spark):
     big = spark.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 17 + 1).cast("int")).alias("text"),
                                    F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 50 == 1, "b").when(F.col("id") % 5 > 0, "c").alias("source"))
