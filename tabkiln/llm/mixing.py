@@ -95,7 +95,7 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_
     plan = plan_mix(rows, weights, max_epochs)
     copies = F.col("whole") + F.when(F.col("u") < F.col("cut"), 1).otherwise(0)
     return (rows.alias("r").join(plan.alias("p"), _same("r", "p"))
-            .select(F.col("id").alias(id_col), F.col("r.source").alias(source_col), "size", "source_size", "target", copies.alias("copies")))
+            .select(F.col("id").alias(id_col), F.col("r.source").alias(source_col), "size", "source_size", "target", F.least(copies, F.lit(max_epochs)).alias("copies")))
 
 
 def mix_rows(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
@@ -105,4 +105,4 @@ def mix_rows(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
     plan = plan.select(F.struct(*plan.columns).alias("__plan"))
     taken = F.col("__plan.whole") + F.when(seeded_bucket(id_col, seed) < F.col("__plan.cut"), 1).otherwise(0)
     return (df.join(plan, F.col(source_col).eqNullSafe(F.col("__plan.source")))
-            .withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), taken))).filter("__copy > 0").select(df.columns))
+            .withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.least(taken, F.lit(max_epochs))))).filter("__copy > 0").select(df.columns))

@@ -254,6 +254,14 @@ def test_archives_keep_large_ids(spark):
     assert got == {(first, first + 2), (first + 2, None), (first + 4, None), (None, None)}
 
 
+def test_mix_never_takes_a_row_more_often_than_the_cap(spark):
+    rows = [(i, "w" if i == 0 else "", "a") for i in range(50)] + [(100 + i, "w " * 50, "b") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    for weights in ((5.0, 1.0), (1.0, 5.0)):
+        most = mixing.mix_rows(docs, weights=weights).groupBy("doc_id").count().agg(F.max("count")).first()[0]
+        assert most <= 3 and mixing.mix(docs, weights=weights).agg(F.max("copies")).first()[0] <= 3
+
+
 def test_mix_hits_targets_and_caps(docs, spark):
     big = spark.range(6000).select(F.col("id").alias("doc_id"), F.repeat(F.lit("w "), (F.col("id") % 17 + 1).cast("int")).alias("text"),
                                    F.when(F.col("id") % 3 == 0, "a").when(F.col("id") % 50 == 1, "b").when(F.col("id") % 5 > 0, "c").alias("source"))
