@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkiln.llm import (bpe, exact_topk, minhash, mixing, permutation_index, rlz_dedup, suffix_dedup, toxicity,
-                         url_cascade, warc)
+from tabkiln.llm import (bpe, exact_topk, minhash, mixing, periodic_runs, permutation_index, rlz_dedup, sentence_pieces,
+                         spelling, suffix_dedup, toxicity, url_cascade, warc)
 from tabkiln.llm.common import table
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -69,6 +69,47 @@ def op10_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz_dedup.passage_digests(table(spark, sf_dir, "documents"))
 
 
+def with_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): of one text in ten, by a hash of its id, the words from some place on repeat with a period.
+
+    With g = floor(crc32(id) / 10), n words, a = g % n and p = 1 + floor((n - a) / (3 + g % 8)), word i >= a becomes
+    word a + (i - a) % p.  Rows without id stay as they are.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    planted = (docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("w"))
+               .withColumn("n", F.when(F.size("w") > 0, F.size("w")))
+               .withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+               .withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int")))
+    text = F.expr("array_join(concat(slice(w, 1, a), slice(flatten(array_repeat(slice(w, a + 1, p), "
+                  "cast(ceil((n - a) / p) as int))), 1, n - a)), ' ')")
+    return planted.select("doc_id", F.when(F.col("n").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(with_periods(table(spark, sf_dir, "documents")))
+
+
+def with_slips(runs: DataFrame) -> DataFrame:
+    """(word): every run; where 31 divides h, the crc32 of "id:run", without its code point h % length."""
+    h, run = F.crc32(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), "run").cast("binary")), F.col("run")
+    hashed = runs.select(run, h.alias("h"))
+    at = (F.col("h") % F.length("run")).cast("int")
+    return hashed.select(F.when(F.col("h") % 31 == 0, F.concat(F.left(run, at), F.substring(run, at + 2, F.length(run)))).otherwise(run).alias("word"))
+
+
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    runs = spelling.letter_runs(table(spark, sf_dir, "documents"), least=7)  # a run only gets shorter
+    return spelling.variant_groups(spelling.count_words(with_slips(runs), least_letters=7, least_count=2), ratio=10)
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sentence_pieces.encode(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+    return found.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -77,7 +118,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_suffix_dedup, op2_permutation_index, op3_bbit_minhash, op4_bpe, op5_exact_topk, op6_warc, op7_url_cascade,
-    op8_toxicity, op9_mixing, op10_rlz_dedup, pipeline)}
+    op8_toxicity, op9_mixing, op10_rlz_dedup, op11_periodic_runs, op12_spelling, op13_sentencepiece, pipeline)}
 
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_topk": """
@@ -128,4 +169,27 @@ SELECT doc_id, size, t2.source_size, round(target, 3) AS target,
        (size * (whole + CASE WHEN u < coalesce(k.cut, e.b * 4096, 0) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM d JOIN t2 ON d.source IS NOT DISTINCT FROM t2.source
 LEFT JOIN e ON e.source IS NOT DISTINCT FROM d.source LEFT JOIN k ON k.source IS NOT DISTINCT FROM d.source""",
+    # crc32 bit by bit over the bytes' bits, lowest first; near words share what is left without one letter, at one place
+    # (a letter replaced), or one of them is what is left of the other
+    "op12_spelling": r"""
+WITH r AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(text, '[A-Za-z\x{00C0}-\x{00FF}]+')) AS raw FROM documents),
+l AS (SELECT id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM r WHERE length(raw) >= 7),
+b AS (SELECT w, count(*) AS k, hex(encode(id || ':' || w)) AS x FROM l GROUP BY id, w),
+c AS (SELECT w, k, 4294967295 - list_reduce(
+        [4294967295::BIGINT] || [(('0x' || substr(x, 2 * (i // 8) + 1, 2))::INT >> (i % 8)::INT & 1)::BIGINT FOR i IN range(4 * len(x))],
+        lambda c, t: xor(c >> 1, 3988292384 * (xor(c, t) & 1))) AS h FROM b),
+o AS (SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, (h % length(w))::INT) || substr(w, (h % length(w))::INT + 2) ELSE w END AS word, k FROM c),
+v AS (SELECT word, sum(k)::BIGINT AS n FROM o WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+d AS (SELECT word, i, substr(word, 1, i::INT - 1) || substr(word, i::INT + 1) AS left_over
+      FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM v)),
+p AS (SELECT x.word AS word, y.word AS near FROM d x JOIN d y ON x.i = y.i AND x.left_over = y.left_over AND x.word <> y.word
+      UNION SELECT d.word, v.word FROM d JOIN v ON d.left_over = v.word
+      UNION SELECT v.word, d.word FROM d JOIN v ON d.left_over = v.word),
+s AS (SELECT p.word, count(*) AS n_near, min({'minus': -v.n, 'near': p.near}) AS best FROM p JOIN v ON v.word = p.near GROUP BY p.word),
+f AS (SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN -best.minus >= 10 * v.n THEN best.near END AS form,
+             CASE WHEN -best.minus >= 10 * v.n THEN -best.minus END AS form_n FROM v LEFT JOIN s USING (word)),
+t AS (WITH RECURSIVE t(word, root, depth) AS (
+        SELECT word, word, 0 FROM f UNION ALL SELECT t.word, f.form, depth + 1 FROM t JOIN f ON f.word = t.root WHERE f.form IS NOT NULL)
+      SELECT word, max_by(root, depth) AS root FROM t GROUP BY word)
+SELECT word, form, root, n, n_near, form_n::BIGINT AS form_n FROM f JOIN t USING (word)""",
 }
