@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tabkiln.llm.common import byte_batches
 
-TABLE_CHUNKS = 400_000
+TABLE_CHUNKS = 1_000_000
 #: Longer chunks are segmented alone, where they stand, and not kept.
 KEPT_CHARS = 48
 #: Bytes of text whose distinct chunks are segmented together.
@@ -111,7 +111,8 @@ class PieceBpe:
                 raise ValueError("pieces defined by a user, or unused, are not supported")
         crossing = any(MARK in t.lstrip(MARK) for t in self.ids)
         self.chunks = re.compile(r"(?s).+" if crossing else f"{MARK}*[^{MARK}]+|{MARK}+")
-        self.table: dict[str, tuple[bytes, str]] = {}
+        self.table: dict[str, bytes] = {}
+        self.shown: dict[str, str] = {}
         self.first_normal = 1 + max((i for i, k in enumerate(self.kinds) if k != KIND_NORMAL), default=-1)
         # a symbol is the id of a piece, or for a character that is none, the number of pieces plus its code point
         size = len(self.pieces)
@@ -128,8 +129,11 @@ class PieceBpe:
         self.pair_ids = np.array([*(j for _, j in splits), 0], np.int64)
         self.pair_turns = np.array([*(turns[self.scores[self.pieces[j]]] for _, j in splits), 0], np.int64)
 
-    def segment_all(self, chunks: Sequence[str]) -> list[list[int]]:
-        """``segment`` of many chunks at once; a round merges the best pair of every chunk that has one."""
+    def segment_all(self, chunks: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+        """``segment`` of many chunks at once, as ids and the end of each chunk's.
+
+        A round merges the best pair of every chunk that has one.
+        """
         flat = np.frombuffer("".join(chunks).encode("utf-32-le"), "<u4")
         size = np.array([len(c) for c in chunks], np.int64)
         symbol, chunk = self.symbol[flat], np.repeat(np.arange(len(chunks)), size)
@@ -161,15 +165,16 @@ class PieceBpe:
             look_up(at - 1)
         chunk, symbol = (np.concatenate(x) for x in zip(*done)) if done else (chunk, symbol)
         turn = np.argsort(chunk, kind="stable")
-        symbol, ends = symbol[turn].tolist(), np.cumsum(np.bincount(chunk, minlength=len(chunks))).tolist()
-        size = len(self.pieces)
-        out = []
-        for lo, hi in zip([0, *ends], ends):
-            ids = symbol[lo:hi]
-            if max(ids) >= size:
-                ids = [i for s in ids for i in ([s] if s < size else [self.byte_ids[b] for b in chr(s - size).encode("utf-8")])]
-            out.append(ids)
-        return out
+        symbol, chunk = symbol[turn], chunk[turn]
+        unknown = np.flatnonzero(symbol >= len(self.pieces))
+        if len(unknown):  # a character that is no piece becomes the ids of its bytes
+            spelled = [chr(c).encode("utf-8") for c in (symbol[unknown] - len(self.pieces)).tolist()]
+            width = np.ones(len(symbol), np.int64)
+            width[unknown] = [len(b) for b in spelled]
+            is_byte = np.repeat(symbol >= len(self.pieces), width)
+            symbol, chunk = np.repeat(symbol, width), np.repeat(chunk, width)
+            symbol[is_byte] = np.array(self.byte_ids)[np.frombuffer(b"".join(spelled), np.uint8)]
+        return symbol, np.cumsum(np.bincount(chunk, minlength=len(chunks)))
 
     def segment(self, chunk: str) -> list[int]:
         """Ids of a chunk: the adjacent pair of the best score is merged first, of equal ones the leftmost."""
@@ -227,28 +232,34 @@ class PieceBpe:
             text = text[1:]
         return text.replace(MARK, " ")
 
-    def learn(self, chunks: set[str]) -> Mapping[str, tuple[bytes, str]]:
-        """The table, with the new ones of ``chunks`` segmented; long chunks stand in a table of this call."""
+    def learn(self, chunks: set[str]) -> Mapping[str, bytes]:
+        """The table, with the new ones of ``chunks`` segmented; long chunks stand in a table of this call.
+
+        A chunk that its ids do not spell is noted in ``shown``, with what they spell.
+        """
         if len(self.table) > TABLE_CHUNKS:
-            self.table = {}
+            self.table, self.shown = {}, {}
         new = chunks.difference(self.table)
         short = [c for c in new if len(c) <= KEPT_CHARS]
-        for c, ids in zip(short, self.segment_all(short)):
-            self.table[c] = array("i", ids).tobytes(), self.spell(ids)
-        if len(short) == len(new):
-            return self.table
+        flat, ends = self.segment_all(short)
+        packed, places = flat.astype("<i4").tobytes(), (4 * ends).tolist()
+        self.table.update((c, packed[lo:hi]) for c, lo, hi in zip(short, [0, *places], places))
         long = {c: self.segment(c) for c in new if len(c) > KEPT_CHARS}
-        return ChainMap({c: (array("i", ids).tobytes(), self.spell(ids)) for c, ids in long.items()}, self.table)
+        if self.spell(flat.tolist()) != "".join(short) or any(self.spell(ids) != c for c, ids in long.items()):
+            for c in new:
+                text = self.spell(long[c] if c in long else np.frombuffer(self.table[c], "<i4").tolist())
+                if text != c:
+                    self.shown[c] = text
+        return ChainMap({c: array("i", ids).tobytes() for c, ids in long.items()}, self.table) if long else self.table
 
     def encode(self, texts: Sequence[str]) -> Iterator[tuple[bytes, str]]:
         """For each text its ids as little-endian 32-bit integers, and the text they decode to."""
         lead = MARK if self.prefix else ""
         cut = [self.chunks.findall(lead + t.replace(" ", MARK)) if t else [] for t in texts]
-        table = self.learn(set().union(*cut))
+        ids_of = self.learn(set().union(*cut)).__getitem__
         for chunks in cut:
-            found = [table[c] for c in chunks]
-            shown = "".join([s for _, s in found]).replace(MARK, " ")
-            yield b"".join([i for i, _ in found]), shown[1:] if self.prefix else shown
+            shown = "".join([self.shown.get(c, c) for c in chunks] if self.shown else chunks).replace(MARK, " ")
+            yield b"".join(map(ids_of, chunks)), shown[1:] if self.prefix else shown
 
 
 def _characters(raw: bytes) -> str:
