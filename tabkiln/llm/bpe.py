@@ -161,6 +161,13 @@ def model(path: str) -> WordBpe:
     return _MODELS[path]
 
 
+def _mapped(df: DataFrame, id_col: str, text_col: str, run, schema: str) -> DataFrame:
+    """``run`` over (id, body); ids pass it as strings, since pandas rounds large numbers beside NULL."""
+    found = (df.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).cast("binary").alias("body"))
+             .mapInPandas(run, f"id string, {schema}"))
+    return found.withColumn("id", F.col("id").cast(df.schema[id_col].dataType)).withColumnRenamed("id", id_col)
+
+
 def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>, decoded): token ids of whole texts and the text they decode to.
 
@@ -175,9 +182,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                 yield pd.DataFrame({"id": pdf["id"].iloc[lo:hi].array, "ids": [np.frombuffer(a, "<u4").astype(np.int32) for a, _ in got],
                                     "decoded": [d for _, d in got]})
 
-    id_type = df.schema[id_col].dataType.simpleString()
-    return (df.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("body"))
-            .mapInPandas(run, f"id {id_type}, ids array<int>, decoded string").withColumnRenamed("id", id_col))
+    return _mapped(df, id_col, text_col, run, "ids array<int>, decoded string")
 
 
 def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -191,6 +196,4 @@ def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 n, a, d = zip(*rows)
                 yield pd.DataFrame({"id": pdf["id"].iloc[lo:hi].array, "n_tokens": n, "ids_sha256": a, "decoded_sha256": d})
 
-    id_type = df.schema[id_col].dataType.simpleString()
-    return (df.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("body"))
-            .mapInPandas(run, f"id {id_type}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("id", id_col))
+    return _mapped(df, id_col, text_col, run, "n_tokens long, ids_sha256 string, decoded_sha256 string")

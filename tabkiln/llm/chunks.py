@@ -24,11 +24,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabkiln.llm.common import (BYTE_CODE, byte_batches, gram_hash, materialize, prefix_hash,
-                                range_hash, row_id, word_hashes)
+from tabkiln.llm.common import BYTE_CODE, byte_batches, gram_hash, materialize, prefix_hash, row_id, word_hashes
 
 #: A chunk's place in its text: first window, anchor's distance from it and number of windows in one long.
 SHIFT, HALF = 32, 65536
@@ -43,11 +43,15 @@ class Plan:
 
     words: bool
     window: int
-    gram: int
+    gram: int  # less than HALF symbols below the window
     group_limit: int = 8192
     piece: int = 16
     task_bytes: int = 300_000
 
+    def __post_init__(self) -> None:
+        if not 0 < self.window - self.gram + 1 < HALF:
+            raise ValueError(f"the window must be 0 to {HALF - 2} symbols longer than the gram")
+
     def symbols(self, bodies: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         if self.words:
             return word_hashes(bodies)
@@ -89,10 +93,17 @@ def chunk_arrays(plan: Plan, bodies: list[bytes]) -> dict[str, np.ndarray]:
     first, n = at[new], np.diff(np.concatenate([new, [len(at)]]))
     text = np.searchsorted(off, first, side="right") - 1
     return {"text": text, "gram": h[a[new]].view(np.int64),
-            "chunk": range_hash(prefix, first, first + n - 1 + plan.window).view(np.int64),
+            "chunk": _slice_hashes(plan, bodies, codes, first, first + n - 1 + plan.window),
             "first": first - off[text], "off": a[new] - first, "n": n}
 
 
+def _slice_hashes(plan: Plan, bodies: list[bytes], codes: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of what the symbols of each slice hold: their bytes, or the hashes of their words."""
+    width = codes.itemsize if plan.words else 1
+    raw = memoryview(codes.tobytes() if plan.words else b"".join(bodies))
+    return np.array([_bytes_hash(raw[width * a : width * b]) for a, b in zip(start.tolist(), end.tolist())], np.int64)
+
+
 def _emit_chunks(plan: Plan):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -107,8 +118,7 @@ def _emit_chunks(plan: Plan):
 
 
 def _bytes_hash(body: bytes) -> int:
-    prefix = prefix_hash(BYTE_CODE[np.frombuffer(body, np.uint8)])
-    return int(range_hash(prefix, np.array([0]), np.array([len(body)])).view(np.int64)[0])
+    return xxhash.xxh3_64_intdigest(body) - 2**63
 
 
 def _emit_bodies(plan: Plan):

@@ -6,10 +6,13 @@ hashes are 64-bit and depend on content alone, so they agree between tasks.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -48,6 +51,21 @@ def row_id(id_col: str, text_col: str) -> list[Column]:
             F.xxhash64(F.lit(2), F.col(text_col), F.col(id_col)).alias("r2")]
 
 
+def fresh_names(df: DataFrame, *stems: str) -> list[str]:
+    """A name for each stem that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    return [next(n for n in (s + "_" * k for k in range(len(taken) + 1)) if n.lower() not in taken) for s in stems]
+
+
+def release() -> None:
+    """Give what this worker has freed back to the machine; a reused worker else keeps its largest batch's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def byte_batches(bodies: Sequence[bytes | None], limit: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
     """Index ranges whose texts hold about ``limit`` bytes together."""
     lo, size = 0, 0
@@ -125,6 +143,16 @@ def word_hashes(bodies: Sequence[bytes | None], lower: bool = False) -> tuple[np
     if len(word) and word[0]:
         edge = np.concatenate([[0], edge])
     start, end = edge[0::2], edge[1::2]  # the text ends in a space
-    hashes = range_hash(prefix_hash(BYTE_CODE[data]), start, end)
+    # a byte's share is a mixed hash of it and its place in the word: no word is a polynomial, whose hashes modulo a
+    # power of two agree for long regular words
+    hashes = np.zeros(0, np.uint64)
+    if len(start):
+        first = start[0]
+        place = np.arange(first, len(data)) - np.repeat(start, np.diff(np.append(start, len(data))))
+        share = (BYTE_CODE[data[first:]] ^ (place.astype(np.uint64) * np.uint64(_RATIO))) * _MIX[0]
+        share ^= share >> np.uint64(32)
+        share *= _MIX[1]
+        share[~word[first:]] = 0
+        hashes = mix(np.add.reduceat(share, start - first) + (end - start).astype(np.uint64))
     offsets = np.concatenate([[0], np.searchsorted(start, np.cumsum(lens))])
     return hashes, offsets

@@ -9,8 +9,8 @@ confirmed on their full sets.
 
 No bucket is expanded into all its pairs.  First every bucket member meets
 one representative of its bucket, then another one; members already in one
-component are never compared again.  What is left are members of buckets that
-span several components: of these, every pair that a prefix filter over their
+component are never compared again.  What is left are members of buckets of
+three or more that span several components: of these, every pair that a prefix filter over their
 full sets lets through is compared too, so no link between them is lost.
 """
 
@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkiln.llm.common import byte_batches, gram_hash, materialize, mix, prefix_hash, range_hash, word_hashes
+from tabkiln.llm.common import byte_batches, gram_hash, materialize, mix, prefix_hash, range_hash, release, word_hashes
 from tabkiln.llm.components import merge_components
 
 BANDS, ROWS, BITS = 32, 4, 2
@@ -78,6 +78,7 @@ def _signatures(k: int):
                     rows.append((len(values), int(s1.view(np.int64)), int(s2.view(np.int64)), sig.view(np.int64), bands.view(np.int64)))
                 n, s1, s2, sig, bands = zip(*rows)
                 yield pd.DataFrame({"id": pdf["id"].iloc[lo:hi].array, "t": pdf["t"].iloc[lo:hi].array, "n": n, "s1": s1, "s2": s2, "sig": sig, "bands": bands})
+        release()
     return run
 
 
@@ -160,10 +161,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     id reachable over links, ``kept`` marks the row that has it.  NULL, empty
     and word-free texts have no shingles and no links.  A row without id takes
     no part: its component is NULL and it is kept.  Rows that repeat an id share
-    its component.
+    its component.  Ids are whole numbers; others raise.
     """
     spark_long = df.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("body")).withColumn("t", F.xxhash64("body"))
-    sets = materialize(spark_long.mapInPandas(_signatures(shingle), "id long, t long, n long, s1 long, s2 long, sig array<long>, bands array<long>"), "minhash")
+    signed = (spark_long.withColumn("id", F.col("id").cast("string"))  # pandas rounds large numbers beside NULL
+              .mapInPandas(_signatures(shingle), "id string, t long, n long, s1 long, s2 long, sig array<long>, bands array<long>"))
+    sets = materialize(signed.withColumn("id", F.col("id").cast("long")), "minhash")
     linked = sets.filter("n > 0 AND id IS NOT NULL")
     # one class a set, named by a hash (sid), not by its least id (head): an id with two texts can be that of two classes
     classes = materialize(linked.groupBy("s1", "s2").agg(F.min(F.struct("id", "t")).alias("h"))
@@ -209,7 +212,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if not links.isEmpty():
             labels = merge_components(labels, links)
     members = buckets.join(labels, "sid")
-    split = members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi").select("key")
+    # a bucket of two has one pair, and the first round has tested it
+    split = (members.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"))
+             .filter("lo < hi AND size > 2").select("key"))
     open_ids = members.join(split, "key", "left_semi").select("sid", "comp").distinct()
     rest = _prefix_pairs(open_ids, texts, shingle, percent)
     done = tested.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabkiln.llm.common import materialize
+from tabkiln.llm.common import fresh_names, materialize
 
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
@@ -25,9 +25,9 @@ def word_count(text_col: str) -> Column:
     return F.coalesce(F.regexp_count(F.col(text_col), F.lit(r"[^\x20\x09-\x0D]+")).cast("long"), F.lit(0).cast("long"))
 
 
-def seeded_bucket(id_col: str, seed: str) -> Column:
-    """24 bits of a hash of the id."""
-    name = F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")))
+def seeded_bucket(id_col: str, text_col: str, seed: str) -> Column:
+    """24 bits of a hash of the id and the text, so that rows without id, or with one id, are cut apart too."""
+    name = F.concat(F.lit(seed), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("\n"), F.coalesce(F.col(text_col), F.lit("")))
     return F.conv(F.substring(F.md5(name), 1, 6), 16, 10).cast("int")
 
 
@@ -48,7 +48,7 @@ def water_fill(sources: DataFrame, max_epochs: float) -> DataFrame:
 
 def _rows(df: DataFrame, id_col: str, source_col: str, text_col: str, seed: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), word_count(text_col).alias("size"),
-                     seeded_bucket(id_col, seed).alias("u"))
+                     seeded_bucket(id_col, text_col, seed).alias("u"))
 
 
 def _same(a: str, b: str) -> Column:
@@ -88,8 +88,8 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_
 
     Sources, ordered by code point with NULL last, get the ``weights`` in turn.
     ``copies`` is how often the mix takes the row, never more than
-    ``max_epochs``.  Rows without words have size 0.  Rows that repeat an id
-    are taken equally often.  A source without words has target 0.
+    ``max_epochs``.  Rows without words have size 0.  Rows that repeat id and
+    text are taken equally often.  A source without words has target 0.
     """
     rows = materialize(_rows(df, id_col, source_col, text_col, seed), "sizes")
     plan = plan_mix(rows, weights, max_epochs)
@@ -102,7 +102,8 @@ def mix_rows(df: DataFrame, id_col: str = "doc_id", source_col: str = "source",
              weights: tuple[float, ...] = WEIGHTS, max_epochs: int = MAX_EPOCHS, seed: str = "") -> DataFrame:
     """The rows of ``df`` with all their columns, each as often as ``mix`` takes it."""
     plan = plan_mix(materialize(_rows(df, id_col, source_col, text_col, seed), "sizes"), weights, max_epochs)
-    plan = plan.select(F.struct(*plan.columns).alias("__plan"))
-    taken = F.col("__plan.whole") + F.when(seeded_bucket(id_col, seed) < F.col("__plan.cut"), 1).otherwise(0)
-    return (df.join(plan, F.col(source_col).eqNullSafe(F.col("__plan.source")))
-            .withColumn("__copy", F.explode(F.sequence(F.lit(0).cast("long"), F.least(taken, F.lit(max_epochs))))).filter("__copy > 0").select(df.columns))
+    name, copy = fresh_names(df, "__plan", "__copy")
+    plan = plan.select(F.struct(*plan.columns).alias(name))
+    taken = F.col(f"{name}.whole") + F.when(seeded_bucket(id_col, text_col, seed) < F.col(f"{name}.cut"), 1).otherwise(0)
+    return (df.join(plan, F.col(source_col).eqNullSafe(F.col(f"{name}.source")))
+            .withColumn(copy, F.explode(F.sequence(F.lit(0).cast("long"), F.least(taken, F.lit(max_epochs))))).filter(F.col(copy) > 0).select(df.columns))

@@ -149,7 +149,7 @@ f AS (SELECT page_id, max({'n': length(rh || rp), 'h': length(rh), 'rule': rh ||
 SELECT k.page_id, host, path, b.rule AS rule, coalesce(b.verdict, 'allow') AS verdict FROM k LEFT JOIN f USING (page_id)""",
     "op9_mixing": r"""
 WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '')), 1, 6))::INT AS u FROM documents),
+                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')), 1, 6))::INT AS u FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, 3.0::DOUBLE * sum(size) AS cap,
              [5.0, 2.0, 1.0][((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS w FROM d GROUP BY source),
 o AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY cap / w, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below,

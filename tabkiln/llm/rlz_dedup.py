@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabkiln.llm.chunks import Plan, drop_ranges, merge_ranges, repeated_windows
-from tabkiln.llm.common import row_id
+from tabkiln.llm.common import fresh_names, row_id
 
 WINDOW = 35
 GRAM = 8
@@ -110,7 +110,7 @@ def remove_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
     plan = Plan(words=True, window=window, gram=gram)
     found = repeated_windows(df, id_col, text_col, plan, rlz_matcher(window))
-    rows = df.select(F.col(id_col).alias("id"), *row_id(id_col, text_col), F.col(text_col).cast("binary").alias("body"))
+    rows = df.select(F.col(id_col).cast("string").alias("id"), *row_id(id_col, text_col), F.col(text_col).cast("binary").alias("body"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -122,10 +122,9 @@ def remove_passages(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             n, removed, kept = zip(*out) if out else ((), (), ())
             yield pd.DataFrame({"r1": pdf["r1"], "r2": pdf["r2"], "id": pdf["id"], "n_words": n, "n_removed": removed, "kept": kept})
 
-    id_type = df.schema[id_col].dataType.simpleString()
-    return (rows.join(found, ["r1", "r2"], "left").select("r1", "r2", "id", "body", "ranges")
-            .mapInPandas(cut, f"r1 long, r2 long, id {id_type}, n_words long, n_removed long, kept binary")
-            .withColumnRenamed("id", id_col))
+    kept = (rows.join(found, ["r1", "r2"], "left").select("r1", "r2", "id", "body", "ranges")
+            .mapInPandas(cut, "r1 long, r2 long, id string, n_words long, n_removed long, kept binary"))
+    return kept.withColumn("id", F.col("id").cast(df.schema[id_col].dataType)).withColumnRenamed("id", id_col)
 
 
 def cut_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_chars_col: str | None = None,
@@ -135,7 +134,8 @@ def cut_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_c
     A text that loses words becomes its other words joined by one space; all other texts stay to the byte.
     """
     found = repeated_windows(df, id_col, text_col, Plan(words=True, window=window, gram=gram), rlz_matcher(window))
-    found = found.toDF("__r1", "__r2", "__ranges")
+    n1, n2, spans, body = fresh_names(df, "__r1", "__r2", "__ranges", "__cut")
+    found = found.toDF(n1, n2, spans)
 
     @F.pandas_udf("string")
     def cut(bodies: pd.Series, ranges: pd.Series) -> pd.Series:
@@ -143,12 +143,12 @@ def cut_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_c
                           for b, r in zip(bodies, ranges)], dtype=object)
 
     r1, r2 = row_id(id_col, text_col)
-    out = df.select("*", r1.alias("__r1"), r2.alias("__r2")).join(found, ["__r1", "__r2"], "left")
-    hit = F.col("__ranges").isNotNull()
-    out = out.withColumn("__cut", cut(F.when(hit, F.col(text_col).cast("binary")), F.col("__ranges")))
-    changed = {text_col: F.when(hit, F.col("__cut")).otherwise(F.col(text_col))}
+    out = df.select("*", r1.alias(n1), r2.alias(n2)).join(found, [n1, n2], "left")
+    hit = F.col(spans).isNotNull()
+    out = out.withColumn(body, cut(F.when(hit, F.col(text_col).cast("binary")), F.col(spans)))
+    changed = {text_col: F.when(hit, F.col(body)).otherwise(F.col(text_col))}
     if n_chars_col:
-        changed[n_chars_col] = F.when(hit, F.length("__cut").cast(df.schema[n_chars_col].dataType)).otherwise(F.col(n_chars_col))
+        changed[n_chars_col] = F.when(hit, F.length(body).cast(df.schema[n_chars_col].dataType)).otherwise(F.col(n_chars_col))
     return out.withColumns(changed).select(df.columns)
 
 

@@ -41,13 +41,14 @@ def collection_bwt(text: np.ndarray, ends: np.ndarray, cap: int = 250) -> tuple[
     before each suffix, 0 at a document's start) and the common prefix with the
     suffix before, counted up to ``cap``.
     """
+    counted = np.min_scalar_type(cap)
     m = len(ends)
     starts = np.concatenate([[0], ends[:-1] + 1])
     where = ends.astype(np.int64).copy()             # position of each document's newest suffix
     rank = np.arange(m, dtype=np.int64)              # its place in the order
     key = np.arange(m, dtype=np.int64)               # first symbol << 32 | rank of the rest
     source = where.copy()
-    lcp = np.zeros(m, np.uint8)
+    lcp = np.zeros(m, counted)
     active = np.flatnonzero(where > starts)
     while len(active):
         n, k = len(key), len(active)
@@ -62,7 +63,7 @@ def collection_bwt(text: np.ndarray, ends: np.ndarray, cap: int = 250) -> tuple[
         tail = new & _LOW                            # ranks in the order before this round
         old_lcp, old_tail = lcp, np.empty(n + k, np.int64)
         old_tail[moved], old_tail[place] = key & _LOW, tail
-        key2, source2, lcp2 = np.empty(n + k, np.int64), np.empty(n + k, np.int64), np.empty(n + k, np.uint8)
+        key2, source2, lcp2 = np.empty(n + k, np.int64), np.empty(n + k, np.int64), np.empty(n + k, counted)
         key2[moved], key2[place] = key + shift[key & _LOW], new + shift[tail]
         source2[moved], source2[place] = source, where[active] - 1
         lcp2[moved] = lcp
@@ -127,7 +128,7 @@ def bwt_matcher(window: int, symbol: int = SYMBOL):
 
     def match(bodies: list[bytes], weights: list[int]) -> list[list[tuple[int, int]]]:
         text, ends, body, byte = phase_documents(bodies, symbol)
-        source, _, lcp = collection_bwt(text, ends)
+        source, _, lcp = collection_bwt(text, ends, window // symbol)
         hit = np.flatnonzero(lcp >= window // symbol)
         again = np.unique(np.concatenate([source[hit], source[hit - 1]]))
         of, at = body[again], byte[again]
@@ -160,7 +161,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     plan = Plan(words=False, window=window, gram=gram)
     found = repeated_windows(df, id_col, text_col, plan, bwt_matcher(window, symbol))
-    rows = df.select(F.col(id_col).alias("id"), *row_id(id_col, text_col), F.col(text_col).cast("binary").alias("body"))
+    rows = df.select(F.col(id_col).cast("string").alias("id"), *row_id(id_col, text_col), F.col(text_col).cast("binary").alias("body"))
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -172,9 +173,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             n, removed, spans, kept = zip(*out) if out else ((), (), (), ())
             yield pd.DataFrame({"id": pdf["id"], "n_bytes": n, "n_removed": removed, "n_spans": spans, "kept": kept})
 
-    id_type = df.schema[id_col].dataType.simpleString()
-    return (rows.join(found, ["r1", "r2"], "left").select("id", "body", "ranges")
-            .mapInPandas(cut, f"id {id_type}, {_SCHEMA}").withColumnRenamed("id", id_col))
+    kept = rows.join(found, ["r1", "r2"], "left").select("id", "body", "ranges").mapInPandas(cut, f"id string, {_SCHEMA}")
+    return kept.withColumn("id", F.col("id").cast(df.schema[id_col].dataType)).withColumnRenamed("id", id_col)
 
 
 def repeat_digests(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -29,8 +29,11 @@ def tile_topk(vectors: DataFrame, queries: DataFrame, k: int, score_type: str,
               slab: int = SLAB, block: int = BLOCK) -> DataFrame:
     """The ``k`` best (query_id, rank, vec_id, score); ``best(queries, slab)`` ranks one tile.
 
-    Vectors of different lengths never meet.  Ties go to the smaller vec_id.
+    Vectors of different lengths never meet.  Ties go to the smaller vec_id.  A
+    query row given several times is one query; an id with several vectors asks
+    with each, and its answers are ranked together.
     """
+    queries = queries.dropDuplicates(["id", "vec"])
     n, q = vectors.count(), queries.count()
     slabs, blocks = max(1, -(-n // slab)), max(1, -(-q // block))
     dim = F.size("vec").alias("dim")
@@ -41,7 +44,7 @@ def tile_topk(vectors: DataFrame, queries: DataFrame, k: int, score_type: str,
 
     def tile(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"query_id": pd.Series([], "int64"), "vec_id": pd.Series([], "int64"), "score": []})
+            return pd.DataFrame({"query_id": pd.Series([], dtype="int64"), "vec_id": pd.Series([], dtype="int64"), "score": pd.Series([], dtype="float64")})
         return best(left, right.sort_values("id", kind="stable"))
 
     keys = ["dim", "s", "b"]

@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabkiln.llm.common import byte_batches, materialize
+from tabkiln.llm.common import byte_batches, fresh_names, materialize, release
 
 SPAN = 7
 DECAY = 0.7
@@ -122,8 +122,13 @@ class Kernel:
         self.mark, self.value = mark[turn], value[turn]
         keys, self.start = np.unique(key[turn], return_index=True)
         self.stop = np.append(self.start[1:], len(key))
-        self.place = np.full(len(letters) ** 3, -1, np.int32)
-        self.place[keys] = np.arange(len(keys))
+        # first two letters, then the third: the table grows with the pairs that landmarks have, not with letters cubed
+        base = len(letters)
+        heads, head = np.unique(keys // base, return_inverse=True)
+        self.head = np.full(base * base, -1, np.int32)
+        self.head[heads] = np.arange(len(heads))
+        self.place = np.full((len(heads) + 1) * base, -1, np.int32)  # the last row is that of unknown pairs
+        self.place[head * base + keys % base] = np.arange(len(keys))
 
     def similarities(self, words: list[str], floor: float = FLOOR) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each word the landmarks it resembles by at least ``floor``, and how much."""
@@ -131,7 +136,9 @@ class Kernel:
         empty = (np.zeros(0, np.int64), np.zeros(0))
         out = [empty] * n
         word, key, value = triples(words, self.code)
-        at = self.place[key]
+        base = int(self.code.max()) + 1
+        head = key // base
+        at = self.place[self.head[head] * np.int64(base) + (key - head * base)]
         ok = at >= 0
         word, at, value = word[ok], at[ok], value[ok]
         count = self.stop[at] - self.start[at]
@@ -217,9 +224,12 @@ def squared_hinge(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int =
 
 
 def logistic(margin: np.ndarray, label: np.ndarray, rounds: int = 60) -> tuple[float, float]:
-    """Slope and shift of the scores: a logistic fit of the labels to the margins with smoothed targets."""
+    """Slope and shift of the scores: a logistic fit of the labels to the margins.
+
+    The targets are smoothed by half a row of either class: one clean text alone is expected at 0.25, below ``REJECT``.
+    """
     up, down = label.sum(), (1 - label).sum()
-    target = np.where(label > 0, (up + 1) / (up + 2), 1 / (down + 2))
+    target = np.where(label > 0, (up + 0.5) / (up + 1), 0.5 / (down + 1))
     a = np.stack([margin, np.ones(len(margin))], axis=1)
     w = np.array([1.0, 0.0])
     for _ in range(rounds):
@@ -323,6 +333,7 @@ def score_column(model: Model, text_col: str) -> Column:
             bodies = [b or b"" for b in series]
             out = [model.scores(make.rows(bodies[lo:hi])) for lo, hi in byte_batches(bodies, 1_000_000)]
             yield pd.Series(np.concatenate(out) if out else np.zeros(0))
+        release()
 
     return run(F.col(text_col).cast("binary"))
 
@@ -336,4 +347,5 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 def keep_clean(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = REJECT) -> DataFrame:
     """The rows of ``docs``, with all their columns, whose text scores below ``threshold``."""
-    return docs.withColumn("__score", score_column(model, text_col)).filter(F.col("__score") < threshold).drop("__score")
+    name, = fresh_names(docs, "__score")
+    return docs.withColumn(name, score_column(model, text_col)).filter(F.col(name) < threshold).drop(name)
