@@ -1,157 +1,88 @@
 """Order-dependent operators without a single-task global window.
 
 ``Window.orderBy(key)`` without a partition moves every row into one task.
-Instead the leading order key is cut into ranges at approximate quantiles
-(one small aggregate collected to the driver as split points), each range is
-ordered inside its own task, and a tiny per-range summary (row counts, last
-and first non-NULL values) is turned into offsets and carry values with a
-window over at most ``max_buckets`` rows, then broadcast back.
-
-The split points are literals, so the range of a row is a pure function of
-its key: recomputation after a lost executor yields the same ranges and the
-same indexes, and no checkpoint is needed.
+Instead the table is partitioned by ranges of its whole composite key, sorted
+within the ranges and written once to the shared checkpoint folder together
+with every row's place.  Spark itself compares the keys, so every orderable
+type works alone or beside others: numbers of any width, strings, dates,
+NULL (first) and NaN (last).  A hash of the whole row ends the key: rows that
+share a key are ordered too, and a key that a third of the rows share is cut
+into ranges like any other.
+
+A per-range summary (row counts, last and first non-NULL values) becomes
+offsets and carry values with a window over at most ``max_buckets`` rows,
+which are broadcast back.  The written table is the one order all of these
+jobs see, also after a lost executor.
+
+Cut points (splits, folds) need no sorted table: the rows at a few ranks are
+found by counting around sampled keys, in ever smaller brackets.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, NumericType, StringType, TimestampNTZType, TimestampType
+from pyspark.sql.types import MapType, NullType, VariantType
 
 from tabkiln.operators.project import _missing
+from tabkiln.session import write_shared
 
 # Ranges hold about ROWS_PER_BUCKET rows at scale; mid-size inputs are cut into
 # up to default-parallelism ranges of at least MIN_ROWS_PER_BUCKET rows.
 ROWS_PER_BUCKET = 2_000_000
 MIN_ROWS_PER_BUCKET = 100_000
 MAX_BUCKETS = 20_000
-_B = "_range_id"
+# Keys looked at to bracket a rank, and the size below which a bracket is ordered by one task.
+SAMPLE_KEYS = 10_000
+MAX_ORDERED_ROWS = 250_000
+_B, _AT, _TIE = "_range_id", "_range_at", "_range_tie"
+_PARTITION_BITS = 33  # monotonically_increasing_id: partition << 33 | row of the partition
 
 
 def _keys(order_by: str | Sequence[str]) -> list[str]:
     return [order_by] if isinstance(order_by, str) else list(order_by)
 
 
-def _numeric_key(df: DataFrame, key: str) -> Column:
-    dt = df.schema[key].dataType
-    if isinstance(dt, NumericType):
-        return F.col(key).cast("double")
-    if isinstance(dt, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(F.col(key).cast("timestamp")).cast("double")
-    if isinstance(dt, DateType):
-        return F.unix_date(F.col(key)).cast("double")
-    if isinstance(dt, StringType):
-        # the first six bytes as a number: exact in a double and monotone in the string order
-        head = F.hex(F.substring(F.col(key).cast("binary"), 1, 6))
-        return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
-    raise TypeError(f"order key {key} must be numeric, string, date or timestamp, got {dt}")
+def row_hash(df: DataFrame) -> Column:
+    """Hash of the columns that can be hashed; rows that differ in none of them are interchangeable."""
+    hashed = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, (MapType, NullType, VariantType))]
+    return F.xxhash64(*hashed)
 
 
-def _ranges(
+def with_ranges(
     df: DataFrame,
-    keys: list[str],
+    order_by: str | Sequence[str],
     rows_per_bucket: int = ROWS_PER_BUCKET,
     max_buckets: int = MAX_BUCKETS,
     n: int | None = None,
-) -> tuple[DataFrame, int, int]:
-    """Add ``_range_id``; ranges are ordered like the keys.
-
-    Rows without a leading key form the first range (NULL sorts first), rows
-    with NaN belong to the last one (NaN sorts last): no row is left out.
-    A leading-key value that fills several quantile slots (a hot value) gets a
-    range of its own, cut further at quantiles of the next order key computed
-    over that value's rows only (one extra pass for all hot values); with a
-    single order key, rows tied on a hot value are spread by a hash of all
-    their columns, since their mutual order is arbitrary anyway (rows equal in
-    every column stay together).  A string key is cut at whole strings, the
-    quantiles of a sample, so different keys with a common prefix never count
-    as one hot value.
+) -> tuple[DataFrame, int]:
+    """Add ``_range_id`` and ``_range_at``, whose order is that of the rows, and return the row count.
+
+    More than one range means a written table; one range (small inputs) is
+    ordered by a window when it is used.  Both order by the keys, then by a
+    hash of the row, so the answer does not depend on the number of ranges.
     """
-    text = isinstance(df.schema[keys[0]].dataType, StringType)
-    kcol = F.col(keys[0]) if text else _numeric_key(df, keys[0])
+    keys = [F.col(k) for k in _keys(order_by)]
     n = df.count() if n is None else n
     by_size = math.ceil(n / max(1, rows_per_bucket))
     by_cores = min(df.sparkSession.sparkContext.defaultParallelism, n // MIN_ROWS_PER_BUCKET)
     n_buckets = int(min(max_buckets, max(1, by_size, by_cores)))
-    if n_buckets == 1 or n == 0:
-        return df.withColumn(_B, F.lit(0)), n, 1
-    staged = df.withColumn("_range_key", kcol)
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    accuracy = max(10_000, 20 * n_buckets)
-    if text:
-        # any cut keeps the order: the sample decides the sizes of the ranges alone
-        some = staged.sample(min(1.0, accuracy / n), 17).select("_range_key").filter(F.col("_range_key").isNotNull()).collect()
-        some = sorted(r[0] for r in some)
-        q = [some[int(x * len(some))] for x in probs] if some else []
-    else:
-        row = staged.agg(F.percentile_approx("_range_key", probs, accuracy).alias("q")).first()
-        q = [float(x) for x in (row["q"] or []) if x is not None and not math.isnan(x)]
-    slots = Counter(q)
-    hot = sorted(v for v, c in slots.items() if c >= 2)
-    points = sorted(set(q) | {v + "\0" if text else math.nextafter(v, math.inf) for v in hot})
-    if text:
-        out, rid = staged, _text_range(points, 0, len(points))
-    else:
-        bucketizer = Bucketizer(splits=[-math.inf, *points, math.inf], inputCol="_range_key", outputCol="_range_f", handleInvalid="keep")
-        out = bucketizer.transform(staged)
-        rid = F.col("_range_f").cast("int")
-    no_key = F.col("_range_key").isNull()
-    n_ranges = len(points) + 1
-    if hot:
-        sub, width = _hot_subranges(df, staged, keys, hot, slots, accuracy)
-        rid = rid * width + sub
-        n_ranges += sum(slots[v] for v in hot)
-    return out.withColumn(_B, F.when(no_key, F.lit(-1)).otherwise(rid)).drop("_range_key", "_range_f"), n, n_ranges + 1
-
-
-def _text_range(points: list[str], lo: int, hi: int) -> Column:
-    """How many of ``points[lo:hi]``, and of those before, are at or below the key, by halving."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(F.col("_range_key") < F.lit(points[mid]), _text_range(points, lo, mid)).otherwise(_text_range(points, mid + 1, hi))
-
-
-def _hot_subranges(
-    df: DataFrame, staged: DataFrame, keys: list[str], hot: list, slots: Counter, accuracy: int
-) -> tuple[Column, int]:
-    """Sub-range index inside each hot leading-key value, and the index width."""
-    width = max(slots[v] for v in hot) + 1
-    is_hot = [F.col("_range_key") == F.lit(v) for v in hot]
-    if len(keys) > 1:
-        k2 = _numeric_key(df, keys[1])
-        aggs = [
-            F.percentile_approx(F.when(cond, k2), [j / (slots[v] + 1) for j in range(1, slots[v] + 1)], accuracy).alias(f"h{i}")
-            for i, (v, cond) in enumerate(zip(hot, is_hot))
-        ]
-        cuts = staged.agg(*aggs).first()
-        sub = F.lit(0)
-        for i, cond in reversed(list(enumerate(is_hot))):
-            pts = sorted({float(x) for x in (cuts[f"h{i}"] or []) if x is not None})
-            inside = sum((F.when(k2 >= F.lit(p), 1).otherwise(0) for p in pts), F.lit(0))
-            sub = F.when(cond, inside).otherwise(sub)
-    else:
-        spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(width)).cast("int")
-        sub = F.lit(0)
-        for cond in is_hot:
-            sub = F.when(cond, spread).otherwise(sub)
-    return sub, width
-
-
-def with_ranges(
-    df: DataFrame,
-    order_by: str | Sequence[str],
-    rows_per_bucket: int = ROWS_PER_BUCKET,
-    max_buckets: int = MAX_BUCKETS,
-    n: int | None = None,
-) -> tuple[DataFrame, int]:
-    """Add ``_range_id`` (monotone in the leading key) and return the row count."""
-    ranged, n, _ = _ranges(df, _keys(order_by), rows_per_bucket, max_buckets, n)
+    keyed = df.withColumn(_TIE, row_hash(df))
+    if n_buckets == 1:
+        place = F.row_number().over(Window.partitionBy(_B).orderBy(*keys, _TIE)) - 1
+        return keyed.withColumn(_B, F.lit(0)).withColumn(_AT, place.cast("long")).drop(_TIE), n
+    placed = (
+        keyed.repartitionByRange(n_buckets, *keys, F.col(_TIE))
+        .sortWithinPartitions(*keys, _TIE)
+        .drop(_TIE)
+        .withColumn(_AT, F.monotonically_increasing_id())
+    )
+    written = write_shared(placed, "ranges")
+    first = F.shiftleft(F.shiftright(_AT, _PARTITION_BITS), _PARTITION_BITS)
+    ranged = written.withColumn(_B, F.shiftright(_AT, _PARTITION_BITS).cast("int")).withColumn(_AT, F.col(_AT) - first)
     return ranged, n
 
 
@@ -164,25 +95,15 @@ def add_row_index(
 ) -> DataFrame:
     """Consecutive index ``start, start+1, ...`` in the order of ``order_by``.
 
-    The order keys should be unique; ties get an arbitrary but consistent order.
+    Rows that share the order keys are ordered by a hash of the row.
     """
-    keys = _keys(order_by)
-    ranged, _ = with_ranges(df, keys, rows_per_bucket)
-    return _index_ranged(ranged, keys, out, start)
-
-
-def _index_ranged(ranged: DataFrame, keys: list[str], out: str, start: int) -> DataFrame:
+    ranged, _ = with_ranges(df, order_by, rows_per_bucket)
     counts = ranged.groupBy(_B).agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        _B,
-        F.coalesce(
-            F.sum("_n").over(Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("_offset"),
-    )
+    before = Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(_B, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     # At most max_buckets rows: a proven bound for the broadcast.
     joined = ranged.join(F.broadcast(offsets), _B)
-    local = F.row_number().over(Window.partitionBy(_B).orderBy(*[F.col(k) for k in keys]))
-    return joined.withColumn(out, (local - 1 + F.col("_offset") + F.lit(start)).cast("long")).drop(_B, "_offset")
+    return joined.withColumn(out, (F.col("_offset") + F.col(_AT) + F.lit(start)).cast("long")).drop(_B, _AT, "_offset")
 
 
 def fill_forward_backward(
@@ -199,14 +120,13 @@ def fill_forward_backward(
     follows them, and NaN counts as missing.  Cells that nothing can fill are
     NULL.
     """
-    keys = _keys(order_by)
-    ranged, _ = with_ranges(df, keys, rows_per_bucket)
-    korder = [F.col(k) for k in keys]
+    ranged, _ = with_ranges(df, order_by, rows_per_bucket)
     summary_aggs = []
     for c in cols:
-        present = ~_missing(df, c)
-        summary_aggs.append(F.max(F.when(present, F.struct(*korder, F.col(c).alias("_v")))).alias(f"_last_{c}"))
-        summary_aggs.append(F.min(F.when(present, F.struct(*korder, F.col(c).alias("_v")))).alias(f"_first_{c}"))
+        present = F.when(~_missing(df, c), F.struct(_AT, F.col(c).alias("_v")))
+        at = F.when(~_missing(df, c), F.col(_AT))
+        summary_aggs.append(F.max_by(present, at).alias(f"_last_{c}"))
+        summary_aggs.append(F.min_by(present, at).alias(f"_first_{c}"))
     summary = ranged.groupBy(_B).agg(*summary_aggs)
     # Running frames only (unbounded preceding .. current/previous row): Spark
     # evaluates them in one pass, whereas a frame reaching "unbounded following"
@@ -221,8 +141,8 @@ def fill_forward_backward(
     carries = summary.select(*carry_cols)
     # At most max_buckets rows: a proven bound for the broadcast.
     joined = ranged.join(F.broadcast(carries), _B)
-    upto = Window.partitionBy(_B).orderBy(*korder).rowsBetween(Window.unboundedPreceding, 0)
-    upto_rev = Window.partitionBy(_B).orderBy(*[k.desc() for k in korder]).rowsBetween(Window.unboundedPreceding, 0)
+    upto = Window.partitionBy(_B).orderBy(_AT).rowsBetween(Window.unboundedPreceding, 0)
+    upto_rev = Window.partitionBy(_B).orderBy(F.col(_AT).desc()).rowsBetween(Window.unboundedPreceding, 0)
     filled = {}
     for c in cols:
         own = F.when(~_missing(df, c), F.col(c))
@@ -233,7 +153,19 @@ def fill_forward_backward(
             v = F.coalesce(v, F.last(own, ignorenulls=True).over(upto_rev), F.col(f"_out_{c}"))
         filled[c] = v
     out = joined.withColumns(filled)
-    return out.drop(_B, *[f"_in_{c}" for c in cols], *[f"_out_{c}" for c in cols])
+    return out.drop(_B, _AT, *[f"_in_{c}" for c in cols], *[f"_out_{c}" for c in cols])
+
+
+def _literal_row(df: DataFrame, order: Sequence[str], values: tuple) -> Column:
+    """The values as a struct of the columns' own types."""
+    return F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order, values)])
+
+
+def _ordered_at(rows: DataFrame, order: list[str], ranks: Sequence[int]) -> dict[int, tuple]:
+    """Keys of the rows at the given ranks of a small table."""
+    placed = rows.withColumn(_AT, F.row_number().over(Window.orderBy(*[F.col(c) for c in order])))
+    found = placed.filter(F.col(_AT).isin(list(ranks))).select(_AT, *order).collect()
+    return {r[_AT]: tuple(r[c] for c in order) for r in found}
 
 
 def rank_cuts(
@@ -245,48 +177,65 @@ def rank_cuts(
 ) -> tuple[dict, int]:
     """Order-key values of the rows at the given 1-based ranks, and the row count.
 
-    Only the ranges holding a requested rank are ordered (each a task of about
-    ``rows_per_bucket`` rows, one job per range however many ranks fall in it);
-    the other ranges are only counted.  With unique order keys,
-    ``at_or_before(order, cuts[r])`` holds for exactly the first ``r`` rows.
+    Around each rank two or three keys of a sample are counted exactly (one
+    aggregate for all ranks that share a bracket).  A counted key whose rows
+    hold the rank is the answer, however many rows share it; else the rank lies
+    between two of them and the search goes on there.  A bracket of at most
+    ``rows_per_bucket`` rows (and ``MAX_ORDERED_ROWS``) is ordered.  With unique
+    order keys, ``at_or_before(df, order, cuts[r])`` holds for exactly the first
+    ``r`` rows.
     """
     order = list(order)
-    ranged, n, n_buckets = _ranges(df.select(*order), order, rows_per_bucket, n=n)
-    if n_buckets == 1:
-        counts = [(0, n)]
-    else:
-        counts = sorted((r[0], r[1]) for r in ranged.groupBy(_B).agg(F.count(F.lit(1))).collect())
-    cuts: dict = {}
-    wanted: dict[int, dict[int, int]] = {}
-    for rank in ranks:
-        if rank <= 0 or rank > n:
-            cuts[rank] = None
+    keys = df.select(*order)
+    n = keys.count() if n is None else n
+    cuts: dict = {r: None for r in ranks}
+    small = min(rows_per_bucket, MAX_ORDERED_ROWS)
+    row = F.struct(*[F.col(c) for c in order])
+    # a bracket: above this key and below that one (None: no bound), rows before it, rows in it; and its ranks
+    brackets: dict[tuple, set[int]] = {(None, None, 0, n): {r for r in ranks if 0 < r <= n}}
+    while brackets:
+        (low, high, below, inside), wanted = brackets.popitem()
+        if not wanted:
+            continue
+        rows = keys
+        if low is not None:
+            rows = rows.filter(row > _literal_row(df, order, low))
+        if high is not None:
+            rows = rows.filter(row < _literal_row(df, order, high))
+        sample = []
+        if inside > small:
+            share = min(1.0, SAMPLE_KEYS / inside)
+            sample = [tuple(r) for r in rows.sample(share, seed=17).orderBy(*order).collect()]
+        if not sample:
+            found = _ordered_at(rows, order, [r - below for r in wanted])
+            cuts.update({r: found[r - below] for r in wanted})
             continue
-        before = 0
-        for b, c in counts:
-            if before + c >= rank:
-                break
-            before += c
-        wanted.setdefault(b, {})[rank - before] = rank
-    for b, locals_ in wanted.items():
-        rows = (
-            ranged.filter(F.col(_B) == b)
-            .withColumn("_rn", F.row_number().over(Window.orderBy(*[F.col(c) for c in order])))
-            .filter(F.col("_rn").isin(list(locals_)))
-            .select("_rn", *order)
-            .collect()
-        )
-        for r in rows:
-            cuts[locals_[r["_rn"]]] = tuple(r[c] for c in order)
+        m, slack = len(sample), 3 * math.sqrt(len(sample))
+        places = {min(max(int(p), 0), m - 1) for r in wanted for at in [(r - below) / inside * m] for p in (at - slack, at, at + slack)}
+        pivots = [sample[p] for p in sorted(places)]
+        aggs = []
+        for i, pivot in enumerate(pivots):
+            lit = _literal_row(df, order, pivot)
+            aggs += [F.count(F.when(row < lit, 1)).alias(f"lt{i}"), F.count(F.when(row <= lit, 1)).alias(f"le{i}")]
+        counted = rows.agg(*aggs).first()
+        spans = [(counted[f"lt{i}"], counted[f"le{i}"]) for i in range(len(pivots))]
+        for r in wanted:
+            local = r - below
+            hit = next((p for p, (lt, le) in zip(pivots, spans) if lt < local <= le), None)
+            if hit is not None:
+                cuts[r] = hit
+                continue
+            before = max(((le, p) for p, (_, le) in zip(pivots, spans) if le < local), key=lambda x: x[0], default=(0, low))
+            after = min(((lt, p) for p, (lt, _) in zip(pivots, spans) if lt >= local), key=lambda x: x[0], default=(inside, high))
+            brackets.setdefault((before[1], after[1], below + before[0], after[0] - before[0]), set()).add(r)
     return cuts, n
 
 
-def at_or_before(order: Sequence[str], cut: tuple | None) -> Column:
+def at_or_before(df: DataFrame, order: Sequence[str], cut: tuple | None) -> Column:
+    """Whether a row of ``df`` lies at or before a cut of :func:`rank_cuts`."""
     if cut is None:
         return F.lit(False)
-    # a NULL in the cut takes its column's type
-    values = [(F.when(F.lit(False), F.col(c)) if v is None else F.lit(v)).alias(c) for c, v in zip(order, cut)]
-    return F.struct(*[F.col(c) for c in order]) <= F.struct(*values)
+    return F.struct(*[F.col(c) for c in order]) <= _literal_row(df, order, cut)
 
 
 def assign_folds(
@@ -315,5 +264,5 @@ def assign_folds(
         total += b + 1 if i < r else b
         ends.append(total)
     cuts, _ = rank_cuts(df, keys, ends, rows_per_bucket, n=n)
-    fold = sum((F.when(at_or_before(keys, cuts[e]), 0).otherwise(1) for e in ends), F.lit(0))
+    fold = sum((F.when(at_or_before(df, keys, cuts[e]), 0).otherwise(1) for e in ends), F.lit(0))
     return df.withColumn(out, fold.cast("int"))

@@ -19,9 +19,8 @@ from collections.abc import Mapping, Sequence
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
 
-from tabkiln.operators.ordered import at_or_before, rank_cuts
+from tabkiln.operators.ordered import at_or_before, rank_cuts, row_hash
 
 
 def union_tagged(parts: Mapping[str, DataFrame], col: str = "type") -> DataFrame:
@@ -45,8 +44,7 @@ _ORDER = ["_h60", "_tie"]
 
 def _with_hash(df: DataFrame, key: str, seed: int | str) -> DataFrame:
     h60 = F.conv(F.substring(hash_order(key, seed), 1, 15), 16, 10).cast("long")
-    row = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    return df.withColumns({"_h60": h60, "_tie": F.xxhash64(*row)})
+    return df.withColumns({"_h60": h60, "_tie": row_hash(df)})
 
 
 def holdout_split(
@@ -63,7 +61,7 @@ def holdout_split(
     n = staged.count()
     n_test = math.ceil(n * test_fraction)
     cuts, _ = rank_cuts(staged, order, [n_test], n=n)
-    tag = F.when(at_or_before(order, cuts[n_test]), "test").otherwise("train")
+    tag = F.when(at_or_before(staged, order, cuts[n_test]), "test").otherwise("train")
     return staged.withColumn(out, tag).drop(*_ORDER)
 
 
@@ -84,8 +82,8 @@ def three_way_split(
     n_test = math.ceil(held * test_share)
     cuts, _ = rank_cuts(staged, order, [n_test, held], n=n)
     tag = (
-        F.when(at_or_before(order, cuts[n_test]), "test")
-        .when(at_or_before(order, cuts[held]), "val")
+        F.when(at_or_before(staged, order, cuts[n_test]), "test")
+        .when(at_or_before(staged, order, cuts[held]), "val")
         .otherwise("train")
     )
     return staged.withColumn(out, tag).drop(*_ORDER)
@@ -117,5 +115,5 @@ def split_by_group(
     finally:
         groups.unpersist()
     staged = _with_hash(df, group_key, seed)
-    tag = F.when(at_or_before(order, cuts[n_test]), "test").otherwise("train")
+    tag = F.when(at_or_before(staged, order, cuts[n_test]), "test").otherwise("train")
     return staged.withColumn(out, tag).drop(*_ORDER)

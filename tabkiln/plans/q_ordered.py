@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tabkiln.operators import ordered, split
 from tabkiln.plans import fixtures as fx
@@ -32,6 +33,42 @@ def ffill_bfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered.fill_forward_backward(fx.ordered(spark, sf_dir), "event_id", ["v"])
 
 
+_WIDE = "event_id % 7 * 100000000000000000000 + 10000000000000000000000000000000"
+_WIDE_INDEX_SQL = f"""WITH e AS (SELECT event_id, user_id, value, CAST({_WIDE} AS DECIMAL(38, 0)) AS wide, event_id % 3 = 0 AS flag FROM events)
+SELECT event_id, row_number() OVER w AS row_index,
+  coalesce(last_value(CASE WHEN event_id % 5 = 0 THEN value END IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+           first_value(CASE WHEN event_id % 5 = 0 THEN value END IGNORE NULLS) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS v
+FROM e WINDOW w AS (ORDER BY wide, flag, event_id)"""
+
+
+def _wide_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events under a key beyond the range of a long, of which a double tells seven values apart."""
+    e = fx.t(spark, sf_dir, "events")
+    wide = (F.col("event_id") % 7).cast("decimal(10,0)") * F.lit("100000000000000000000").cast("decimal(21,0)")
+    wide = (wide + F.lit("10000000000000000000000000000000").cast("decimal(32,0)")).cast("decimal(38,0)")
+    return e.select("event_id", "user_id", wide.alias("wide"), (F.col("event_id") % 3 == 0).alias("flag"),
+                    F.when(F.col("event_id") % 5 == 0, F.col("value")).alias("v"))
+
+
+@register("row_index_fill_wide_keys", _WIDE_INDEX_SQL, doubles=["v"])
+def row_index_fill_wide_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Many ranges of a composite key of decimal, boolean and long."""
+    keys = ["wide", "flag", "event_id"]
+    filled = ordered.fill_forward_backward(_wide_events(spark, sf_dir), keys, ["v"], rows_per_bucket=5_000)
+    return ordered.add_row_index(filled, keys, rows_per_bucket=5_000).select("event_id", "row_index", "v")
+
+
+_WIDE_FOLD_SQL = f"""SELECT event_id, CAST(ntile(5) OVER (ORDER BY CAST({_WIDE} AS DECIMAL(38, 0)), event_id % 3 = 0, event_id) - 1 AS INTEGER) AS fold
+FROM events"""
+
+
+@register("kfold_wide_keys", _WIDE_FOLD_SQL)
+def kfold_wide_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contiguous folds along a composite key that starts with a decimal."""
+    folded = ordered.assign_folds(_wide_events(spark, sf_dir), ["wide", "flag", "event_id"], 5, rows_per_bucket=2_000)
+    return folded.select("event_id", "fold")
+
+
 _KFOLD_SQL = "SELECT o_orderkey, CAST(ntile(3) OVER (ORDER BY o_orderkey) - 1 AS INTEGER) AS fold FROM orders"
 
 

@@ -9,8 +9,11 @@ from __future__ import annotations
 import os
 import re
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import NullType
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "tabkiln") -> SparkSession:
@@ -48,3 +51,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="tabkiln-ckpt-")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext.getCheckpointDir() or configured
+
+
+def write_shared(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    Cuts the lineage like ``checkpoint()``, but later jobs read the columns they
+    need alone.  Columns without a type (all NULL) are added again on reading.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    typed = df.drop(*[f.name for f in df.schema.fields if isinstance(f.dataType, NullType)])
+    typed.write.parquet(path)
+    read = spark.read.schema(typed.schema).parquet(path)
+    return read.select(*[F.lit(None).alias(c) if c not in typed.columns else F.col(f"`{c}`") for c in df.columns])

@@ -1,5 +1,6 @@
 """The range-split ordered helpers equal a plain global window."""
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -137,3 +138,52 @@ def test_string_keys_with_a_common_prefix_are_ordered(spark):
     assert got.join(ref, "id").filter("ix = ix_ref").count() == 3000
     index = {r["ix"]: r["k"] for r in ordered.add_row_index(hot, "k", "ix", rows_per_bucket=100).collect()}
     assert list(map(index.get, range(1, 3001))) == sorted(index.values())
+
+
+def _wide(spark, n=2000):
+    """Keys that a double cannot tell apart, as decimals, longs, dates, booleans, bytes and arrays."""
+    i = F.pmod(F.col("id") * 7919, F.lit(n))
+    return spark.range(n).select(
+        "id", i.alias("i"),
+        (F.lit("100000000000000000000000000000").cast("decimal(38,0)") + i).cast("decimal(38,0)").alias("dec"),
+        (F.lit(2**62) + F.floor(i / 500)).alias("big"),
+        F.date_add(F.lit("2020-01-01").cast("date"), F.floor(i / 700).cast("int")).alias("day"),
+        (i % 2 == 0).alias("flag"), F.encode(F.format_string("%06d", i), "utf-8").alias("raw"), F.array(F.lit(1), i).alias("arr"),
+        F.when(i % 6 == 0, i.cast("double")).alias("v"))
+
+
+@pytest.mark.parametrize("order", [["dec"], ["big", "i"], ["day", "flag", "i"], ["raw"], ["arr"], ["flag", "dec"]])
+def test_every_orderable_key_equals_a_window(spark, order):
+    df = _wide(spark)
+    w = Window.orderBy(*order)
+    ref = df.select("id", F.row_number().over(w).alias("ref"), F.last("v", True).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("last"),
+                    F.first("v", True).over(w.rowsBetween(0, Window.unboundedFollowing)).alias("next"))
+    got = ordered.add_row_index(df, order, "ix", rows_per_bucket=90).join(ref, "id")
+    assert got.filter("ix = ref").count() == 2000
+    filled = ordered.fill_forward_backward(df, order, ["v"], rows_per_bucket=90).join(ref, "id")
+    assert filled.filter(F.col("v") == F.coalesce("last", "next")).count() == 2000
+
+
+@pytest.mark.parametrize("order", [["dec"], ["big", "i"], ["day", "flag", "i"], ["raw"]])
+def test_folds_of_every_literal_key(spark, order, monkeypatch):
+    monkeypatch.setattr(ordered, "SAMPLE_KEYS", 40)
+    df = _wide(spark)
+    got = ordered.assign_folds(df, order, 7, rows_per_bucket=50)
+    ref = df.select("id", (F.ntile(7).over(Window.orderBy(*order)) - 1).alias("ref"))
+    assert got.join(ref, "id").filter("fold = ref").count() == 2000
+
+
+def test_ranks_beside_a_key_that_most_rows_share(spark, monkeypatch):
+    monkeypatch.setattr(ordered, "SAMPLE_KEYS", 10)
+    keys = [5] * 3000 + [1, 2, 3, 4, 6, 7, 8] + [None] * 40
+    df = spark.createDataFrame([(k,) for k in keys], "k int")
+    want = sorted(keys, key=lambda k: -1 if k is None else k)
+    ranks = [1, 40, 41, 44, 45, 3044, 3045, 3047]
+    cuts, n = ordered.rank_cuts(df, ["k"], [0, *ranks, 3048], rows_per_bucket=20)
+    assert n == len(keys) and cuts == {0: None, 3048: None} | {r: (want[r - 1],) for r in ranks}
+
+
+def test_ranges_keep_maps_and_columns_without_a_type(spark):
+    df = spark.range(300).select("id", F.create_map(F.lit("k"), "id").alias("m"), F.lit(None).alias("none"))
+    got = ordered.add_row_index(df, "id", "ix", rows_per_bucket=40)
+    assert got.columns == ["id", "m", "none", "ix"] and got.filter("ix = id + 1 AND m['k'] = id AND none IS NULL").count() == 300

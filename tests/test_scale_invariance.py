@@ -37,7 +37,7 @@ def test_rank_cuts_among_rows_without_a_key(spark, rows_per_bucket):
     df = _keyed(spark).filter("k IS NULL OR NOT isnan(k)")
     cuts, n = ordered.rank_cuts(df, ["k", "id"], [5, 200], rows_per_bucket)
     for rank in (5, 200):
-        assert df.filter(ordered.at_or_before(["k", "id"], cuts[rank])).count() == rank
+        assert df.filter(ordered.at_or_before(df, ["k", "id"], cuts[rank])).count() == rank
 
 
 def test_string_keys_are_ordered(spark):
