@@ -1,20 +1,20 @@
 """From a raw table to collated predictions: cleaning, then training and scoring (M8).
 
-The cleaning is fitted once (NULL shares, means, collinear columns, ranges: one
-small row per column) and saved with the models, so a table scored later goes
-through the same projection.
+The cleaning is fitted once (NULL shares, means or imputing models, collinear
+columns, ranges) and saved with the models, so a table scored later goes through
+the same projection, row by row.
 """
 
 from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkiln.operators.impute import model_impute
+from tabkiln.operators.impute import ImputerChain, fit_imputer, load_imputer
 from tabkiln.operators.models import CvResult, fit_and_predict, fit_only, predict_only
 from tabkiln.operators.profile import fit_collinear, fit_stats, numeric_columns, rejected_columns
 from tabkiln.operators.project import _missing
@@ -28,11 +28,12 @@ class Cleaning:
 
     key: str
     rejected: list
-    imputer: str  # 'mean', or a learner of model_impute
+    imputer: str  # 'mean', or a learner of fit_imputer
     means: dict
     collinear: list
     stats: dict
     ranges: dict
+    chain: ImputerChain | None = None  # the learner's fitted models
 
     def fill(self, df: DataFrame) -> DataFrame:
         """Numeric features without missing cells; non-numeric columns stay as they are."""
@@ -41,7 +42,7 @@ class Cleaning:
             return df.withColumns(
                 {c: F.when(_missing(df, c), F.lit(m)).otherwise(F.col(c).cast("double")) for c, m in self.means.items()}
             )
-        return model_impute(df, list(self.means), self.key, learner=self.imputer, features=list(self.means))
+        return self.chain.transform(df)
 
     def transform(self, df: DataFrame) -> DataFrame:
         return self._scaled(self.fill(df))
@@ -54,11 +55,15 @@ class Cleaning:
         return list(self.stats)
 
     def save(self, spark: SparkSession, path: str) -> None:
-        spark.createDataFrame([(json.dumps(asdict(self)),)], "value string").write.mode("overwrite").text(path)
+        facts = asdict(replace(self, chain=None))
+        spark.createDataFrame([(json.dumps(facts),)], "value string").write.mode("overwrite").text(path)
+        if self.chain is not None:
+            self.chain.save(spark, f"{path}-imputer")
 
 
 def load_cleaning(spark: SparkSession, path: str) -> Cleaning:
-    return Cleaning(**json.loads(spark.read.text(path).first()[0]))
+    cleaning = Cleaning(**json.loads(spark.read.text(path).first()[0]))
+    return cleaning if cleaning.imputer == "mean" else replace(cleaning, chain=load_imputer(spark, f"{path}-imputer"))
 
 
 def fit_cleaning(
@@ -70,16 +75,20 @@ def fit_cleaning(
     collinear_threshold: float = 0.95,
     feature_range: tuple[float, float] = (0.0, 10.0),
 ) -> Cleaning:
-    """Columns mostly NULL are rejected, the rest filled, collinear ones dropped, the others scaled."""
+    """Columns mostly NULL are rejected, the rest filled, collinear ones dropped, the others scaled.
+
+    ``imputer`` is 'mean', or the learner ('rf', 'dt') of a chain of models fitted here and only applied later.
+    """
     rejected = [c for c in rejected_columns(df, null_threshold) if c not in (key, target)]
     feats = numeric_columns(df, [key, target, *rejected])
     means = {c: s["mean"] for c, s in fit_stats(df, feats).items()}
-    draft = Cleaning(key, rejected, imputer, means, [], {}, {})
+    chain = None if imputer == "mean" else fit_imputer(df.drop(*rejected), feats, imputer, features=feats, key=key)
+    draft = Cleaning(key, rejected, imputer, means, [], {}, {}, chain)
     filled = draft.fill(df)
     collinear = fit_collinear(filled, feats, collinear_threshold) if len(feats) > 1 else []
     kept = [c for c in feats if c not in collinear]
     scaler = fit_minmax(filled, kept, feature_range)
-    return Cleaning(key, rejected, imputer, means, collinear, scaler.stats, scaler.ranges)
+    return Cleaning(key, rejected, imputer, means, collinear, scaler.stats, scaler.ranges, chain)
 
 
 def train_test(

@@ -1,5 +1,10 @@
 """Model-based NULL imputation.
 
+Two forms.  ``fit_imputer`` learns one model per column, in order, and gives a
+chain that can be saved and applied to any table: a projection, row by row,
+that never looks at other rows of the table it fills.  ``model_impute`` fills
+one table by itself, with features filled along its own key:
+
 For each column with NULLs, in order: the complete rows train a learner on
 the other columns, the rows where the column is NULL get their features
 filled along the key (forward then backward) and are scored, and the
@@ -11,20 +16,22 @@ of columns and a lost executor does not replay earlier fits.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, RandomForestClassifier
 from pyspark.ml.feature import Imputer, IndexToString, StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from tabkiln.operators.models import spread
 from tabkiln.operators.ordered import fill_forward_backward
-from tabkiln.operators.project import _missing, non_null_counts
-from tabkiln.session import checkpoint_dir
+from tabkiln.operators.project import _missing, _q, non_null_counts
+from tabkiln.session import checkpoint_dir, write_shared
 
 
 def _numeric(df: DataFrame, exclude: Sequence[str]) -> list[str]:
@@ -57,13 +64,13 @@ def write_back(df: DataFrame, predictions: DataFrame, key: str, col: str, pred:
     return joined.withColumn(col, F.when(_missing(df, col), F.col("_imputed").cast(dtype)).otherwise(F.col(col))).drop("_imputed")
 
 
-def _learner(kind: str, categorical: bool, seed: int, label: str, num_trees: int, max_depth: int):
+def _learner(kind: str, categorical: bool, seed: int, label: str, num_trees: int, max_depth: int, **params):
     if kind == "rf":
         cls = RandomForestClassifier if categorical else RandomForestRegressor
-        return cls(featuresCol="_features", labelCol=label, numTrees=num_trees, maxDepth=max_depth, seed=seed)
+        return cls(featuresCol="_features", labelCol=label, numTrees=num_trees, maxDepth=max_depth, seed=seed, **params)
     if kind == "dt":
         cls = DecisionTreeClassifier if categorical else DecisionTreeRegressor
-        return cls(featuresCol="_features", labelCol=label, maxDepth=max_depth, seed=seed)
+        return cls(featuresCol="_features", labelCol=label, maxDepth=max_depth, seed=seed, **params)
     raise ValueError("learner must be 'rf' or 'dt'")
 
 
@@ -116,6 +123,117 @@ def model_impute(
     return cur
 
 
+# --------------------------------------------------------------------------
+# fitted chains
+# --------------------------------------------------------------------------
+
+@dataclass(frozen=True)
+class ImputeStep:
+    """How one column's missing cells are filled."""
+
+    col: str
+    means: dict  # feature -> what a missing cell of it counts as (its mean where the step was fitted)
+    labels: list | None  # a classifier's labels as strings, by index; None: a regressor
+    model: PipelineModel
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``df`` with the column filled; other columns as they are."""
+        inputs = {_input(i): _filled(df, f, m) for i, (f, m) in enumerate(self.means.items())}
+        scored = self.model.transform(df.withColumns(inputs))
+        guess = F.col("prediction")
+        if self.labels is not None:
+            guess = F.get(F.array(*[F.lit(x) for x in self.labels]), guess.cast("int"))
+        own = F.when(_missing(df, self.col), guess.cast(df.schema[self.col].dataType)).otherwise(_q(self.col))
+        return scored.withColumn(self.col, own).select(*[_q(c) for c in df.columns])
+
+
+@dataclass(frozen=True)
+class ImputerChain:
+    """Fitted steps; each reads the columns that the ones before it have filled."""
+
+    steps: list
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """Fill every step's column: one projection, no shuffle; a row's cells depend on that row alone."""
+        for step in self.steps:
+            df = step.transform(df)
+        return df
+
+    def save(self, spark: SparkSession, path: str) -> None:
+        path = path.rstrip("/")
+        for i, step in enumerate(self.steps):
+            step.model.write().overwrite().save(f"{path}/model-{i}")
+        facts = [(json.dumps([{"col": s.col, "means": s.means, "labels": s.labels} for s in self.steps]),)]
+        spark.createDataFrame(facts, "value string").write.mode("overwrite").text(f"{path}/steps")
+
+
+def load_imputer(spark: SparkSession, path: str) -> ImputerChain:
+    path = path.rstrip("/")
+    facts = json.loads(spark.read.text(f"{path}/steps").first()[0])
+    return ImputerChain([ImputeStep(**f, model=PipelineModel.load(f"{path}/model-{i}")) for i, f in enumerate(facts)])
+
+
+def _input(i: int) -> str:
+    return f"_impute_{i}"
+
+
+def _filled(df: DataFrame, feature: str, mean: float) -> Column:
+    return F.when(_missing(df, feature), F.lit(float(mean))).otherwise(_q(feature).cast("double"))
+
+
+def fit_imputer(
+    df: DataFrame,
+    cols: Sequence[str],
+    learner: str = "rf",
+    categorical: Sequence[str] = (),
+    features: Sequence[str] | Mapping[str, Sequence[str]] | None = None,
+    exclude: Sequence[str] = (),
+    key: str | None = None,
+    num_trees: int = 20,
+    max_depth: int = 8,
+    seed: int = 10,
+    checkpoint_every: int = 5,
+    **params,
+) -> ImputerChain:
+    """One model per column of ``cols``, in that order (I2-I5 as a fit).
+
+    A column's model learns from the rows that have the column and all its
+    features; a later column learns from cells that earlier steps have filled.
+    Columns in ``categorical`` get a classifier, the others a regressor.
+    Features default to the numeric columns outside ``exclude`` and may be named
+    per column; a feature without a single value is not used.  Where a row to
+    fill lacks a feature, the feature's mean in the fitted table stands in.
+    Every column gets a model, whether it has gaps here or not.  The table is
+    written to the shared folder after every ``checkpoint_every`` steps.
+    """
+    cur, steps = df, []
+    for i, col in enumerate(cols):
+        named = features.get(col) if isinstance(features, Mapping) else features
+        feats = [f for f in (named if named is not None else _numeric(cur, exclude)) if f != col]
+        stats = cur.agg(*[F.avg(F.when(~_missing(cur, f), _q(f)).cast("double")).alias(_input(j)) for j, f in enumerate(feats)]).first() if feats else []
+        means = {f: m for f, m in zip(feats, stats) if m is not None}
+        if not means:
+            raise ValueError(f"no usable feature to impute {col} from")
+        by = [key] if key is not None else []
+        whole = cur.select(*by, *[_q(f).cast("double").alias(_input(j)) for j, f in enumerate(means)], _q(col).alias("_target"))
+        whole = whole.dropna(how="any", subset=[c for c in whole.columns if c != key])
+        if whole.isEmpty():
+            raise ValueError(f"no row has {col} and its features {list(means)} all set")
+        assembler = VectorAssembler(inputCols=[_input(j) for j in range(len(means))], outputCol="_features", handleInvalid="keep")
+        rows, labels, target = spread(whole, key), None, "_target"
+        if col in categorical:
+            index = StringIndexer(inputCol="_target", outputCol="_label", handleInvalid="error").fit(rows)
+            rows, labels, target = index.transform(rows), list(index.labelsArray[0]), "_label"
+        else:
+            rows = rows.withColumn("_target", F.col("_target").cast("double"))
+        model = _learner(learner, col in categorical, seed, target, num_trees, max_depth, **params)
+        steps.append(ImputeStep(col, means, labels, Pipeline(stages=[assembler, model]).fit(rows)))
+        cur = steps[-1].transform(cur)
+        if (i + 1) % checkpoint_every == 0 and i + 1 < len(cols):
+            cur = write_shared(cur, "imputed")
+    return ImputerChain(steps)
+
+
 def simple_impute(df: DataFrame, cols: Sequence[str], strategy: str = "mean") -> DataFrame:
     """Mean / median / mode imputation of numeric columns with ``ml.feature.Imputer``."""
     imp = Imputer(inputCols=list(cols), outputCols=list(cols), strategy=strategy)

@@ -12,22 +12,22 @@ import math
 from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.ml.classification import RandomForestClassifier, GBTClassifier
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
+from tabkiln.operators.boosting import fit_boosted
 from tabkiln.operators.ensemble import collate, collate_pretrained
 from tabkiln.operators.ordered import assign_folds
 from tabkiln.operators.metrics import regression_metrics
 from tabkiln.operators.profile import column_roles
-from tabkiln.session import checkpoint_dir
+from tabkiln.session import write_shared
 
 
 def _numeric(df: DataFrame, exclude: Sequence[str]) -> list[str]:
@@ -153,9 +153,10 @@ class CvResult:
     predictions: DataFrame | None  # (key, y_pred_<name>) for the test table, mean over folds
     oof: DataFrame  # (key, y_pred_<name>) out-of-fold for the train table
     importance: DataFrame  # (feature, importance) mean over folds
-    metrics: DataFrame  # (fold, train, valid, n_trees)
+    metrics: DataFrame  # (fold, train, valid, n_trees); NULL where a fold has no such rows
     model: PipelineModel  # last fold's model, as the reference keeps
     features: list
+    rounds: DataFrame  # (fold, round, train, valid, best): rounds of boosting with patience, else empty
 
 
 @dataclass
@@ -197,6 +198,7 @@ def folded_table(
         raise ValueError(f"string features {wide} are not categorical at cat_threshold={cat_threshold}")
     prep = Pipeline(stages=_stages(feats, cats)).fit(train.select(*feats))
     rows = train.select(key, *feats, F.col(target).cast("double").alias("_label"))
+    rows = rows.filter(F.col("_label").isNotNull() & ~F.isnan("_label"))  # a row without a label is in no fold
     folded = prep.transform(assign_folds(rows, key, n_folds, out="_fold"))
     base = spread(folded.select(key, "_features", "_label", "_fold"), key).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -205,12 +207,24 @@ def folded_table(
         base.unpersist()
 
 
-def _fit_fold(folded: Folded, k: int, learner: str, params: Mapping | None, early_stopping: bool):
-    """The learner fitted on every fold but ``k``."""
+def _fit_fold(folded: Folded, k: int, learner: str, params: Mapping | None, early_stopping: bool) -> tuple:
+    """The learner fitted on every fold but ``k``, its number of trees and its rounds (boosting with patience alone)."""
     p = dict(params or {})
     if folded.max_bins and learner != "lr":
         p.setdefault("maxBins", folded.max_bins)
     held = F.col("_fold") == k
+    if "patience" in p:
+        if learner != "gbt":
+            raise ValueError("patience is a parameter of boosting ('gbt')")
+        p = {**DEFAULT_PARAMS["gbt"], **p}
+        rounds, step = p.pop("maxIter"), p.pop("stepSize")
+        boosted = fit_boosted(folded.base, held, rounds=rounds, step=step, **p)
+        return boosted.model, boosted.best_round, boosted.history
+    fitted = _fit_plain(folded, learner, p, held, early_stopping)
+    return fitted, len(fitted.trees) if hasattr(fitted, "trees") else None, []
+
+
+def _fit_plain(folded: Folded, learner: str, p: dict, held: Column, early_stopping: bool):
     if learner == "gbt" and early_stopping:
         est = regressor(learner, {**p, "validationIndicatorCol": "_is_valid"})
         return est.fit(folded.base.withColumn("_is_valid", held))
@@ -232,13 +246,14 @@ def cv_regression(
 ) -> CvResult:
     """Contiguous k-fold regression with out-of-fold and averaged test predictions.
 
-    Metrics: per fold train and valid RMSE (one scoring pass per fold); an
+    Metrics: per fold train and valid RMSE (one scoring pass for all folds); an
     ``overall`` row with the mean train RMSE and the R^2 of the out-of-fold
-    predictions.  Boosting uses the valid fold for early stopping
-    (``validationIndicatorCol``): MLlib stops at the first round whose
-    validation error gains less than ``validationTol`` (1 % unless ``params``
-    says otherwise) and keeps the best round; it has no patience of several
-    rounds.  Without a test table there are no predictions.
+    predictions.  Boosting uses the valid fold for early stopping: with
+    ``patience`` among its ``params`` it stops after so many rounds that are no
+    better than the best one, which is kept (see :mod:`boosting`); without, it
+    is MLlib's, which stops at the first round whose validation error gains less
+    than ``validationTol`` (1 % unless ``params`` says otherwise).  Rows without
+    a label take no part.  Without a test table there are no predictions.
     """
     with folded_table(train, key, target, features, n_folds, cat_threshold) as folded:
         return cv_folded(folded, test, learner, params, name, early_stopping)
@@ -256,30 +271,29 @@ def cv_folded(
     name = name or learner
     key, base, feats, n_folds = folded.key, folded.base, folded.features, folded.n_folds
     spark = base.sparkSession
-    oof_parts, rows, imps, fits = [], [], [], []
+    imps, fits, trees, rounds = [], [], [], []
     for k in range(n_folds):
-        fitted = _fit_fold(folded, k, learner, params, early_stopping)
+        fitted, n_trees, history = _fit_fold(folded, k, learner, params, early_stopping)
         fits.append(fitted)
+        trees.append(n_trees)
+        rounds += [(k, r, train, valid, r == n_trees) for r, train, valid in history]
         if hasattr(fitted, "featureImportances"):
             imps.append(fitted.featureImportances.toArray().tolist())
-        n_trees = len(fitted.trees) if hasattr(fitted, "trees") else None
-        scored = fitted.transform(base)
-        err = regression_metrics(
-            scored.withColumn("_part", F.when(F.col("_fold") == k, "valid").otherwise("train")),
-            "prediction",
-            "_label",
-            by=["_part"],
-        )
-        rmse = {r["_part"]: r["rmse"] for r in err.collect()}
-        rows.append((str(k), float(rmse.get("train") or 0.0), float(rmse.get("valid") or 0.0), n_trees))
-        oof_parts.append(scored.filter(F.col("_fold") == k).select(key, "_label", F.col("prediction").alias("_p")))
-    oof = reduce(DataFrame.unionByName, oof_parts)
-    # materialise the out-of-fold table in the shared checkpoint folder so it
-    # no longer depends on the cached training table
-    checkpoint_dir(spark)
-    oof = oof.checkpoint(eager=True)
-    r2 = regression_metrics(oof, "_p", "_label").first()["r2"]
-    rows.append(("overall", float(sum(r[1] for r in rows) / n_folds), float(r2) if r2 is not None else None, None))
+    # every fold's model scores the same scan of the training table; the scores are
+    # written to the shared folder, so they no longer depend on the cached table
+    scored = base
+    for k, fitted in enumerate(fits):
+        scored = fitted.transform(scored, {fitted.predictionCol: f"_p{k}"})
+    own = F.coalesce(*[F.when(F.col("_fold") == k, F.col(f"_p{k}")) for k in range(n_folds)])
+    scored = write_shared(scored.select(key, "_label", "_fold", own.alias("_p"), *[f"_p{k}" for k in range(n_folds)]), "scores")
+    err2 = {k: F.pow(F.col(f"_p{k}") - F.col("_label"), 2) for k in range(n_folds)}
+    parts = {"train": lambda k: F.col("_fold") != k, "valid": lambda k: F.col("_fold") == k}
+    rmse = scored.agg(*[F.sqrt(F.avg(F.when(of(k), err2[k]))).alias(f"{part}{k}") for part, of in parts.items() for k in range(n_folds)]).first()
+    rows = [(str(k), rmse[f"train{k}"], rmse[f"valid{k}"], trees[k]) for k in range(n_folds)]
+    r2 = regression_metrics(scored, "_p", "_label").first()["r2"]
+    known = [r[1] for r in rows if r[1] is not None]
+    rows.append(("overall", sum(known) / len(known) if known else None, float(r2) if r2 is not None else None, None))
+    oof = scored.select(key, F.col("_p").alias(f"y_pred_{name}"))
     predictions = None
     if test is not None:
         # every fold's model scores the same scan of the test table: no union, no shuffle
@@ -295,7 +309,8 @@ def cv_folded(
     importance = spark.createDataFrame(list(zip(feats, [float(x) for x in mean_imp])), "feature string, importance double")
     metrics = spark.createDataFrame(rows, "fold string, train double, valid double, n_trees int")
     model = PipelineModel(stages=[*folded.prep.stages, fits[-1]])
-    return CvResult(predictions, oof.select(key, F.col("_p").alias(f"y_pred_{name}")), importance, metrics, model, feats)
+    history = spark.createDataFrame(rounds, "fold int, round int, train double, valid double, best boolean")
+    return CvResult(predictions, oof, importance, metrics, model, feats, history)
 
 
 # --------------------------------------------------------------------------
@@ -358,7 +373,7 @@ def fit_only(
     paths = {}
     with folded_table(train, key, target, features, n_folds) as folded:
         for name, params in specs.items():
-            fitted = _fit_fold(folded, n_folds - 1, name, params, True)
+            fitted, _, _ = _fit_fold(folded, n_folds - 1, name, params, True)
             path = f"{model_dir.rstrip('/')}/{name}"
             save_model(PipelineModel(stages=[*folded.prep.stages, fitted]), path)
             paths[name] = path

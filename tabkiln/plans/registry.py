@@ -79,6 +79,7 @@ def oracle_sql() -> dict[str, str]:
 def _load_all() -> None:
     # Importing the modules registers their queries.
     from tabkiln.plans import (  # noqa: F401
+        q_boost,
         q_clean,
         q_ensemble,
         q_features,
