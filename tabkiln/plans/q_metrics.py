@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabkiln.operators import metrics, ordered
+from tabkiln.operators import metrics, ordered, selection
 from tabkiln.plans import fixtures as fx
 from tabkiln.plans.registry import register
 
@@ -158,3 +158,22 @@ def fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = fx.truth(spark, sf_dir).join(fx.pred_a(spark, sf_dir), "id")
     folded = ordered.assign_folds(j, "id", 3).withColumn("fold", F.col("fold").cast("string"))
     return metrics.regression_metrics(folded, "y_pred_a", "y", by=["fold"], with_total="overall")
+
+
+@register(
+    "median_by_priority",
+    "SELECT o_orderpriority, count(o_totalprice) AS n, median(o_totalprice)::DOUBLE AS median FROM orders GROUP BY o_orderpriority",
+    doubles=["median"],
+)
+def median_by_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact medians of a few large groups by histogram refinement."""
+    return selection.group_median(fx.t(spark, sf_dir, "orders"), ["o_orderpriority"], "o_totalprice")
+
+
+_LONG_MEDIAN_SQL = """SELECT l_orderkey, count(*) AS n, median(l_extendedprice)::DOUBLE AS median FROM lineitem GROUP BY l_orderkey"""
+
+
+@register("median_long_predictions", _LONG_MEDIAN_SQL, doubles=["median"])
+def median_long_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Medians by id over long rows, many small groups."""
+    return selection.group_median(fx.t(spark, sf_dir, "lineitem"), ["l_orderkey"], "l_extendedprice")
