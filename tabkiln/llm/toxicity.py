@@ -172,8 +172,8 @@ class TextFeatures:
             self.plain, self.hits = set(), {}
         new = [t for t in words if t not in self.plain and t not in self.hits]
         parts = [(t, p) for t in new if len(t) > 2 for p in pieces(t)]
-        for lo in range(0, len(parts), 4_000):
-            some = parts[lo : lo + 4_000]
+        for lo in range(0, len(parts), 2_000):
+            some = parts[lo : lo + 2_000]
             for (t, _), (marks, sim) in zip(some, self.kernel.similarities([p for _, p in some])):
                 if len(marks):
                     best = self.hits.setdefault(t, {})
