@@ -34,15 +34,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     keyed = docs.withColumn("__key", F.coalesce(F.col("doc_id").cast("long"), content))
     groups = minhash.near_duplicates(keyed.select("__key", "text"), id_col="__key", shingle=5, percent=80)
     gone = groups.filter(~F.col("kept")).select("__key").distinct()
-    name = ["__key", "__t1", "__t2"]
-    kept = (keyed.join(gone, "__key", "left_anti")
-            .withColumns({"__t1": F.xxhash64(F.lit(1), "text"), "__t2": F.xxhash64(F.lit(2), "text")}))
-    # texts are moved for rows that repeat id and text alone, few of all
-    repeated = kept.groupBy(*name).agg(F.count("*").alias("__n")).filter("__n > 1").select(name)
+    name = ["__key", F.xxhash64(F.lit(1), "text").alias("__t1"), F.xxhash64(F.lit(2), "text").alias("__t2")]
+    # only the rows of keys that repeat a text are grouped, few of all
+    repeated = (keyed.select(name).join(gone, "__key", "left_anti").groupBy("__key", "__t1", "__t2").agg(F.count("*").alias("__n"))
+                .filter("__n > 1").select("__key").distinct())
     row = F.struct(*[c for c in COLUMNS if c != "text"])
-    single = (kept.join(repeated, name, "left_semi").groupBy(*name).agg(F.min(row).alias("__row"), F.first("text").alias("text"))
+    single = (keyed.join(repeated, "__key", "left_semi").groupBy(*name).agg(F.min(row).alias("__row"), F.first("text").alias("text"))
               .select("text", "__row.*"))
-    return kept.join(repeated, name, "left_anti").select(COLUMNS).unionByName(single.select(COLUMNS))
+    plain = keyed.join(gone.union(repeated), "__key", "left_anti")
+    return plain.select(COLUMNS).unionByName(single.select(COLUMNS))
 
 
 def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
