@@ -118,14 +118,34 @@ def lookup_triples(
 ) -> DataFrame:
     """Triples whose subject occurs in a query as a run of its words, with the columns they carry.
 
-    ``max_words`` is the longest subject in words, read from the triples
-    unless stated.
+    Every subject is posted under one of its words, the one that the fewest
+    queries hold; a query is a candidate for the subjects posted under its
+    words, and is searched for each as a phrase.  So a query yields as many rows
+    as it has words, however long the subjects are.  Subjects of stopwords only
+    find nothing; ``max_words`` leaves longer subjects out.
     """
     t = triples.withColumn("_head_key", F.array_join(_words("head"), " "))
-    if max_words is None:
-        max_words = triples.agg(F.max(F.size(_words("head")))).first()[0] or 1
-    kw = query_keywords(queries, query_key, query_text, stopwords, max_words)
-    return kw.join(t, kw["keyword"] == t["_head_key"], "inner").drop("_head_key")
+    stop = F.array(*[F.lit(w) for w in stopwords]).cast("array<string>")
+    subjects = t.select(F.col("_head_key").alias("keyword")).distinct().withColumn("_w", F.split("keyword", " "))
+    subjects = subjects.filter(F.size(F.array_except("_w", F.array_union(stop, F.array(F.lit(""))))) > 0)
+    if max_words is not None:
+        subjects = subjects.filter(F.size("_w") <= max_words)
+    lines = queries.select(query_key, _words(query_text).alias("_w"))
+    postings = lines.select(query_key, F.explode(F.array_distinct("_w")).alias("_word"))
+    held = postings.groupBy("_word").agg(F.count(F.lit(1)).alias("_held"))
+    # a subject with a word that no query holds finds nothing: the inner join leaves fewer words than it has
+    member = subjects.select("keyword", F.explode(F.array_distinct("_w")).alias("_word"), F.size(F.array_distinct("_w")).alias("_n"))
+    anchors = (
+        member.join(held, "_word")
+        .groupBy("keyword", "_n")
+        .agg(F.count(F.lit(1)).alias("_known"), F.min(F.struct("_held", "_word")).alias("_rarest"))
+        .filter("_known = _n")
+        .select("keyword", F.col("_rarest._word").alias("_word"))
+    )
+    candidates = postings.join(anchors, "_word").select(query_key, "keyword").distinct()
+    text = lines.select(query_key, _spaced(F.array_join("_w", " ")).alias("_line"))
+    hits = candidates.join(text, query_key).filter(F.contains("_line", _spaced(F.col("keyword")))).select(query_key, "keyword").distinct()
+    return hits.join(t, hits["keyword"] == t["_head_key"], "inner").drop("_head_key")
 
 
 def graph_edges(triples: DataFrame) -> DataFrame:

@@ -40,3 +40,23 @@ def test_keyword_lookup_matches_subject_case_insensitive(spark):
     q = spark.createDataFrame([("q1", "What is PARIS?"), ("q2", "Where is Rome?")], "qid string, q string")
     hits = triples.lookup_triples(q, "qid", "q", t).collect()
     assert [(h["qid"], h["tail"]) for h in hits] == [("q1", "France")]
+
+
+def test_lookup_finds_the_phrases_a_scan_finds(spark):
+    import random
+    import re
+
+    rng = random.Random(3)
+    vocab = ["the", "of", "red", "blue", "stone", "river", "x1", "a_b"]
+    heads = [" ".join(rng.choice(vocab) for _ in range(rng.randint(1, 4))) for _ in range(60)] + ["The", "of the", "", "red " * 40, "unseen red"]
+    texts = [" ".join(rng.choice(vocab + ["green"]) for _ in range(rng.randint(0, 12))) for _ in range(40)] + [None, "Red, STONE! river", "red " * 45]
+    queries = spark.createDataFrame(list(enumerate(texts)) + [(0, "red stone")], "q long, text string")
+    facts = spark.createDataFrame([(i, h, "rel", f"t{i}") for i, h in enumerate(heads)], "chunk_id long, head string, relation string, tail string")
+    words = lambda t: re.findall("[a-z0-9_#]+", (t or "").lower())
+    stop = set(triples.STOPWORDS)
+    want = {(q, i) for q, t in list(enumerate(texts)) + [(0, "red stone")] for i, h in enumerate(heads)
+            if set(words(h)) - stop and f" {' '.join(words(h))} " in f" {' '.join(words(t))} "}
+    got = [(r["q"], r["chunk_id"]) for r in triples.lookup_triples(queries, "q", "text", facts).collect()]
+    assert set(got) == want and len(got) == len(want)
+    short = triples.lookup_triples(queries, "q", "text", facts, max_words=2).collect()
+    assert {(r["q"], r["chunk_id"]) for r in short} == {(q, i) for q, i in want if len(words(heads[i])) <= 2}
