@@ -59,8 +59,8 @@ def tokens(text: str) -> list[str]:
     return text.split() + ["".join(m.split()) for m in _SPACED.findall(text)]
 
 
-def triples(words: list[str], code: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Subsequences of three characters: their word, their key and their weight.
+def triples(words: list[str], code: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Subsequences of three characters: their word, first two letters, third letter and weight; and the number of letters.
 
     ``code`` numbers the characters that take part (-1: not); without it all do.
     """
@@ -73,22 +73,25 @@ def triples(words: list[str], code: np.ndarray | None) -> tuple[np.ndarray, np.n
     else:
         letter = code[points]
         known, base = letter >= 0, int(code.max()) + 1
-    out_w, out_k, out_v = [], [], []
+    out_w, out_p, out_t, out_v = [], [], [], []
     for a, b in _OFFSETS:
         n = len(points) - b
         if n <= 0:
             continue
         ok = np.flatnonzero((word[:n] == word[b:]) & known[:n] & known[a : a + n] & known[b:])
         out_w.append(word[ok])
-        out_k.append((letter[ok] * base + letter[ok + a]) * base + letter[ok + b])
+        out_p.append(letter[ok] * base + letter[ok + a])
+        out_t.append(letter[ok + b])
         out_v.append(np.full(len(ok), DECAY ** (b + 1)))
     if not out_w:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    return np.concatenate(out_w), np.concatenate(out_k), np.concatenate(out_v)
+        none = np.zeros(0, np.int64)
+        return none, none, none, np.zeros(0), base
+    return np.concatenate(out_w), np.concatenate(out_p), np.concatenate(out_t), np.concatenate(out_v), base
 
 
-def _summed(word: np.ndarray, key: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _summed(word: np.ndarray, pair: np.ndarray, third: np.ndarray, value: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One entry per word and subsequence."""
+    key = pair * base + third
     turn = np.lexsort((key, word))
     word, key, value = word[turn], key[turn], value[turn]
     first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (key[1:] != key[:-1])])) if len(word) else np.zeros(0, np.int64)
@@ -125,9 +128,9 @@ class Kernel:
         # first two letters, then the third: the table grows with the pairs that landmarks have, not with letters cubed
         base = len(letters)
         heads, head = np.unique(keys // base, return_inverse=True)
-        self.head = np.full(base * base, -1, np.int32)
-        self.head[heads] = np.arange(len(heads))
-        self.place = np.full((len(heads) + 1) * base, -1, np.int32)  # the last row is that of unknown pairs
+        self.rows = np.full(base * base, len(heads) * base, np.int64)  # the last row is that of unknown pairs
+        self.rows[heads] = np.arange(len(heads)) * base
+        self.place = np.full((len(heads) + 1) * base, -1, np.int32)
         self.place[head * base + keys % base] = np.arange(len(keys))
 
     def similarities(self, words: list[str], floor: float = FLOOR) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -135,10 +138,8 @@ class Kernel:
         m, n = len(self.landmarks), len(words)
         empty = (np.zeros(0, np.int64), np.zeros(0))
         out = [empty] * n
-        word, key, value = triples(words, self.code)
-        base = int(self.code.max()) + 1
-        head = key // base
-        at = self.place[self.head[head] * np.int64(base) + (key - head * base)]
+        word, pair, third, value, _ = triples(words, self.code)
+        at = self.place[self.rows[pair] + third]
         ok = at >= 0
         word, at, value = word[ok], at[ok], value[ok]
         count = self.stop[at] - self.start[at]
