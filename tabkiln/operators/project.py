@@ -40,12 +40,17 @@ def drop_columns(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.drop(*cols)
 
 
+# Keys of a value map up to which it is a chain of comparisons.
+LITERAL_KEYS = 64
+
+
 def map_values(df: DataFrame, col: str, mapping: Mapping, out: str | None = None) -> DataFrame:
     """Replace values by a mapping; values without a mapping become NULL.
 
-    The mapping is a driver-side dict and joins as a local table of known
-    size, whatever its length; Catalyst broadcasts it where it is small.  The
-    result has the narrowest type that holds all mapped values.
+    The mapping is a driver-side dict.  Up to ``LITERAL_KEYS`` keys are
+    comparisons in the projection, more are a join with a local table (which
+    Catalyst broadcasts where it is small): the same rows and the same type,
+    the narrowest that holds all mapped values, either way.
     """
     out = out or col
     if not mapping:
@@ -56,6 +61,12 @@ def map_values(df: DataFrame, col: str, mapping: Mapping, out: str | None = None
     ])
     cast = [str if isinstance(f.dataType, StringType) else float if isinstance(f.dataType, DoubleType) else None for f in schema]
     rows = [tuple(c(x) if c and x is not None else x for c, x in zip(cast, kv)) for kv in mapping.items()]
+    if len(rows) <= LITERAL_KEYS:
+        key_type, value_type = (f.dataType for f in schema)
+        chosen = F.lit(None).cast(value_type)
+        for k, v in reversed(rows):
+            chosen = F.when(_q(col) == F.lit(k).cast(key_type), F.lit(v).cast(value_type)).otherwise(chosen)
+        return df.withColumn(out, chosen)
     table = df.sparkSession.createDataFrame(rows, schema)
     joined = df.join(table, _q(col) == F.col("_map_key"), "left")
     return joined.withColumn(out, F.col("_map_value")).drop("_map_key", "_map_value")
