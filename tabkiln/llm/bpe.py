@@ -21,10 +21,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabkiln.llm.common import byte_batches
+from tabkiln.llm.common import byte_batches, release
 
 #: Pieces kept encoded in a Python worker; beyond it the memory starts anew (results do not depend on it).
-CACHE_PIECES = 500_000
+CACHE_PIECES = 200_000
 
 # The pre-tokenising pattern of the vocabulary files with word ends.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
@@ -181,6 +181,7 @@ def encode(df: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
                 got = list(bpe.encode(bodies[lo:hi]))
                 yield pd.DataFrame({"id": pdf["id"].iloc[lo:hi].array, "ids": [np.frombuffer(a, "<u4").astype(np.int32) for a, _ in got],
                                     "decoded": [d for _, d in got]})
+        release()
 
     return _mapped(df, id_col, text_col, run, "ids array<int>, decoded string")
 
@@ -195,5 +196,6 @@ def encode_digests(df: DataFrame, path: str, id_col: str = "doc_id", text_col: s
                 rows = [(len(a) // 4, hashlib.sha256(a).hexdigest(), hashlib.sha256(d.encode("utf-8")).hexdigest()) for a, d in bpe.encode(bodies[lo:hi])]
                 n, a, d = zip(*rows)
                 yield pd.DataFrame({"id": pdf["id"].iloc[lo:hi].array, "n_tokens": n, "ids_sha256": a, "decoded_sha256": d})
+        release()
 
     return _mapped(df, id_col, text_col, run, "n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabkiln.llm.common import BYTE_CODE, byte_batches, gram_hash, materialize, prefix_hash, row_id, word_hashes
+from tabkiln.llm.common import BYTE_CODE, byte_batches, gram_hash, materialize, prefix_hash, release, row_id, word_hashes
 
 #: A chunk's place in its text: first window, anchor's distance from it and number of windows in one long.
 SHIFT, HALF = 32, 65536
@@ -114,6 +114,7 @@ def _emit_chunks(plan: Plan):
                 if len(c["text"]):
                     yield pd.DataFrame({"r1": r1[lo:hi][c["text"]], "r2": r2[lo:hi][c["text"]], "gram": c["gram"],
                                         "chunk": c["chunk"], "span": (c["first"] << SHIFT) + c["off"] * HALF + c["n"]})
+        release()
     return run
 
 
@@ -147,6 +148,7 @@ def _emit_bodies(plan: Plan):
                     out, size = [], 0
             if out:
                 yield pd.DataFrame(out, columns=_BODY_COLS)
+        release()
     return run
 
 
@@ -195,6 +197,7 @@ def _match(plan: Plan, matcher: Matcher):
                     size += len(part)
         if held:
             yield done(held)
+        release()
     return run
 
 

@@ -115,6 +115,7 @@ def _confirm(k: int, percent: int):
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both) and both > 0)
             yield pdf.loc[keep, ["a", "b"]]
+        release()
     return run
 
 

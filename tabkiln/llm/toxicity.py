@@ -265,6 +265,7 @@ def choose_landmarks(rows: DataFrame, count: int, sampled: int = SAMPLED) -> dic
             out = [(w, y) for b, y in zip(pdf["body"], pdf["label"].tolist())
                    for w in {p for t in set(tokens(b.decode("utf-8", "replace"))) if len(t) > 2 for p in pieces(t)}]
             yield pd.DataFrame(out, columns=["word", "label"])
+        release()
 
     toxic, n = rows.agg(F.sum("label"), F.count("*")).first()
     if not toxic or toxic == n:
@@ -301,6 +302,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         make = TextFeatures(kernel)
         for pdf in batches:
             yield pd.DataFrame({"id": pdf["id"].astype("string"), "label": pdf["label"], "x": list(make.rows(list(pdf["body"])))})
+        release()
 
     sample = rows.mapInPandas(features, "id string, label int, x array<double>").toPandas().sort_values("id", kind="stable")
     x, label = np.stack(sample["x"].to_numpy()), sample["label"].to_numpy()
