@@ -5,6 +5,7 @@ from tabkiln.functions.columns import (
     abs_error,
     bce_with_logits,
     binarize,
+    fresh_name,
     is_bad_number,
     row_max,
     row_mean,
@@ -21,6 +22,7 @@ __all__ = [
     "abs_error",
     "bce_with_logits",
     "binarize",
+    "fresh_name",
     "is_bad_number",
     "row_max",
     "row_mean",

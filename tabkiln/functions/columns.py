@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
@@ -126,3 +126,11 @@ def bce_with_logits(logit: ColumnOrName, label: ColumnOrName) -> Column:
     """Numerically stable binary cross entropy on a logit."""
     x, y = _c(logit).cast("double"), _c(label).cast("double")
     return F.greatest(x, F.lit(0.0)) - x * y + F.log1p(F.exp(-F.abs(x)))
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` has it (in any case of letters)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

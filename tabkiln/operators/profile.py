@@ -223,12 +223,12 @@ def correlation_pairs(df: DataFrame, cols: Sequence[str], method: str = "gramian
 
 def profile_present_counts(df: DataFrame, cols: Sequence[str]) -> dict:
     """Per column: mean, deviation and number of missing values (NULL or NaN), one chunked pass."""
-    cell = lambda c: F.struct(
-        F.lit(c).alias("column"),
-        F.avg(_present(df, c).cast("double")).alias("mean"),
-        F.stddev_pop(_present(df, c).cast("double")).alias("sd"),
-        F.sum(_present(df, c).isNull().cast("long")).alias("missing"),
-    )
+
+    def cell(c: str) -> Column:
+        x = _present(df, c).cast("double")
+        missing = F.sum(x.isNull().cast("long"))
+        return F.struct(F.lit(c).alias("column"), F.avg(x).alias("mean"), F.stddev_pop(x).alias("sd"), missing.alias("missing"))
+
     return {r["column"]: r.asDict() for r in _chunked_cells(df, list(cols), cell, 6).collect()}
 
 

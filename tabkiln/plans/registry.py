@@ -89,4 +89,5 @@ def _load_all() -> None:
         q_metrics,
         q_models,
         q_ordered,
+        q_wide,
     )
