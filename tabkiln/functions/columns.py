@@ -108,13 +108,16 @@ def safe_corr(a: ColumnOrName, b: ColumnOrName) -> Column:
 
     ``corr`` raises DIVIDE_BY_ZERO under ANSI for a constant column and a
     ``when`` around the aggregate does not help, so the ratio is built from
-    population covariance and standard deviations with ``try_divide``.
+    population covariance and standard deviations with ``try_divide``.  The
+    deviation of a constant is not always 0 once partitions are merged, so a
+    side is constant where its least and greatest value are equal.
     """
     x, y = _num(a), _num(b)
     both = x.isNotNull() & y.isNotNull()
-    sx = F.stddev_pop(F.when(both, x))
-    sy = F.stddev_pop(F.when(both, y))
-    return F.try_divide(F.covar_pop(x, y), F.nullif(sx * sy, F.lit(0.0)))
+    x_both, y_both = F.when(both, x), F.when(both, y)
+    varies = (F.min(x_both) < F.max(x_both)) & (F.min(y_both) < F.max(y_both))
+    spread = F.stddev_pop(x_both) * F.stddev_pop(y_both)
+    return F.when(varies, F.try_divide(F.covar_pop(x, y), F.nullif(spread, F.lit(0.0))))
 
 
 def tokens(text: ColumnOrName) -> Column:

@@ -22,12 +22,12 @@ from pyspark.sql.types import DoubleType, FloatType, NumericType
 
 from tabkiln.functions import safe_corr
 
-# Correlation pairs per aggregate.  A guarded correlation keeps about ten
-# buffer fields (covariance and two conditional deviations); whole-stage
+# Correlation pairs per aggregate.  A guarded correlation keeps fourteen
+# buffer fields (covariance, two conditional deviations, two ranges); whole-stage
 # codegen is switched off for an aggregate whose buffers exceed
-# spark.sql.codegen.maxFields (100 by default), so pairs are grouped nine at a
+# spark.sql.codegen.maxFields (100 by default), so pairs are grouped six at a
 # time.  The chunks are unioned into one job, each scan pruned to its columns.
-CORR_CHUNK = 9
+CORR_CHUNK = 6
 # Aggregation buffer budget per chunk for the other profiles (same limit).
 FIELD_BUDGET = 96
 
