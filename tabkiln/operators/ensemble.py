@@ -87,7 +87,50 @@ def collate(
     ``result_<m>``; with more than one model the same for ``comb_max``,
     ``comb_min``, ``comb_mean`` and ``comb_median``.
     """
-    aligned = align_predictions(preds, key=key, truth=truth, target=target)
+    return _with_ensembles(align_predictions(preds, key=key, truth=truth, target=target), tolerance, key, target)
+
+
+def _one_per_key(df: DataFrame, key: str, col: str) -> DataFrame:
+    """``(key, col)`` grouped by key, which raises for a key seen twice; no shuffle where ``df`` is bucketed by the key."""
+    g = df.groupBy(key).agg(F.max(F.col(f"`{col}`").cast("double")).alias(col), F.count(F.lit(1)).alias("_seen"))
+    raised = F.raise_error(F.concat(F.lit("duplicate key "), F.col(key).cast("string")))
+    return g.filter(F.when(F.col("_seen") > 1, raised.cast("boolean")).otherwise(True)).drop("_seen")
+
+
+def align_bucketed(
+    preds: Sequence[DataFrame] | Mapping[str, DataFrame], truth: DataFrame, key: str = "id", target: str = "y"
+) -> DataFrame:
+    """:func:`align_predictions` with truth for tables bucketed alike by the key (``write_bucketed``).
+
+    Left joins from the truth table keep its buckets, so that neither the
+    duplicate check nor any of the joins moves a row, however many models there
+    are.  Other tables give the same rows, with a shuffle each.  Keys that are
+    NULL match nothing here.
+    """
+    tables = list(preds.values()) if isinstance(preds, Mapping) else list(preds)
+    names = [_pred_col(df, key) for df in tables]
+    if len(set(names)) != len(names):
+        raise ValueError(f"duplicate prediction column names: {names}")
+    marks = [f"_in{i}" for i in range(len(names))]
+    out = _one_per_key(truth, key, target)
+    for df, name, mark in zip(tables, names, marks):
+        out = out.join(_one_per_key(df, key, name).withColumn(mark, F.lit(True)), key, "left")
+    return out.filter(F.coalesce(*[F.col(m) for m in marks])).select(key, target, *names)
+
+
+def collate_bucketed(
+    preds: Sequence[DataFrame] | Mapping[str, DataFrame],
+    truth: DataFrame,
+    tolerance: float = 3.0,
+    key: str = "id",
+    target: str = "y",
+) -> DataFrame:
+    """:func:`collate` over tables bucketed alike by the key: repeated collation without a shuffle."""
+    return _with_ensembles(align_bucketed(preds, truth, key, target), tolerance, key, target)
+
+
+def _with_ensembles(aligned: DataFrame, tolerance: float, key: str, target: str) -> DataFrame:
+    """Errors, flags and ensembles of aligned predictions."""
     pred_cols = [c for c in aligned.columns if c not in (key, target)]
     exprs = [F.col(key), F.col(target)]
     all_preds = [(c, F.col(c)) for c in pred_cols]

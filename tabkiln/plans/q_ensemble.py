@@ -11,7 +11,7 @@ from tabkiln.operators import ensemble
 from tabkiln.plans import fixtures as fx
 from tabkiln.plans.registry import register
 from tabkiln.session import checkpoint_dir
-from tabkiln.sources import read_csv, write_csv
+from tabkiln.sources import read_csv, write_bucketed, write_csv
 
 _MODELS = ("a", "b", "comb_max", "comb_min", "comb_mean", "comb_median")
 _COLLATE_DOUBLES = ["y"] + [c for m in _MODELS for c in (f"y_pred_{m}", f"y_pred_{m}_abs_err")]
@@ -157,3 +157,14 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ensemble_two_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M6: the legacy two-model entry point, served by the general collation."""
     return ensemble.collate_two(fx.pred_a(spark, sf_dir), fx.pred_b(spark, sf_dir), fx.truth(spark, sf_dir), 3.0)
+
+
+@register("collate_bucketed", _COLLATE_SQL, doubles=_COLLATE_DOUBLES)
+def collate_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both predictions and the truth stored in buckets of the key, then collated without a shuffle."""
+    run = uuid.uuid4().hex
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/tables"
+    tables = {"truth": fx.truth(spark, sf_dir), "pred_a": fx.pred_a(spark, sf_dir), "pred_b": fx.pred_b(spark, sf_dir)}
+    stored = {n: write_bucketed(df, f"{n}_{run}", f"{folder}/{n}-{run}", "id", 16) for n, df in tables.items()}
+    truth = stored.pop("truth")
+    return ensemble.collate_bucketed(stored, truth, tolerance=3.0)

@@ -5,6 +5,7 @@ from tabkiln.sources.tables import (
     load_table,
     read_csv,
     read_text_documents,
+    write_bucketed,
     write_csv,
     write_parquet,
     write_reports,
@@ -15,6 +16,7 @@ __all__ = [
     "load_table",
     "read_csv",
     "read_text_documents",
+    "write_bucketed",
     "write_csv",
     "write_parquet",
     "write_reports",
