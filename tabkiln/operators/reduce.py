@@ -78,6 +78,8 @@ def pca_features(df: DataFrame, cols: Sequence[str], k: int, keep: Sequence[str]
 # Columns of the range beyond the components asked for, and passes that sharpen it.
 OVERSAMPLE = 10
 POWER_PASSES = 4
+# Products of a column and a weight that are projected by plain expressions.
+PLAIN_TERMS = 256
 
 
 @dataclass
@@ -95,10 +97,19 @@ class WidePca:
         """Share of the total variance, component by component (0 for a constant table)."""
         return [float(v / self.total_variance) if self.total_variance > 0 else 0.0 for v in self.variance]
 
-    def transform(self, df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-        """Every row of ``df``; a row with a missing column has NULL components.  Rows stay in their tasks."""
+    def transform(self, df: DataFrame, keep: Sequence[str] = (), plain_terms: int = PLAIN_TERMS) -> DataFrame:
+        """Every row of ``df``; a row with a missing column has NULL components.  Rows stay in their tasks.
+
+        Up to ``plain_terms`` products of a column and a weight are plain
+        expressions in generated code; more go through NumPy in Arrow batches,
+        since so many expressions would not compile.
+        """
         mean, vectors, d = self.mean, self.vectors, len(self.columns)
         inputs = [F.col(f"`{c}`").cast("double") for c in self.columns]
+        if vectors.size <= plain_terms:
+            complete = reduce(and_, [x.isNotNull() & ~F.isnan(x) for x in inputs])
+            scores = [sum(((x - float(m)) * float(w) for x, m, w in zip(inputs, mean, v)), F.lit(0.0)) for v in vectors.T]
+            return df.select(*[F.col(f"`{c}`") for c in keep], *[F.when(complete, s).alias(f"pca_{i}") for i, s in enumerate(scores)])
 
         def project(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
             for rows in batches:

@@ -91,8 +91,9 @@ def test_wide_pca_matches_numpy_and_does_not_depend_on_the_layout(spark):
     values, vectors = values[::-1], vectors[:, ::-1]
     assert np.allclose(model.explained_variance, values[:3] / values.sum(), rtol=1e-9)
     assert np.allclose(np.abs((model.vectors * vectors[:, :3]).sum(axis=0)), 1.0, atol=1e-9)
-    out = model.transform(df, keep=["id"]).orderBy("id").toPandas()
-    assert np.allclose(np.abs(out["pca_1"]), np.abs((x - x.mean(axis=0)) @ vectors[:, 1]), atol=1e-6)
+    for plain_terms in (1000, 0):
+        out = model.transform(df, ["id"], plain_terms).orderBy("id").toPandas()
+        assert np.allclose(np.abs(out["pca_1"]), np.abs((x - x.mean(axis=0)) @ vectors[:, 1]), atol=1e-6)
 
 
 def test_wide_pca_of_few_columns_equals_the_full_one(spark):
@@ -108,8 +109,9 @@ def test_wide_pca_of_few_columns_equals_the_full_one(spark):
 def test_wide_pca_with_gaps_constants_and_empty_tables(spark):
     df = spark.createDataFrame([(1, 1.0, 2.0), (2, None, 3.0), (3, 4.0, float("nan")), (4, 3.0, 2.0)], "id long, a double, b double")
     model = reduce.fit_pca_wide(df, ["a", "b"], 1)
-    got = {r["id"]: r["pca_0"] for r in model.transform(df, ["id"]).collect()}
-    assert got[2] is None and got[3] is None and got[1] == pytest.approx(-1.0) and got[4] == pytest.approx(1.0)
+    for plain_terms in (1000, 0):
+        got = {r["id"]: r["pca_0"] for r in model.transform(df, ["id"], plain_terms).collect()}
+        assert got[2] is None and got[3] is None and got[1] == pytest.approx(-1.0) and got[4] == pytest.approx(1.0)
     assert model.explained_variance == [pytest.approx(1.0)]
     constant = reduce.fit_pca_wide(df.select("id", F.lit(2.0).alias("a"), F.lit(1).alias("b")), ["a", "b"], 2)
     assert constant.explained_variance == [0.0, 0.0]
