@@ -143,12 +143,14 @@ def pipeline_forest_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _PCA_COLS = ["x1", "x3"]
+# l1 - a without the cancellation: (l1 - a) * (l1 - d) = b * b
 _PCA_SQL = f"""WITH {fx.REG_SQL},
 c AS (SELECT avg(x1) AS ma, avg(x3) AS mb, var_samp(x1) AS a, var_samp(x3) AS d, covar_samp(x1, x3) AS b FROM reg),
 l AS (SELECT *, (a + d) / 2 + sqrt(power((a - d) / 2, 2) + b * b) AS l1 FROM c),
-v AS (SELECT *, sqrt(b * b + power(l1 - a, 2)) AS len FROM l)
-SELECT id, abs(((x1 - ma) * b + (x3 - mb) * (l1 - a)) / len) AS pca_0,
-       abs(((x1 - ma) * (l1 - a) - (x3 - mb) * b) / len) AS pca_1,
+g AS (SELECT *, CASE WHEN a > d THEN b * b / (l1 - d) ELSE l1 - a END AS g FROM l),
+v AS (SELECT *, sqrt(b * b + g * g) AS len FROM g)
+SELECT id, abs(((x1 - ma) * b + (x3 - mb) * g) / len) AS pca_0,
+       abs(((x1 - ma) * g - (x3 - mb) * b) / len) AS pca_1,
        l1 / (a + d) AS explained_0
 FROM reg, v"""
 
