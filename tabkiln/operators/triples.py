@@ -43,34 +43,32 @@ def triples_from_tags(df: DataFrame, key: str, tagged: str, carry: Sequence[str]
     cleaned = F.regexp_replace(F.col(tagged), "|".join(SPECIAL_TOKENS), "")
     norm = _spaced(F.array_join(tokens(cleaned), " "))
     parts = F.split(norm, f" {TRIPLET} ")
-    staged = df.select(key, *carry, F.posexplode(parts).alias("_p", "_part"), F.size(parts).alias("_np"))
-    # words before the first <triplet> belong to no triple
-    staged = staged.filter(F.col("_p") > 0)
-    part = _spaced(F.col("_part"))
-    segs = F.split(part, f" {SUBJ} ")
-    staged = staged.select(
-        key,
-        *carry,
-        "_p",
-        "_np",
-        F.trim(F.element_at(segs, 1)).alias("head"),
-        F.posexplode(segs).alias("_s", "_seg"),
-        F.size(segs).alias("_ns"),
-    ).filter(F.col("_s") > 0)
-    seg = _spaced(F.col("_seg"))
-    has_obj = F.instr(seg, f" {OBJ} ") > 0
-    tail = F.trim(F.substring_index(seg, f" {OBJ} ", 1))
-    relation = F.when(has_obj, F.trim(F.substring_index(seg, f" {OBJ} ", -1))).otherwise(F.lit(""))
-    out = staged.select(
-        key,
-        *carry,
-        "head",
-        relation.alias("relation"),
-        tail.alias("tail"),
-        ((F.col("_p") == F.col("_np") - 1) & (F.col("_s") == F.col("_ns") - 1)).alias("_last"),
-    )
-    keep = (F.col("relation") != "") & (~F.col("_last") | ((F.col("head") != "") & (F.col("tail") != "")))
-    return out.filter(keep).drop("_last")
+
+    def pairs(part: Column, last_part: Column) -> Column:
+        """Pairs of one part; its pieces are cut once, beside an explode they would be cut again for every row."""
+        def of(segs: Column) -> Column:
+            def pair(seg: Column, i: Column) -> Column:
+                return F.struct(
+                    F.trim(F.element_at(segs, 1)).alias("head"),
+                    F.when(F.instr(seg, f" {OBJ} ") > 0, F.trim(F.substring_index(seg, f" {OBJ} ", -1)))
+                    .otherwise(F.lit("")).alias("relation"),
+                    F.trim(F.substring_index(seg, f" {OBJ} ", 1)).alias("tail"),
+                    (last_part & (i == F.size(segs) - 2)).alias("last"),
+                )
+
+            # what comes before the first <subj> is the head
+            return F.transform(F.transform(F.slice(segs, 2, F.size(segs)), _spaced), pair)
+
+        return F.element_at(F.transform(F.array(F.split(_spaced(part), f" {SUBJ} ")), of), 1)
+
+    def of_text(parts: Column) -> Column:
+        # words before the first <triplet> belong to no triple
+        return F.flatten(F.transform(F.slice(parts, 2, F.size(parts)), lambda part, i: pairs(part, i == F.size(parts) - 2)))
+
+    found = F.element_at(F.transform(F.array(parts), of_text), 1)
+    t = df.select(key, *carry, F.explode(found).alias("_t"))
+    keep = (F.col("_t.relation") != "") & (~F.col("_t.last") | ((F.col("_t.head") != "") & (F.col("_t.tail") != "")))
+    return t.filter(keep).select(key, *carry, "_t.head", "_t.relation", "_t.tail")
 
 
 def extract_with(df: DataFrame, fn: Callable, schema: str = TRIPLE_SCHEMA) -> DataFrame:
@@ -155,13 +153,12 @@ def graph_edges(triples: DataFrame) -> DataFrame:
 
 def graph_vertices(triples: DataFrame) -> DataFrame:
     """Distinct vertices of the triple graph (K5)."""
-    return triples.select(F.col("head").alias("node")).union(triples.select(F.col("tail").alias("node"))).distinct()
+    return triples.select(F.explode(F.array("head", "tail")).alias("node")).distinct()
 
 
 def graph_degrees(triples: DataFrame) -> DataFrame:
-    """``(node, out_degree, in_degree)`` in one aggregation over the edge list (K5)."""
-    e = graph_edges(triples)
-    ends = e.select(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i")).unionByName(
-        e.select(F.col("dst").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"))
-    )
+    """``(node, out_degree, in_degree)`` in one aggregation over one pass of the edge list (K5)."""
+    out_end = F.struct(F.col("src").alias("node"), F.lit(1).alias("o"), F.lit(0).alias("i"))
+    in_end = F.struct(F.col("dst").alias("node"), F.lit(0).alias("o"), F.lit(1).alias("i"))
+    ends = graph_edges(triples).select(F.inline(F.array(out_end, in_end)))
     return ends.groupBy("node").agg(F.sum("o").cast("long").alias("out_degree"), F.sum("i").cast("long").alias("in_degree"))

@@ -35,6 +35,19 @@ def test_triples_parse_multiple_pairs_and_specials(spark):
     ]
 
 
+def test_graph_degrees_parse_each_text_once(spark):
+    n = 2000
+    text = "<triplet> hub" + "".join(f" <subj> leaf{i} <obj> has" for i in range(n)) + " <triplet> <subj> x <obj> r"
+    df = spark.createDataFrame([(1, text), (None, "<triplet> leaf0 <subj> hub <obj> of <subj> <obj> r"), (3, None)], "id long, t string")
+    found = triples.triples_from_tags(df, "id", "t")
+    degrees = triples.graph_degrees(found)
+    assert degrees._jdf.queryExecution().sparkPlan().toString().count("Scan ExistingRDD") == 1
+    got = {r["node"]: (r["out_degree"], r["in_degree"]) for r in degrees.collect()}
+    # the pair without a head ends its text and is left out, so is the one without a tail
+    assert got == {"hub": (n, 1), "leaf0": (1, 1)} | {f"leaf{i}": (0, 1) for i in range(1, n)}
+    assert {r["node"] for r in triples.graph_vertices(found).collect()} == set(got)
+
+
 def test_keyword_lookup_matches_subject_case_insensitive(spark):
     t = spark.createDataFrame([(1, "Paris", "capital of", "France")], triples.TRIPLE_SCHEMA)
     q = spark.createDataFrame([("q1", "What is PARIS?"), ("q2", "Where is Rome?")], "qid string, q string")
