@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabkiln.operators.ordered import at_or_before, rank_cuts, row_hash
+from tabkiln.session import write_shared
 
 
 def union_tagged(parts: Mapping[str, DataFrame], col: str = "type") -> DataFrame:
@@ -54,9 +55,11 @@ def holdout_split(
 
     The rows are ordered by hash; the hash of the last test row is found once
     and every row is tagged by comparing with it: a projection, no shuffle of
-    the table.
+    the table.  The table is written once with its hashes, so neither they nor
+    what ``df`` is computed from (an imputer, say) is computed again by each pass
+    of the search and each use of the two sides.
     """
-    staged = _with_hash(df, key, seed)
+    staged = write_shared(_with_hash(df, key, seed), "split")
     order = _ORDER
     n = staged.count()
     n_test = math.ceil(n * test_fraction)

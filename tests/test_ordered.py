@@ -187,3 +187,12 @@ def test_ranges_keep_maps_and_columns_without_a_type(spark):
     df = spark.range(300).select("id", F.create_map(F.lit("k"), "id").alias("m"), F.lit(None).alias("none"))
     got = ordered.add_row_index(df, "id", "ix", rows_per_bucket=40)
     assert got.columns == ["id", "m", "none", "ix"] and got.filter("ix = id + 1 AND m['k'] = id AND none IS NULL").count() == 300
+
+
+def test_holdout_split_hashes_every_row_once(spark):
+    df = spark.range(1000).selectExpr("id", "sha1(cast(id as string)) AS x")
+    tagged = split.holdout_split(df, "id", 0.2)
+    plan = tagged._jdf.queryExecution().optimizedPlan().toString()
+    assert "md5" not in plan and "sha1" not in plan
+    assert tagged.columns == ["id", "x", "split"]
+    assert tagged.filter("split = 'test'").count() == 200 and tagged.drop("split").exceptAll(df).isEmpty()
