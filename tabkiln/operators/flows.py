@@ -20,6 +20,7 @@ from tabkiln.operators.profile import fit_collinear, fit_stats, numeric_columns,
 from tabkiln.operators.project import _missing
 from tabkiln.operators.scale import MinMaxModel, fit_minmax
 from tabkiln.operators.split import holdout_split
+from tabkiln.session import write_shared
 
 
 @dataclass(frozen=True)
@@ -85,6 +86,8 @@ def fit_cleaning(
     chain = None if imputer == "mean" else fit_imputer(df.drop(*rejected), feats, imputer, features=feats, key=key)
     draft = Cleaning(key, rejected, imputer, means, [], {}, {}, chain)
     filled = draft.fill(df)
+    if chain is not None and feats:  # written, so that the models fill each row once for all passes below
+        filled = write_shared(filled.select(*feats), "filled")
     collinear = fit_collinear(filled, feats, collinear_threshold) if len(feats) > 1 else []
     kept = [c for c in feats if c not in collinear]
     scaler = fit_minmax(filled, kept, feature_range)

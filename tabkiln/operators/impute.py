@@ -217,6 +217,8 @@ def fit_imputer(
         by = [key] if key is not None else []
         whole = cur.select(*by, *[_q(f).cast("double").alias(_input(j)) for j, f in enumerate(means)], _q(col).alias("_target"))
         whole = whole.dropna(how="any", subset=[c for c in whole.columns if c != key])
+        # written: the check, the count and the layout read it, not the models of the steps before
+        whole = write_shared(whole, "whole")
         if whole.isEmpty():
             raise ValueError(f"no row has {col} and its features {list(means)} all set")
         assembler = VectorAssembler(inputCols=[_input(j) for j in range(len(means))], outputCol="_features", handleInvalid="keep")

@@ -114,3 +114,14 @@ def test_flow_with_an_imputer_scores_one_row_alone(spark, tmp_path):
     row = raw.drop("y").filter("n1 IS NULL").orderBy("id").limit(1)
     one = flows.predict(row, str(tmp_path), paths).first()
     assert one["y_pred_dt"] == every[one["id"]]
+
+
+def test_cleaning_fills_each_row_once_for_its_passes(spark, monkeypatch):
+    from tabkiln.operators import flows
+
+    plans, fit = [], flows.fit_minmax
+    monkeypatch.setattr(flows, "fit_minmax", lambda df, *a: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or fit(df, *a))
+    df = spark.range(200).selectExpr("id", "id * 2.0D AS y", "IF(id % 4 = 0, NULL, id * 1.0D) AS m", "CAST(id % 7 AS DOUBLE) AS w")
+    cleaning = flows.fit_cleaning(df, "id", "y", imputer="dt")
+    assert len(plans) == 1 and "UDF" not in plans[0]
+    assert cleaning.transform(df).filter("m IS NULL OR w IS NULL").isEmpty()
