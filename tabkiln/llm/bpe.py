@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import string
 import unicodedata
 from collections.abc import Iterator
 
@@ -26,6 +27,9 @@ from tabkiln.llm.common import byte_batches, release
 #: Pieces kept encoded in a Python worker; beyond it the memory starts anew (results do not depend on it).
 CACHE_PIECES = 200_000
 
+#: ASCII marks that are a word of their own after a letter; not those that begin a contraction or a special token.
+MARKS = frozenset(c.encode() for c in string.punctuation if c not in "'<|>")
+
 # The pre-tokenising pattern of the vocabulary files with word ends.
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
@@ -61,8 +65,7 @@ class WordBpe:
         turn = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.merged = keys[turn], turn, result[turn]
         self.names = [self.tokens.get(i, "") for i in range(max(self.tokens) + 1)]
-        self.ids: dict[bytes, bytes] = {}  # of pieces
-        self.shown: dict[bytes, str] = {}
+        self.pieces: dict[bytes, tuple[bytes, str]] = {}  # ids and decoded text; a piece of one word shares the word's
         self.words_ids: dict[str | int, tuple[bytes, str]] = {}  # of words and special tokens
 
     def normalise(self, text: str) -> str:
@@ -73,6 +76,11 @@ class WordBpe:
 
     def cut(self, piece: bytes) -> list[str | int]:
         """Words of a piece, and the ids of special tokens that stand in it."""
+        # a run of ASCII letters is one word, alone or before one mark; most pieces are such
+        if piece.isalpha():
+            return [piece.lower().decode("ascii")]
+        if piece[:-1].isalpha() and piece[-1:] in MARKS:
+            return [piece[:-1].lower().decode("ascii"), piece[-1:].decode("ascii")]
         text = piece.decode("utf-8", "replace")
         parts = self.split.split(text) if self.split and "<|" in text else [text]
         out: list[str | int] = []
@@ -83,6 +91,13 @@ class WordBpe:
                 out += self.words.findall(self.normalise(part))
         return out
 
+    def pairs(self, symbol: np.ndarray, word: np.ndarray, i: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place among the known pairs, and rank, of each pair that begins at ``i``; the greatest number: not known."""
+        j = np.minimum(i + 1, len(symbol) - 1)
+        pair = np.where((word[i] == word[j]) & (j > i), symbol[i] * self.size + symbol[j], -1)
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return at, np.where(self.keys[at] == pair, self.ranks[at], np.iinfo(np.int64).max)
+
     def merge_rounds(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all words, and the offsets of each word's."""
         raw = [w.encode("utf-8") for w in words]
@@ -95,26 +110,28 @@ class WordBpe:
         done: list[tuple[np.ndarray, np.ndarray]] = []
         keep = symbol >= 0
         symbol, word = symbol[keep], word[keep]
+        none = np.iinfo(np.int64).max
+        at, rank = self.pairs(symbol, word, np.arange(len(symbol)))
         while len(symbol):
-            pair = np.where(word[:-1] == word[1:], symbol[:-1] * self.size + symbol[1:], -1)
-            at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
-            found = self.keys[at] == pair
-            rank = np.where(found, self.ranks[at], np.iinfo(np.int64).max)
             first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
-            lowest = np.minimum.reduceat(np.append(rank, np.iinfo(np.int64).max), first)
+            lowest = np.minimum.reduceat(rank, first)
             last = np.append(first[1:], len(symbol))
-            more = lowest < np.iinfo(np.int64).max
+            more = lowest < none
             still = np.repeat(more, last - first)
             done.append((word[~still], symbol[~still]))
             if not more.any():
                 break
-            hit = np.flatnonzero(found & (rank == np.repeat(lowest, last - first)[:-1]))
+            hit = np.flatnonzero((rank < none) & (rank == np.repeat(lowest, last - first)))
             # in a run of equal symbols only every second pair is free
             run = np.maximum.accumulate(np.where(np.concatenate([[True], np.diff(hit) > 1]), np.arange(len(hit)), 0))
             hit = hit[(np.arange(len(hit)) - run) % 2 == 0]
             symbol[hit] = self.merged[at[hit]]
             still[hit + 1] = False
-            symbol, word = symbol[still], word[still]
+            symbol, word, at, rank = symbol[still], word[still], at[still], rank[still]
+            # only the pairs that hold a new symbol are looked up again
+            new = (np.cumsum(still) - 1)[hit]
+            new = np.concatenate([new, new[new > 0] - 1])
+            at[new], rank[new] = self.pairs(symbol, word, new)
         word, symbol = (np.concatenate(x) for x in zip(*done)) if done else (word, symbol)
         turn = np.argsort(word, kind="stable")
         return symbol[turn], np.searchsorted(word[turn], np.arange(len(words) + 1))
@@ -125,31 +142,38 @@ class WordBpe:
 
     def learn(self, pieces: set[bytes]) -> None:
         """Encode the pieces that are not known yet."""
-        if len(self.ids) > CACHE_PIECES:
-            self.ids, self.shown, self.words_ids = {}, {}, {}
-        cuts = {p: self.cut(p) for p in pieces.difference(self.ids)}
-        known, names = self.words_ids, self.names
-        new = list({w for c in cuts.values() for w in c if w not in known and isinstance(w, str)})
+        if len(self.pieces) > CACHE_PIECES:
+            self.pieces = {}
+        if len(self.words_ids) > CACHE_PIECES:
+            self.words_ids = {}
+        cuts = {p: self.cut(p) for p in pieces.difference(self.pieces)}
+        done, known, names = self.pieces, self.words_ids, self.names
+        words = set().union(*cuts.values())
+        new = [w for w in words.difference(known) if isinstance(w, str)]
         if new:
             symbols, offsets = self.merge_rounds(new)
             packed, listed, offsets = symbols.astype("<u4").tobytes(), symbols.tolist(), offsets.tolist()
             for w, s, e in zip(new, offsets, offsets[1:]):
-                known[w] = packed[4 * s : 4 * e], " ".join([names[i] for i in listed[s:e]])
+                known[w] = packed[4 * s : 4 * e], names[listed[s]] if e == s + 1 else " ".join([names[i] for i in listed[s:e]])
         for i, name in ((i, n) for n, i in self.special.items()):
             known.setdefault(i, (i.to_bytes(4, "little"), name))
         for p, c in cuts.items():
             if len(c) == 1:
-                self.ids[p], self.shown[p] = known[c[0]]
+                done[p] = known[c[0]]
+            elif len(c) == 2:
+                (a, d), (b, e) = known[c[0]], known[c[1]]
+                done[p] = a + b, f"{d} {e}" if d and e else d or e
             else:
                 parts = [known[w] for w in c]
-                self.ids[p], self.shown[p] = b"".join([a for a, _ in parts]), " ".join([d for _, d in parts if d])
+                done[p] = b"".join([a for a, _ in parts]), " ".join([d for _, d in parts if d])
 
     def encode(self, bodies: list[bytes]) -> Iterator[tuple[bytes, str]]:
         """For each text its ids as little-endian 32-bit integers, and their decoded text."""
         texts = [b.split() for b in bodies]
         self.learn(set().union(*texts))
         for t in texts:
-            yield b"".join(map(self.ids.__getitem__, t)), " ".join(filter(None, map(self.shown.__getitem__, t)))
+            parts = list(map(self.pieces.__getitem__, t))
+            yield b"".join([a for a, _ in parts]), " ".join([d for _, d in parts if d])
 
 
 _MODELS: dict[str, WordBpe] = {}

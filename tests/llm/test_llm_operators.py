@@ -363,3 +363,13 @@ def test_pipeline_keeps_one_copy_of_repeated_rows(spark):
     assert collections.Counter((r["doc_id"], r["text"]) for r in single.collect()) == want
     passages = corpus_pipeline.drop_passages(spark, single, SMALL)
     assert collections.Counter((r["doc_id"], r["text"]) for r in passages.collect()) == want
+
+
+def test_bpe_keeps_words_when_the_pieces_start_anew(monkeypatch):
+    w = bpe.WordBpe(queries.vocabulary())
+    monkeypatch.setattr(bpe, "CACHE_PIECES", 3)
+    asked, rounds = [], w.merge_rounds
+    monkeypatch.setattr(w, "merge_rounds", lambda words: asked.append(words) or rounds(words))
+    first = list(w.encode([b"ab Ab aB AB"]))
+    again = list(w.encode([b"AB aB Ab ab"]))
+    assert asked == [["ab"]] and first == again
