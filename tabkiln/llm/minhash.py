@@ -197,6 +197,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         close = (pairs.distinct().join(a, "a").join(b, "b")
                  .filter((agreeing_lanes("sa", "sb") >= least) & (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent))
                  .select("a", "b"))
+        # written, so that Spark knows how few they are before it shuffles the texts to meet them
+        close = materialize(close, "close")
         full = close.join(texts.toDF("b", "body_b"), "b").join(texts.toDF("a", "body_a"), "a")
         return materialize(full.mapInPandas(_confirm(shingle, percent), "a long, b long"), "links")
 

@@ -373,3 +373,16 @@ def test_bpe_keeps_words_when_the_pieces_start_anew(monkeypatch):
     first = list(w.encode([b"ab Ab aB AB"]))
     again = list(w.encode([b"AB aB Ab ab"]))
     assert asked == [["ab"]] and first == again
+
+
+def test_near_pairs_are_written_before_their_texts_are_joined(docs, monkeypatch):
+    plans, write = [], minhash.materialize
+
+    def spy(df, name):
+        if name == "links":
+            plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(minhash, "materialize", spy)
+    minhash.near_duplicates(docs, shingle=4, percent=80).collect()
+    assert plans and not any("bit_count" in p or "bitcount" in p for p in plans)
