@@ -31,6 +31,8 @@ BANDS, ROWS, BITS = 32, 4, 2
 LANES = BANDS * ROWS
 WORDS = LANES * BITS // 64
 STAR_ROUNDS = 2
+#: 64-bit words of the filter that keeps texts out of the shuffle: at most so many short rows are broadcast.
+FILTER_WORDS = 2**19
 
 _RNG = np.random.default_rng(7)
 _A = _RNG.integers(1, 2**63, LANES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -153,6 +155,16 @@ def _prefix_pairs(sids: DataFrame, texts: DataFrame, k: int, percent: int) -> Da
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
+def _possible(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` without those whose hash ``t`` cannot be one of ``wanted``'s.
+
+    A bitmap of bounded size is broadcast, so no row is shuffled; some others pass, and the fuller it is the more.
+    """
+    word, bit = F.expr(f"shiftrightunsigned(t, 6) & {FILTER_WORDS - 1}L"), "cast(t & 63 as int)"
+    bitmap = wanted.groupBy(word.alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, {bit})")).alias("bits"))
+    return rows.withColumn("word", word).join(F.broadcast(bitmap), "word").filter(f"getbit(bits, {bit}) = 1").drop("word", "bits")
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
                     percent: int = 80) -> DataFrame:
     """(id, n_shingles, component_id, kept) for every row of ``df``.
@@ -172,15 +184,19 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # one class a set, named by a hash (sid), not by its least id (head): an id with two texts can be that of two classes
     classes = materialize(linked.groupBy("s1", "s2").agg(F.min(F.struct("id", "t")).alias("h"))
                           .select("s1", "s2", F.xxhash64("s1", "s2").alias("sid"), F.col("h.id").alias("head"), F.col("h.t").alias("t")), "classes")
-    reps = (linked.join(classes, ["s1", "s2", "t"]).filter("id = head").dropDuplicates(["sid"])
-            .select("sid", "head", "t", "n", "sig", "bands"))
+    # a class has one row of names, so the join's keys name it too, and its rows lie together as the join leaves them
+    keys = ["s1", "s2", "t", "id"]
+    reps = (linked.join(classes.withColumnRenamed("head", "id"), keys).dropDuplicates(keys)
+            .select("sid", F.col("id").alias("head"), "t", "n", "sig", "bands"))
     bands = reps.select("sid", F.explode("bands").alias("key"))
-    shared = bands.groupBy("key").agg(F.min("sid").alias("x"), F.max("sid").alias("y")).filter("x < y").select("key")
+    shared = bands.groupBy("key").agg(F.count("*").alias("c")).filter("c > 1").select("key")
     buckets = materialize(bands.join(shared, "key", "left_semi"), "buckets")
     in_play = buckets.select("sid").distinct()
     marks = materialize(reps.select("sid", "head", "t", "n", "sig").join(in_play, "sid"), "marks")
     bodies = spark_long.filter("body IS NOT NULL").withColumnRenamed("id", "head")
-    texts = materialize(marks.select("sid", "head", "t").join(bodies, ["head", "t"]).select("sid", "body").dropDuplicates(["sid"]), "texts")
+    # few texts are in play: the others are left out before any is shuffled
+    texts = materialize(marks.select("sid", "head", "t").join(_possible(bodies, marks.select("t")), ["head", "t"])
+                        .dropDuplicates(["head", "t", "sid"]).select("sid", "body"), "texts")
     marks = marks.select("sid", "n", "sig")
     named = materialize(linked.select("id", "s1", "s2").distinct().join(classes.drop("t"), ["s1", "s2"]).select("id", "sid", "head"), "named")
     several = named.groupBy("id").agg(F.min("sid").alias("a"), F.max("sid").alias("z")).filter("a < z").select("id", "a")

@@ -386,3 +386,22 @@ def test_near_pairs_are_written_before_their_texts_are_joined(docs, monkeypatch)
     monkeypatch.setattr(minhash, "materialize", spy)
     minhash.near_duplicates(docs, shingle=4, percent=80).collect()
     assert plans and not any("bit_count" in p or "bitcount" in p for p in plans)
+
+
+def test_texts_out_of_play_are_left_out_before_a_shuffle(spark, docs, monkeypatch):
+    hashed = spark.range(5000).select("id", F.xxhash64("id").alias("t")).union(spark.sql("SELECT 7000L, -1L"))
+    wanted = {r["id"]: r["t"] for r in hashed.filter("id % 500 = 0").collect()}
+    left = {r["id"]: r["t"] for r in minhash._possible(hashed, hashed.filter("id % 500 = 0").select("t")).collect()}
+    assert wanted.items() <= left.items() and len(left) < len(wanted) + 20
+    assert 7000 in {r["id"] for r in minhash._possible(hashed, hashed.filter("t = -1").select("t")).collect()}
+
+    plans, write = [], minhash.materialize
+
+    def spy(df, name):
+        if name == "texts":
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    monkeypatch.setattr(minhash, "materialize", spy)
+    minhash.near_duplicates(docs, shingle=4, percent=80).collect()
+    assert len(plans) == 1 and "getbit" in plans[0]
