@@ -21,6 +21,7 @@ import re
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from string import punctuation
 
 import numpy as np
 import pandas as pd
@@ -38,6 +39,8 @@ POWER = 4
 PIECE = 32
 CACHE_WORDS = 500_000
 REJECT = 0.3
+GROUP = 6
+ROUNDING = 1e-4
 SAMPLED, TRUST = 16, 16.0
 START = "\x02"
 _DROP = re.compile(r"[^\w\s]+|_+")
@@ -59,6 +62,23 @@ def tokens(text: str) -> list[str]:
     return text.split() + ["".join(m.split()) for m in _SPACED.findall(text)]
 
 
+def token_set(text: str) -> set[str]:
+    """The distinct ``tokens`` of a text; only distinct words are looked at unless single characters follow each other."""
+    raw = text.lower().split()
+    found = set(raw)
+    clean = {}
+    for w in [w for w in found if not w.isalnum()]:
+        inner = w.strip(punctuation)
+        clean[w] = inner if inner.isalnum() else _DROP.sub("", inner)
+    found.difference_update(clean)
+    single = {w for w in found if len(w) == 1}.union([w for w, c in clean.items() if len(c) == 1])
+    if single and b"\1\1\1" in bytes(map(single.__contains__, raw)):
+        return set(tokens(text))
+    found.update(clean.values())
+    found.discard("")
+    return found
+
+
 def triples(words: list[str], code: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
     """Subsequences of three characters: their word, first two letters, third letter and weight; and the number of letters.
 
@@ -92,7 +112,8 @@ def triples(words: list[str], code: np.ndarray | None) -> tuple[np.ndarray, np.n
 def _summed(word: np.ndarray, pair: np.ndarray, third: np.ndarray, value: np.ndarray, base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """One entry per word and subsequence."""
     key = pair * base + third
-    turn = np.lexsort((key, word))
+    cells = int(base) ** 3 * (int(word.max()) + 1 if len(word) else 0)
+    turn = np.argsort(word * base**3 + key) if cells < 2**62 else np.lexsort((key, word))
     word, key, value = word[turn], key[turn], value[turn]
     first = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (key[1:] != key[:-1])])) if len(word) else np.zeros(0, np.int64)
     return word[first], key[first], np.add.reduceat(value, first) if len(first) else value
@@ -117,49 +138,102 @@ class Kernel:
 
     def __post_init__(self) -> None:
         letters = sorted(set("".join(self.landmarks)))
-        self.code = np.full(sys.maxunicode + 1, -1, np.int64)
-        self.code[[ord(c) for c in letters]] = np.arange(len(letters))
+        base = len(letters)  # also the number of all other characters
+        code = np.full(sys.maxunicode + 1, -1, np.int32)
+        code[[ord(c) for c in letters]] = np.arange(base)
         self.own = np.sqrt(self_kernels(self.landmarks))
-        mark, key, value = _summed(*triples(self.landmarks, self.code))
-        turn = np.argsort(key, kind="stable")
-        self.mark, self.value = mark[turn], value[turn]
-        keys, self.start = np.unique(key[turn], return_index=True)
-        self.stop = np.append(self.start[1:], len(key))
+        mark, key, value = _summed(*triples(self.landmarks, code))
+        self.code = np.where(code < 0, np.int32(base), code)
+        keys, key = np.unique(key, return_inverse=True)
         # first two letters, then the third: the table grows with the pairs that landmarks have, not with letters cubed
-        base = len(letters)
         heads, head = np.unique(keys // base, return_inverse=True)
-        self.rows = np.full(base * base, len(heads) * base, np.int64)  # the last row is that of unknown pairs
-        self.rows[heads] = np.arange(len(heads)) * base
-        self.place = np.full((len(heads) + 1) * base, -1, np.int32)
-        self.place[head * base + keys % base] = np.arange(len(keys))
+        self.base = base + 1
+        self.rows = np.full(self.base**2, len(heads) * self.base)  # the last row is that of unknown pairs
+        self.rows[heads // base * self.base + heads % base] = np.arange(len(heads)) * self.base
+        self.place = np.full((len(heads) + 1) * self.base, len(keys))
+        self.place[head * self.base + keys % base] = np.arange(len(keys))
+        # landmarks much alike share a group, whose greatest value of a subsequence bounds that of each
+        value = value / self.own[mark]
+        self.members = self._groups(mark, key, value)
+        self.groups = len(self.members)
+        group, slot = np.zeros(len(self.landmarks), np.int64), np.zeros(len(self.landmarks), np.int64)
+        for g, some in enumerate(self.members):
+            group[some[some >= 0]], slot[some[some >= 0]] = g, np.flatnonzero(some >= 0)
+        cells, cell = np.unique(key * self.groups + group[mark], return_inverse=True)
+        self.values = np.zeros((len(cells) + 1, GROUP))  # the last row is that of subsequences which no member has
+        self.values[cell, slot[mark]] = value
+        self.cell = np.full((len(keys) + 1) * self.groups, len(cells), np.int32)
+        self.cell[cells] = np.arange(len(cells))
+        self.most = self.values.max(axis=1).astype(np.float32)[self.cell].reshape(-1, self.groups)
+
+    def _groups(self, mark: np.ndarray, key: np.ndarray, value: np.ndarray) -> np.ndarray:
+        """The landmarks in groups of ``GROUP`` (-1: none), each of one and those left that are most like it."""
+        m = len(self.landmarks)
+        alike = np.zeros((m, m))
+        turn = np.argsort(key, kind="stable")
+        for some in np.split(turn, np.flatnonzero(np.diff(key[turn])) + 1):
+            alike[np.ix_(mark[some], mark[some])] += value[some][:, None] * value[some]
+        out, left = np.full((-(-m // GROUP), GROUP), -1), np.arange(m)
+        for row in out:
+            like = alike[np.ix_(left, left)]
+            first = np.argmax(like.sum(axis=1))
+            like[first, first] = np.inf
+            turn = np.argsort(-like[first], kind="stable")
+            row[: len(left)] = left[turn[:GROUP]]
+            left = np.sort(left[turn[GROUP:]])
+        return out
 
-    def similarities(self, words: list[str], floor: float = FLOOR) -> list[tuple[np.ndarray, np.ndarray]]:
-        """For each word the landmarks it resembles by at least ``floor``, and how much."""
-        m, n = len(self.landmarks), len(words)
-        empty = (np.zeros(0, np.int64), np.zeros(0))
-        out = [empty] * n
-        word, pair, third, value, _ = triples(words, self.code)
-        at = self.place[self.rows[pair] + third]
-        ok = at >= 0
-        word, at, value = word[ok], at[ok], value[ok]
-        count = self.stop[at] - self.start[at]
-        entry = np.repeat(self.start[at] - np.concatenate([[0], np.cumsum(count)[:-1]]), count) + np.arange(count.sum())
-        cell = np.repeat(word, count) * m + self.mark[entry]
-        raw = np.bincount(cell, np.repeat(value, count) * self.value[entry], minlength=0)
-        hit = np.flatnonzero(raw)
-        w, l, raw = hit // m, hit % m, raw[hit]
-        size = np.fromiter(map(len, words), np.int64, n)
-        near = raw >= floor * np.sqrt(_LEAST[size[w]]) * self.own[l]
-        w, l, raw = w[near], l[near], raw[near]
+    def near(self, words: list[str], floor: float = FLOOR) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of a word, landmark it resembles by at least ``floor``, and how much: all such pairs, in order.
+
+        Words of one length are taken together.  A group's bound leaves out the landmarks that a word cannot be near to.
+        """
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        letter = self.code[np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)]
+        start = np.cumsum(size) - size
+        out_w, out_l, out_r = [], [], []
+        for n in np.unique(size[size > 2]).tolist():
+            w = np.flatnonzero(size == n)
+            letters = np.ascontiguousarray(letter[start[w] + np.arange(n)[:, None]])
+            heads = {a: self.rows[letters[: n - a] * self.base + letters[a:]] for a in range(1, min(SPAN - 1, n))}
+            at, weight, bound = [], [], np.zeros((len(w), self.groups), np.float32)
+            some, part = np.empty_like(bound), np.empty_like(bound)
+            for b in range(2, min(SPAN, n)):
+                part[:] = 0
+                for a in range(1, b):
+                    found = self.place[heads[a][: n - b] + letters[b:]]
+                    for row in found:
+                        part += self.most.take(row, axis=0, out=some, mode="clip")
+                    at.append(found)
+                    weight += [DECAY ** (b + 1)] * len(found)
+                bound += part * np.float32(DECAY ** (b + 1))
+            least = floor * np.sqrt(_LEAST[n])
+            at, weight = np.concatenate(at), np.array(weight)
+            which, group = np.nonzero(bound >= np.float32(least * (1 - ROUNDING)))
+            step = max(100_000 // len(weight), 1)
+            for lo in range(0, len(which), step):
+                i, g = which[lo : lo + step], group[lo : lo + step]
+                cell = self.cell.take(at.take(i, axis=1) * self.groups + g)
+                raw = (weight @ self.values.take(cell, axis=0).reshape(len(weight), -1)).reshape(-1, GROUP)
+                pair, slot = np.nonzero((raw > 0) & (raw >= least))
+                out_w.append(w[i[pair]])
+                out_l.append(self.members[g[pair], slot])
+                out_r.append(raw[pair, slot])
+        if not out_w:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        w, l, raw = np.concatenate(out_w), np.concatenate(out_l), np.concatenate(out_r)
+        turn = np.lexsort((l, w))
+        w, l, raw = w[turn], l[turn], raw[turn]
         which, back = np.unique(w, return_inverse=True)
-        norm = np.sqrt(self_kernels([words[i] for i in which]))
-        sim = raw / (norm[back] * self.own[l])
+        sim = raw / np.sqrt(self_kernels([words[i] for i in which]))[back]
         near = sim >= floor
-        w, l, sim = w[near], l[near], sim[near]
-        cut = np.flatnonzero(np.concatenate([[True], w[1:] != w[:-1]])) if len(w) else []
-        for i, j in zip(cut, np.append(cut[1:], len(w)) if len(w) else []):
-            out[w[i]] = (l[i:j], sim[i:j])
-        return out
+        return w[near], l[near], sim[near]
+
+    def similarities(self, words: list[str], floor: float = FLOOR) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each word the landmarks it resembles by at least ``floor``, and how much."""
+        w, l, sim = self.near(words, floor)
+        cut = np.searchsorted(w, np.arange(len(words) + 1))
+        return [(l[i:j], sim[i:j]) for i, j in zip(cut[:-1], cut[1:])]
 
 
 class TextFeatures:
@@ -171,25 +245,35 @@ class TextFeatures:
     def learn(self, words: set[str]) -> None:
         if len(self.plain) > CACHE_WORDS:
             self.plain, self.hits = set(), {}
-        new = [t for t in words if t not in self.plain and t not in self.hits]
-        parts = [(t, p) for t in new if len(t) > 2 for p in pieces(t)]
-        for lo in range(0, len(parts), 2_000):
-            some = parts[lo : lo + 2_000]
-            for (t, _), (marks, sim) in zip(some, self.kernel.similarities([p for _, p in some])):
-                if len(marks):
-                    best = self.hits.setdefault(t, {})
-                    for l, s in zip(marks.tolist(), sim.tolist()):
-                        best[l] = max(best.get(l, 0.0), s)
-        self.plain.update(t for t in new if t not in self.hits)
+        new = words - self.plain
+        new.difference_update(self.hits)
+        self.plain.update(new)
+        parts, owner = [], []
+        for t in new:
+            if 2 < len(t) < PIECE:
+                parts.append(START + t)
+                owner.append(t)
+            elif len(t) >= PIECE:
+                some = pieces(t)
+                parts += some
+                owner += [t] * len(some)
+        for lo in range(0, len(parts), 4_000):
+            for i, l, s in zip(*(x.tolist() for x in self.kernel.near(parts[lo : lo + 4_000]))):
+                best = self.hits.setdefault(owner[lo + i], {})
+                best[l] = max(best.get(l, 0.0), s)
+        self.plain.difference_update(new & self.hits.keys())
 
     def rows(self, bodies: list[bytes]) -> np.ndarray:
-        sets = [set(tokens(b.decode("utf-8", "replace"))) for b in bodies]
+        sets = [token_set(b.decode("utf-8", "replace")) for b in bodies]
         self.learn(set().union(*sets))
         out = np.zeros((len(bodies), len(self.kernel.landmarks)))
         for row, words in zip(out, sets):
+            best = {}
             for t in words & self.hits.keys():
                 for l, s in self.hits[t].items():
-                    row[l] = max(row[l], s)
+                    if s > best.get(l, 0.0):
+                        best[l] = s
+            row[list(best)] = list(best.values())
         return out**POWER
 
 
@@ -263,7 +347,7 @@ def choose_landmarks(rows: DataFrame, count: int, sampled: int = SAMPLED) -> dic
     def words(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = [(w, y) for b, y in zip(pdf["body"], pdf["label"].tolist())
-                   for w in {p for t in set(tokens(b.decode("utf-8", "replace"))) if len(t) > 2 for p in pieces(t)}]
+                   for w in {p for t in token_set(b.decode("utf-8", "replace")) if len(t) > 2 for p in pieces(t)}]
             yield pd.DataFrame(out, columns=["word", "label"])
         release()
 
