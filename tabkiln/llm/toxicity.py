@@ -41,6 +41,7 @@ CACHE_WORDS = 500_000
 REJECT = 0.3
 GROUP = 6
 ROUNDING = 1e-4
+ROWS = 2_000
 SAMPLED, TRUST = 16, 16.0
 START = "\x02"
 _DROP = re.compile(r"[^\w\s]+|_+")
@@ -291,17 +292,26 @@ class Model:
 
 
 def squared_hinge(x: np.ndarray, y: np.ndarray, cost: float = 1.0, rounds: int = 60) -> tuple[np.ndarray, float]:
-    """Linear support vector machine with squared hinge loss, by Newton steps (y is -1 or 1)."""
-    a = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-    ridge = np.eye(a.shape[1])
+    """Linear support vector machine with squared hinge loss, by Newton steps (y is -1 or 1).
+
+    Each step adds up ``ROWS`` rows at a time, so that ``x`` is never copied whole.
+    """
+    d = x.shape[1] + 1
+    ridge = np.eye(d)
     ridge[-1, -1] = 1e-6
-    w = np.zeros(a.shape[1])
+    w = np.zeros(d)
     share = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)) * len(y) * cost
     for _ in range(rounds):
-        slack = np.maximum(1 - y * (a @ w), 0)
-        on = slack > 0
-        grad = ridge @ w - 2 * a[on].T @ (share[on] * y[on] * slack[on])
-        step = np.linalg.solve(ridge + 2 * a[on].T @ (a[on] * share[on][:, None]), grad)
+        grad, curve = ridge @ w, ridge.copy()
+        for lo in range(0, len(x), ROWS):
+            some = slice(lo, lo + ROWS)
+            a = np.concatenate([x[some], np.ones((len(x[some]), 1))], axis=1)
+            slack = np.maximum(1 - y[some] * (a @ w), 0)
+            on = slack > 0
+            a, weight = a[on], share[some][on]
+            grad -= 2 * a.T @ (weight * y[some][on] * slack[on])
+            curve += 2 * a.T @ (a * weight[:, None])
+        step = np.linalg.solve(curve, grad)
         w = w - step
         if np.abs(step).max() < 1e-8:
             break
@@ -380,16 +390,26 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         up, n = rows.agg(F.sum("label"), F.count("*")).first()
         share = min(max((up or 0) / n if n else 0.0, 1e-9), 1 - 1e-9)
         return Model(["   "], np.zeros(1), 0.0, 0.0, math.log(share / (1 - share)))
-    kernel = Kernel(words)
 
     def features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        make = TextFeatures(kernel)
+        make = TextFeatures(Kernel(words))
         for pdf in batches:
-            yield pd.DataFrame({"id": pdf["id"].astype("string"), "label": pdf["label"], "x": list(make.rows(list(pdf["body"])))})
+            x = make.rows(list(pdf["body"]))
+            at = [np.flatnonzero(row) for row in x]
+            yield pd.DataFrame({"id": pdf["id"].astype("string"), "label": pdf["label"], "at": [i.astype("<i4").tobytes() for i in at],
+                                "x": [row[i].astype("<f8").tobytes() for row, i in zip(x, at)]})
         release()
 
-    sample = rows.mapInPandas(features, "id string, label int, x array<double>").toPandas().sort_values("id", kind="stable")
-    x, label = np.stack(sample["x"].to_numpy()), sample["label"].to_numpy()
+    # few of a text's values are not 0: the driver is sent these alone, and they stay packed until they have their place
+    sample = rows.mapInPandas(features, "id string, label int, at binary, x binary").collect()
+    sample.sort(key=lambda r: r["id"])
+    label = np.array([r["label"] for r in sample])
+    x = np.zeros((len(sample) + int(label.sum()), len(words)))
+    for row, r in zip(x, sample):
+        row[np.frombuffer(r["at"], "<i4")] = np.frombuffer(r["x"], "<f8")
+    n = len(sample)
+    del sample
+    kernel = Kernel(words)
     among = np.zeros((len(words), len(words)))
     for row, (marks, sim) in zip(among, kernel.similarities(words, 0.0)):
         row[marks] = sim**POWER
@@ -397,11 +417,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     nystrom = vector / np.sqrt(np.maximum(value, 1e-3)) @ vector.T * np.array(list(trust.values()))
     # inserted characters: each toxic text also enters with the kernel values its landmarks keep with a character slipped in
     gapped = np.array([_kept(kernel, w, i) for i, w in enumerate(words)])
-    toxic = x[label == 1] * gapped
-    x, label = np.concatenate([x, toxic]), np.concatenate([label, np.ones(len(toxic), label.dtype)])
-    z = x @ nystrom
-    w, bias = squared_hinge(z, np.where(label == 1, 1.0, -1.0))
-    slope, shift = logistic(z @ w + bias, label)
+    for row, i in zip(x[n:], np.flatnonzero(label == 1)):
+        row[:] = x[i] * gapped
+    label = np.concatenate([label, np.ones(len(x) - n, label.dtype)])
+    for lo in range(0, len(x), ROWS):
+        x[lo : lo + ROWS] = x[lo : lo + ROWS] @ nystrom
+    w, bias = squared_hinge(x, np.where(label == 1, 1.0, -1.0))
+    slope, shift = logistic(x @ w + bias, label)
+    del x, kernel
+    release()
     return Model(words, nystrom @ w, bias, slope, shift)
 
 

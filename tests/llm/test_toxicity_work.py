@@ -61,3 +61,36 @@ def test_kernel_does_not_pair_every_subsequence_with_every_landmark():
 def test_token_set_is_the_set_of_tokens(text):
     assert toxicity.token_set(text) == set(toxicity.tokens(text))
     assert toxicity.token_set(f"{text} word, {text}\n{text}") == set(toxicity.tokens(f"{text} word, {text}\n{text}"))
+
+
+def test_fit_does_not_copy_its_rows():
+    rng = np.random.default_rng(7)
+    x = rng.random((20_000, 150))
+    y = np.where(x[:, 0] + rng.normal(0, 0.3, len(x)) > 0.5, 1.0, -1.0)
+    assert _peak(lambda: toxicity.squared_hinge(x, y)) < x.nbytes / 2
+
+
+def test_fit_in_parts_finds_the_least_loss():
+    rng = np.random.default_rng(8)
+    x = rng.random((2 * toxicity.ROWS + 7, 5))
+    y = np.where(x[:, 0] + rng.normal(0, 0.3, len(x)) > 0.5, 1.0, -1.0)
+    w, bias = toxicity.squared_hinge(x, y)
+    share = np.where(y > 0, 0.5 / (y > 0).sum(), 0.5 / (y < 0).sum()) * len(y)
+    slack = np.maximum(1 - y * (x @ w + bias), 0)
+    np.testing.assert_allclose(w, 2 * x.T @ (share * y * slack), atol=1e-6)
+    assert 2 * (share * y * slack).sum() == pytest.approx(1e-6 * bias, abs=1e-6)
+
+
+def test_fit_sends_the_driver_no_lists_of_numbers(spark, monkeypatch):
+    """The features of the training rows reach the driver packed, not as an object for each number."""
+    docs = spark.createDataFrame([(i, ["plain text", "horrible word"][i % 2] + f" w{i}") for i in range(40)], "doc_id long, text string")
+    sent, collect = [], type(docs).collect
+
+    def record(df):
+        sent.append(df.schema)
+        return collect(df)
+
+    monkeypatch.setattr(type(docs), "collect", record)
+    monkeypatch.setattr(type(docs), "toPandas", lambda df: pytest.fail(f"all of {df.columns} as lists"))
+    toxicity.fit(docs, docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic"))
+    assert sent and not any(f.dataType.typeName() == "array" for schema in sent for f in schema)
